@@ -1,6 +1,6 @@
 """Every query by name, with oracle SQL where the result can be stated in SQL."""
 
-from . import features, profile  # noqa: F401
+from . import detect, features, index, profile, review  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
