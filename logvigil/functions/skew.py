@@ -85,8 +85,10 @@ def rolling(
     hot_rows: int | None = None,
     build_hot: Callable[[DataFrame, list[str]], DataFrame] | None = None,
     seq: str = "seq",
+    has_seq: bool = False,
 ) -> DataFrame:
-    """Apply ``build(frame, partition_columns)`` where each frame row has its number in ``seq``.
+    """Apply ``build(frame, partition_columns)`` where each frame row has its number in ``seq``
+    (``has_seq``: the input already carries it).
 
     ``build`` adds columns from windows ordered by ``seq`` that look back at most ``halo`` rows.
     ``build_hot`` replaces it on chunks of hot keys, for values a chunk cannot see by itself.
@@ -94,14 +96,14 @@ def rolling(
     limit = hot_limit(df, hot_rows)
     cold, hot = split_hot(df, [key], hot_keys(df, [key], limit))
     order = Window.partitionBy(key).orderBy(ts, tie)
-    out = build(cold.withColumn(seq, F.row_number().over(order).cast("bigint")), [key])
+    out = build(cold if has_seq else cold.withColumn(seq, F.row_number().over(order).cast("bigint")), [key])
     if hot is None:
         return out
     length = max(limit, halo + 1)
     home = F.expr(f"({seq} - 1) div {length}")
     is_tail = ((F.col(seq) - 1) % length) >= length - halo
     chunked = (
-        sequenced(hot, [key], ts, tie, seq)
+        (hot if has_seq else sequenced(hot, [key], ts, tie, seq))
         .withColumn("_home", home)
         .withColumn("_chunk", F.explode(F.when(is_tail, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))))
     )

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.ml.functions import predict_batch_udf
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,15 +89,32 @@ def keyword_logits() -> Logits:
     return predict
 
 
-def classify(df: DataFrame, text: str = "text", make_model: Callable[[], Logits] = keyword_logits, labels: list[str] = C.LABELS, batch_size: int = 128) -> DataFrame:
-    """Adds class_id, threat_class and confidence from a model over Arrow batches.
+def model_logits(text: Column, make_model: Callable[[], Logits] = keyword_logits, batch_size: int = 128) -> Column:
+    """Logits of a model over Arrow batches; null texts are not scored and give null.
 
-    ``make_model`` runs once per Python worker and returns a function from texts to logits; text
-    truncation to the model's token limit belongs to that function.
+    ``make_model`` runs once per Python worker and returns a function from an array of texts to a
+    matrix of logits; text truncation to the model's token limit belongs to that function.
     """
-    udf = predict_batch_udf(make_model, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size)
-    scored = df.withColumn("logits", udf(F.col(text)))
-    return softmax_argmax(scored).withColumn("threat_class", label_lookup(F.col("class_id"), labels))
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        predict = make_model()
+        for texts in batches:
+            out = pd.Series([None] * len(texts), dtype=object)
+            asked = np.flatnonzero(texts.notna().to_numpy())
+            for start in range(0, len(asked), batch_size):
+                rows = asked[start : start + batch_size]
+                for row, logits in zip(rows, np.asarray(predict(texts.to_numpy()[rows]), dtype=np.float64)):
+                    out.iat[row] = logits
+            yield out
+
+    return run(text)
+
+
+def classify(df: DataFrame, text: str = "text", make_model: Callable[[], Logits] = keyword_logits, labels: list[str] = C.LABELS, batch_size: int = 128) -> DataFrame:
+    """Adds class_id, threat_class and confidence from a plugged-in model."""
+    scored = softmax_argmax(df.withColumn("logits", model_logits(F.col(text), make_model, batch_size)))
+    return scored.withColumn("threat_class", label_lookup(F.col("class_id"), labels))
 
 
 def softmax_argmax(df: DataFrame, logits: str = "logits") -> DataFrame:
@@ -120,19 +137,21 @@ def label_lookup(class_id: Column, labels: list[str] = C.LABELS) -> Column:
     return F.coalesce(lit_map(dict(enumerate(labels)))[class_id], F.lit("unknown"))
 
 
-def cascade(df: DataFrame, classifier: Callable[[DataFrame], DataFrame], text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(signature hits, classified rest): the classifier sees only rows without a signature.
+def cascade(df: DataFrame, text: str = "text", make_model: Callable[[], Logits] = keyword_logits, labels: list[str] = C.LABELS, batch_size: int = 128) -> DataFrame:
+    """Signatures first, the classifier only for rows without one: adds the ``regex_*`` columns,
+    threat_class and confidence.
 
-    The split is a filter on both branches, so a Python classifier is never run on hits.
+    One pass: the input is read once and each text is matched once. Rows with a signature enter
+    the Python side as null and are skipped there.
     """
     matched = signature_match(df, text)
-    regex_cols = ["regex_match", "regex_category", "regex_confidence", "regex_pattern"]
-    hits = matched.filter("regex_match")
-    rest = df.filter(signature_index(F.col(text)).isNull())
-    return (
-        hits.withColumns({"threat_class": F.col("regex_category"), "confidence": F.col("regex_confidence")}).drop(*regex_cols),
-        classifier(rest),
-    )
+    ask = F.when(~F.col("regex_match"), F.col(text))
+    scored = softmax_argmax(matched.withColumn("logits", model_logits(ask, make_model, batch_size)))
+    hit = F.col("regex_match")
+    return scored.withColumns({
+        "threat_class": F.when(hit, F.col("regex_category")).otherwise(label_lookup(F.col("class_id"), labels)),
+        "confidence": F.when(hit, F.col("regex_confidence")).otherwise(F.col("confidence")),
+    }).drop("logits", "probs", "class_id")
 
 
 # --- decisions ------------------------------------------------------------------------------
@@ -153,23 +172,21 @@ def threat_decision() -> Column:
 ARROW = " → "
 
 
-def threat_result(hits: DataFrame, rest: DataFrame, model_version: str = "hybrid_dfp_peer_v2") -> DataFrame:
-    """Both branches of ``cascade`` as one output; hits carry ``detection_method``, the rest do not."""
-    hits = hits.withColumns({
-        "is_threat": F.lit(1), "stages_used": F.lit("regex"), "detection_method": F.lit("regex_pattern"),
-        "model_version": F.lit(model_version),
-    })
-    rest = rest.withColumns({
-        "is_threat": threat_decision(), "stages_used": F.lit(ARROW.join(["bert", "dfp"])),
-        "threat_class": F.coalesce(F.nullif("threat_class", F.lit("")), F.lit("unknown")),
+def threat_result(df: DataFrame, model_version: str = "hybrid_dfp_peer_v2") -> DataFrame:
+    """Output columns of a ``cascade`` result; only signature hits carry ``detection_method``."""
+    hit = F.col("regex_match")
+    out = df.withColumn("threat_class", F.coalesce(F.nullif("threat_class", F.lit("")), F.lit("unknown")))
+    out = out.withColumns({
+        "is_threat": F.when(hit, 1).otherwise(threat_decision()),
+        "stages_used": F.when(hit, "regex").otherwise(ARROW.join(["bert", "dfp"])),
+        "detection_method": F.when(hit, "regex_pattern"),
         "model_version": F.lit(model_version),
     })
-    stamps = [F.col(f"`{c}`") for c in ("@timestamp", "timestamp") if has(rest, c)]
+    stamps = [F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")) for c in ("@timestamp", "timestamp") if has(df, c)]
     if stamps:
-        rest = rest.withColumn("@timestamp", F.coalesce(*[F.nullif(c.cast("string"), F.lit("")) for c in stamps]))
-        if has(hits, "@timestamp"):
-            hits = hits.withColumn("@timestamp", F.col("`@timestamp`").cast("string"))
-    return hits.unionByName(rest, allowMissingColumns=True)
+        own = F.col("`@timestamp`").cast("string") if has(df, "@timestamp") else F.lit(None).cast("string")
+        out = out.withColumn("@timestamp", F.when(hit, own).otherwise(F.coalesce(*stamps)))
+    return out.drop("regex_match", "regex_category", "regex_confidence", "regex_pattern")
 
 
 def anomaly_trigger() -> Column:

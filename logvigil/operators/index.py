@@ -98,7 +98,9 @@ def match_enrichment(asks: DataFrame, docs: DataFrame, ask_id: str = "ask_id", d
         mask = F.lit(0)
         for i, p in enumerate(ports):
             mask = mask + F.when(F.col(p).isNotNull(), 1 << i).otherwise(0)
-        spread = docs.withColumn("_m", F.explode(F.array(*[F.lit(i) for i in range(1 << len(ports))])))
+        # documents are offered once per combination of ports that some ask uses, at most 2^ports
+        used = sorted(r[0] for r in asks.select(mask).distinct().collect())
+        spread = docs.withColumn("_m", F.explode(F.array(*[F.lit(i) for i in used or [0]])))
         dmask = F.col("_m")
     else:
         mask, dmask, spread = F.lit(0), F.lit(0), docs

@@ -56,7 +56,9 @@ def top_entities(scored: DataFrame, n: int = 3) -> DataFrame:
 
 def throughput(df: DataFrame, ts: str = "ts", width: str = "1 minute") -> DataFrame:
     """Messages per window; also runs on a stream."""
-    return df.groupBy(F.window(F.col(ts).cast("timestamp"), width)).agg(F.count("*").alias("messages")).select(
+    # a cast would hide a stream's watermark, so it is applied only where needed
+    at = F.col(ts) if dict(df.dtypes)[ts] == "timestamp" else F.col(ts).cast("timestamp")
+    return df.groupBy(F.window(at, width)).agg(F.count("*").alias("messages")).select(
         F.col("window.start").alias("window_start"), "messages")
 
 

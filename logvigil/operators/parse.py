@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
+from ..functions.fields import let
 
 
 def tag_ingest(df: DataFrame, tags: dict[str, str] | None = None) -> DataFrame:
@@ -45,19 +46,22 @@ _PAIR = r'([^ =]+)=("[^"]*"|[^ ]*)'
 def parse_kv(payload: Column) -> Column:
     """``key=value`` pairs to a map: quoted values may hold spaces, quotes are stripped, repeated
     identical pairs collapse. A key repeated with different values keeps its last one."""
-    pairs = F.array_distinct(F.regexp_extract_all(payload, F.lit(_PAIR), F.lit(0)))
-    entry = lambda p: F.struct(
-        F.regexp_replace(F.regexp_extract(p, _PAIR, 1), '"', "").alias("key"),
-        F.trim(F.regexp_extract(p, _PAIR, 2), F.lit('"')).alias("value"),
-    )
-    entries = F.transform(pairs, entry)
-    # Walking backwards, a pair whose key is already held is an older value.
-    keep_last = F.aggregate(
-        F.reverse(entries),
-        F.array().cast("array<struct<key:string,value:string>>"),
-        lambda acc, e: F.when(F.exists(acc, lambda a: a["key"] == e["key"]), acc).otherwise(F.array_append(acc, e)),
-    )
-    return F.map_from_entries(F.reverse(keep_last))
+    unquoted = lambda group, clean: F.transform(F.regexp_extract_all(payload, F.lit(_PAIR), F.lit(group)), clean)
+    keys = unquoted(1, lambda k: F.translate(k, '"', ""))
+    values = unquoted(2, lambda v: F.trim(v, F.lit('"')))
+
+    def last_wins(k: Column, v: Column) -> Column:
+        # walking backwards, a pair whose key is already held is an older value
+        entries = F.reverse(F.zip_with(k, v, lambda a, b: F.struct(a.alias("key"), b.alias("value"))))
+        kept = F.aggregate(
+            entries,
+            F.array().cast("array<struct<key:string,value:string>>"),
+            lambda acc, e: F.when(F.exists(acc, lambda a: a["key"] == e["key"]), acc).otherwise(F.array_append(acc, e)),
+        )
+        return F.map_from_entries(F.reverse(kept))
+
+    unique = lambda k: F.size(F.array_distinct(k)) == F.size(k)
+    return let(keys, lambda k: let(values, lambda v: F.when(unique(k), F.map_from_arrays(k, v)).otherwise(last_wins(k, v))))
 
 
 def build_timestamp(df: DataFrame, kv: str = "kv", zone: str = C.INGEST_ZONE) -> DataFrame:

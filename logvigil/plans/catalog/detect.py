@@ -133,7 +133,7 @@ def hybrid(spark, sf_dir):
     log, scored = view(spark, sf_dir, "fw_log"), view(spark, sf_dir, "fw_scored")
     h = spark.sql(_HYBRID.replace("fw_log l", "{log} l").replace("fw_scored s", "{scored} s"), log=log, scored=scored)
     h = h.withColumn("text", D.detection_text(h))
-    return D.threat_result(*D.cascade(h, lambda d: D.classify(d, "text")))
+    return D.threat_result(D.cascade(h))
 
 
 @query("cascade", _hybrid_sql("select event_id, threat_class, round(confidence, 6) as confidence, stages_used from res"))

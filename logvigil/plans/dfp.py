@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as C
 from ..operators import features as FE
+from ..operators import models as MO
 from ..operators import peers as PE
 from ..operators import profile as PR
+from ..session import materialize
 
 DFP_COLUMNS = [
     "dfp_is_anomaly", "dfp_score", "dfp_individual_score", "dfp_peer_score", "dfp_entity",
@@ -28,6 +30,40 @@ def _halo() -> int:
     return C.ERROR_ROWS - 1 + C.RING_ROWS - 1
 
 
+def decide(d: DataFrame, ts: str, tie: str, assignments: DataFrame | None = None, wide: DataFrame | None = None, few_entities: bool = False) -> DataFrame:
+    """Scores and status from sequence number, error and error window (batch and stream).
+
+    ``wide`` has one row per group, so it is broadcast. ``assignments`` grows with the entities and
+    is broadcast only where the caller knows there are few.
+    """
+    if wide is not None:
+        d = d.join(F.broadcast(assignments) if few_entities else assignments, "entity", "left")
+        d = d.join(F.broadcast(wide), "group_id", "left")  # at most MAX_GROUPS rows
+        peer, gid, gsize = PE.peer_score(C.TRAFFIC_FEATURES), F.col("group_id"), F.col("group_size")
+    else:
+        peer, gid, gsize = F.lit(0.0), F.lit(None).cast("int"), F.lit(None).cast("int")
+    scored = (F.col("seq") >= C.TRAINING_ROWS) & (F.col("err_count") >= C.MIN_ERRORS)
+    grouped = scored & gsize.isNotNull()
+    d = d.withColumns({
+        "_ind": F.when(scored, PR.individual_score()).otherwise(0.0),
+        "_peer": F.when(grouped, peer).otherwise(0.0),
+        "_gid": F.when(grouped, gid),
+        "_gsize": F.when(grouped, gsize).otherwise(0),
+        "_over": scored & (F.col("recon_err") > F.col("threshold")),
+    })
+    combined, anomaly = PR.combine_scores(F.col("_ind"), F.col("_peer"), F.col("_over"))
+    status = PR.dfp_status(F.col("entity"), F.col("seq"))
+    keep = [c for c in ("_home", "_chunk") if c in d.columns]
+    return d.select(
+        F.col(tie), F.col(ts), *keep, "seq", "recon_err", "threshold",
+        anomaly.alias("dfp_is_anomaly"), combined.alias("dfp_score"),
+        F.col("_ind").alias("dfp_individual_score"), F.col("_peer").alias("dfp_peer_score"),
+        F.col("entity").alias("dfp_entity"), status.alias("dfp_status"),
+        F.col("_gid").cast("int").alias("dfp_peer_group_id"), F.col("_gsize").cast("int").alias("dfp_peer_group_size"),
+        PR.dfp_method(status, F.col("recon_err"), F.col("err_count"), F.col("_peer")).alias("dfp_detection_method"),
+    )
+
+
 def score(
     e: DataFrame,
     ts: str = "ts",
@@ -36,65 +72,51 @@ def score(
     assignments: DataFrame | None = None,
     stats: DataFrame | None = None,
     hot_rows: int | None = None,
+    scorer: str = "zero",
 ) -> DataFrame:
     """Score every event: (tie, ts, 9 dfp_ columns), one output row per input row.
 
     ``assignments`` (entity, group_id) adds the peer layer with one set of group statistics for all
     rows; ``stats`` is the table of ``peers.peer_stats`` and is computed from ``e`` when not given.
-    Statistics that change over time: ``peers.refresh_peer_stats``.
+    Statistics that change over time: ``peers.refresh_peer_stats``. ``scorer`` is how an event is
+    reconstructed: ``zero`` (by the baseline mean, all in the JVM), ``pca`` or ``autoencoder`` (a
+    model per entity, see ``operators.models``).
     """
     feats = C.TRAFFIC_FEATURES
     base = prepare(e, ts, tie, clock)
     known = base.filter(F.col("entity").isNotNull())
-    wide = sized = None
+    wide = groups = None
     if assignments is not None:
-        assignments = assignments.select("entity", "group_id")
+        groups = assignments.select("entity", "group_id").filter(F.col("entity").isNotNull())
         if stats is None:
-            stats = PE.peer_stats(PR.recent_rows(known, ts=ts, tie=tie), assignments, feats)
+            stats = PE.peer_stats(PR.recent_rows(known, ts=ts, tie=tie), groups, feats)
         wide = PE.stats_wide(stats, feats)
-        sized = assignments.filter(F.col("entity").isNotNull())
 
-    def finish(d: DataFrame, part: list[str], bounded_entities: bool) -> DataFrame:
+    def finish(d: DataFrame, part: list[str], few: bool) -> DataFrame:
+        return decide(PR.add_error_window(d, part), ts, tie, groups, wide, few)
+
+    def zero_error(d: DataFrame) -> DataFrame:
         d = d.withColumn("recon_err", F.when(F.col("seq") >= C.TRAINING_ROWS, PR.scaled_error(d, feats)))
-        d = PR.add_error_window(d.drop(*[f"{p}_{f}" for f in feats for p in ("mean", "std")]), part)
-        if wide is not None:
-            d = d.join(F.broadcast(sized) if bounded_entities else sized, "entity", "left")
-            d = d.join(F.broadcast(wide), "group_id", "left")  # at most MAX_GROUPS rows
-            peer, gid, gsize = PE.peer_score(feats), F.col("group_id"), F.col("group_size")
-        else:
-            peer, gid, gsize = F.lit(0.0), F.lit(None).cast("int"), F.lit(None).cast("int")
-        scored = (F.col("seq") >= C.TRAINING_ROWS) & (F.col("err_count") >= C.MIN_ERRORS)
-        grouped = scored & gsize.isNotNull()
-        d = d.withColumns({
-            "_ind": F.when(scored, PR.individual_score()).otherwise(0.0),
-            "_peer": F.when(grouped, peer).otherwise(0.0),
-            "_gid": F.when(grouped, gid),
-            "_gsize": F.when(grouped, gsize).otherwise(0),
-            "_over": scored & (F.col("recon_err") > F.col("threshold")),
-        })
-        combined, anomaly = PR.combine_scores(F.col("_ind"), F.col("_peer"), F.col("_over"))
-        status = PR.dfp_status(F.col("entity"), F.col("seq"))
-        keep = [c for c in ("_home", "_chunk") if c in d.columns]
-        return d.select(
-            F.col(tie), F.col(ts), *keep, "seq", "recon_err", "threshold",
-            anomaly.alias("dfp_is_anomaly"), combined.alias("dfp_score"),
-            F.col("_ind").alias("dfp_individual_score"), F.col("_peer").alias("dfp_peer_score"),
-            F.col("entity").alias("dfp_entity"), status.alias("dfp_status"),
-            F.col("_gid").cast("int").alias("dfp_peer_group_id"), F.col("_gsize").cast("int").alias("dfp_peer_group_size"),
-            PR.dfp_method(status, F.col("recon_err"), F.col("err_count"), F.col("_peer")).alias("dfp_detection_method"),
-        )
+        return d.drop(*[f"{p}_{f}" for f in feats for p in ("mean", "std")])
 
     def build(d: DataFrame, part: list[str]) -> DataFrame:
-        return finish(PR.add_running_baseline(PR.add_rings(d, part), part, feats), part, False)
+        return finish(zero_error(PR.add_running_baseline(PR.add_rings(d, part), part, feats)), part, False)
 
     def build_hot(d: DataFrame, part: list[str]) -> DataFrame:
         # A chunk cannot see the entity's first rows, so the baseline is joined. Only hot entities
         # get here; their number is bounded by (all rows / hot_rows).
         baseline = PR.entity_baseline(d.filter(F.col("_home") == F.col("_chunk")), feats, "entity", ts, tie)
         joined = PR.add_rings(d, part).join(F.broadcast(baseline.drop("training_rows")), "entity", "left")
-        return finish(joined, part, True)
-
-    out = PR.rolling(known, "entity", ts, tie, _halo(), build, hot_rows, build_hot)
+        return finish(zero_error(joined), part, True)
+
+    if scorer == "zero":
+        out = PR.rolling(known, "entity", ts, tie, _halo(), build, hot_rows, build_hot)
+    else:
+        rows = PR.rolling(known, "entity", ts, tie, C.RING_ROWS - 1, PR.add_rings, hot_rows)
+        params = MO.train_models(known, scorer, "entity", ts, tie)
+        # the models are trained once per run, not once per use of the errors
+        rows = materialize(MO.model_errors(rows, params, scorer, ts=ts, tie=tie), "errors")
+        out = PR.rolling(rows, "entity", ts, tie, C.ERROR_ROWS - 1, lambda d, p: finish(d, p, False), hot_rows, has_seq=True)
     blank = empty_result(base.filter(F.col("entity").isNull()), ts, tie, "no_entity")
     return out.unionByName(blank)
 
