@@ -64,6 +64,24 @@ SIGNATURES = [
     ("web_attack", r"(\.\./|\.\./\.\./|path.*traversal)"),
     ("web_attack", r"(cmd\.exe|/bin/bash|powershell)"),
 ]
+# For each signature, lower-case literals of which every match holds at least one.
+SIGNATURE_LITERALS = [
+    ["union", "="],
+    ["drop", "delete", "insert", "update"],
+    ["<script", "javascript:", "onerror=", "onload="],
+    ["alert(", "eval(", "document.cookie"],
+    [";", "|", "&&", "`", "$("],
+    ["../", "..\\", "/etc/passwd"],
+    ["failed"],
+    ["too many", "locked"],
+    ["virus", "trojan", "ransomware", "malware", "infected"],
+    ["cryptominer", "rootkit", "keylogger"],
+    ["flood", "scan", "nmap"],
+    ["../", "traversal"],
+    ["cmd.exe", "/bin/bash", "powershell"],
+]
+# Letters outside ASCII that match s, k or i when case is ignored.
+FOLDING_LETTERS = ["ſ", "K", "İ", "ı"]
 SIGNATURE_CONFIDENCE = 0.95
 PATTERN_CHARS = 50
 LOG_CHARS = 300

@@ -105,95 +105,81 @@ def clock_seconds(c: Column) -> Column:
     return F.unix_seconds(c.cast("timestamp"))
 
 
-_OCTET = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_V4 = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, for values that ``use`` mentions many times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def ipv4_number(c: Column) -> Column:
-    """Dotted quad to its 32-bit number; null unless four octets without leading zeros."""
-    part = [F.split_part(c, F.lit("."), F.lit(i)).cast("bigint") for i in (1, 2, 3, 4)]
-    n = part[0] * 16777216 + part[1] * 65536 + part[2] * 256 + part[3]
-    return F.when(c.rlike(_V4), n)
+# The address expressions below are SQL text over a column or variable name: they are long, and
+# one parsed text is far cheaper to build than hundreds of column objects.
 
+_OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_V4 = "^" + "[.]".join([_OCTET] * 4) + r"\\z"
 
-def _in_v4(n: Column, nets: list[str]) -> Column:
-    hit = F.lit(False)
-    for net in nets:
-        v = ipaddress.ip_network(net)
-        hit = hit | n.between(int(v.network_address), int(v.broadcast_address))
-    return hit
 
+def _let_sql(value: str, var: str, body: str) -> str:
+    return f"get(transform(array({value}), {var} -> {body}), 0)"
 
-def _private_v4(n: Column) -> Column:
-    return _in_v4(n, C.PRIVATE_V4) & ~_in_v4(n, C.PRIVATE_V4_EXCEPT)
 
+def _v4_number_sql(x: str) -> str:
+    parts = " + ".join(f"cast(split_part({x}, '.', {i + 1}) as bigint) * {256 ** (3 - i)}" for i in range(4))
+    return f"case when {x} rlike '{_V4}' then {parts} end"
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` evaluated once, for values that ``use`` mentions many times."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
 
+def _within_sql(x: str, nets: list[str], text: bool = False) -> str:
+    spans = [ipaddress.ip_network(n) for n in nets]
+    form = "'{:032x}'" if text else "{:d}"
+    ends = [(form.format(int(s.network_address)), form.format(int(s.broadcast_address))) for s in spans]
+    return "(" + " or ".join(f"{x} between {lo} and {hi}" for lo, hi in ends) + ")"
 
-def _dotted_tail_to_hex(a: Column) -> Column:
-    """``::ffff:1.2.3.4`` to ``::ffff:0102:0304``; null when the tail is no IPv4 address."""
 
-    def merge(tail: Column) -> Column:
-        low = F.lower(F.lpad(F.hex(ipv4_number(tail)), 8, "0"))
-        head = F.substring(a, F.lit(1), F.length(a) - F.length(tail))
-        return F.concat(head, F.substring(low, 1, 4), F.lit(":"), F.substring(low, 5, 4))
+def _private_v4_sql(n: str) -> str:
+    return f"({_within_sql(n, C.PRIVATE_V4)} and not {_within_sql(n, C.PRIVATE_V4_EXCEPT)})"
+
 
-    return F.when(F.instr(a, ".") == 0, a).otherwise(let(F.regexp_extract(a, r"([^:]*)$", 1), merge))
+def _dotted_tail_sql(a: str) -> str:
+    """``::ffff:1.2.3.4`` to ``::ffff:0102:0304``; null when the tail is no IPv4 address."""
+    hexed = "lower(lpad(hex(n4), 8, '0'))"
+    merged = f"concat(substring({a}, 1, length({a}) - length(tail)), substring({hexed}, 1, 4), ':', substring({hexed}, 5, 4))"
+    return f"if(instr({a}, '.') = 0, {a}, {_let_sql(f"regexp_extract({a}, '([^:]*)$', 1)", 'tail', _let_sql(_v4_number_sql('tail'), 'n4', merged))})"
 
 
-def _hextets(a: Column) -> Column:
+def _groups_sql(a: str) -> str:
     """The eight groups of an address, ``::`` filled with zeros."""
-    split = lambda p: F.when(p == "", F.array().cast("array<string>")).otherwise(F.split(p, ":", -1))
-    left, right = split(F.split_part(a, F.lit("::"), F.lit(1))), split(F.split_part(a, F.lit("::"), F.lit(2)))
-    squeezed = let(left, lambda g: let(right, lambda h: F.concat(g, F.array_repeat(F.lit("0"), F.lit(8) - F.size(g) - F.size(h)), h)))
-    return F.when(F.instr(a, "::") > 0, squeezed).otherwise(split(a))
+    side = lambda i: f"if(split_part({a}, '::', {i}) = '', cast(array() as array<string>), split(split_part({a}, '::', {i}), ':', -1))"
+    filled = _let_sql(side(1), "g", _let_sql(side(2), "h", "concat(g, array_repeat('0', 8 - size(g) - size(h)), h)"))
+    return f"if(instr({a}, '::') > 0, {filled}, split({a}, ':', -1))"
 
 
-def ipv6_hex(c: Column) -> Column:
+def _v6_hex_sql(x: str) -> str:
     """IPv6 text to 32 hex digits, null when malformed; a dotted tail and a zone id are allowed."""
-
-    def read(a: Column) -> Column:
-        filled = F.instr(a, "::")
-        one_gap = (filled == 0) | (F.instr(F.substring(a, filled + 2, F.length(a)), "::") == 0)
-        groups_written = F.size(F.filter(F.split(a, ":", -1), lambda g: g != ""))
-        ok = a.rlike("^[0-9a-f:]+$") & ~F.contains(a, F.lit(":::")) & one_gap & ((filled == 0) | (groups_written <= 7))
-        join = lambda g: F.when(
-            (F.size(g) == 8) & F.forall(g, lambda x: x.rlike("^[0-9a-f]{1,4}$")),
-            F.array_join(F.transform(g, lambda x: F.lpad(x, 4, "0")), ""),
-        )
-        return F.when(ok, let(_hextets(a), join))
-
-    return let(F.lower(F.regexp_replace(c, r"%[^%]+$", "")), lambda a: let(_dotted_tail_to_hex(a), read))
+    one_gap = "(instr(b, '::') = 0 or (instr(substring(b, instr(b, '::') + 2), '::') = 0 and size(filter(split(b, ':', -1), w -> w <> '')) <= 7))"
+    ok = rf"b rlike '^[0-9a-f:]+\\z' and not contains(b, ':::') and {one_gap}"
+    joined = r"if(size(e) = 8 and forall(e, w -> w rlike '^[0-9a-f]{1,4}\\z'), array_join(transform(e, w -> lpad(w, 4, '0')), ''), null)"
+    read = f"if({ok}, {_let_sql(_groups_sql('b'), 'e', joined)}, null)"
+    return _let_sql(f"lower(regexp_replace({x}, '%[^%]+$', ''))", "a", _let_sql(_dotted_tail_sql("a"), "b", read))
 
 
-def _in_v6(h: Column, nets: list[str]) -> Column:
-    hit = F.lit(False)
-    for net in nets:
-        v = ipaddress.ip_network(net)
-        lo, hi = f"{int(v.network_address):032x}", f"{int(v.broadcast_address):032x}"
-        hit = hit | h.between(lo, hi)
-    return hit
-
-
-def _private_v6(h: Column) -> Column:
-    mapped = h.startswith("00000000000000000000ffff")
-    inner = let(F.conv(F.substring(h, 25, 8), 16, 10).cast("bigint"), _private_v4)
-    return F.when(mapped, inner).otherwise(_in_v6(h, C.PRIVATE_V6) & ~_in_v6(h, C.PRIVATE_V6_EXCEPT))
+def private_v6_sql(x: str) -> str:
+    """Class of an IPv6 address (malformed: false); null for text without a colon."""
+    mapped = _let_sql("cast(conv(substring(hex6, 25, 8), 16, 10) as bigint)", "n6", _private_v4_sql("n6"))
+    own = f"({_within_sql('hex6', C.PRIVATE_V6, True)} and not {_within_sql('hex6', C.PRIVATE_V6_EXCEPT, True)})"
+    body = f"if(startswith(hex6, '00000000000000000000ffff'), {mapped}, {own})"
+    return f"if(instr({x}, ':') > 0, coalesce({_let_sql(_v6_hex_sql(x), 'hex6', body)}, false), null)"
 
 
-def is_private_v4(number: Column) -> Column:
-    """Class of an address given by ``ipv4_number``; false where that is null."""
-    return F.coalesce(_private_v4(number), F.lit(False))
+def ipv4_number(name: str) -> Column:
+    """Dotted quad in column ``name`` to its 32-bit number; null unless four octets without leading zeros."""
+    return F.expr(_v4_number_sql(f"`{name}`"))
 
 
-def is_private_v6(address: Column) -> Column:
-    """Class of an IPv6 address (malformed: false); null for text without a colon."""
-    return F.when(F.instr(address, ":") > 0, F.coalesce(let(ipv6_hex(address), _private_v6), F.lit(False)))
+def is_private_v4(name: str) -> Column:
+    """Class of an address number column (``ipv4_number``); false where it is null."""
+    return F.expr(f"coalesce({_private_v4_sql(f'`{name}`')}, false)")
 
 
-def is_private_ip(c: Column) -> Column:
-    """True for private and reserved IPv4/IPv6 addresses; false for public, malformed or null."""
-    return F.coalesce(is_private_v6(c), is_private_v4(ipv4_number(c)))
+def is_private_ip(name: str) -> Column:
+    """True for private and reserved IPv4/IPv6 addresses in column ``name``; false for public,
+    malformed or null."""
+    v4 = _let_sql(_v4_number_sql(f"`{name}`"), "n0", _private_v4_sql("n0"))
+    return F.expr(f"coalesce({private_v6_sql(f'`{name}`')}, {v4}, false)")

@@ -34,23 +34,44 @@ def _hit(text: Column, pattern: str) -> Column:
     return text.rlike("(?idu)" + pattern)
 
 
-def signature_index(text: Column, signatures=C.SIGNATURES) -> Column:
-    """Number of the first signature that matches, in declared order, else null."""
-    out = F
-    for i, (_, pattern) in enumerate(signatures):
-        out = out.when(_hit(text, pattern), F.lit(i))
-    return out
+def _any_literal(low: str, literals: list[str]) -> Column:
+    hit = F.contains(F.col(low), F.lit(literals[0]))
+    for x in literals[1:]:
+        hit = hit | F.contains(F.col(low), F.lit(x))
+    return hit
 
 
-def signature_match(df: DataFrame, text: str = "text", signatures=C.SIGNATURES) -> DataFrame:
-    """regex_match, regex_category, regex_confidence and the first characters of the pattern."""
+def signature_match(df: DataFrame, text: str = "text", signatures=C.SIGNATURES, literals: list[list[str]] | None = None) -> DataFrame:
+    """regex_match, regex_category, regex_confidence and the first characters of the pattern, for
+    the first signature that matches in declared order.
+
+    A signature's pattern runs only on texts that hold one of its necessary ``literals`` (a plain
+    substring search on the lower-cased text), or one of the few letters whose case folding that
+    search does not see. Other signatures than the built-in ones run without this test unless
+    their literals are given.
+    """
+    if literals is None and signatures is C.SIGNATURES:
+        literals = C.SIGNATURE_LITERALS
+    out = df
+    if literals:
+        low = F.lower(text)
+        odd = F.contains(F.col(text), F.lit(C.FOLDING_LETTERS[0]))
+        for x in C.FOLDING_LETTERS[1:]:
+            odd = odd | F.contains(F.col(text), F.lit(x))
+        out = out.withColumns({"_low": low, "_odd": odd})
+    sig = F
+    for i, (_, pattern) in enumerate(signatures):
+        hit = _hit(F.col(text), pattern)
+        if literals:
+            hit = (F.col("_odd") | _any_literal("_low", literals[i])) & hit
+        sig = sig.when(hit, F.lit(i))
     pick = lambda values: F.get(F.array(*[F.lit(v) for v in values]), F.col("_sig"))
-    return df.withColumn("_sig", signature_index(F.col(text), signatures)).withColumns({
+    return out.withColumn("_sig", sig).withColumns({
         "regex_match": F.col("_sig").isNotNull(),
         "regex_category": pick([c for c, _ in signatures]),
         "regex_confidence": F.when(F.col("_sig").isNotNull(), C.SIGNATURE_CONFIDENCE),
         "regex_pattern": pick([p[: C.PATTERN_CHARS] for _, p in signatures]),
-    }).drop("_sig")
+    }).drop("_sig", "_low", "_odd")
 
 
 def signature_all(text: Column, signatures=C.SIGNATURES) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
-from ..functions.fields import event_time, finite, has, ipv4_number, is_private_v4, is_private_v6, safe_float, text_col
+from ..functions.fields import event_time, has, ipv4_number, is_private_v4, private_v6_sql, safe_float, text_col
 
 
 def entity_key(df: DataFrame, field: str = "srcip", fallback: str = "fortinet_srcip") -> Column:
@@ -125,15 +125,16 @@ def action_flags(df: DataFrame) -> DataFrame:
 def ip_direction(df: DataFrame) -> DataFrame:
     """Internal flags of both ends; external when exactly one end is internal."""
     # IPv4 runs in generated code on number columns; IPv6 is one shared expression for both ends
-    ends = [text_col(df, "srcip"), text_col(df, "dstip")]
-    numbers = df.withColumns({
-        "_src": ipv4_number(ends[0]), "_dst": ipv4_number(ends[1]), "_six": F.transform(F.array(*ends), is_private_v6),
+    ends = df.withColumns({"_srcip": text_col(df, "srcip"), "_dstip": text_col(df, "dstip")})
+    numbers = ends.withColumns({
+        "_src": ipv4_number("_srcip"), "_dst": ipv4_number("_dstip"),
+        "_six": F.expr(f"transform(array(_srcip, _dstip), ip -> {private_v6_sql('ip')})"),
     })
-    inside = lambda i, n: _flag(F.coalesce(F.get("_six", F.lit(i)), is_private_v4(F.col(n))))
+    inside = lambda i, n: _flag(F.coalesce(F.get("_six", F.lit(i)), is_private_v4(n)))
     return (
         numbers.withColumns({"is_internal_src": inside(0, "_src"), "is_internal_dst": inside(1, "_dst")})
         .withColumn("is_external", _flag(F.col("is_internal_src") != F.col("is_internal_dst")))
-        .drop("_src", "_dst", "_six")
+        .drop("_srcip", "_dstip", "_src", "_dst", "_six")
     )
 
 
@@ -175,7 +176,10 @@ def feature_vector(df: DataFrame, which: str = "traffic") -> Column:
     return F.array(*[sanitize(df, n) for n in vector_names(which)])
 
 
+def sanitize_sql(name: str) -> str:
+    return f"coalesce(if(isnan(`{name}`) or abs(`{name}`) = double('inf'), 0.0D, cast(`{name}` as double)), 0.0D)"
+
+
 def sanitize(df: DataFrame, name: str) -> Column:
-    if not has(df, name):
-        return F.lit(0.0)
-    return F.coalesce(finite(F.col(name).cast("double")), F.lit(0.0))
+    """The column as a finite double, 0.0 where absent, null, NaN or infinite."""
+    return F.expr(sanitize_sql(name)) if has(df, name) else F.lit(0.0)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
@@ -83,10 +81,10 @@ def peer_stats(recent: DataFrame, assignments: DataFrame, features: list[str] =
 
 def stats_wide(stats: DataFrame, features: list[str] = C.TRAFFIC_FEATURES) -> DataFrame:
     """One row per group with g_mean_*/g_std_* columns; at most MAX_GROUPS rows."""
+    pick = lambda f, col, out: F.expr(f"max(case when feature = '{f}' then {col} end) as {out}_{f}")
     return stats.groupBy("group_id").agg(
         F.max("group_size").alias("group_size"),
-        *[F.max(F.when(F.col("feature") == f, F.col("mean"))).alias(f"g_mean_{f}") for f in features],
-        *[F.max(F.when(F.col("feature") == f, F.col("std"))).alias(f"g_std_{f}") for f in features],
+        *[pick(f, "mean", "g_mean") for f in features], *[pick(f, "std", "g_std") for f in features],
     )
 
 
@@ -95,13 +93,9 @@ def peer_score(features: list[str] = C.TRAFFIC_FEATURES) -> Column:
 
     Needs the columns of ``stats_wide`` joined to the row.
     """
-    parts = []
-    for f in features:
-        x, m, s = F.col(f).cast("double"), F.col(f"g_mean_{f}"), F.col(f"g_std_{f}")
-        apart = F.abs(x - m)
-        parts.append(F.when(s < 1e-6, F.when(apart > 1e-6, 1.0).otherwise(0.0)).otherwise(F.least(apart / s / 3.0, F.lit(1.0))))
-    total = reduce(lambda a, b: a + b, parts)
-    return F.coalesce(total / float(len(features)), F.lit(0.0))
+    part = lambda f: (
+        f"if(g_std_{f} < 1e-6D, if(abs({f} - g_mean_{f}) > 1e-6D, 1.0D, 0.0D), least(abs({f} - g_mean_{f}) / g_std_{f} / 3.0D, 1.0D))")
+    return F.expr(f"coalesce(({' + '.join(map(part, features))}) / {len(features)}, 0.0D)")
 
 
 def group_sizes(assignments: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as C
 
 from ..functions.skew import numbered, rolling
-from .features import sanitize
+from .features import sanitize, sanitize_sql
 
 
 def entity_sequence(df: DataFrame, key: str = "entity", ts: str = "ts", tie: str = "event_id", hot_rows: int | None = None) -> DataFrame:
@@ -144,29 +144,27 @@ def entity_baseline(df: DataFrame, features: list[str] = C.TRAFFIC_FEATURES, key
 def add_running_baseline(df: DataFrame, part: list[str], features: list[str], rows: int = C.TRAINING_ROWS) -> DataFrame:
     """The same baseline as running aggregates over rows numbered 1..``rows``: complete from row
     ``rows`` on, in the exchange and sort the other windows already use."""
-    w = Window.partitionBy(*part).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    over = f"over (partition by {', '.join(part)} order by seq rows between unbounded preceding and current row)"
     cols = {}
     for f in features:
-        x = F.when(F.col("seq") <= rows, sanitize(df, f))
-        cols[f"mean_{f}"] = F.avg(x).over(w)
-        cols[f"std_{f}"] = _std_floor(F.stddev_pop(x).over(w))
-    return df.withColumns(cols)
+        x = f"case when seq <= {rows} then {sanitize_sql(f)} end"
+        cols[f"mean_{f}"] = F.expr(f"avg({x}) {over}")
+        cols[f"std_{f}"] = F.expr(f"stddev_pop({x}) {over}")
+    floor = {f"std_{f}": F.expr(f"if(std_{f} < 1e-6D, 1.0D, std_{f})") for f in features}
+    return df.withColumns(cols).withColumns(floor)
 
 
-def scaled_error(df: DataFrame, features: list[str]) -> Column:
+def scaled_error(features: list[str] = C.TRAFFIC_FEATURES) -> Column:
     """Mean squared error of the scaled vector against the baseline mean (the ``zero`` scorer)."""
-    total = F.lit(0.0)
-    for f in features:
-        z = (sanitize(df, f) - F.col(f"mean_{f}")) / F.col(f"std_{f}")
-        total = total + z * z
-    return total / float(len(features))
+    z = [f"power(({sanitize_sql(f)} - mean_{f}) / std_{f}, 2)" for f in features]
+    return F.expr(f"({' + '.join(z)}) / {len(features)}")
 
 
 def reconstruction_error(df: DataFrame, baseline: DataFrame, features: list[str] = C.TRAFFIC_FEATURES, key: str = "entity") -> DataFrame:
     """Adds ``recon_err`` for rows of entities with a baseline; AQE splits a hot entity's join."""
     joined = df.join(baseline, key, "left")
     names = [f"{p}_{f}" for f in features for p in ("mean", "std")]
-    return joined.withColumn("recon_err", scaled_error(joined, features)).drop("training_rows", *names)
+    return joined.withColumn("recon_err", scaled_error(features)).drop("training_rows", *names)
 
 
 def add_error_window(df: DataFrame, part: list[str], rows: int = C.ERROR_ROWS, pct: float = C.ERROR_PERCENTILE) -> DataFrame:

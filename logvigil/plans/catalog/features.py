@@ -119,7 +119,7 @@ def app_features(spark, sf_dir):
 @query("is_private_ip", with_view("addresses", f"select event_id, ip, case when {private_sql(v4_sql('ip'))} then 1 else 0 end as is_private from addresses"))
 def is_private_ip(spark, sf_dir):
     e = view(spark, sf_dir, "addresses")
-    return e.select("event_id", "ip", FI.is_private_ip(F.col("ip")).cast("int").alias("is_private"))
+    return e.select("event_id", "ip", FI.is_private_ip("ip").cast("int").alias("is_private"))
 
 
 _VALUES = """select event_id, case k%8 when 0 then cast(k as string) when 1 then concat(cast(k as string), '.25') when 2 then 'n/a'

@@ -96,7 +96,7 @@ def score(
         return decide(PR.add_error_window(d, part), ts, tie, groups, wide, few)
 
     def zero_error(d: DataFrame) -> DataFrame:
-        d = d.withColumn("recon_err", F.when(F.col("seq") >= C.TRAINING_ROWS, PR.scaled_error(d, feats)))
+        d = d.withColumn("recon_err", F.when(F.col("seq") >= C.TRAINING_ROWS, PR.scaled_error(feats)))
         return d.drop(*[f"{p}_{f}" for f in feats for p in ("mean", "std")])
 
     def build(d: DataFrame, part: list[str]) -> DataFrame:

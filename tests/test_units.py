@@ -30,7 +30,7 @@ V4 = ["9.255.255.255", "10.0.0.0", "172.15.255.255", "172.16.0.0", "172.31.255.2
 V6 = ["::1", "::", "::2", "fe80::1", "fe80::1%eth0", "fec0::1", "fc00::", "fdff::1", "fe00::1", "2001:db8::1", "2001:db9::1", "2001::1", "2001:1ff::1", "2001:200::1",
       "2001:1::1", "2001:1::2", "2001:1::3", "2001:3::5", "2001:4:112::1", "2001:20::1", "2001:30::1", "2002::1", "64:ff9b:1::1", "64:ff9b::1", "100::1", "100:0:0:1::1",
       "::ffff:10.0.0.1", "::ffff:8.8.8.8", "::ffff:808:808", "::ffff:a00:1", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7", "1::2::3", ":::", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8",
-      "12345::1", "g::1", "2001:4860:4860::8888", "1:2:3:4:5:6:1.2.3.4", "::1.2.3.400", ":1:2:3:4:5:6:7", "FE80::ABCD", "1:2:3:4:5:6:7:8:9", "3ffe::1"]
+      "12345::1", "g::1", "2001:4860:4860::8888", "1:2:3:4:5:6:1.2.3.4", "::1.2.3.400", ":1:2:3:4:5:6:7", "FE80::ABCD", "10.0.0.1\n", "fe80::1\n", "1:2:3:4:5:6:7:8:9", "3ffe::1"]
 
 
 def python_private(ip):
@@ -42,13 +42,13 @@ def python_private(ip):
 
 def test_private_ip(spark):
     ips = V4 + V6
-    got = one(spark, ips, "string", FI.is_private_ip)
+    got = one(spark, ips, "string", lambda c: FI.is_private_ip("v"))
     assert dict(zip(ips, got)) == {ip: python_private(ip) for ip in ips}
 
 
 def test_private_ip_all_first_octets(spark):
     ips = [f"{a}.{b}.{c}.7" for a in range(0, 256, 3) for b in (0, 2, 16, 18, 51, 64, 168, 254) for c in (0, 2, 100, 113)]
-    assert one(spark, ips, "string", FI.is_private_ip) == [python_private(ip) for ip in ips]
+    assert one(spark, ips, "string", lambda c: FI.is_private_ip("v")) == [python_private(ip) for ip in ips]
 
 
 def test_safe_float(spark):
@@ -215,3 +215,18 @@ def test_classifier_skips_hits(spark):
 def test_kafka_source_is_gated(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         io.kafka_events(spark, "localhost:1", "topic")
+
+
+def test_literals_are_necessary(spark):
+    """Texts built to match each signature alternative are found with the literal test in front."""
+    texts = ["UNION x SELECT", "x OR y = z", "DROP a TABLE", "delete x FROM", "Insert x into", "UPDATE t table", "<ScRipt", "JavaScript:", "OnError=", "onload=", "ALERT(", "eval(",
+             "document.COOKIE", ";", "|", "&&", "`", "$(x)", "../", "..\\", "/ETC/passwd", "FAILED password 3 TIMES", "authentication x failed 2 time", "Too Many x Attempts",
+             "account is LOCKED", "Virus", "TROJAN", "ransomware", "malware", "infected", "CryptoMiner", "rootkit", "keyLogger", "syn x FLOOD", "port x SCAN", "NMAP", "masscan",
+             "path x Traversal", "CMD.EXE", "/bin/BASH", "PowerShell", "PORT ſCAN", "Keylogger", "troİan", "vırus", "plain text"]
+    want = []
+    for t in texts:
+        hit = next((i for i, (_, p) in enumerate(C.SIGNATURES) if re.search(p, t, re.IGNORECASE)), None)
+        want.append(None if hit is None else C.SIGNATURES[hit][0])
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = [r.regex_category for r in D.signature_match(df).orderBy("i").collect()]
+    assert got == want
