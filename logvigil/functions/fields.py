@@ -122,8 +122,10 @@ def _let_sql(value: str, var: str, body: str) -> str:
 
 
 def _v4_number_sql(x: str) -> str:
-    parts = " + ".join(f"cast(split_part({x}, '.', {i + 1}) as bigint) * {256 ** (3 - i)}" for i in range(4))
-    return f"case when {x} rlike '{_V4}' then {parts} end"
+    # Evaluated for every value, not under the test, so that the four parts share one split; the
+    # int in between keeps the products of malformed numbers in range.
+    parts = " + ".join(f"cast(try_cast(split_part({x}, '.', {i + 1}) as int) as bigint) * {256 ** (3 - i)}" for i in range(4))
+    return f"(({parts}) * if({x} rlike '{_V4}', 1L, null))"
 
 
 def _within_sql(x: str, nets: list[str], text: bool = False) -> str:

@@ -40,15 +40,16 @@ def syslog_priority(df: DataFrame) -> DataFrame:
     }).drop("_pri")
 
 
-_PAIR = r'([^ =]+)=("[^"]*"|[^ ]*)'
+_PAIR = r'[^ =]+=(?:"[^"]*"|[^ ]*)'
 
 
 def parse_kv(payload: Column) -> Column:
     """``key=value`` pairs to a map: quoted values may hold spaces, quotes are stripped, repeated
     identical pairs collapse. A key repeated with different values keeps its last one."""
-    unquoted = lambda group, clean: F.transform(F.regexp_extract_all(payload, F.lit(_PAIR), F.lit(group)), clean)
-    keys = unquoted(1, lambda k: F.translate(k, '"', ""))
-    values = unquoted(2, lambda v: F.trim(v, F.lit('"')))
+    # one pass of the pattern; a key holds no "=", so the first one splits the pair
+    pairs = F.array_distinct(F.regexp_extract_all(payload, F.lit(_PAIR), F.lit(0)))
+    keys = lambda p: F.transform(p, lambda x: F.translate(F.substring_index(x, "=", 1), '"', ""))
+    values = lambda p: F.transform(p, lambda x: F.trim(F.substring(x, F.instr(x, "=") + 1, F.length(x)), F.lit('"')))
 
     def last_wins(k: Column, v: Column) -> Column:
         # walking backwards, a pair whose key is already held is an older value
@@ -60,8 +61,11 @@ def parse_kv(payload: Column) -> Column:
         )
         return F.map_from_entries(F.reverse(kept))
 
-    unique = lambda k: F.size(F.array_distinct(k)) == F.size(k)
-    return let(keys, lambda k: let(values, lambda v: F.when(unique(k), F.map_from_arrays(k, v)).otherwise(last_wins(k, v))))
+    def to_map(p: Column) -> Column:
+        unique = lambda k: F.size(F.array_distinct(k)) == F.size(k)
+        return let(keys(p), lambda k: F.when(unique(k), F.map_from_arrays(k, values(p))).otherwise(last_wins(k, values(p))))
+
+    return F.when(payload.isNotNull(), let(pairs, to_map))
 
 
 def build_timestamp(df: DataFrame, kv: str = "kv", zone: str = C.INGEST_ZONE) -> DataFrame:
