@@ -39,24 +39,37 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> Dat
     return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
+def running_totals(df: DataFrame, keys: list[str], pos: str, cols: list[str], block: int) -> DataFrame:
+    """Adds ``<col>_before``: the sum of ``col`` over rows of the key at smaller integer positions.
+
+    One row per (key, position). Sums run inside blocks of positions and over the block totals, so
+    no task walks more than one block of a key or one row per block.
+    """
+    before = lambda part, order: Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    e = df.withColumn("_block", F.expr(f"({pos} - pmod({pos}, {block})) div {block}"))
+    blocks = e.groupBy(*keys, "_block").agg(*[F.sum(c).alias(c) for c in cols])
+    blocks = blocks.select(*keys, "_block", *[F.coalesce(F.sum(c).over(before(keys, "_block")), F.lit(0)).alias(f"_o_{c}") for c in cols])
+    inside = {f"{c}_before": F.coalesce(F.sum(c).over(before([*keys, "_block"], pos)), F.lit(0)) for c in cols}
+    out = e.withColumns(inside).join(blocks, [*keys, "_block"])
+    return out.select(*df.columns, *[(F.col(f"{c}_before") + F.col(f"_o_{c}")).alias(f"{c}_before") for c in cols])
+
+
+_NO_TIME = -(2**40)  # rows without a time come first, as nulls do in a window order
+
+
 def sequenced(df: DataFrame, keys: list[str], ts: str, tie: str, seq: str = "seq") -> DataFrame:
     """Exact row number per key in (ts, tie) order with no task larger than one second of a key.
 
     With ``keys=[]`` it numbers the whole table.
     """
-    e = df.withColumn("_cell", clock_seconds(F.col(ts)))
-    cells = e.groupBy(*keys, "_cell").agg(F.count("*").alias("_n")).withColumn("_day", F.floor(F.col("_cell") / 86400))
-    before = lambda part, order: Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    days = cells.groupBy(*keys, "_day").agg(F.sum("_n").alias("_n"))
-    days = days.select(*keys, "_day", F.coalesce(F.sum("_n").over(before(keys, "_day")), F.lit(0)).alias("_off"))
-    cells = cells.withColumn("_in", F.coalesce(F.sum("_n").over(before([*keys, "_day"], "_cell")), F.lit(0)))
-    offsets = cells.join(days, [*keys, "_day"]).select(*keys, "_cell", (F.col("_in") + F.col("_off")).alias("_off"))
+    e = df.withColumn("_cell", F.coalesce(clock_seconds(F.col(ts)), F.lit(_NO_TIME)))
+    cells = e.groupBy(*keys, "_cell").agg(F.count("*").alias("_n"))
+    offsets = running_totals(cells, keys, "_cell", ["_n"], block=86_400).select(*keys, "_cell", "_n_before")
     local = F.row_number().over(Window.partitionBy(*keys, "_cell").orderBy(ts, tie))
     return (
         e.withColumn("_rn", local)
         .join(offsets, [*keys, "_cell"])
-        .withColumn(seq, (F.col("_rn") + F.col("_off")).cast("bigint"))
-        .drop("_cell", "_rn", "_off")
+        .withColumn(seq, (F.col("_rn") + F.col("_n_before")).cast("bigint"))
         .select(*df.columns, seq)
     )
 

@@ -142,9 +142,16 @@ def wildcard_diagnose(unmatched: DataFrame, docs: DataFrame, ask_id: str = "ask_
     contain the asked ones. The limit is part of the report; nothing is updated."""
     few = unmatched.orderBy(clock, ask_id).limit(first).select(
         F.col(ask_id).alias("_ask"), F.col("srcip").alias("_src"), F.col("dstip").alias("_dst"), F.col(clock).alias("_t"))
-    near = F.col(clock).between(F.col("_t") - seconds, F.col("_t") + seconds)
-    like = F.contains(F.col("srcip"), F.col("_src")) & F.contains(F.col("dstip"), F.col("_dst"))
-    hits = docs.select("srcip", "dstip", clock).join(F.broadcast(few), near & like).groupBy("_ask").agg(F.count("*").alias("hits"))
+    # an ask's window touches at most two time slots; the slot is the join key
+    width = 2 * seconds
+    slot = lambda c: F.expr(f"({c} - pmod({c}, {width})) div {width}")
+    windows = few.withColumn("_from", F.col("_t") - seconds).withColumn("_slot", F.explode(F.array(slot("_from"), slot("_from") + 1)))
+    like = (
+        F.col(clock).between(F.col("_t") - seconds, F.col("_t") + seconds)
+        & F.contains(F.col("srcip"), F.col("_src")) & F.contains(F.col("dstip"), F.col("_dst"))
+    )
+    near = docs.select("srcip", "dstip", clock).withColumn("_slot", slot(clock))
+    hits = near.join(F.broadcast(windows), "_slot").filter(like).groupBy("_ask").agg(F.count("*").alias("hits"))
     return few.join(hits, "_ask", "left").select(F.col("_ask").alias(ask_id), F.coalesce("hits", F.lit(0)).alias("hits"))
 
 

@@ -69,7 +69,6 @@ def class_distribution(df: DataFrame, label: str = "threat_class") -> DataFrame:
 def evaluate_classifier(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Accuracy and weighted F1 from the confusion counts (one small row per label pair)."""
     cells = df.groupBy(label, prediction).agg(F.count("*").alias("n"))
-    sums = cells.groupBy().agg(F.sum("n").alias("total"), F.sum(F.when(F.col(label) == F.col(prediction), F.col("n")).otherwise(0)).alias("correct"))
     both = cells.select(F.explode(F.array(
         F.struct(F.col(label).alias("c"), F.col("n").alias("actual"), F.lit(0).cast("bigint").alias("called"),
                  F.when(F.col(label) == F.col(prediction), F.col("n")).otherwise(0).alias("tp")),
@@ -77,24 +76,33 @@ def evaluate_classifier(df: DataFrame, label: str = "label", prediction: str = "
     )).alias("x")).select("x.*")
     per = both.groupBy("c").agg(*[F.sum(k).alias(k) for k in ("actual", "called", "tp")])
     f1 = F.when(F.col("actual") + F.col("called") > 0, 2 * F.col("tp") / (F.col("actual") + F.col("called"))).otherwise(0.0)
-    weighted = per.agg(F.sum(F.col("actual") * f1).alias("w"))
-    return sums.join(F.broadcast(weighted), how="cross").select(  # two one-row tables
-        F.col("total"), (F.col("correct") / F.col("total")).alias("accuracy"), (F.col("w") / F.col("total")).alias("f1"))
+    return per.agg(
+        F.sum("actual").alias("total"), (F.sum("tp") / F.sum("actual")).alias("accuracy"),
+        (F.sum(F.col("actual") * f1) / F.sum("actual")).alias("f1"))
 
 
 def prepare_training_set(df: DataFrame, label: str = "label", key: str = "id", cap: int = 100_000, normal="normal") -> DataFrame:
     """Cap each class but ``normal`` at ``cap`` rows by hash order and split about 80/20.
 
-    The cap is the class balancing itself. Its rank filter works per map task before the shuffle.
-    Adds ``split`` (train or validation).
+    The cap is the class balancing itself. Adds ``split`` (train or validation).
     """
-    digest = F.md5(F.col(key).cast("string"))
-    e = df.withColumn("_h", digest)
-    rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", key))
-    free = e.filter(F.coalesce(F.col(label) == F.lit(normal), F.lit(False)))
-    capped = e.filter(~F.coalesce(F.col(label) == F.lit(normal), F.lit(False))).withColumn("_r", rank).filter(F.col("_r") <= cap).drop("_r")
+    e = df.withColumn("_h", F.md5(F.col(key).cast("string"))).withColumn("_p", F.substring("_h", 1, 4))
+    is_free = F.coalesce(F.col(label) == F.lit(normal), F.lit(False))
+    # Rows of a class are counted by hash prefix. Prefixes below the cap stay whole, those above it
+    # go, and only the one prefix that straddles it (1/65,536 of a class) is ranked.
+    counts = e.filter(~is_free).groupBy(label, "_p").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(label).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).filter(F.col("_before") < cap)
+    match = (F.col("e._p") == F.col("c._p")) & F.col(f"e.{label}").eqNullSafe(F.col(f"c.{label}"))
+    near = e.filter(~is_free).alias("e").join(counts.alias("c"), match).select("e.*", "c._n", "c._before")
+    whole = F.col("_before") + F.col("_n") <= cap
+    rank = F.row_number().over(Window.partitionBy(label, "_p").orderBy("_h", key))
+    part = near.filter(~whole).withColumn("_r", rank).filter(F.col("_r") + F.col("_before") <= cap)
+    kept = e.filter(is_free).select(*df.columns, "_h")
+    for rows in (near.filter(whole), part):
+        kept = kept.unionByName(rows.select(*df.columns, "_h"))
     split = F.when(F.substring("_h", 1, 2) < "33", "validation").otherwise("train")
-    return free.unionByName(capped).withColumn("split", split).drop("_h")
+    return kept.withColumn("split", split).drop("_h")
 
 
 def message_size(df: DataFrame, columns: list[str] | None = None) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
-from ..functions.skew import sequenced
+from ..functions.quantiles import exact_percentile
+from ..functions.skew import running_totals, sequenced
 from .profile import recent_rows
 
 
@@ -61,22 +62,22 @@ def _unpivot(df: DataFrame, keep: list[str], features: list[str]) -> DataFrame:
     return typed.unpivot(keep, features, "feature", "value")
 
 
-def peer_stats(recent: DataFrame, assignments: DataFrame, features: list[str] = C.TRAFFIC_FEATURES, key: str = "entity") -> DataFrame:
+def peer_stats(recent: DataFrame, assignments: DataFrame, features: list[str] = C.TRAFFIC_FEATURES, key: str = "entity", p95: bool = True) -> DataFrame:
     """(group_id, feature, mean, std, p95) over the members' recent rows, groups of 3 or more only.
 
-    ``recent`` is the output of ``profile.recent_rows``. The recent rows of one group grow with its
-    members, so mean and deviation combine map-side and p95 is the exact percentile aggregate,
-    which ships value counts instead of rows.
+    ``recent`` is the output of ``profile.recent_rows``. The recent rows of a group grow with its
+    members, so everything combines map-side; p95, which no score uses, can be left out.
     """
     sized = with_group_size(assignments, key).filter(F.col("group_size") >= C.MIN_GROUP_SIZE)
-    rows = recent.join(sized, key)
-    long = _unpivot(rows, ["group_id", "group_size"], features)
-    x = F.when(~F.isnan("value") & (F.abs("value") != float("inf")), F.col("value"))
-    return long.groupBy("group_id", "group_size", "feature").agg(
-        F.coalesce(F.avg(x), F.lit(0.0)).alias("mean"),
-        F.coalesce(F.stddev_pop(x), F.lit(1.0)).alias("std"),
-        F.coalesce(F.percentile(x, 0.95), F.lit(0.0)).alias("p95"),
-    )
+    long = _unpivot(recent.join(sized, key), ["group_id", "group_size"], features)
+    long = long.withColumn("value", F.expr("if(isnan(value) or abs(value) = double('inf'), null, value)"))
+    keys = ["group_id", "feature"]
+    stats = long.groupBy(*keys, "group_size").agg(
+        F.coalesce(F.avg("value"), F.lit(0.0)).alias("mean"), F.coalesce(F.stddev_pop("value"), F.lit(1.0)).alias("std"))
+    if not p95:
+        return stats
+    ranks = exact_percentile(long, keys, "value", 0.95, "p95", few_groups=True)  # MAX_GROUPS x features
+    return stats.join(ranks, keys, "left").withColumn("p95", F.coalesce("p95", F.lit(0.0)))
 
 
 def stats_wide(stats: DataFrame, features: list[str] = C.TRAFFIC_FEATURES) -> DataFrame:
@@ -120,20 +121,20 @@ def refresh_peer_stats(df: DataFrame, features: list[str], group: str = "group_i
     e = versioned(df, ts, tie, every).withColumn("_slot", F.expr(f"(global_seq - 1) div {every}"))
     sums = e.groupBy(group, "_slot").agg(F.count("*").alias("_n"), *[F.sum(f).alias(f"_s_{f}") for f in features])
     # A row is last of its slot when it triggers the refresh itself and then sees the slot's rows.
-    before = Window.partitionBy(group).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(group).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
-    cols = {}
-    for tag, w in (("before", before), ("upto", upto)):
-        cols[f"_n_{tag}"] = F.sum("_n").over(w)
-        cols.update({f"_{tag}_{f}": F.sum(f"_s_{f}").over(w) for f in features})
-    run = sums.withColumns(cols).drop("_n", *[f"_s_{f}" for f in features])
+    totals = ["_n", *[f"_s_{f}" for f in features]]
+    run = running_totals(sums, [group], "_slot", totals, block=10_000)
+    run = run.select(
+        group, "_slot",
+        *[F.nullif(F.col(f"{c}_before"), F.lit(0)).alias(f"{c}_before") if c == "_n" else F.col(f"{c}_before") for c in totals],
+        *[(F.coalesce(f"{c}_before", F.lit(0)) + F.col(c)).alias(f"{c}_upto") for c in totals],
+    )
     trigger = F.col("version") > F.col("_slot")
     out = e.join(run, [group, "_slot"])
-    pick = lambda tag: F.when(trigger, F.col(f"_upto_{tag}")).otherwise(F.col(f"_before_{tag}"))
-    n = F.when(trigger, F.col("_n_upto")).otherwise(F.col("_n_before"))
+    pick = lambda c: F.when(trigger, F.col(f"{c}_upto")).otherwise(F.col(f"{c}_before"))
+    n = pick("_n")
     return out.select(
         *df.columns, "global_seq", "version", n.alias("group_rows"),
-        *[(pick(f) / n).alias(f"group_avg_{f}") for f in features],
+        *[(pick(f"_s_{f}") / n).alias(f"group_avg_{f}") for f in features],
     )
 
 

@@ -75,13 +75,14 @@ def admit_entities(df: DataFrame, key: str = "entity", max_entities: int = C.MAX
     While there is room every entity is admitted; beyond it an entity needs ``min_rows`` messages.
     """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("messages"))
-    top = counts.orderBy(F.desc("messages"), key).limit(max_entities)
-    total = counts.agg(F.count("*").alias("entities"))
-    return (
-        top.join(F.broadcast(total), how="cross")  # one-row table
-        .filter((F.col("entities") <= max_entities) | (F.col("messages") >= min_rows))
-        .drop("entities")
-    )
+    # one more than the cap tells whether there is room; the ranking is over that many rows only
+    top = counts.orderBy(F.desc("messages"), key).limit(max_entities + 1)
+    all_top = Window.partitionBy(F.lit(1))
+    ranked = top.withColumns({
+        "_room": F.count("*").over(all_top) <= max_entities,
+        "_rank": F.row_number().over(all_top.orderBy(F.desc("messages"), key)),
+    })
+    return ranked.filter((F.col("_rank") <= max_entities) & (F.col("_room") | (F.col("messages") >= min_rows))).select(key, "messages")
 
 
 def keep_admitted(df: DataFrame, admitted: DataFrame, key: str = "entity") -> DataFrame:

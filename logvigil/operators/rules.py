@@ -217,7 +217,7 @@ def rate_cap(df: DataFrame, ts: str = "ts", tie: str = "event_id", cap: int = EM
         "_rn", F.row_number().over(Window.partitionBy("_hour").orderBy(ts, tie))).filter(F.col("_rn") <= cap)
     cut = ranked.groupBy("_hour").agg(F.max(F.struct(ts, tie)).alias("_cut"))
     return (
-        df.withColumn("_hour", hour).join(cut, "_hour", "left")
+        df.withColumn("_hour", hour).join(F.broadcast(cut), "_hour", "left")  # 8,760 rows a year
         .withColumn("deferred", F.when(F.struct(ts, tie) > F.col("_cut"), 1).otherwise(0))
         .drop("_hour", "_cut")
     )

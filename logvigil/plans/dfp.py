@@ -89,7 +89,7 @@ def score(
     if assignments is not None:
         groups = assignments.select("entity", "group_id").filter(F.col("entity").isNotNull())
         if stats is None:
-            stats = PE.peer_stats(PR.recent_rows(known, ts=ts, tie=tie), groups, feats)
+            stats = PE.peer_stats(PR.recent_rows(known, ts=ts, tie=tie), groups, feats, p95=False)
         wide = PE.stats_wide(stats, feats)
 
     def finish(d: DataFrame, part: list[str], few: bool) -> DataFrame:

@@ -129,3 +129,43 @@ def test_rate_cap(spark):
     got = RU.rate_cap(e).collect()
     assert len(got) == 400 and sum(r.deferred for r in got) == 400 - 150
     assert max(r.event_id for r in got if not r.deferred and r.event_id % 3 == 0) == 147
+
+
+def test_sequence_keeps_rows_without_a_time(fw):
+    e = fw.select("event_id", F.when(F.col("event_id") % 5 > 0, F.col("ts")).alias("ts"), F.lit("x").alias("entity"))
+    assert rows(skew.numbered(e, "entity", "ts", "event_id", hot_rows=20), "event_id", "seq") == rows(skew.numbered(e, "entity", "ts", "event_id"), "event_id", "seq")
+
+
+def test_running_totals_across_blocks(spark):
+    e = spark.createDataFrame([("a", p, p * p) for p in range(-7, 30, 2)] + [("b", 3, 5)], "k string, p bigint, v bigint")
+    got = {(r.k, r.p): r.v_before for r in skew.running_totals(e, ["k"], "p", ["v"], block=4).collect()}
+    assert got == {**{("a", p): sum(q * q for q in range(-7, p, 2)) for p in range(-7, 30, 2)}, ("b", 3): 0}
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 60, 2001, 9000])
+def test_exact_percentile(spark, n):
+    import numpy as np
+
+    from logvigil.functions.quantiles import exact_percentile
+
+    rng = np.random.default_rng(n)
+    values = {"flat": rng.normal(size=n), "ties": rng.integers(0, 3, n).astype(float), "few": (rng.random(n) < 0.05).astype(float)}
+    e = spark.createDataFrame([(k, float(v)) for k, vs in values.items() for v in vs], "k string, v double")
+    for p in (0.95, 0.5, 1.0, 0.0):
+        got = {r.k: r.q for r in exact_percentile(e, ["k"], "v", p, "q").collect()}
+        assert got == pytest.approx({k: float(np.percentile(vs, p * 100)) for k, vs in values.items()})
+
+
+def test_training_cap(spark):
+    from logvigil.operators import metrics as M
+
+    e = spark.createDataFrame([(i, ("normal", "a", "b", None)[i % 4]) for i in range(4000)], "id bigint, label string")
+    got = M.prepare_training_set(e, cap=300).collect()
+    sizes = {}
+    for r in got:
+        sizes[r.label] = sizes.get(r.label, 0) + 1
+    assert sizes == {"normal": 1000, "a": 300, "b": 300, None: 300}
+    import hashlib
+
+    want = sorted((i for i in range(4000) if i % 4 == 1), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())[:300]
+    assert {r.id for r in got if r.label == "a"} == set(want)
