@@ -6,6 +6,8 @@ one sort. Entities above the hot-row limit are processed in chunks, see ``functi
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,13 +116,15 @@ def add_rings(df: DataFrame, part: list[str]) -> DataFrame:
     return add_byte_variance(add_port_entropy(df, part), part)
 
 
-def recent_rows(df: DataFrame, rows: int = C.RECENT_ROWS, key: str = "entity", ts: str = "ts", tie: str = "event_id") -> DataFrame:
-    """Each entity's last ``rows`` events with entropy and variance filled in.
+def recent_rows(df: DataFrame, rows: int = C.RECENT_ROWS, key: str = "entity", ts: str = "ts", tie: str = "event_id", features: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Each entity's last ``rows`` events with entropy and variance filled in; ``features`` adds the
+    per-event features to the few rows that are left, where ``df`` does not have them yet.
 
     The rings look back another RING_ROWS - 1 rows, so that many more are fetched; nothing else of
     the entity is shuffled.
     """
     tail = tail_rows(df, rows + C.RING_ROWS - 1, key, ts, tie).withColumn("seq", -F.col("back"))
+    tail = features(tail) if features else tail
     return add_rings(tail, [key]).filter(F.col("back") <= rows).drop("seq")
 
 

@@ -31,16 +31,16 @@ def gate_key(df: DataFrame, keys: list[str]) -> Column:
     return F.concat_ws(":", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
 
 
-def _fold(times: Column, cooldown: int) -> Column:
-    """Times that pass, walking an ordered array: the first one, then each at least ``cooldown``
-    after the last that passed."""
-    step = lambda acc, t: F.when(
-        (F.size(acc) == 0) | (t - F.element_at(acc, -1) >= cooldown), F.array_append(acc, t)
+def _fold(ticks: Column, cooldown: int, tie_type: str) -> Column:
+    """Ticks that pass, walking an ordered array of (t, first_tie): the first one, then each at
+    least ``cooldown`` after the last that passed."""
+    step = lambda acc, x: F.when(
+        (F.size(acc) == 0) | (x["t"] - F.element_at(acc, -1)["t"] >= cooldown), F.array_append(acc, x)
     ).otherwise(acc)
-    return F.aggregate(times, F.array().cast("array<bigint>"), step)
+    return F.aggregate(ticks, F.array().cast(f"array<struct<t:bigint,first_tie:{tie_type}>>"), step)
 
 
-def _dense_passes(slots: DataFrame, cooldown: int) -> DataFrame:
+def _dense_passes(slots: DataFrame, cooldown: int, tie_type: str) -> DataFrame:
     """Passes of chains too long for one array. Blocks of a key are reduced side by side to small
     tables of (possible first pass, last pass); one short walk per key links the blocks; a second
     side-by-side step marks the passes."""
@@ -74,19 +74,20 @@ def _dense_passes(slots: DataFrame, cooldown: int) -> DataFrame:
         return pd.DataFrame(rows, columns=["k", "block", "last_in"])
 
     def mark(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(pdf["t"].to_numpy())
+        pdf = pdf.sort_values("t")
+        t = pdf["t"].to_numpy()
         start = int(np.searchsorted(t, int(pdf["last_in"].iloc[0]) + cooldown, side="left"))
         out, i = [], start
         while i < len(t):
-            out.append(t[i])
+            out.append(i)
             i = int(np.searchsorted(t, t[i] + cooldown, side="left"))
-        return pd.DataFrame({"k": key[0], "t": np.array(out, dtype=np.int64)})
+        return pdf.iloc[out][["k", "t", "first_tie"]]
 
     steps = blocks.select("k", "block", "t").groupBy("k", "block").applyInPandas(exits, "k string, block bigint, first bigint, exit bigint")
     entries = steps.groupBy("k").applyInPandas(enter, "k string, block bigint, last_in bigint")
     return (
-        blocks.select("k", "block", "t").join(entries, ["k", "block"])
-        .groupBy("k", "block").applyInPandas(mark, "k string, t bigint")
+        blocks.select("k", "block", "t", "first_tie").join(entries, ["k", "block"])
+        .groupBy("k", "block").applyInPandas(mark, f"k string, t bigint, first_tie {tie_type}")
     )
 
 
@@ -110,13 +111,14 @@ def cooldown_gate(df: DataFrame, keys: list[str], clock: str = "t", tie: str = "
         .withColumn("_len", F.count("*").over(Window.partitionBy("k", "chain")))
         .select("k", "t", "first_tie", "chain", "_len")
     )
+    tie_type = dict(df.dtypes)[tie]
     short = (
         chained.filter(F.col("_len") <= long_chain)
-        .groupBy("k", "chain").agg(F.sort_array(F.collect_list("t")).alias("ts"))
-        .select("k", F.explode(_fold(F.col("ts"), cooldown)).alias("t"))
+        .groupBy("k", "chain").agg(F.sort_array(F.collect_list(F.struct("t", "first_tie"))).alias("ticks"))
+        .select("k", F.explode(_fold(F.col("ticks"), cooldown, tie_type)).alias("x")).select("k", "x.*")
     )
-    dense = _dense_passes(chained.filter(F.col("_len") > long_chain), cooldown)
-    passes = short.unionByName(dense).join(slots, ["k", "t"]).select(
+    dense = _dense_passes(chained.filter(F.col("_len") > long_chain), cooldown, tie_type)
+    passes = short.unionByName(dense).select(
         F.col("k").alias("_k"), F.col("t").alias("_t"), F.col("first_tie").alias("_tie"), F.lit(1).alias("gate_pass"))
     cond = (F.col("p._k") == F.col("e._k")) & (F.col("p._t") == F.col(f"e.{clock}").cast("bigint")) & (F.col("p._tie") == F.col(f"e.{tie}"))
     return e.alias("e").join(passes.alias("p"), cond, "left").select(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
+from ..functions.fields import event_time
 from ..operators import features as FE
 from ..operators import models as MO
 from ..operators import peers as PE
@@ -20,10 +21,31 @@ DFP_COLUMNS = [
 _EVENT_FEATURES = [f for f in C.TRAFFIC_FEATURES if f not in ("port_entropy", "byte_variance")]
 
 
+# Raw fields the features read.
+_RAW_FIELDS = [
+    "srcip", "dstip", "srcport", "dstport", "proto", "action", "type", "subtype", "appid",
+    "sentbyte", "rcvdbyte", "sentpkt", "rcvdpkt", "duration", "sentdelta", "rcvddelta",
+]
+
+
+def narrow(e: DataFrame, ts: str = "ts", tie: str = "event_id", clock: Column | None = None) -> DataFrame:
+    """(tie, ts, entity, _at, raw fields): what goes through the shuffle. The 34 features are twice
+    as wide, so they are computed behind it."""
+    at = event_time(e) if clock is None else clock
+    raw = [F.col(c) for c in _RAW_FIELDS if c in e.columns]
+    return e.select(F.col(tie), F.col(ts), FE.entity_key(e).alias("entity"), at.alias("_at"), *raw)
+
+
+def add_features(d: DataFrame, ts: str = "ts", tie: str = "event_id") -> DataFrame:
+    """Event features in place of the raw fields of a ``narrow`` frame."""
+    f = FE.event_features(d, clock=F.col("_at"))
+    own = [c for c in d.columns if c not in (*_RAW_FIELDS, "_at", tie, ts, "entity")]
+    return f.select(F.col(tie), F.col(ts), "entity", *own, *_EVENT_FEATURES)
+
+
 def prepare(e: DataFrame, ts: str = "ts", tie: str = "event_id", clock: Column | None = None) -> DataFrame:
-    """(tie, ts, entity, event features): only what the windows need enters the shuffle."""
-    f = FE.event_features(e.withColumn("entity", FE.entity_key(e)), clock=clock)
-    return f.select(F.col(tie), F.col(ts), "entity", *_EVENT_FEATURES)
+    """(tie, ts, entity, event features)."""
+    return add_features(narrow(e, ts, tie, clock), ts, tie)
 
 
 def _halo() -> int:
@@ -83,13 +105,14 @@ def score(
     model per entity, see ``operators.models``).
     """
     feats = C.TRAFFIC_FEATURES
-    base = prepare(e, ts, tie, clock)
+    base = narrow(e, ts, tie, clock)
     known = base.filter(F.col("entity").isNotNull())
+    featured = lambda d: add_features(d, ts, tie)
     wide = groups = None
     if assignments is not None:
         groups = assignments.select("entity", "group_id").filter(F.col("entity").isNotNull())
         if stats is None:
-            stats = PE.peer_stats(PR.recent_rows(known, ts=ts, tie=tie), groups, feats, p95=False)
+            stats = PE.peer_stats(PR.recent_rows(known, ts=ts, tie=tie, features=featured), groups, feats, p95=False)
         wide = PE.stats_wide(stats, feats)
 
     def finish(d: DataFrame, part: list[str], few: bool) -> DataFrame:
@@ -100,20 +123,22 @@ def score(
         return d.drop(*[f"{p}_{f}" for f in feats for p in ("mean", "std")])
 
     def build(d: DataFrame, part: list[str]) -> DataFrame:
-        return finish(zero_error(PR.add_running_baseline(PR.add_rings(d, part), part, feats)), part, False)
+        return finish(zero_error(PR.add_running_baseline(PR.add_rings(featured(d), part), part, feats)), part, False)
 
     def build_hot(d: DataFrame, part: list[str]) -> DataFrame:
         # A chunk cannot see the entity's first rows, so the baseline is joined. Only hot entities
         # get here; their number is bounded by (all rows / hot_rows).
-        baseline = PR.entity_baseline(d.filter(F.col("_home") == F.col("_chunk")), feats, "entity", ts, tie)
+        d = featured(d)
+        first = d.filter((F.col("_home") == F.col("_chunk")) & (F.col("seq") <= C.TRAINING_ROWS))
+        baseline = PR.entity_baseline(first, feats, "entity", ts, tie)
         joined = PR.add_rings(d, part).join(F.broadcast(baseline.drop("training_rows")), "entity", "left")
         return finish(zero_error(joined), part, True)
 
     if scorer == "zero":
         out = PR.rolling(known, "entity", ts, tie, _halo(), build, hot_rows, build_hot)
     else:
-        rows = PR.rolling(known, "entity", ts, tie, C.RING_ROWS - 1, PR.add_rings, hot_rows)
-        params = MO.train_models(known, scorer, "entity", ts, tie)
+        rows = PR.rolling(known, "entity", ts, tie, C.RING_ROWS - 1, lambda d, p: PR.add_rings(featured(d), p), hot_rows)
+        params = MO.train_models(featured(PR.head_rows(known, C.TRAINING_ROWS, "entity", ts, tie)), scorer, "entity", ts, tie)
         # the models are trained once per run, not once per use of the errors
         rows = materialize(MO.model_errors(rows, params, scorer, ts=ts, tie=tie), "errors")
         out = PR.rolling(rows, "entity", ts, tie, C.ERROR_ROWS - 1, lambda d, p: finish(d, p, False), hot_rows, has_seq=True)
