@@ -31,7 +31,7 @@ def stream_view(spark, sf_dir, name):
 def dfp_score_stream(spark, sf_dir):
     e = _events(spark, sf_dir)
     groups = materialize(portable_groups(e), "groups")
-    stats = materialize(PE.peer_stats(PR.recent_rows(e), groups), "stats")
+    stats = materialize(PE.peer_stats(PR.recent_rows(e), groups, p95=False), "stats")
     out = profile_stream.score_stream(stream_view(spark, sf_dir, "fw"), clock=F.col("ts"), assignments=groups, stats=stats)
     return _dfp_columns(drain(out, "dfp"))
 
