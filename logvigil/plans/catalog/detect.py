@@ -151,9 +151,9 @@ def threat_result(spark, sf_dir):
 _TRIGGER = """case when dfp_is_anomaly = 1 then case when {m} = 'individual_and_peer' then 'both' when dfp_peer_score > dfp_individual_score then 'peer' else 'individual' end end"""
 
 
-@query("detection_metrics", _hybrid_sql(f"""select count(*) as total, count_if(stages_used='regex') as regex_hits, count_if(stages_used<>'regex') as classified,
- count_if(is_threat=1) as threats, round(count_if(is_threat=1)*100.0/count(*), 4) as threat_pct,
- {", ".join(f"count_if(stages_used<>'regex' and {_TRIGGER.format(m='dfp_method_in')}='{s}') as dfp_{s}" for s in ("individual", "peer", "both"))} from res"""))
+@query("detection_metrics", _hybrid_sql(f"""select count(*) as total, count_if(stages_used='regex')::bigint as regex_hits, count_if(stages_used<>'regex')::bigint as classified,
+ count_if(is_threat=1)::bigint as threats, round(count_if(is_threat=1)*100.0/count(*), 4) as threat_pct,
+ {", ".join(f"count_if(stages_used<>'regex' and {_TRIGGER.format(m='dfp_method_in')}='{s}')::bigint as dfp_{s}" for s in ("individual", "peer", "both"))} from res"""))
 def detection_metrics(spark, sf_dir):
     r = hybrid(spark, sf_dir)
     return M.detection_metrics(r.withColumn("dfp_detection_method", F.col("dfp_method_in")))

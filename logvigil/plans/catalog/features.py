@@ -207,7 +207,7 @@ _BULK = """select l_orderkey*8+l_linenumber as event_id, l_shipdate as ts, conca
 
 
 @query("feature_block_bulk", f"""select is_high_port, is_external, hour, action_deny, count(*) as n, round(sum(total_bytes), 2) as total_bytes,
- round(avg(bytes_ratio), 6) as avg_bytes_ratio, round(avg(bytes_per_packet_sent), 6) as avg_bpp, sum(is_weekend) as weekend
+ round(avg(bytes_ratio), 6) as avg_bytes_ratio, round(avg(bytes_per_packet_sent), 6) as avg_bpp, sum(is_weekend)::bigint as weekend
  from ({feature_sql(f'({_BULK}) b')}) f group by all""")
 def feature_block_bulk(spark, sf_dir):
     from ..views import table

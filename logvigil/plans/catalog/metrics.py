@@ -33,7 +33,6 @@ def group_sizes(spark, sf_dir):
 
 @query("throughput", "select cast(time_bucket(interval '1 minute', ts) as varchar) as window_start, count(*) as messages from events group by 1")
 def throughput(spark, sf_dir):
-    view(spark, sf_dir, "fw_log")  # sets the session zone to UTC
     return M.throughput(table(spark, sf_dir, "events")).select(F.col("window_start").cast("string").alias("window_start"), "messages")
 
 

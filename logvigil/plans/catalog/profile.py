@@ -147,7 +147,7 @@ _AGGS = (("mean", "avg"), ("std", "stddev_pop"), ("max", "max"))
 
 
 @query("entity_vector", _seq("select entity, count(*) as recent_rows, " + ", ".join(
-    f"round({a}({f}), 4) as {n}_{f}" for f in SHOWN for n, a in _AGGS) + " from rings where back <= 10 group by entity having count(*) >= 5"))
+    f"round({a}({f}), 4)::double as {n}_{f}" for f in SHOWN for n, a in _AGGS) + " from rings where back <= 10 group by entity having count(*) >= 5"))
 def entity_vector(spark, sf_dir):
     v = PE.entity_vector(_events(spark, sf_dir))
     return v.select("entity", "recent_rows", *[F.round(f"{n}_{f}", 4).alias(f"{n}_{f}") for f in SHOWN for n, _ in _AGGS])

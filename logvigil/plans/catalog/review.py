@@ -112,7 +112,7 @@ def analyze(spark, sf_dir):
     return reviewed(spark, sf_dir).filter("llm_status = 'analyzed'").select("event_id", "llm_is_suspicious", "llm_confidence", "llm_response", "llm_trigger")
 
 
-@query("review_metrics", _timed_sql(f"""select count(*) as consumed, count_if(status='analyzed') as analyzed, count_if(status='skipped_cooldown') as skipped_cooldown,
- count_if(status='skipped_threshold') as skipped_threshold, count_if(status='analyzed' and {_BAD}) as threats, round(count_if(status='analyzed')*100.0/count(*), 4) as analysis_rate from st"""))
+@query("review_metrics", _timed_sql(f"""select count(*) as consumed, count_if(status='analyzed')::bigint as analyzed, count_if(status='skipped_cooldown')::bigint as skipped_cooldown,
+ count_if(status='skipped_threshold')::bigint as skipped_threshold, count_if(status='analyzed' and {_BAD})::bigint as threats, round(count_if(status='analyzed')*100.0/count(*), 4) as analysis_rate from st"""))
 def review_metrics(spark, sf_dir):
     return M.review_metrics(reviewed(spark, sf_dir))

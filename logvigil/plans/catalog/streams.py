@@ -14,7 +14,7 @@ from ...sources import io
 from ...streaming import gates, profile_stream
 from ...streaming.sources import drain, table_stream
 from .. import dfp
-from ..views import _escape
+from ..views import _escape, utc
 from .profile import _dfp_columns, _events, _seq, dfp_sql, portable_groups
 from .registry import query, view, view_sql, with_view
 from .review import _gate
@@ -22,9 +22,8 @@ from .review import _gate
 
 def stream_view(spark, sf_dir, name):
     """A derived view over the events as a stream."""
-    view(spark, sf_dir, name)  # sets the session zone to UTC
     sql = _escape(view_sql(name, "spark")).replace("from events", "from {events}")
-    return spark.sql(sql, events=table_stream(spark, sf_dir, "events"))
+    return spark.sql(sql, events=table_stream(utc(spark), sf_dir, "events"))
 
 
 @query("dfp_score_stream", _seq(dfp_sql(True)))
@@ -91,10 +90,13 @@ def deliver_alerts(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "llm_response")
 
 
-@query("throughput_stream")
+# Append mode gives the windows that the watermark has passed.
+@query("throughput_stream", """select cast(day as varchar) as window_start, n as messages from (select date_trunc('day', ts)::timestamp as day, count(*) as n from events group by 1) d
+ where day + interval 1 day <= (select max(ts) - interval 10 minute from events)""")
 def throughput_stream(spark, sf_dir):
     e = table_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "10 minutes")
-    return drain(M.throughput(e, width="1 day"), "throughput")
+    out = drain(M.throughput(e, width="1 day"), "throughput")
+    return out.select(F.col("window_start").cast("string").alias("window_start"), "messages")
 
 
 @query("train_autoencoder")

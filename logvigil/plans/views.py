@@ -152,14 +152,19 @@ def view_sql(name: str, engine: str) -> str:
     return VIEWS[name].replace("EPOCH(ts)", _EPOCH[engine])
 
 
+def utc(spark: SparkSession) -> SparkSession:
+    """The session with its zone set to UTC, the zone of the tables' clocks."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The derived view over the tables of ``sf_dir``."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
     sql = _escape(view_sql(name, "spark")).replace("from events", "from {events}")
     return spark.sql(sql, events=table(spark, sf_dir, "events"))
 

@@ -37,8 +37,16 @@ def _norm(rows, cols):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x) if not isinstance(x, (int, float)) or x is None else (False, "n", float(x)) for x in t))
 
 
+_KINDS = {"BIGINT": "int", "INTEGER": "int", "DOUBLE": "float", "VARCHAR": "text", "BOOLEAN": "bool"}
+_SPARK = {"bigint": "int", "int": "int", "double": "float", "string": "text", "boolean": "bool"}
+
+
 def compare(df, con, sql) -> str:
-    """Empty text when equal, else what differs."""
+    """Empty text when equal, else what differs; columns must agree in kind as well."""
+    want_kinds = {r[0]: _KINDS.get(r[1], r[1]) for r in con.execute("describe " + sql).fetchall()}
+    got_kinds = {n: _SPARK.get(t, t) for n, t in df.dtypes}
+    if want_kinds != got_kinds:
+        return f"kinds {sorted(set(got_kinds.items()) ^ set(want_kinds.items()))}"
     cur = con.execute(sql)
     cols = [d[0] for d in cur.description]
     want = _norm(cur.fetchall(), cols)
