@@ -89,6 +89,19 @@ def stats_wide(stats: DataFrame, features: list[str] = C.TRAFFIC_FEATURES) -> Da
     )
 
 
+def group_moments(recent: DataFrame, assignments: DataFrame, features: list[str] = C.TRAFFIC_FEATURES, key: str = "entity") -> DataFrame:
+    """The columns of ``stats_wide`` straight from the recent rows, without the long format: all
+    that the peer score needs, in one aggregation."""
+    sized = with_group_size(assignments, key).filter(F.col("group_size") >= C.MIN_GROUP_SIZE)
+    rows = recent.join(sized, key)
+    x = lambda f: f"if(isnan({f}) or abs({f}) = double('inf'), null, cast({f} as double))"
+    return rows.groupBy("group_id").agg(
+        F.max("group_size").alias("group_size"),
+        *[F.expr(f"coalesce(avg({x(f)}), 0.0D) as g_mean_{f}") for f in features],
+        *[F.expr(f"coalesce(stddev_pop({x(f)}), 1.0D) as g_std_{f}") for f in features],
+    )
+
+
 def peer_score(features: list[str] = C.TRAFFIC_FEATURES) -> Column:
     """Mean over features of the capped z-score against the group; 0.0 without group statistics.
 

@@ -112,8 +112,9 @@ def score(
     if assignments is not None:
         groups = assignments.select("entity", "group_id").filter(F.col("entity").isNotNull())
         if stats is None:
-            stats = PE.peer_stats(PR.recent_rows(known, ts=ts, tie=tie, features=featured), groups, feats, p95=False)
-        wide = PE.stats_wide(stats, feats)
+            wide = PE.group_moments(PR.recent_rows(known, ts=ts, tie=tie, features=featured), groups, feats)
+        else:
+            wide = PE.stats_wide(stats, feats)
 
     def finish(d: DataFrame, part: list[str], few: bool) -> DataFrame:
         return decide(PR.add_error_window(d, part), ts, tie, groups, wide, few)
