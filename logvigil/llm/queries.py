@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, source_mix, url_cascade
+from . import decontaminate, lang_mixture, lm_bloom, pu_quality, separator_scan, simhash_cover, source_mix, token_shards, url_cascade, vptree
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -34,3 +34,39 @@ def op5(spark, sf_dir):
 @query("op9_source_mix", source_mix.MIX_SQL)
 def op9(spark, sf_dir):
     return source_mix.mix_report(table(spark, sf_dir, "documents"))
+
+
+@query("op1_token_shards")
+def op1(spark, sf_dir):
+    return token_shards.shards(table(spark, sf_dir, "documents"))
+
+
+@query("op2_separator_scan")
+def op2(spark, sf_dir):
+    return separator_scan.corpus_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op3_simhash_cover")
+def op3(spark, sf_dir):
+    return simhash_cover.components(table(spark, sf_dir, "documents"))
+
+
+@query("op6_pu_quality")
+def op6(spark, sf_dir):
+    return pu_quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_vptree")
+def op7(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return vptree.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+@query("op8_lang_mixture")
+def op8(spark, sf_dir):
+    return lang_mixture.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op10_lm_bloom")
+def op10(spark, sf_dir):
+    return lm_bloom.scores(table(spark, sf_dir, "documents"))
