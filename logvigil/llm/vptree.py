@@ -26,13 +26,17 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-LEAF = 64
-#: Ties of scores are told apart from rounding by this margin; final scores are recomputed.
-SLACK = 1e-9
+LEAF = 128
+SEED = 1024  # a query starts with the subtree of about this size that it falls into
+ROW_BITS = 16
+#: Similarities are compared in steps of 2^-40 of the largest one, so that equal vectors tie in spite of rounding.
+STEPS = float(1 << 40)
+NONE = np.iinfo(np.int64).min
 
 
 class Tree:
-    """Nodes as (vantage, members or children, distance ranges); leaves hold consecutive rows of ``order``."""
+    """Nodes as (lo, hi) for leaves, else (lo, hi, vantage, left, its range of distances, right, its range); a node is the
+    consecutive rows lo .. hi-1 of ``order``. At most 2^16 points."""
 
     def __init__(self, points: np.ndarray, seed: int = 1):
         self.points, rng = points, np.random.default_rng(seed)
@@ -45,8 +49,8 @@ class Tree:
             if hi - lo <= LEAF:
                 self.nodes[at] = (lo, hi)
                 return at
-            trial = order[rng.integers(lo, hi, 4)]  # the vantage point that spreads a few others most
-            sample = points[order[rng.integers(lo, hi, 32)]]
+            trial = order[rng.integers(lo, hi, 8)]  # the vantage point that spreads some others most
+            sample = points[order[rng.integers(lo, hi, 64)]]
             spread = [np.var(np.sqrt(np.maximum(((sample - points[t]) ** 2).sum(1), 0))) for t in trial]
             v = points[trial[int(np.argmax(spread))]]
             d = np.sqrt(np.maximum(((points[order[lo:hi]] - v) ** 2).sum(1), 0))
@@ -54,58 +58,68 @@ class Tree:
             order[lo:hi], d = order[lo:hi][by], d[by]
             mid = (hi - lo) // 2
             left, right = build(lo, lo + mid), build(lo + mid, hi)
-            self.nodes[at] = (v, left, d[0], d[mid - 1], right, d[mid], d[-1])
+            self.nodes[at] = (lo, hi, v, left, d[0], d[mid - 1], right, d[mid], d[-1])
             return at
 
         build(0, len(points))
         self.order = order
         self.sorted = points[order]
 
-    def search(self, queries: np.ndarray, skip: np.ndarray, k: int, relax: float, biggest: float) -> tuple[np.ndarray, np.ndarray]:
-        """(similarity, row) of the k best for each query, in no certain order of ties; ``skip``: row never to be returned.
+    def search(self, queries: np.ndarray, skip: np.ndarray, k: int, relax: float, biggest: float) -> np.ndarray:
+        """Rows of the k best for each query (-1: none), in no certain order; ties go to the smaller row.
 
-        ``biggest`` is M; distance^2 = |q|^2 + M^2 - 2 q.x.
+        ``skip``: row never to be returned. ``biggest`` is M; distance^2 = |q|^2 + M^2 - 2 q.x.
         """
+        scale = STEPS / max(biggest**2, 1e-300)
+        low = (1 << ROW_BITS) - 1
         q2 = (queries**2).sum(1) + biggest**2
-        best, rows = np.full((len(queries), k), -np.inf), np.full((len(queries), k), -1)
+        best = np.full((len(queries), k), NONE)  # similarity in steps, then the row turned round
+        worst = np.full(len(queries), NONE)
+        seed = np.full(len(queries), -1)
 
-        def radius(active: np.ndarray) -> np.ndarray:
-            return np.sqrt(np.maximum(q2[active] - 2 * (best[active, -1] - SLACK), 0))
-
-        def leaf(lo: int, hi: int, active: np.ndarray) -> None:
-            s = queries[active] @ self.sorted[lo:hi].T
+        def scan(lo: int, hi: int, active: np.ndarray) -> None:
             ids = self.order[lo:hi]
-            s[ids == skip[active][:, None]] = -np.inf
-            better = s.max(1) >= best[active, -1] - SLACK
-            active, s = active[better], s[better]
-            if not len(active):
+            keys = np.rint(queries[active] @ self.sorted[lo:hi].T * scale).astype(np.int64) << ROW_BITS | (low - ids)
+            keys[ids == skip[active][:, None]] = NONE
+            better = keys.max(1) > worst[active]
+            active = active[better]
+            if len(active):
+                top = np.partition(np.hstack([best[active], keys[better]]), -k, axis=1)[:, -k:]
+                best[active], worst[active] = top, top[:, 0]
+
+        def toward(node: tuple, active: np.ndarray) -> np.ndarray:
+            return np.sqrt(np.maximum(((queries[active] - node[2]) ** 2).sum(1), 0))
+
+        def start(at: int, active: np.ndarray) -> None:
+            node = self.nodes[at]
+            if len(node) == 2 or node[1] - node[0] <= SEED:
+                seed[active] = at
+                scan(node[0], node[1], active)
                 return
-            ids = np.broadcast_to(ids, s.shape)
-            s, ids = np.hstack([best[active], s]), np.hstack([rows[active], ids])
-            # rounded, so that equal vectors tie whatever place they have; then the smaller row
-            pick = np.lexsort((ids, -np.round(s, 10)), axis=1)[:, :k]
-            best[active], rows[active] = np.take_along_axis(s, pick, 1), np.take_along_axis(ids, pick, 1)
+            near = toward(node, active) <= (node[5] + node[7]) / 2
+            for child, ones in ((node[3], active[near]), (node[6], active[~near])):
+                if len(ones):
+                    start(child, ones)
 
         def visit(at: int, active: np.ndarray) -> None:
+            active = active[seed[active] != at]
             node = self.nodes[at]
+            if not len(active):
+                return
             if len(node) == 2:
-                leaf(*node, active)
+                scan(*node, active)
                 return
-            v, left, a, b, right, c, e = node
-            d = np.sqrt(np.maximum(((queries[active] - v) ** 2).sum(1), 0))
-            near_left = d <= (b + c) / 2
-            for first in (True, False):  # each query goes to its nearer side first
-                for child, lo, hi, ones in ((left, a, b, near_left == first), (right, c, e, near_left != first)):
-                    now, dist = active[ones], d[ones]
-                    if len(now):
-                        gap = np.maximum(np.maximum(lo - dist, dist - hi), 0)
-                        now = now[gap * relax <= radius(now)]
-                        if len(now):
-                            visit(child, now)
+            d = toward(node, active)
+            for child, lo, hi in (node[3:6], node[6:9]):
+                found = worst[active]
+                radius = np.sqrt(np.maximum(q2[active] - 2 * ((found >> ROW_BITS) - 1) / scale, 0))
+                gap = np.maximum(np.maximum(lo - d, d - hi) - 1e-9, 0)
+                visit(child, active[(found == NONE) | (gap * relax <= radius)])
 
         if len(queries):
+            start(0, np.arange(len(queries)))
             visit(0, np.arange(len(queries)))
-        return best, rows
+        return np.where(best == NONE, -1, low - (best & low))
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -117,10 +131,11 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.filter(F.size("v") == (width[0] if width else 0)).distinct()
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 20, relax: float = 1.4, shard_rows: int = 16_384, block_rows: int = 32_768, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 20, relax: float = 4.0, shard_rows: int = 16_384, block_rows: int = 32_768, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest candidates found for each query, its own id left out."""
     base = stored(usable(vectors, id_col, vec_col).withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))), "vectors")
     asked = base.select("id", "v").join(queries.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
+    shard_rows = min(shard_rows, 1 << (ROW_BITS - 1))  # rows are numbered in ROW_BITS bits
     n, biggest = base.agg(F.count("*"), F.coalesce(F.max("norm"), F.lit(0.0))).first()
     shards, chunks = max(1, math.ceil(n / shard_rows)), max(1, math.ceil(asked.count() / block_rows))
     key = lambda of, salt: F.pmod(F.xxhash64("id", "v", F.lit(salt)), F.lit(of)).cast("int")
@@ -139,13 +154,13 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, relax: float = 1
         own = np.searchsorted(ids, qid).clip(max=len(ids) - 1)
         own = np.where(ids[own] == qid, own, -2)
         out = []
-        for lo in range(0, len(q), 512):
-            part = slice(lo, lo + 512)
-            got, rows = tree.search(np.hstack([q[part], np.zeros((len(q[part]), 1))]), own[part], k, relax, biggest)
+        for lo in range(0, len(q), 1024):
+            part = slice(lo, lo + 1024)
+            rows = tree.search(np.hstack([q[part], np.zeros((len(q[part]), 1))]), own[part], k, relax, biggest)
             r, c = np.nonzero(rows >= 0)
             found = rows[r, c]
             score = (x[found] * q[part][r]).sum(1)
-            keep = (got[r, c] > -np.inf) & (ids[found] != qid[part][r])
+            keep = ids[found] != qid[part][r]
             out.append(pd.DataFrame({"query_id": qid[part][r][keep], "vec_id": ids[found][keep], "score": score[keep]}))
         return pd.concat(out, ignore_index=True)
 
