@@ -50,10 +50,21 @@ def running_totals(df: DataFrame, keys: list[str], pos: str, cols: list[str], bl
     blocks = e.groupBy(*keys, "_block").agg(*[F.sum(c).alias(c) for c in cols])
     blocks = blocks.select(*keys, "_block", *[F.coalesce(F.sum(c).over(before(keys, "_block")), F.lit(0)).alias(f"_o_{c}") for c in cols])
     inside = {f"{c}_before": F.coalesce(F.sum(c).over(before([*keys, "_block"], pos)), F.lit(0)) for c in cols}
-    out = e.withColumns(inside).join(blocks, [*keys, "_block"])
+    out = null_safe_join(e.withColumns(inside), blocks, [*keys, "_block"])
     return out.select(*df.columns, *[(F.col(f"{c}_before") + F.col(f"_o_{c}")).alias(f"{c}_before") for c in cols])
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where null equals null; the keys come from ``left``."""
+    names = {k: f"_r_{k}" for k in keys}
+    other = right.withColumnsRenamed(names)
+    cond = left[keys[0]].eqNullSafe(other[names[keys[0]]])
+    for k in keys[1:]:
+        cond = cond & left[k].eqNullSafe(other[names[k]])
+    out = left.join(other, cond, how)
+    return out if how in ("left_anti", "left_semi") else out.drop(*names.values())
+
+
 _NO_TIME = -(2**40)  # rows without a time come first, as nulls do in a window order
 
 
@@ -68,17 +79,17 @@ def sequenced(df: DataFrame, keys: list[str], ts: str, tie: str, seq: str = "seq
     local = F.row_number().over(Window.partitionBy(*keys, "_cell").orderBy(ts, tie))
     return (
         e.withColumn("_rn", local)
-        .join(offsets, [*keys, "_cell"])
+        .transform(lambda d: null_safe_join(d, offsets, [*keys, "_cell"]))
         .withColumn(seq, (F.col("_rn") + F.col("_n_before")).cast("bigint"))
         .select(*df.columns, seq)
     )
 
 
 def split_hot(df: DataFrame, keys: list[str], hot: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary keys, rows of hot keys). ``hot`` is bounded, see ``hot_keys``."""
+    """(rows of ordinary keys, rows of hot keys). ``hot`` is bounded, see ``hot_keys``; null is a key like any other."""
     if hot is None:
         return df, None
-    return df.join(F.broadcast(hot), keys, "left_anti"), df.join(F.broadcast(hot), keys, "left_semi")
+    return null_safe_join(df, F.broadcast(hot), keys, "left_anti"), null_safe_join(df, F.broadcast(hot), keys, "left_semi")
 
 
 def numbered(df: DataFrame, key: str, ts: str, tie: str, seq: str = "seq", hot_rows: int | None = None) -> DataFrame:
@@ -139,7 +150,7 @@ def range_counts(
         return done
     slots = hot.groupBy(*keys, clock).agg(F.count("*").alias("_n"))
     slots = slots.withColumn(out, F.sum("_n").over(order)).drop("_n")
-    return done.unionByName(hot.join(slots, [*keys, clock]).select(*done.columns))
+    return done.unionByName(null_safe_join(hot, slots, [*keys, clock]).select(*done.columns))
 
 
 def lit_map(values: dict) -> Column:

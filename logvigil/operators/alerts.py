@@ -38,7 +38,7 @@ def _step(confidence: Column, i: int) -> Column:
 
 def alert_severity(df: DataFrame, product: str = "AI") -> DataFrame:
     """severity, color and title from the review confidence."""
-    c = F.coalesce(F.col("llm_confidence").cast("int"), F.lit(0))
+    c = F.coalesce(F.col("llm_confidence").try_cast("int"), F.lit(0))
     out = df.withColumns({"severity": _step(c, 0), "color": _step(c, 1)})
     return out.withColumn("title", F.concat(_step(c, 2), F.lit(f" {product} Alert — "), F.col("severity")))
 
@@ -65,7 +65,7 @@ def render_alert(df: DataFrame, product: str = "AI", footer: str = "Hybrid behav
         return F.struct(F.lit(name).alias("name"), F.concat_ws("\n", *lines).alias("value"), F.lit(False).alias("inline"))
 
     end = lambda ip, port: F.concat(na(ip), F.lit(":"), na(port))
-    flagged = F.coalesce(F.col("dfp_is_anomaly").cast("int"), F.lit(0)) != 0
+    flagged = F.coalesce(F.col("dfp_is_anomaly").try_cast("int"), F.lit(0)) != 0
     fields = F.array(
         section("🔎 Detection Signals", [
             ("LLM Suspicious", text_col(df, "llm_is_suspicious", "0")),

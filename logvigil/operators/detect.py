@@ -15,9 +15,9 @@ from ..functions.fields import has, text_col
 from ..functions.skew import lit_map
 
 
-def detection_text(df: DataFrame, text_cols: tuple[str, ...] = ("full_log", "event_original", "msg"), chars: int | None = C.LOG_CHARS) -> Column:
-    """The text that signatures and classifier read. ``chars`` is the length the log part is cut to
-    in this text format; ``None`` keeps the whole log."""
+def detection_text(df: DataFrame, text_cols: tuple[str, ...] = ("full_log", "event_original", "msg"), chars: int | None = None) -> Column:
+    """The text that signatures and classifier read: the whole log, or ``chars`` characters of it where a model's text
+    format asks for that (``LOG_CHARS``)."""
     found = [F.col(c) for c in text_cols if has(df, c)]
     log = F.coalesce(*found, F.lit("")) if found else F.lit("")
     if chars is not None:
@@ -42,8 +42,8 @@ def _any_literal(low: str, literals: list[str]) -> Column:
 
 
 def signature_match(df: DataFrame, text: str = "text", signatures=C.SIGNATURES, literals: list[list[str]] | None = None) -> DataFrame:
-    """regex_match, regex_category, regex_confidence and the first characters of the pattern, for
-    the first signature that matches in declared order.
+    """regex_match, regex_category, regex_confidence and regex_pattern of the first signature that
+    matches in declared order.
 
     A signature's pattern runs only on texts that hold one of its necessary ``literals`` (a plain
     substring search on the lower-cased text), or one of the few letters whose case folding that
@@ -70,7 +70,7 @@ def signature_match(df: DataFrame, text: str = "text", signatures=C.SIGNATURES,
         "regex_match": F.col("_sig").isNotNull(),
         "regex_category": pick([c for c, _ in signatures]),
         "regex_confidence": F.when(F.col("_sig").isNotNull(), C.SIGNATURE_CONFIDENCE),
-        "regex_pattern": pick([p[: C.PATTERN_CHARS] for _, p in signatures]),
+        "regex_pattern": pick([p for _, p in signatures]),
     }).drop("_sig", "_low", "_odd")
 
 
@@ -121,13 +121,12 @@ def model_logits(text: Column, make_model: Callable[[], Logits] = keyword_logits
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = make_model()
         for texts in batches:
-            out = pd.Series([None] * len(texts), dtype=object)
+            out = np.full(len(texts), None, dtype=object)
             asked = np.flatnonzero(texts.notna().to_numpy())
             for start in range(0, len(asked), batch_size):
                 rows = asked[start : start + batch_size]
-                for row, logits in zip(rows, np.asarray(predict(texts.to_numpy()[rows]), dtype=np.float64)):
-                    out.iat[row] = logits
-            yield out
+                out[rows] = list(np.asarray(predict(texts.to_numpy()[rows]), dtype=np.float64))
+            yield pd.Series(out)
 
     return run(text)
 
@@ -193,10 +192,20 @@ def threat_decision() -> Column:
 ARROW = " → "
 
 
+# --- fixed values: what a result says where no behaviour score came in ---
+RESULT_DEFAULTS = {
+    "dfp_is_anomaly": 0, "dfp_score": 0.0, "dfp_individual_score": 0.0, "dfp_peer_score": 0.0, "dfp_status": "unknown",
+    "dfp_peer_group_size": 0, "dfp_detection_method": "none", "full_log": "",
+}
+
+
 def threat_result(df: DataFrame, model_version: str = "hybrid_dfp_peer_v2") -> DataFrame:
-    """Output columns of a ``cascade`` result; only signature hits carry ``detection_method``."""
+    """Output columns of a ``cascade`` result; only signature hits carry ``detection_method``. Missing behaviour
+    columns and nulls in them get their defaults."""
     hit = F.col("regex_match")
-    out = df.withColumn("threat_class", F.coalesce(F.nullif("threat_class", F.lit("")), F.lit("unknown")))
+    # a full log that is absent is empty; everything else may come from either side of the chain
+    filled = {n: F.coalesce(F.col(n), F.lit(v)) if has(df, n) else F.lit(v) for n, v in RESULT_DEFAULTS.items()}
+    out = df.withColumns(filled).withColumn("threat_class", F.coalesce(F.nullif("threat_class", F.lit("")), F.lit("unknown")))
     out = out.withColumns({
         "is_threat": F.when(hit, 1).otherwise(threat_decision()),
         "stages_used": F.when(hit, "regex").otherwise(ARROW.join(["bert", "dfp"])),
@@ -232,12 +241,12 @@ def threat_reasons() -> Column:
 
 
 def service_name(port: Column) -> Column:
-    known = lit_map(C.SERVICE_NAMES)[port.cast("int")]
+    known = lit_map(C.SERVICE_NAMES)[port.try_cast("int")]
     return F.coalesce(known, F.concat(F.lit("port "), F.coalesce(port.cast("string"), F.lit("unknown"))))
 
 
 def protocol_name(proto: Column) -> Column:
-    known = lit_map(C.PROTOCOL_NAMES)[proto.cast("int")]
+    known = lit_map(C.PROTOCOL_NAMES)[proto.try_cast("int")]
     return F.coalesce(known, F.concat(F.lit("Protocol "), F.coalesce(proto.cast("string"), F.lit("unknown"))))
 
 
@@ -306,7 +315,7 @@ def parse_verdict(df: DataFrame, answer: str = "answer") -> DataFrame:
     """
     text = F.col(answer)
     out = df.withColumn("_obj", F.regexp_extract(text, _OBJECT, 0))
-    out = out.withColumn("_j", F.when(F.col("_obj") != "", F.from_json("_obj", _ANSWER, {"columnNameOfCorruptRecord": "_bad"})))
+    out = out.withColumn("_j", F.when(F.col("_obj") != "", F.from_json("_obj", _ANSWER, {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false"})))
     flag, conf = F.col("_j.is_threat"), F.trim(F.col("_j.confidence"))
     quoted_flag = F.col("_obj").rlike(r'"is_threat"\s*:\s*"')
     truthy = F.when(quoted_flag, flag != "").otherwise(~flag.isin("false", "0", "0.0", "null", "[]"))
@@ -331,7 +340,8 @@ def parse_verdict(df: DataFrame, answer: str = "answer") -> DataFrame:
         .when(form == "json", F.col("_number"))
         .otherwise(0)
     )
-    reason = F.when(form == "json", F.coalesce(F.col("_j.reason"), F.lit("No reason provided"))).when(
+    # a reason that is there and null stays null
+    reason = F.when(form == "json", F.coalesce(F.col("_j.reason"), F.when(~F.col("_obj").rlike(r'"reason"\s*:'), "No reason provided"))).when(
         form == "error", F.concat(F.lit("error: confidence is not a number: "), F.coalesce(conf, F.lit("null")))).otherwise(text)
     return out.withColumns({
         "verdict_threat": F.when(threat, 1).otherwise(0),

@@ -79,7 +79,7 @@ def _join_keys(df: DataFrame, ports: list[str], mask: Column) -> list[Column]:
     cols = [F.col("srcip").alias("_src"), F.col("dstip").alias("_dst"), mask.alias("_mask")]
     for i, p in enumerate(ports):
         used = mask.bitwiseAND(F.lit(1 << i)) != 0
-        cols.append(F.when(used, F.col(p).cast("bigint")).alias(f"_p{i}"))
+        cols.append(F.when(used, F.col(p).try_cast("bigint")).alias(f"_p{i}"))
     return cols
 
 

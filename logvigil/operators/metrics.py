@@ -10,16 +10,19 @@ from .detect import anomaly_trigger
 
 
 def dfp_metrics(scored: DataFrame, every: int = C.PEER_REFRESH_ROWS) -> DataFrame:
-    """Totals of a scored table. Counts per entity first, so distinct entities need no set."""
-    peer = F.col("dfp_detection_method") == "individual_and_peer"
+    """Totals of a scored table. Counts per entity first, so distinct entities need no set.
+
+    ``peer_anomalies_detected`` counts every anomaly, as ``anomalies_detected`` does. Entities that were skipped
+    keep no profile and are not among the totals of entities.
+    """
     per = scored.groupBy("dfp_entity").agg(
-        F.count("*").alias("n"), F.sum("dfp_is_anomaly").alias("a"), F.sum(F.when(peer, F.col("dfp_is_anomaly")).otherwise(0)).alias("p"),
+        F.count("*").alias("n"), F.sum("dfp_is_anomaly").alias("a"),
         F.max(F.when(F.col("dfp_status") == "trained", 1).otherwise(0)).alias("t"),
         F.max(F.when(F.col("dfp_status").isin("trained", "training"), 1).otherwise(0)).alias("f"), F.max("dfp_peer_group_id").alias("g"))
     return per.agg(
-        F.count_if(F.col("dfp_entity").isNotNull()).alias("total_entities"), F.sum("t").alias("trained_models"),
+        F.count_if(F.col("dfp_entity").isNotNull() & (F.col("f") == 1)).alias("total_entities"), F.sum("t").alias("trained_models"),
         F.sum("a").alias("anomalies_detected"), F.sum("f").alias("profiles_created"), F.sum("n").alias("messages_processed"),
-        F.countDistinct("g").alias("peer_groups"), F.sum("p").alias("peer_anomalies_detected"),
+        F.countDistinct("g").alias("peer_groups"), F.sum("a").alias("peer_anomalies_detected"),
         F.expr(f"sum(n) div {every}").alias("peer_grouping_runs"),
     )
 

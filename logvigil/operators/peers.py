@@ -103,19 +103,23 @@ def group_moments(recent: DataFrame, assignments: DataFrame, features: list[str]
 
 
 def peer_score(features: list[str] = C.TRAFFIC_FEATURES) -> Column:
-    """Mean over features of the capped z-score against the group; 0.0 without group statistics.
+    """Mean of the capped z-score against the group over the features that are finite; 0.0 without group
+    statistics or without such a feature.
 
     Needs the columns of ``stats_wide`` joined to the row.
     """
+    fine = lambda f: f"({f} is not null and not isnan({f}) and abs({f}) < double('inf') and g_mean_{f} is not null)"
     part = lambda f: (
-        f"if(g_std_{f} < 1e-6D, if(abs({f} - g_mean_{f}) > 1e-6D, 1.0D, 0.0D), least(abs({f} - g_mean_{f}) / g_std_{f} / 3.0D, 1.0D))")
-    return F.expr(f"coalesce(({' + '.join(map(part, features))}) / {len(features)}, 0.0D)")
+        f"if({fine(f)}, if(g_std_{f} < 1e-6D, if(abs({f} - g_mean_{f}) > 1e-6D, 1.0D, 0.0D), least(abs({f} - g_mean_{f}) / g_std_{f} / 3.0D, 1.0D)), 0.0D)")
+    used = " + ".join(f"cast({fine(f)} as int)" for f in features)
+    return F.expr(f"coalesce(({' + '.join(map(part, features))}) / nullif({used}, 0), 0.0D)")
 
 
-def group_sizes(assignments: DataFrame) -> DataFrame:
-    """Members per group and the average size over the groups that have members."""
+def group_sizes(assignments: DataFrame, k: int | None = None) -> DataFrame:
+    """Members per group and the average size over all ``k`` groups, empty ones included (default: those with members)."""
     sizes = assignments.groupBy("group_id").agg(F.count("*").alias("members"))
-    return sizes.withColumn("avg_members", F.avg("members").over(Window.partitionBy(F.lit(1))))  # <= MAX_GROUPS rows
+    every = Window.partitionBy(F.lit(1))  # <= MAX_GROUPS rows
+    return sizes.withColumn("avg_members", F.sum("members").over(every) / (F.count("*").over(every) if k is None else F.lit(k)))
 
 
 def versioned(df: DataFrame, ts: str = "ts", tie: str = "event_id", every: int = C.PEER_REFRESH_ROWS) -> DataFrame:
@@ -142,7 +146,8 @@ def refresh_peer_stats(df: DataFrame, features: list[str], group: str = "group_i
         *[(F.coalesce(f"{c}_before", F.lit(0)) + F.col(c)).alias(f"{c}_upto") for c in totals],
     )
     trigger = F.col("version") > F.col("_slot")
-    out = e.join(run, [group, "_slot"])
+    run = run.withColumnsRenamed({group: "_group", "_slot": "_run_slot"})  # a null group is a group, too
+    out = e.join(run, e[group].eqNullSafe(run["_group"]) & (e["_slot"] == run["_run_slot"]))
     pick = lambda c: F.when(trigger, F.col(f"{c}_upto")).otherwise(F.col(f"{c}_before"))
     n = pick("_n")
     return out.select(

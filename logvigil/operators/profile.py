@@ -71,7 +71,7 @@ def rolling_history(df: DataFrame, columns: list[str], key: str = "entity", ts:
     return rolling(df, key, ts, tie, rows - 1, build, hot_rows)
 
 
-def admit_entities(df: DataFrame, key: str = "entity", max_entities: int = C.MAX_ENTITIES, min_rows: int = C.MIN_ENTITY_ROWS) -> DataFrame:
+def admit_entities(df: DataFrame, max_entities: int, key: str = "entity", min_rows: int = C.MIN_ENTITY_ROWS) -> DataFrame:
     """The entities that keep a profile: the ``max_entities`` most active ones.
 
     While there is room every entity is admitted; beyond it an entity needs ``min_rows`` messages.
@@ -88,8 +88,8 @@ def admit_entities(df: DataFrame, key: str = "entity", max_entities: int = C.MAX
 
 
 def keep_admitted(df: DataFrame, admitted: DataFrame, key: str = "entity") -> DataFrame:
-    """Only rows of admitted entities. The table holds at most ``max_entities`` rows by construction."""
-    return df.join(F.broadcast(admitted.select(key)), key, "left_semi")
+    """Only rows of admitted entities. Spark's own size check decides how they are joined."""
+    return df.join(admitted.select(key), key, "left_semi")
 
 
 def training_ready(df: DataFrame, key: str = "entity", ts: str = "ts", tie: str = "event_id", rows: int = C.TRAINING_ROWS) -> DataFrame:
@@ -178,7 +178,9 @@ def add_error_window(df: DataFrame, part: list[str], rows: int = C.ERROR_ROWS, p
     One bounded array per row serves all four. The percentile interpolates linearly between the
     two order statistics around ``pct * (n - 1)``.
     """
-    errs = df.withColumn("_errs", F.sort_array(F.collect_list("recon_err").over(_frame(part, rows))))
+    # an invalid error is no part of any window
+    fine = F.when(~F.isnan("recon_err") & (F.abs("recon_err") < float("inf")), F.col("recon_err"))
+    errs = df.withColumn("_errs", F.sort_array(F.collect_list(fine).over(_frame(part, rows))))
     e, n = F.col("_errs"), F.size("_errs")
     pos = F.lit(pct) * (n - 1)
     at = F.floor(pos).cast("int")

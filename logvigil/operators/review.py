@@ -13,8 +13,11 @@ from pyspark.sql import types as T
 from ..functions import constants as C
 from ..functions.fields import has
 from ..functions.skew import range_counts
+from ..session import materialize
 from .detect import parse_verdict, review_trigger
 
+LANE_ROWS = 500_000  # ticks of long chains for each lane of keys
+
 
 def _or(df: DataFrame, name: str, default) -> Column:
     return F.coalesce(F.col(name), F.lit(default)) if has(df, name) else F.lit(default)
@@ -40,66 +43,81 @@ def _fold(ticks: Column, cooldown: int, tie_type: str) -> Column:
     return F.aggregate(ticks, F.array().cast(f"array<struct<t:bigint,first_tie:{tie_type}>>"), step)
 
 
-def _dense_passes(slots: DataFrame, cooldown: int, tie_type: str) -> DataFrame:
+def _dense_passes(slots: DataFrame, cooldown: int, tie_type: str, lanes: int) -> DataFrame:
     """Passes of chains too long for one array. Blocks of a key are reduced side by side to small
     tables of (possible first pass, last pass); one short walk per key links the blocks; a second
-    side-by-side step marks the passes."""
+    side-by-side step marks the passes. A Python group is one block of the clock for all keys of a lane."""
     width = cooldown * 144
-    blocks = slots.withColumn("block", F.expr(f"(t - pmod(t, {width})) div {width}"))
+    lane = F.pmod(F.hash("k"), F.lit(lanes)).alias("lane")
+    blocks = slots.select("*", F.expr(f"(t - pmod(t, {width})) div {width}").alias("block"), lane)
+
+    def parts(pdf: pd.DataFrame, by: list[str]) -> Iterator[tuple[str, pd.DataFrame]]:
+        pdf = pdf.sort_values(["k", *by], kind="stable").reset_index(drop=True)
+        k = pdf["k"].to_numpy()
+        edges = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1), len(k)]
+        for lo, hi in zip(edges, edges[1:]):
+            if hi > lo:
+                yield k[lo], pdf.iloc[lo:hi]
 
     def exits(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(pdf["t"].to_numpy())
-        nxt = np.searchsorted(t, t + cooldown, side="left")
-        last = np.arange(len(t))
-        for i in range(len(t) - 1, -1, -1):
-            if nxt[i] < len(t):
-                last[i] = last[nxt[i]]
-        # last + cooldown lies before block start + cooldown, so later times never pass first,
-        # except the first time after that point when nothing lies before it
-        limit = key[1] * width + cooldown
-        n = min(int(np.searchsorted(t, limit, side="left")) + 1, len(t))
-        first, leave = t[:n], t[last[:n]]
-        # several first passes with one exit: only the latest of them matters to the search
-        keep = np.r_[leave[1:] != leave[:-1], True]
-        return pd.DataFrame({"k": key[0], "block": key[1], "first": first[keep], "exit": leave[keep]})
+        limit, out = key[1] * width + cooldown, []
+        for k, part in parts(pdf, ["t"]):
+            t = part["t"].to_numpy()
+            nxt = np.searchsorted(t, t + cooldown, side="left")
+            last = np.arange(len(t))
+            for i in range(len(t) - 1, -1, -1):
+                if nxt[i] < len(t):
+                    last[i] = last[nxt[i]]
+            # last + cooldown lies before block start + cooldown, so later times never pass first,
+            # except the first time after that point when nothing lies before it
+            n = min(int(np.searchsorted(t, limit, side="left")) + 1, len(t))
+            first, leave = t[:n], t[last[:n]]
+            # several first passes with one exit: only the latest of them matters to the search
+            keep = np.r_[leave[1:] != leave[:-1], True]
+            out.append(pd.DataFrame({"k": k, "block": key[1], "first": first[keep], "exit": leave[keep]}))
+        return pd.concat(out, ignore_index=True)
 
     def enter(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["block", "first"])
-        last, rows = -(2**62), []
-        for block, part in pdf.groupby("block", sort=True):
-            rows.append((key[0], int(block), int(last)))
-            i = int(np.searchsorted(part["first"].to_numpy(), last + cooldown, side="left"))
-            if i < len(part):
-                last = int(part["exit"].to_numpy()[i])
+        rows = []
+        for k, part in parts(pdf, ["block", "first"]):
+            last, block = -(2**62), part["block"].to_numpy()
+            edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1), len(block)]
+            first, leave = part["first"].to_numpy(), part["exit"].to_numpy()
+            for lo, hi in zip(edges, edges[1:]):
+                rows.append((k, int(block[lo]), int(last)))
+                i = lo + int(np.searchsorted(first[lo:hi], last + cooldown, side="left"))
+                if i < hi:
+                    last = int(leave[i])
         return pd.DataFrame(rows, columns=["k", "block", "last_in"])
 
     def mark(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
-        t = pdf["t"].to_numpy()
-        start = int(np.searchsorted(t, int(pdf["last_in"].iloc[0]) + cooldown, side="left"))
-        out, i = [], start
-        while i < len(t):
-            out.append(i)
-            i = int(np.searchsorted(t, t[i] + cooldown, side="left"))
-        return pdf.iloc[out][["k", "t", "first_tie"]]
-
-    steps = blocks.select("k", "block", "t").groupBy("k", "block").applyInPandas(exits, "k string, block bigint, first bigint, exit bigint")
-    entries = steps.groupBy("k").applyInPandas(enter, "k string, block bigint, last_in bigint")
+        out = []
+        for _, part in parts(pdf, ["t"]):
+            t = part["t"].to_numpy()
+            i, hit = int(np.searchsorted(t, int(part["last_in"].iloc[0]) + cooldown, side="left")), []
+            while i < len(t):
+                hit.append(i)
+                i = int(np.searchsorted(t, t[i] + cooldown, side="left"))
+            out.append(part.iloc[hit][["k", "t", "first_tie"]])
+        return pd.concat(out, ignore_index=True)
+
+    steps = blocks.select("lane", "k", "block", "t").groupBy("lane", "block").applyInPandas(exits, "k string, block bigint, first bigint, exit bigint")
+    entries = steps.select("*", lane).groupBy("lane").applyInPandas(enter, "k string, block bigint, last_in bigint")
     return (
-        blocks.select("k", "block", "t", "first_tie").join(entries, ["k", "block"])
-        .groupBy("k", "block").applyInPandas(mark, f"k string, t bigint, first_tie {tie_type}")
+        blocks.select("lane", "k", "block", "t", "first_tie").join(entries, ["k", "block"])
+        .groupBy("lane", "block").applyInPandas(mark, f"k string, t bigint, first_tie {tie_type}")
     )
 
 
-def cooldown_gate(df: DataFrame, keys: list[str], clock: str = "t", tie: str = "event_id", cooldown: int = C.COOLDOWN_SECONDS, long_chain: int = 50_000) -> DataFrame:
+def cooldown_gate(df: DataFrame, keys: list[str], clock: str = "t", tie: str = "event_id", cooldown: int = C.COOLDOWN_SECONDS, long_chain: int = 1_000) -> DataFrame:
     """Adds ``gate_pass``: 1 when at least ``cooldown`` has gone by since the last row of the same
     key that passed. ``clock`` is an integer column in the unit of ``cooldown`` (seconds).
 
     Of the rows sharing key and clock only the first (by ``tie``) can pass, so rows are first
     reduced to (key, clock) with map-side combine; what is ordered per key is at most one row per
     clock tick, however hot the key. A gap of ``cooldown`` always starts a new chain, and chains
-    are independent. Short chains fold in the JVM; chains above ``long_chain`` ticks are cut into
-    blocks.
+    are independent. Short chains fold in the JVM, which costs their length squared; chains above
+    ``long_chain`` ticks are cut into blocks, which is linear. The reduced ticks are stored once.
     """
     e = df.withColumn("_k", gate_key(df, keys))
     slots = e.groupBy(F.col("_k").alias("k"), F.col(clock).cast("bigint").alias("t")).agg(F.min(tie).alias("first_tie"))
@@ -111,14 +129,17 @@ def cooldown_gate(df: DataFrame, keys: list[str], clock: str = "t", tie: str = "
         .withColumn("_len", F.count("*").over(Window.partitionBy("k", "chain")))
         .select("k", "t", "first_tie", "chain", "_len")
     )
+    chained = materialize(chained, "ticks")
     tie_type = dict(df.dtypes)[tie]
     short = (
         chained.filter(F.col("_len") <= long_chain)
         .groupBy("k", "chain").agg(F.sort_array(F.collect_list(F.struct("t", "first_tie"))).alias("ticks"))
         .select("k", F.explode(_fold(F.col("ticks"), cooldown, tie_type)).alias("x")).select("k", "x.*")
     )
-    dense = _dense_passes(chained.filter(F.col("_len") > long_chain), cooldown, tie_type)
-    passes = short.unionByName(dense).select(
+    long = chained.filter(F.col("_len") > long_chain)
+    n = long.count()
+    passes = short.unionByName(_dense_passes(long, cooldown, tie_type, -(-n // LANE_ROWS))) if n else short
+    passes = passes.select(
         F.col("k").alias("_k"), F.col("t").alias("_t"), F.col("first_tie").alias("_tie"), F.lit(1).alias("gate_pass"))
     cond = (F.col("p._k") == F.col("e._k")) & (F.col("p._t") == F.col(f"e.{clock}").cast("bigint")) & (F.col("p._tie") == F.col(f"e.{tie}"))
     return e.alias("e").join(passes.alias("p"), cond, "left").select(
@@ -155,7 +176,7 @@ def enrichment_record(df: DataFrame, now: Column | None = None, stamp: str = "@t
         F.col(f"`{stamp}`").alias("@timestamp"), "srcip", "dstip", F.col("threat_class").alias("original_threat_class"),
         _or(df, "dfp_is_anomaly", 0).alias("dfp_is_anomaly"), _or(df, "dfp_score", 0.0).alias("dfp_score"),
         text.alias("enrichment_timestamp"),
-        *[c for c in df.columns if c in ("event_id", "confidence", "llm_status", "llm_is_suspicious", "llm_reason")],
+        *[c for c in df.columns if c in ("event_id", "confidence", "llm_status", "llm_is_suspicious", "llm_reason", "llm_confidence", "llm_response", "llm_trigger")],
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,20 +30,21 @@ class Rule:
 
 _INF = float("inf")
 _BANDS = (100101, 100102, 100103)
-_ABOVE_90 = 0.9000000000000001  # the next double after 0.90
+LOW, MEDIUM, HIGH = 0.60, 0.75, 0.95
+_AI, _TRAFFIC, _REVIEW = ("ai", "ai_threat_detection"), ("fortigate", "syslog"), ("ai", "llm_threats")
 
 
 def _threat(rule_id: int, level: int, kind: str, title: str, groups: tuple[str, ...] | None = None) -> Rule:
-    return Rule(rule_id, level, f"AI: {title} detected from $(srcip)", _BANDS, fields={"threat_type": kind}, groups=groups or ("ai_threat", kind, "attack"))
+    return Rule(rule_id, level, f"AI: {title} detected from $(srcip)", _BANDS, fields={"threat_type": kind}, groups=_AI + (groups or ("ai_threat", kind, "attack")))
 
 
-# --- fixed values: rule ids, levels, bands and timeframes ---
+# --- fixed values: rule ids, levels, bands, timeframes, and the groups, those around a rule first ---
 RULES: tuple[Rule, ...] = (
-    Rule(300002, 0, "Suppress listening-port alerts", (533,)),
-    Rule(100100, 0, "AI threat detection", decoded_as="threat-ai"),
-    Rule(100101, 5, "AI: Low confidence threat detected ($(threat_type))", (100100,), match="AI-Threat:", fields={"confidence": (0.60, 0.75)}, groups=("ai_threat", "low_confidence")),
-    Rule(100102, 8, "AI: Medium confidence threat detected ($(threat_type))", (100100,), match="AI-Threat:", fields={"confidence": (0.75, _ABOVE_90)}, groups=("ai_threat", "medium_confidence")),
-    Rule(100103, 12, "AI: High confidence threat detected ($(threat_type))", (100100,), match="AI-Threat:", fields={"confidence": (_ABOVE_90, _INF)}, groups=("ai_threat", "high_confidence")),
+    Rule(300002, 0, "Suppress listening-port alerts", (533,), groups=("drop_net_stat",)),
+    Rule(100100, 0, "AI threat detection", decoded_as="threat-ai", groups=_AI),
+    Rule(100101, 5, "AI: Low confidence threat detected ($(threat_type))", (100100,), match="AI-Threat:", fields={"confidence": (LOW, MEDIUM)}, groups=_AI + ("ai_threat", "low_confidence")),
+    Rule(100102, 8, "AI: Medium confidence threat detected ($(threat_type))", (100100,), match="AI-Threat:", fields={"confidence": (MEDIUM, HIGH)}, groups=_AI + ("ai_threat", "medium_confidence")),
+    Rule(100103, 12, "AI: High confidence threat detected ($(threat_type))", (100100,), match="AI-Threat:", fields={"confidence": (HIGH, _INF)}, groups=_AI + ("ai_threat", "high_confidence")),
     _threat(100110, 10, "sql_injection", "SQL Injection attack"),
     _threat(100111, 10, "xss_attack", "XSS attack"),
     _threat(100112, 12, "command_injection", "Command injection attack"),
@@ -52,18 +53,26 @@ RULES: tuple[Rule, ...] = (
     _threat(100115, 7, "port_scan", "Port scanning", ("ai_threat", "port_scan", "recon")),
     _threat(100116, 10, "web_attack", "Web attack"),
     _threat(100117, 6, "suspicious_activity", "Suspicious activity", ("ai_threat", "suspicious")),
-    Rule(100120, 11, "AI: High anomaly score detected ($(threat_type)) from $(srcip)", _BANDS, fields={"anomaly_score": (0.8, _INF)}, groups=("ai_threat", "high_anomaly")),
-    Rule(222223, 3, "Firewall: Traffic accepted from $(srcip)", decoded_as="firewall-traffic", match='action="accept"', groups=("firewall", "syslog")),
-    Rule(222224, 10, "Firewall: Multiple connections detected from $(srcip). Blocking IP.", (222221,), frequency=4, timeframe=120, same_source_ip=True, groups=("firewall", "syslog")),
-    Rule(222225, 3, "Firewall: SSH session detected from $(srcip)", decoded_as="firewall-custom", match='app="SSH"', groups=("firewall_brute",)),
-    Rule(222226, 10, "Firewall: Brute Force detected from $(srcip). Blocking IP.", (222221,), frequency=3, timeframe=120, same_source_ip=True, groups=("firewall_brute",)),
-    Rule(222227, 3, "Firewall log received.", decoded_as="firewall-greedy", groups=("firewall_fix",)),
-    Rule(222228, 10, "Firewall Brute Force: 3 attempts detected.", (222221,), frequency=3, timeframe=120, same_source_ip=True, groups=("firewall_fix",)),
+    Rule(100120, 11, "AI: High anomaly score detected ($(threat_type)) from $(srcip)", _BANDS, fields={"anomaly_score": (0.8, _INF)}, groups=_AI + ("ai_threat", "high_anomaly")),
+    Rule(222223, 3, "FortiGate: Traffic accepted from $(srcip)", decoded_as="fortigate-traffic", match='action="accept"', groups=_TRAFFIC),
+    Rule(222224, 10, "FortiGate: Multiple connections detected from $(srcip). Blocking IP.", (222221,), frequency=4, timeframe=120, same_source_ip=True, groups=_TRAFFIC),
+    Rule(222225, 3, "FortiGate: SSH session detected from $(srcip)", decoded_as="fortigate-custom", match='app="SSH"', groups=("fortigate_brute",)),
+    Rule(222226, 10, "FortiGate: Brute Force detected from $(srcip). Blocking IP.", (222221,), frequency=3, timeframe=120, same_source_ip=True, groups=("fortigate_brute",)),
+    Rule(222227, 3, "FortiGate log received.", decoded_as="fortigate-greedy", groups=("fortigate_fix",)),
+    Rule(222228, 10, "FortiGate Brute Force: 3 attempts detected.", (222221,), frequency=3, timeframe=120, same_source_ip=True, groups=("fortigate_fix",)),
     Rule(444444, 15, "Brute Force Detected (PAM): 3 attempts from $(srcip)", (5503,), frequency=3, timeframe=120, same_source_ip=True, groups=("pam_brute",)),
-    Rule(100200, 12, "🚨 LLM-CONFIRMED THREAT: $(llm_response)", fields={"llm_status": "analyzed", "llm_is_suspicious": 1, "llm_response": True}, groups=("ai_review", "threat", "suspicious")),
-    Rule(100201, 8, "ℹ️ LLM Analysis (Requires Investigation): $(llm_response)", fields={"llm_status": "analyzed", "llm_is_suspicious": 0, "llm_response": True}, groups=("ai_review", "info")),
+    Rule(100200, 12, "🚨 LLM-CONFIRMED THREAT: $(llm_response)", fields={"llm_status": "analyzed", "llm_is_suspicious": 1, "llm_response": True}, groups=_REVIEW + ("ai_review", "threat", "suspicious")),
+    Rule(100201, 8, "ℹ️ LLM Analysis (Requires Investigation): $(llm_response)", fields={"llm_status": "analyzed", "llm_is_suspicious": 0, "llm_response": True}, groups=_REVIEW + ("ai_review", "info")),
 )
 ALERT_LEVEL = 3
+
+
+def with_bands(low: float = LOW, medium: float = MEDIUM, high: float = HIGH, rules: tuple[Rule, ...] = RULES) -> tuple[Rule, ...]:
+    """The rules with other edges of the confidence bands."""
+    edges = {100101: (low, medium), 100102: (medium, high), 100103: (high, _INF)}
+    return tuple(replace(r, fields={**r.fields, "confidence": edges[r.rule_id]}) if r.rule_id in edges else r for r in rules)
+
+
 EMAIL_LEVEL = 12
 EMAIL_RULES = (100200,)
 NOTIFY_RULES = (100200, 100201)
@@ -163,9 +172,9 @@ def evaluate_rules(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "
     return out.select(*df.columns, F.explode(fired).alias("_f")).select(*df.columns, "_f.*")
 
 
-def confidence_band(confidence: Column) -> Column:
-    """Rule level of a confidence: 5 from 60%, 8 from 75%, 12 above 90%."""
-    return F.when(confidence > 0.90, 12).when(confidence >= 0.75, 8).when(confidence >= 0.60, 5)
+def confidence_band(confidence: Column, low: float = LOW, medium: float = MEDIUM, high: float = HIGH) -> Column:
+    """Rule level of a confidence: 5, 8 or 12 from the edge of its band on."""
+    return F.when(confidence >= high, 12).when(confidence >= medium, 8).when(confidence >= low, 5)
 
 
 def frequency_rule(df: DataFrame, fired: Column, frequency: int, timeframe: int, key: str = "srcip", clock: str = "t", hot_rows: int | None = None) -> DataFrame:

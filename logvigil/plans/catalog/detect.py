@@ -11,7 +11,10 @@ from ..views import table
 from .registry import query, view, with_view
 
 _TEXT = """concat('Rule: ', rule_id, ' Level: ', cast(rule_level as varchar), ' Action: ', fortinet_action,
- ' Service: ', fortinet_service, ' Log: ', substring(full_log, 1, 300))"""
+ ' Service: ', fortinet_service, ' Log: ', full_log)"""
+_CUT = _TEXT.replace("full_log)", "substring(full_log, 1, 300))")
+# A tenth of the logs says what it says behind the first 300 characters.
+_LONG = "case when {t}event_id%10=3 then concat(repeat('traffic forward close ', 20), {t}full_log) else {t}full_log end"
 
 
 def _hit(col: str, pattern: str) -> str:
@@ -28,15 +31,18 @@ def category_sql(col: str) -> str:
 
 
 def _match_sql(source: str, key: str, col: str) -> str:
-    pattern = signature_case(col, [f"'{p[:C.PATTERN_CHARS]}'" for _, p in C.SIGNATURES])
+    pattern = signature_case(col, [f"'{p}'" for _, p in C.SIGNATURES])
     return f"""select {key}, {category_sql(col)} as regex_category, {pattern} as regex_pattern,
  case when {category_sql(col)} is not null then 0.95::double end as regex_confidence from {source}"""
 
 
-@query("detection_text", with_view("fw_log", f"select event_id, {_TEXT} as text from fw_log"))
+_LONG_LOG = f"select event_id, rule_id, rule_level, fortinet_action, fortinet_service, {_LONG.format(t='')} as full_log from fw_log"
+
+
+@query("detection_text", with_view("fw_log", f"select event_id, {_CUT} as text from ({_LONG_LOG}) l"))
 def detection_text(spark, sf_dir):
-    e = view(spark, sf_dir, "fw_log")
-    return e.select("event_id", D.detection_text(e).alias("text"))
+    e = spark.sql(_LONG_LOG.replace("from fw_log", "from {log}"), log=view(spark, sf_dir, "fw_log"))
+    return e.select("event_id", D.detection_text(e, chars=C.LOG_CHARS).alias("text"))
 
 
 _SHOWN = ["regex_category", "regex_pattern", "regex_confidence"]
@@ -111,7 +117,7 @@ def label_lookup(spark, sf_dir):
 
 
 # Signature log lines joined with the behaviour scores of the same events, both derived from events.
-_HYBRID = """select l.event_id, l.ts, l.full_log, l.rule_id, l.rule_level, l.fortinet_action, l.fortinet_service,
+_HYBRID = "select l.event_id, l.ts, " + _LONG.format(t="l.") + """ as full_log, l.rule_id, l.rule_level, l.fortinet_action, l.fortinet_service,
  s.dfp_is_anomaly, s.dfp_score, s.dfp_individual_score, s.dfp_peer_score, s.dfp_peer_group_id, s.dfp_detection_method as dfp_method_in
  from fw_log l join fw_scored s on l.event_id = s.event_id"""
 
@@ -142,10 +148,10 @@ def cascade(spark, sf_dir):
 
 
 @query("threat_result", _hybrid_sql("""select event_id, threat_class, round(confidence, 6) as confidence, is_threat, stages_used, detection_method,
- 'hybrid_dfp_peer_v2' as model_version, dfp_is_anomaly, dfp_score from res"""))
+ 'hybrid_dfp_peer_v2' as model_version, dfp_is_anomaly, dfp_score, 'unknown' as dfp_status, 0 as dfp_peer_group_size, 'none' as dfp_detection_method from res"""))
 def threat_result(spark, sf_dir):
     return hybrid(spark, sf_dir).select("event_id", "threat_class", F.round("confidence", 6).alias("confidence"), "is_threat", "stages_used",
-                                        "detection_method", "model_version", "dfp_is_anomaly", "dfp_score")
+                                        "detection_method", "model_version", "dfp_is_anomaly", "dfp_score", "dfp_status", "dfp_peer_group_size", "dfp_detection_method")
 
 
 _TRIGGER = """case when dfp_is_anomaly = 1 then case when {m} = 'individual_and_peer' then 'both' when dfp_peer_score > dfp_individual_score then 'peer' else 'individual' end end"""
@@ -221,7 +227,7 @@ _DWORDS = " or ".join(f"contains(lower(answer), '{w}')" for w in C.DETECTOR_KEYW
   when 'json' then (flag='true')::int else 0 end as verdict_threat,
  case form when 'keywords' then case when {_WORDS} then 80 else 20 end when 'broken' then case when contains(lower(answer), 'true') then 70 else 30 end
   when 'json' then coalesce(try_cast(conf as bigint), 50) else 0 end::bigint as verdict_confidence,
- case form when 'json' then coalesce(reason, 'No reason provided') when 'error' then concat('error: confidence is not a number: ', conf) else answer end as verdict_reason,
+ case form when 'json' then coalesce(reason, case when not regexp_matches(obj, '"reason"\\s*:') then 'No reason provided' end) when 'error' then concat('error: confidence is not a number: ', conf) else answer end as verdict_reason,
  case when form='error' then 'error' when dfp_is_anomaly=1 then 'dfp_anomaly' else 'low_bert_conf' end as verdict_trigger
  from (select *, case when obj='' then 'keywords' when not json_valid(obj) then 'broken' when conf is not null and try_cast(conf as bigint) is null then 'error' else 'json' end as form
  from (select *, case when json_valid(obj) then obj->>'$.is_threat' end as flag, case when json_valid(obj) then obj->>'$.confidence' end as conf,

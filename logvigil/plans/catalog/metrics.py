@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 from ...operators import metrics as M
 from ...operators import peers as PE
 from ..views import table
-from .profile import _GROUP_SQL, _scored, _seq, dfp_sql, portable_groups
-from .registry import query, view, with_view
+from .profile import _GROUP_SQL, GROUPS, _scored, _seq, dfp_sql, portable_groups
+from .registry import query, view, view_sql, with_view
 
 
 @query("dfp_metrics", _seq(f"""select count(distinct dfp_entity) as total_entities, count(distinct case when dfp_status='trained' then dfp_entity end) as trained_models,
- sum(dfp_is_anomaly)::bigint as anomalies_detected, count(distinct dfp_entity) as profiles_created, count(*) as messages_processed, 0::bigint as peer_groups,
- 0::bigint as peer_anomalies_detected, count(*) // 100 as peer_grouping_runs from ({dfp_sql(False)}) d"""))
+ sum(dfp_is_anomaly)::bigint as anomalies_detected, count(distinct dfp_entity) as profiles_created, count(*) as messages_processed, count(distinct dfp_peer_group_id) as peer_groups,
+ sum(dfp_is_anomaly)::bigint as peer_anomalies_detected, count(*) // 100 as peer_grouping_runs from ({dfp_sql(True)}) d"""))
 def dfp_metrics(spark, sf_dir):
-    return M.dfp_metrics(_scored(spark, sf_dir))
+    return M.dfp_metrics(_scored(spark, sf_dir, peers=True))
 
 
 @query("top_entities", with_view("fw", """select srcip as dfp_entity, count(*) as messages, 'profiled' as status, 'ungrouped' as peer_group from fw
@@ -24,10 +24,11 @@ def top_entities(spark, sf_dir):
     return M.top_entities(_scored(spark, sf_dir))
 
 
-@query("group_sizes", with_view("fw", f"""select group_id, n as members, round(avg(n) over (), 6) as avg_members from (select {_GROUP_SQL} as group_id, count(*) as n
+# Two groups more than have members: they count in the average.
+@query("group_sizes", with_view("fw", f"""select group_id, n as members, round(sum(n) over () / {GROUPS + 2}.0, 6) as avg_members from (select {_GROUP_SQL} as group_id, count(*) as n
  from (select distinct srcip as entity from fw) e group by 1) g"""))
 def group_sizes(spark, sf_dir):
-    g = PE.group_sizes(portable_groups(view(spark, sf_dir, "fw").withColumnRenamed("srcip", "entity")))
+    g = PE.group_sizes(portable_groups(view(spark, sf_dir, "fw").withColumnRenamed("srcip", "entity")), GROUPS + 2)
     return g.select("group_id", "members", F.round("avg_members", 6).alias("avg_members"))
 
 
@@ -74,10 +75,23 @@ _STAGES = {
 }
 
 
-@query("message_size", with_view("fw_scored", f"select 'scored' as stage, round(avg({_size_sql(_STAGES['scored'])}), 4) as bytes from fw_scored"))
+def _raw_size(value: str) -> str:
+    # quotes inside the line are escaped
+    return f"{len(chr(123) + chr(34) + 'value' + chr(34) + ':' + chr(125)) + 2} + strlen({value}) + (strlen({value}) - strlen(replace({value}, chr(34), '')))"
+
+
+@query("message_size", with_view("fw_scored", f"select 'scored' as stage, round(avg({_size_sql(_STAGES['scored'])}), 4) as bytes from fw_scored union all select 'raw', round(avg({_raw_size('value')}), 4) from ({view_sql('raw_lines', 'duckdb')}) r"))
 def message_size(spark, sf_dir):
-    e = view(spark, sf_dir, "fw_scored")
-    return e.agg(F.round(M.message_size(e, [c for c, _ in _STAGES["scored"]]), 4).alias("bytes")).select(F.lit("scored").alias("stage"), "bytes")
+    sizes = []
+    for stage, name in (("scored", "fw_scored"), ("raw", "raw_lines")):
+        e = view(spark, sf_dir, name)
+        sizes.append(e.agg(F.round(M.message_size(e, [c for c, _ in _STAGES[stage]]), 4).alias("bytes")).select(F.lit(stage).alias("stage"), "bytes"))
+    return sizes[0].unionByName(sizes[1])
+
+
+@query("documents_per_day_all", with_view("fw_scored", "select cast(cast(ts as date) as varchar) as day, count(*) as documents from fw_scored group by 1"))
+def documents_per_day_all(spark, sf_dir):
+    return M.documents_per_day(view(spark, sf_dir, "fw_scored")).select(F.col("day").cast("string").alias("day"), "documents")
 
 
 @query("documents_per_day", with_view("fw_scored", "select cast(cast(ts as date) as varchar) as day, count(*) as documents from fw_scored where ts >= timestamp '2024-01-11' group by 1"))

@@ -86,11 +86,12 @@ def project_firewall_schema(spark, sf_dir):
     return e.select("event_id", *_TEXT, F.col("extra")["url"].alias("extra_url"), F.when(F.col("extra").isNull(), 0).otherwise(F.size("extra")).alias("extra_keys"))
 
 
-@query("drop_fields", _lines_sql("select event_id, 0 as dropped_left from p"))
+@query("drop_fields", _lines_sql("select event_id, payload is not null as had_payload, true as gone, true as others_stay from p"))
 def drop_fields(spark, sf_dir):
-    e = parsed(spark, sf_dir)
-    left = len({"payload", "fg_timestamp", "message", "value"} & set(e.columns))
-    return e.select("event_id", F.lit(left).alias("dropped_left"))
+    d = P.dissect_pri(view(spark, sf_dir, "raw_lines")).withColumns({"message": F.col("payload"), "fg_timestamp": F.lit("t"), "had_payload": F.col("payload").isNotNull()})
+    e = P.drop_fields(d)
+    gone, stay = {"payload", "fg_timestamp", "message"} - set(e.columns), set(d.columns) - {"payload", "fg_timestamp", "message", "value"} <= set(e.columns)
+    return e.select("event_id", "had_payload", F.lit(len(gone) == 3).alias("gone"), F.lit(stay).alias("others_stay"))
 
 
 _WIRE = "event_id bigint, srcip string, dstport int, action string, `@timestamp` string"
@@ -103,6 +104,25 @@ def decode_json(spark, sf_dir):
     return d.select("event_id", "srcip", "dstport", "action", F.col("`@timestamp`").alias("stamp"))
 
 
+# A port as text, a port that is none, a nested value, single quotes, an array and half an object.
+_MIXED = """select event_id, case event_id%6 when 0 then concat('{"event_id":', cast(event_id as string), ',"dstport":"', cast(dstport as string), '"}')
+ when 1 then concat('{"event_id":', cast(event_id as string), ',"dstport":"n/a","srcip":"', srcip, '"}') when 2 then concat('{"event_id":"', cast(event_id as string), '","dstport":null,"srcip":{"a":1}}')
+ when 3 then concat('{''event_id'':', cast(event_id as string), '}') when 4 then '{"event_id":' else concat('{"event_id":', cast(event_id as string), ',"dstport":', cast(dstport as string), '}') end as value from fw_t"""
+
+
+@query("decode_json_types", with_view("fw_t", f"""select cast(value->>'$.event_id' as bigint) as event_id, try_cast(value->>'$.dstport' as int) as dstport, value->>'$.srcip' as srcip
+ from ({_MIXED.replace('as string', 'as varchar')}) m where event_id%6 not in (3, 4)"""))
+def decode_json_types(spark, sf_dir):
+    m = spark.sql(_MIXED.replace("{", "{{").replace("}", "}}").replace("''event_id''", "\\'event_id\\'").replace("from fw_t", "from {t}"), t=view(spark, sf_dir, "fw_t"))
+    return io.decode_json(m, "event_id bigint, dstport int, srcip string")
+
+
+@query("json_messages", with_view("fw_t", """select concat('{"event_id":', cast(event_id as varchar), ',"srcip":', case when k%3=0 then 'null' else concat('"', srcip, '"') end, '}') as value from fw_t"""))
+def json_messages(spark, sf_dir):
+    e = view(spark, sf_dir, "fw_t").select("event_id", F.when(F.col("k") % 3 != 0, F.col("srcip")).alias("srcip"))
+    return io.to_messages(e)
+
+
 @query("quarantine_json", with_view("wire", "select value as corrupt from wire where not json_valid(value)"))
 def quarantine_json(spark, sf_dir):
     return io.decode_json(view(spark, sf_dir, "wire"), _WIRE, on_error="only").select(F.col("_corrupt").alias("corrupt"))

@@ -8,6 +8,7 @@ from ...functions import constants as C
 from ...operators import features as FE
 from ...operators import peers as PE
 from ...operators import profile as PR
+from ...session import materialize
 from .. import dfp
 from .features import feature_sql
 from .registry import query, view, with_view
@@ -75,7 +76,7 @@ def byte_variance(spark, sf_dir):
  and (count(*) over () <= {C.MAX_ENTITIES} or count(*) >= {C.MIN_ENTITY_ROWS})"""))
 def admit_entities(spark, sf_dir):
     e = view(spark, sf_dir, "fw")
-    return PR.admit_entities(e.select(FE.entity_key(e).alias("entity")))
+    return PR.admit_entities(e.select(FE.entity_key(e).alias("entity")), C.MAX_ENTITIES)
 
 
 @query("training_ready", _seq("select event_id, entity from rings where seq = 15"))
@@ -159,10 +160,14 @@ def peer_group_count(spark, sf_dir):
     return n.select("entities", PE.group_count(F.col("entities")).alias("k"))
 
 
-@query("peer_groups")
+# Who is with whom is the clustering's matter; that every eligible entity is in one of at most k groups is not.
+@query("peer_groups", with_view("fw", """select count(*) as members, count(*) as entities, true as groups_within from (select srcip from fw group by 1 having count(*) >= 5) e"""))
 def peer_groups(spark, sf_dir):
-    vectors = PE.entity_vector(_events(spark, sf_dir)).persist()
-    return PE.peer_groups(vectors).groupBy("group_id").agg(F.count("*").alias("members"))
+    vectors = materialize(PE.entity_vector(_events(spark, sf_dir)), "vectors")
+    g = PE.peer_groups(vectors)
+    k = vectors.agg(PE.group_count(F.count("*")).alias("k"))
+    out = g.agg(F.count("*").alias("members"), F.countDistinct("entity").alias("entities"), F.countDistinct("group_id").alias("n"))
+    return out.join(F.broadcast(k), F.col("n") <= F.col("k"), "left").select("members", "entities", F.col("k").isNotNull().alias("groups_within"))
 
 
 def stats_sql() -> str:
@@ -239,16 +244,23 @@ def dfp_score_individual(spark, sf_dir):
     return _dfp_columns(_scored(spark, sf_dir))
 
 
-# Rows without an entity and a cap of 100 profiles exercise every status.
+# Rows without an entity; every entity keeps a profile, or, with a cap of 100, the most active ones do.
 _PARTIAL = "select event_id, ts, case when event_id%10=0 then '' else srcip end as srcip, dstip, srcport, dstport, proto, action, app, sentbyte, rcvdbyte, sentpkt, rcvdpkt, duration from fw"
 CAP = 100
 
 
-@query("dfp_status", with_view("fw", f"""select event_id, case when e='' then 'no_entity' when not kept then 'skipped'
+@query("dfp_status", with_view("fw", f"""select event_id, case when srcip='' then 'no_entity'
+ when row_number() over (partition by srcip order by ts, event_id) >= 15 then 'trained' else 'training' end as dfp_status from ({_PARTIAL}) q"""))
+def dfp_status(spark, sf_dir):
+    e = spark.sql(_PARTIAL.replace("from fw", "from {fw}"), fw=view(spark, sf_dir, "fw"))
+    return dfp.score(e, clock=F.col("ts")).select("event_id", "dfp_status")
+
+
+@query("dfp_status_admitted", with_view("fw", f"""select event_id, case when e='' then 'no_entity' when not kept then 'skipped'
  when row_number() over (partition by e order by ts, event_id) >= 15 then 'trained' else 'training' end as dfp_status
  from (select event_id, ts, srcip as e, (srcip in (select srcip from (select srcip, count(*) as n from ({_PARTIAL}) a where srcip<>'' group by 1
    qualify row_number() over (order by count(*) desc, srcip) <= {CAP} and (count(*) over () <= {CAP} or count(*) >= {C.MIN_ENTITY_ROWS})) t)) as kept from ({_PARTIAL}) q) z"""))
-def dfp_status(spark, sf_dir):
+def dfp_status_admitted(spark, sf_dir):
     e = spark.sql(_PARTIAL.replace("from fw", "from {fw}"), fw=view(spark, sf_dir, "fw"))
     return dfp.score_admitted(e, CAP, clock=F.col("ts")).select("event_id", "dfp_status")
 

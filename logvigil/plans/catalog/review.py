@@ -82,11 +82,11 @@ def review_status(spark, sf_dir):
 
 
 @query("enrichment_record", with_view("fw_scored", """select event_id, cast(ts as varchar) as "@timestamp", srcip, dstip, threat_class as original_threat_class, dfp_is_anomaly, dfp_score,
- '2024-02-01T07:30:00+07:00' as enrichment_timestamp from fw_scored"""))
+ '2024-02-01T07:30:00+07:00' as enrichment_timestamp, llm_confidence, llm_response, llm_trigger from fw_scored"""))
 def enrichment_record(spark, sf_dir):
     e = view(spark, sf_dir, "fw_scored").withColumn("@timestamp", F.col("ts").cast("string"))
     rec = R.enrichment_record(e.drop("llm_status", "llm_is_suspicious", "confidence"), F.lit("2024-02-01 00:30:00").cast("timestamp"))
-    return rec.select("event_id", "@timestamp", "srcip", "dstip", "original_threat_class", "dfp_is_anomaly", "dfp_score", "enrichment_timestamp")
+    return rec.select("event_id", "@timestamp", "srcip", "dstip", "original_threat_class", "dfp_is_anomaly", "dfp_score", "enrichment_timestamp", "llm_confidence", "llm_response", "llm_trigger")
 
 
 @query("review_trigger", with_view("fw_scored", "select event_id, case when dfp_is_anomaly=1 then 'dfp_anomaly' else 'low_bert_conf' end as trigger_name from fw_scored"))

@@ -10,30 +10,30 @@ from ..views import table
 from .registry import query, view, view_sql, with_view
 
 # Scored events as the rule side sees them: a decoder name, the log text and attack classes.
-_RULE_EVENTS = """select event_id, ts, srcip, case when k%4<3 then 'threat-ai' when k%8=3 then 'firewall-traffic' when k%16=7 then 'firewall-custom' else 'firewall-greedy' end as decoder,
+_RULE_EVENTS = """select event_id, ts, srcip, case when k%4<3 then 'threat-ai' when k%8=3 then 'fortigate-traffic' when k%16=7 then 'fortigate-custom' else 'fortigate-greedy' end as decoder,
  case when k%4<3 then case when k%9=8 then 'other' else 'AI-Threat: found' end else concat('action="', action, '" app="', app, '"') end as log,
  case k%8 when 0 then 'sql_injection' when 1 then 'xss_attack' when 2 then 'command_injection' when 3 then 'brute_force' when 4 then 'malware'
   when 5 then 'port_scan' when 6 then 'web_attack' else 'suspicious_activity' end as threat_class,
  confidence, dfp_score, llm_status, llm_is_suspicious, llm_response from fw_scored"""
 
 _BAND = "(decoder='threat-ai' and contains(log, 'AI-Threat:'))"
-_TYPES = [(100110, 10, "sql_injection", "SQL Injection attack", "ai_threat,sql_injection,attack"), (100111, 10, "xss_attack", "XSS attack", "ai_threat,xss_attack,attack"),
-          (100112, 12, "command_injection", "Command injection attack", "ai_threat,command_injection,attack"), (100113, 9, "brute_force", "Brute force attack", "ai_threat,brute_force,attack"),
-          (100114, 13, "malware", "Malware activity", "ai_threat,malware,attack"), (100115, 7, "port_scan", "Port scanning", "ai_threat,port_scan,recon"),
-          (100116, 10, "web_attack", "Web attack", "ai_threat,web_attack,attack"), (100117, 6, "suspicious_activity", "Suspicious activity", "ai_threat,suspicious")]
+_TYPES = [(100110, 10, "sql_injection", "SQL Injection attack", "ai,ai_threat_detection,ai_threat,sql_injection,attack"), (100111, 10, "xss_attack", "XSS attack", "ai,ai_threat_detection,ai_threat,xss_attack,attack"),
+          (100112, 12, "command_injection", "Command injection attack", "ai,ai_threat_detection,ai_threat,command_injection,attack"), (100113, 9, "brute_force", "Brute force attack", "ai,ai_threat_detection,ai_threat,brute_force,attack"),
+          (100114, 13, "malware", "Malware activity", "ai,ai_threat_detection,ai_threat,malware,attack"), (100115, 7, "port_scan", "Port scanning", "ai,ai_threat_detection,ai_threat,port_scan,recon"),
+          (100116, 10, "web_attack", "Web attack", "ai,ai_threat_detection,ai_threat,web_attack,attack"), (100117, 6, "suspicious_activity", "Suspicious activity", "ai,ai_threat_detection,ai_threat,suspicious")]
 _DESC = "concat('AI: {x} confidence threat detected (', threat_class, ')')"
 _RULE_SQL: list[tuple[int, int, str, str, str]] = [
-    (100100, 0, "decoder='threat-ai'", "'AI threat detection'", ""),
-    (100101, 5, f"{_BAND} and confidence >= 0.60 and confidence < 0.75", _DESC.format(x="Low"), "ai_threat,low_confidence"),
-    (100102, 8, f"{_BAND} and confidence >= 0.75 and confidence <= 0.90", _DESC.format(x="Medium"), "ai_threat,medium_confidence"),
-    (100103, 12, f"{_BAND} and confidence > 0.90", _DESC.format(x="High"), "ai_threat,high_confidence"),
+    (100100, 0, "decoder='threat-ai'", "'AI threat detection'", "ai,ai_threat_detection"),
+    (100101, 5, f"{_BAND} and confidence >= 0.60 and confidence < 0.75", _DESC.format(x="Low"), "ai,ai_threat_detection,ai_threat,low_confidence"),
+    (100102, 8, f"{_BAND} and confidence >= 0.75 and confidence < 0.95", _DESC.format(x="Medium"), "ai,ai_threat_detection,ai_threat,medium_confidence"),
+    (100103, 12, f"{_BAND} and confidence >= 0.95", _DESC.format(x="High"), "ai,ai_threat_detection,ai_threat,high_confidence"),
     *[(i, lv, f"{_BAND} and confidence >= 0.60 and threat_class='{c}'", f"concat('AI: {t} detected from ', srcip)", g) for i, lv, c, t, g in _TYPES],
-    (100120, 11, f"{_BAND} and confidence >= 0.60 and dfp_score >= 0.8", "concat('AI: High anomaly score detected (', threat_class, ') from ', srcip)", "ai_threat,high_anomaly"),
-    (222223, 3, "decoder='firewall-traffic' and contains(log, 'action=\"accept\"')", "concat('Firewall: Traffic accepted from ', srcip)", "firewall,syslog"),
-    (222225, 3, "decoder='firewall-custom' and contains(log, 'app=\"SSH\"')", "concat('Firewall: SSH session detected from ', srcip)", "firewall_brute"),
-    (222227, 3, "decoder='firewall-greedy'", "'Firewall log received.'", "firewall_fix"),
-    (100200, 12, "llm_status='analyzed' and llm_is_suspicious=1 and llm_response<>''", "concat('🚨 LLM-CONFIRMED THREAT: ', llm_response)", "ai_review,threat,suspicious"),
-    (100201, 8, "llm_status='analyzed' and llm_is_suspicious=0 and llm_response<>''", "concat('ℹ️ LLM Analysis (Requires Investigation): ', llm_response)", "ai_review,info"),
+    (100120, 11, f"{_BAND} and confidence >= 0.60 and dfp_score >= 0.8", "concat('AI: High anomaly score detected (', threat_class, ') from ', srcip)", "ai,ai_threat_detection,ai_threat,high_anomaly"),
+    (222223, 3, "decoder='fortigate-traffic' and contains(log, 'action=\"accept\"')", "concat('FortiGate: Traffic accepted from ', srcip)", "fortigate,syslog"),
+    (222225, 3, "decoder='fortigate-custom' and contains(log, 'app=\"SSH\"')", "concat('FortiGate: SSH session detected from ', srcip)", "fortigate_brute"),
+    (222227, 3, "decoder='fortigate-greedy'", "'FortiGate log received.'", "fortigate_fix"),
+    (100200, 12, "llm_status='analyzed' and llm_is_suspicious=1 and llm_response<>''", "concat('🚨 LLM-CONFIRMED THREAT: ', llm_response)", "ai,llm_threats,ai_review,threat,suspicious"),
+    (100201, 8, "llm_status='analyzed' and llm_is_suspicious=0 and llm_response<>''", "concat('ℹ️ LLM Analysis (Requires Investigation): ', llm_response)", "ai,llm_threats,ai_review,info"),
 ]
 
 
@@ -86,7 +86,7 @@ def render_description(spark, sf_dir):
     return fired(spark, sf_dir).groupBy("rule_description").agg(F.count("*").alias("n"))
 
 
-@query("confidence_band", with_view("fw_scored", """select event_id, case when confidence > 0.90 then 12 when confidence >= 0.75 then 8 when confidence >= 0.60 then 5 end as level from fw_scored"""))
+@query("confidence_band", with_view("fw_scored", """select event_id, case when confidence >= 0.95 then 12 when confidence >= 0.75 then 8 when confidence >= 0.60 then 5 end as level from fw_scored"""))
 def confidence_band(spark, sf_dir):
     return view(spark, sf_dir, "fw_scored").select("event_id", R.confidence_band(F.col("confidence")).alias("level"))
 

@@ -62,7 +62,9 @@ def frequency_rule_stream(spark, sf_dir):
  where llm_is_suspicious=1 and llm_response is not null and llm_response<>'' and event_original is not null"""))
 def unseen_alerts_stream(spark, sf_dir):
     e = stream_view(spark, sf_dir, "fw_scored").withColumns({"doc_id": F.md5(F.concat("srcip", "dstip")), "ts": F.col("ts").cast("timestamp")})
-    return drain(gates.first_per_id(A.alert_candidates(e).select("doc_id", "ts"), delay="60 days"), "alerts").select("doc_id")
+    path = scratch_path(spark, "alerts")
+    gates.unseen_to(A.alert_candidates(e).select("doc_id", "ts"), path, path + "-checkpoint", available_now=True).awaitTermination()
+    return spark.read.parquet(path).select("doc_id")
 
 
 @query("index_append", with_view("fw_scored", "select event_id, srcip, dfp_score from fw_scored"))
@@ -90,28 +92,38 @@ def deliver_alerts(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "llm_response")
 
 
-# Append mode gives the windows that the watermark has passed.
-@query("throughput_stream", """select cast(day as varchar) as window_start, n as messages from (select date_trunc('day', ts)::timestamp as day, count(*) as n from events group by 1) d
- where day + interval 1 day <= (select max(ts) - interval 10 minute from events)""")
+# Complete output: the window that is still open is there as well.
+@query("throughput_stream", "select cast(date_trunc('day', ts)::timestamp as varchar) as window_start, count(*) as messages from events group by 1")
 def throughput_stream(spark, sf_dir):
-    e = table_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "10 minutes")
-    out = drain(M.throughput(e, width="1 day"), "throughput")
+    e = table_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = drain(M.throughput(e, width="1 day"), "throughput", "complete")
     return out.select(F.col("window_start").cast("string").alias("window_start"), "messages")
 
 
-@query("train_autoencoder")
+@query("train_autoencoder", with_view("fw", f"select srcip as entity, {MO.parameter_count()}::int as parameters from fw group by 1 having count(*) >= 15"))
 def train_autoencoder(spark, sf_dir):
     m = MO.train_models(_events(spark, sf_dir))
     return m.select("entity", F.size("params").alias("parameters"))
 
 
-@query("dfp_score_autoencoder")
+# A model's errors are beyond SQL; what must hold of every row is not: number, status, method and the range of its score.
+_MODELLED = with_view("fw", """select event_id, seq, case when seq >= 15 then 'trained' else 'training' end as dfp_status,
+ case when seq < 15 then 'none' when seq < 24 then 'insufficient_history' else 'individual_only' end as dfp_detection_method, true as in_range
+ from (select event_id, row_number() over (partition by srcip order by ts, event_id) as seq from fw) s""")
+
+
+def _modelled(spark, sf_dir, scorer):
+    s = dfp.score(view(spark, sf_dir, "fw"), clock=F.col("ts"), scorer=scorer)
+    return s.select("event_id", F.col("seq").cast("bigint").alias("seq"), "dfp_status", "dfp_detection_method", F.col("dfp_score").between(0, 1).alias("in_range"))
+
+
+@query("dfp_score_autoencoder", _MODELLED)
 def dfp_score_autoencoder(spark, sf_dir):
-    return _dfp_columns(dfp.score(view(spark, sf_dir, "fw"), clock=F.col("ts"), scorer="autoencoder"))
+    return _modelled(spark, sf_dir, "autoencoder")
 
 
-@query("dfp_score_pca")
+@query("dfp_score_pca", _MODELLED)
 def dfp_score_pca(spark, sf_dir):
-    return _dfp_columns(dfp.score(view(spark, sf_dir, "fw"), clock=F.col("ts"), scorer="pca"))
+    return _modelled(spark, sf_dir, "pca")
 
 

@@ -28,11 +28,13 @@ _RAW_FIELDS = [
 ]
 
 
-def narrow(e: DataFrame, ts: str = "ts", tie: str = "event_id", clock: Column | None = None) -> DataFrame:
+def narrow(e: DataFrame, ts: str = "ts", tie: str = "event_id", clock: Column | None = None, keep: list[str] | None = None) -> DataFrame:
     """(tie, ts, entity, _at, raw fields): what goes through the shuffle. The 34 features are twice
-    as wide, so they are computed behind it."""
+    as wide, so they are computed behind it. Columns named in ``keep`` travel along in ``_event``."""
     at = event_time(e) if clock is None else clock
     raw = [F.col(c) for c in _RAW_FIELDS if c in e.columns]
+    if keep:
+        raw.append(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_event"))
     return e.select(F.col(tie), F.col(ts), FE.entity_key(e).alias("entity"), at.alias("_at"), *raw)
 
 
@@ -64,7 +66,8 @@ def decide(d: DataFrame, ts: str, tie: str, assignments: DataFrame | None = None
         peer, gid, gsize = PE.peer_score(C.TRAFFIC_FEATURES), F.col("group_id"), F.col("group_size")
     else:
         peer, gid, gsize = F.lit(0.0), F.lit(None).cast("int"), F.lit(None).cast("int")
-    scored = (F.col("seq") >= C.TRAINING_ROWS) & (F.col("err_count") >= C.MIN_ERRORS)
+    fine = F.col("recon_err").isNotNull() & ~F.isnan("recon_err") & (F.abs("recon_err") < float("inf"))
+    scored = (F.col("seq") >= C.TRAINING_ROWS) & (F.col("err_count") >= C.MIN_ERRORS) & fine
     grouped = scored & gsize.isNotNull()
     d = d.withColumns({
         "_ind": F.when(scored, PR.individual_score()).otherwise(0.0),
@@ -75,7 +78,7 @@ def decide(d: DataFrame, ts: str, tie: str, assignments: DataFrame | None = None
     })
     combined, anomaly = PR.combine_scores(F.col("_ind"), F.col("_peer"), F.col("_over"))
     status = PR.dfp_status(F.col("entity"), F.col("seq"))
-    keep = [c for c in ("_home", "_chunk") if c in d.columns]
+    keep = [c for c in ("_home", "_chunk", "_event") if c in d.columns]
     return d.select(
         F.col(tie), F.col(ts), *keep, "seq", "recon_err", "threshold",
         anomaly.alias("dfp_is_anomaly"), combined.alias("dfp_score"),
@@ -95,9 +98,13 @@ def score(
     stats: DataFrame | None = None,
     hot_rows: int | None = None,
     scorer: str = "zero",
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Score every event: (tie, ts, 9 dfp_ columns), one output row per input row.
 
+    ``keep`` names event columns to carry through the same shuffle into the result, so that nothing has to be
+    joined back by an id.
+
     ``assignments`` (entity, group_id) adds the peer layer with one set of group statistics for all
     rows; ``stats`` is the table of ``peers.peer_stats`` and is computed from ``e`` when not given.
     Statistics that change over time: ``peers.refresh_peer_stats``. ``scorer`` is how an event is
@@ -105,14 +112,14 @@ def score(
     model per entity, see ``operators.models``).
     """
     feats = C.TRAFFIC_FEATURES
-    base = narrow(e, ts, tie, clock)
+    base = narrow(e, ts, tie, clock, keep)
     known = base.filter(F.col("entity").isNotNull())
     featured = lambda d: add_features(d, ts, tie)
     wide = groups = None
     if assignments is not None:
         groups = assignments.select("entity", "group_id").filter(F.col("entity").isNotNull())
         if stats is None:
-            wide = PE.group_moments(PR.recent_rows(known, ts=ts, tie=tie, features=featured), groups, feats)
+            wide = PE.group_moments(PR.recent_rows(known.drop("_event"), ts=ts, tie=tie, features=featured), groups, feats)
         else:
             wide = PE.stats_wide(stats, feats)
 
@@ -139,12 +146,15 @@ def score(
         out = PR.rolling(known, "entity", ts, tie, _halo(), build, hot_rows, build_hot)
     else:
         rows = PR.rolling(known, "entity", ts, tie, C.RING_ROWS - 1, lambda d, p: PR.add_rings(featured(d), p), hot_rows)
-        params = MO.train_models(featured(PR.head_rows(known, C.TRAINING_ROWS, "entity", ts, tie)), scorer, "entity", ts, tie)
+        params = MO.train_models(featured(PR.head_rows(known.drop("_event"), C.TRAINING_ROWS, "entity", ts, tie)), scorer, "entity", ts, tie)
         # the models are trained once per run, not once per use of the errors
         rows = materialize(MO.model_errors(rows, params, scorer, ts=ts, tie=tie), "errors")
         out = PR.rolling(rows, "entity", ts, tie, C.ERROR_ROWS - 1, lambda d, p: finish(d, p, False), hot_rows, has_seq=True)
-    blank = empty_result(base.filter(F.col("entity").isNull()), ts, tie, "no_entity")
-    return out.unionByName(blank)
+    out = out.unionByName(empty_result(base.filter(F.col("entity").isNull()), ts, tie, "no_entity"))
+    if not keep:
+        return out
+    own = [c for c in out.columns if c != "_event"]
+    return out.select(*own, *[F.col(f"_event.`{c}`").alias(c) for c in keep if c not in own])
 
 
 def empty_result(df: DataFrame, ts: str, tie: str, status: str) -> DataFrame:
@@ -156,17 +166,18 @@ def empty_result(df: DataFrame, ts: str, tie: str, status: str) -> DataFrame:
         F.lit(0.0).alias("dfp_individual_score"), F.lit(0.0).alias("dfp_peer_score"),
         F.col("entity").alias("dfp_entity"), F.lit(status).alias("dfp_status"),
         null.cast("int").alias("dfp_peer_group_id"), F.lit(0).alias("dfp_peer_group_size"),
-        F.lit("none").alias("dfp_detection_method"),
+        F.lit("none").alias("dfp_detection_method"), *[c for c in df.columns if c == "_event"],
     )
 
 
-def score_admitted(e: DataFrame, max_entities: int = C.MAX_ENTITIES, ts: str = "ts", tie: str = "event_id", clock: Column | None = None, **kw) -> DataFrame:
+def score_admitted(e: DataFrame, max_entities: int, ts: str = "ts", tie: str = "event_id", clock: Column | None = None, **kw) -> DataFrame:
     """``score`` for the most active entities only; rows of the others get status ``skipped``."""
     keyed = e.withColumn("entity", FE.entity_key(e))
-    top = PR.admit_entities(keyed, max_entities=max_entities).select("entity")
-    kept = keyed.join(F.broadcast(top), "entity", "left_semi")
-    rest = keyed.join(F.broadcast(top), "entity", "left_anti")
+    top = materialize(PR.admit_entities(keyed, max_entities).select("entity"), "admitted")
+    kept = keyed.join(top, "entity", "left_semi")
+    rest = keyed.join(top, "entity", "left_anti")
     out = score(kept.drop("entity"), ts, tie, clock, **kw)
+    rest = rest.drop("_event")
     skipped = empty_result(rest.filter(F.col("entity").isNotNull()), ts, tie, "skipped")
     nobody = empty_result(rest.filter(F.col("entity").isNull()), ts, tie, "no_entity")
     return out.unionByName(skipped).unionByName(nobody)

@@ -54,16 +54,22 @@ def read_log_files(spark: SparkSession, path: str, log_format: str, stream: bool
     return parse_host_lines(read_syslog(spark, path, stream), log_format)
 
 
-def kafka_events(spark: SparkSession, servers: str, topic: str, starting: str = "latest", group: str | None = None, max_offsets: int | None = None, batch: bool = False, **options: str) -> DataFrame:
-    """A topic as (value, key, topic, partition, offset, timestamp). Offsets live in the query's
-    checkpoint. Needs Spark's Kafka package on the class path."""
+def kafka_options(servers: str, topic: str, starting: str = "latest", group: str | None = None, max_offsets: int | None = None, batch: bool = False, **options: str) -> dict[str, str]:
+    """The connector's options. A batch that starts at the latest offset would be empty, which is an error."""
+    if batch and starting == "latest":
+        raise ValueError("a batch read of a topic needs starting='earliest' or explicit offsets")
     opts = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting, **options}
     if group:
         opts["kafka.group.id"] = group
-    if max_offsets:
+    if max_offsets and not batch:
         opts["maxOffsetsPerTrigger"] = str(max_offsets)
-    if batch and starting == "latest":
-        opts["startingOffsets"] = "earliest"
+    return opts
+
+
+def kafka_events(spark: SparkSession, servers: str, topic: str, starting: str = "latest", group: str | None = None, max_offsets: int | None = None, batch: bool = False, **options: str) -> DataFrame:
+    """A topic as (value, key, topic, partition, offset, timestamp). Offsets live in the query's
+    checkpoint. Needs Spark's Kafka package on the class path. A batch needs a ``starting`` of its own."""
+    opts = kafka_options(servers, topic, starting, group, max_offsets, batch, **options)
     reader = (spark.read if batch else spark.readStream).format("kafka").options(**opts)
     raw = reader.load()
     return raw.select(F.col("value").cast("string"), F.col("key").cast("string"), "topic", "partition", "offset", "timestamp")
@@ -71,32 +77,46 @@ def kafka_events(spark: SparkSession, servers: str, topic: str, starting: str =
 
 def decode_json(df: DataFrame, schema: T.StructType | str, col: str = "value", on_error: str = "drop", keep: tuple[str, ...] = ()) -> DataFrame:
     """JSON text to columns. Malformed messages are dropped (``"drop"``), kept with the text in
-    ``_corrupt`` (``"keep"``) or are all that is returned (``"only"``, for a quarantine output)."""
+    ``_corrupt`` (``"keep"``) or are all that is returned (``"only"``, for a quarantine output).
+
+    Only text that is no JSON object is malformed. Fields are read as text and then cast, so a number sent as
+    text is read as well, and a field that cannot be of its type is null in a row that stays.
+    """
     shape = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    full = T.StructType([*shape.fields, T.StructField("_corrupt", T.StringType())])
-    out = df.withColumn("_j", F.from_json(col, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    full = T.StructType([*[T.StructField(f.name, T.StringType()) for f in shape.fields], T.StructField("_corrupt", T.StringType())])
+    out = df.withColumn("_j", F.from_json(col, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false"}))
     bad = F.col("_j").isNull() | F.col("_j._corrupt").isNotNull()
+
+    def typed(f: T.StructField) -> Column:
+        text = F.col(f"_j.`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            return text
+        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            return F.from_json(text, f.dataType).alias(f.name)
+        return text.try_cast(f.dataType).alias(f.name)
+
     if on_error == "drop":
-        return out.filter(~bad).select(*keep, *[F.col(f"_j.`{f.name}`") for f in shape.fields])
-    cols = [*[F.col(f"_j.`{f.name}`") for f in shape.fields], F.when(bad, F.col(col)).alias("_corrupt")]
+        return out.filter(~bad).select(*keep, *[typed(f) for f in shape.fields])
+    cols = [*[typed(f) for f in shape.fields], F.when(bad, F.col(col)).alias("_corrupt")]
     out = out.select(*keep, *cols, bad.alias("_bad"))
     return (out.filter("_bad") if on_error == "only" else out).drop("_bad")
 
 
 def to_messages(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Rows as JSON text in ``value`` (UTF-8, nulls left out), with an optional ``key``."""
-    cols = [F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value")]
+    """Rows as JSON text in ``value`` (UTF-8, nulls written), with an optional ``key``."""
+    cols = [F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("value")]
     if key:
         cols.insert(0, F.col(key).cast("string").alias("key"))
     return df.select(*cols)
 
 
-def json_sink(df: DataFrame, path: str | None = None, servers: str | None = None, topic: str | None = None, key: str | None = None, checkpoint: str | None = None) -> StreamingQuery | None:
+def json_sink(df: DataFrame, path: str | None = None, servers: str | None = None, topic: str | None = None, key: str | None = None, checkpoint: str | None = None, available_now: bool = False, interval: str = "1 second") -> StreamingQuery | None:
     """Write rows as JSON messages to text files or a topic, batch or stream. Keying a topic by
-    entity keeps each entity's events in order in one partition."""
+    entity keeps each entity's events in order in one partition. A stream runs on unless ``available_now``."""
     out = to_messages(df, key if topic else None)
     if df.isStreaming:
-        w = out.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        w = out.writeStream.option("checkpointLocation", checkpoint)
+        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
         if topic:
             return w.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).start()
         return w.format("text").option("path", path).start()

@@ -23,10 +23,10 @@ def _out_schema(df: DataFrame, name: str, dtype: T.DataType) -> T.StructType:
     return T.StructType([*df.schema.fields, T.StructField(name, dtype)])
 
 
-def cooldown_gate_stream(df: DataFrame, keys: list[str], ts: str = "ts", tie: str = "event_id", cooldown: int = C.COOLDOWN_SECONDS, delay: str = "10 minutes") -> DataFrame:
-    """The cooldown gate on a stream. State is the last time that passed; it is dropped once the
-    watermark shows that every later row passes anyway, so results do not depend on the drop."""
-    keyed = _keyed(df.withWatermark(ts, delay), keys, ts)
+def cooldown_gate_stream(df: DataFrame, keys: list[str], ts: str = "ts", tie: str = "event_id", cooldown: int = C.COOLDOWN_SECONDS, idle: int = 7 * 86_400) -> DataFrame:
+    """The cooldown gate on a stream, judged by arrival: every row comes out, one that is behind its key's last pass
+    without passing. State is that last time; a key without rows for ``idle`` seconds of the cluster's clock forgets it."""
+    keyed = _keyed(df, keys, ts)
     schema = _out_schema(df, "gate_pass", T.IntegerType())
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -43,18 +43,17 @@ def cooldown_gate_stream(df: DataFrame, keys: list[str], ts: str = "ts", tie: st
             i = int(np.searchsorted(t, last + cooldown, side="left"))
         if last is not None:
             state.update((int(last),))
-            until = (last + cooldown) * 1000
-            if until > state.getCurrentWatermarkMs():
-                state.setTimeoutTimestamp(until)
+            state.setTimeoutDuration(idle * 1000)
         yield rows.assign(gate_pass=passed)[[f.name for f in schema.fields]]
 
-    return keyed.groupBy("_k").applyInPandasWithState(step, schema, "last bigint", "append", GroupStateTimeout.EventTimeTimeout)
+    return keyed.groupBy("_k").applyInPandasWithState(step, schema, "last bigint", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
-def frequency_rule_stream(df: DataFrame, keys: list[str], frequency: int, timeframe: int, ts: str = "ts", tie: str = "event_id", delay: str = "10 minutes") -> DataFrame:
+def frequency_rule_stream(df: DataFrame, keys: list[str], frequency: int, timeframe: int, ts: str = "ts", tie: str = "event_id", late: int = 600, idle: int = 7 * 86_400) -> DataFrame:
     """Rows that complete ``frequency`` matches of a key within ``timeframe`` seconds; feed it the
-    rows that match the parent rule. State: the counts per second of the last ``timeframe`` seconds."""
-    keyed = _keyed(df.withWatermark(ts, delay), keys, ts)
+    rows that match the parent rule. State: the counts per second of the last ``timeframe + late`` seconds, so that
+    rows up to ``late`` seconds behind see all before them and older ones what is still known."""
+    keyed = _keyed(df, keys, ts)
     schema = _out_schema(df, "matches", T.LongType())
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -69,15 +68,30 @@ def frequency_rule_stream(df: DataFrame, keys: list[str], frequency: int, timefr
         at = rows["_s"].to_numpy()
         upto, before = np.searchsorted(s, at, side="right"), np.searchsorted(s, at - timeframe, side="left")
         rows = rows.assign(matches=total[upto] - total[before])
-        live = s >= s[-1] - timeframe
+        live = s >= s[-1] - timeframe - late
         state.update(([int(v) for v in s[live]], [int(v) for v in merged.to_numpy()[live]]))
-        until = int(s[-1] + timeframe + 1) * 1000
-        if until > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(until)
+        state.setTimeoutDuration(idle * 1000)
         yield rows[rows["matches"] >= frequency][[f.name for f in schema.fields]]
 
     return keyed.groupBy("_k").applyInPandasWithState(
-        step, schema, "seconds array<bigint>, counts array<bigint>", "append", GroupStateTimeout.EventTimeTimeout)
+        step, schema, "seconds array<bigint>, counts array<bigint>", "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def unseen_to(df: DataFrame, sent: str, checkpoint: str, key: str = "doc_id", available_now: bool = False, interval: str = "15 seconds"):
+    """Append each id of a stream once to the table at ``sent``, however long ago it came first.
+
+    Every batch is held against the stored ids of the batches before it; a repeated batch replaces its own folder.
+    """
+    spark = df.sparkSession
+    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{sent}/_batch=-1")
+
+    def step(batch: DataFrame, i: int) -> None:
+        known = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_batch", T.LongType())])).parquet(sent)
+        new = batch.dropDuplicates([key]).join(known.filter(F.col("_batch") < i).select(key), key, "left_anti")
+        new.select(*df.columns).write.mode("overwrite").parquet(f"{sent}/_batch={i}")
+
+    w = df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)).start()
 
 
 def first_per_id(df: DataFrame, key: str = "doc_id", ts: str = "ts", delay: str = "10 minutes") -> DataFrame:

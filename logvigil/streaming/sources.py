@@ -15,9 +15,21 @@ def table_stream(spark: SparkSession, folder: str, name: str, max_files: int = 1
 
 
 def drain(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a stream over all that is available into a table, and read the table."""
+    """Run a stream over all that is available into a table, and read the table. ``complete`` results replace the table
+    with each batch."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if mode == "complete":
+        w = df.writeStream.outputMode(mode).option("checkpointLocation", path + "-checkpoint")
+        w.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path)).trigger(availableNow=True).start().awaitTermination()
+        return spark.read.schema(df.schema).parquet(path)
     q = df.writeStream.format("parquet").outputMode(mode).option("path", path).option("checkpointLocation", path + "-checkpoint")
-    q.trigger(availableNow=True).start().awaitTermination()
+    # state that times out by the clock would ask for empty batches without end
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        q.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(setting, before)
     return spark.read.schema(df.schema).parquet(path)
