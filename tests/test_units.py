@@ -113,7 +113,9 @@ def test_threat_boundary(spark):
 
 
 def test_bands(spark):
-    assert one(spark, [0.59, 0.60, 0.7499, 0.75, 0.90, 0.9000001, 0.95], "double", RU.confidence_band) == [None, 5, 5, 8, 8, 12, 12]
+    values = [0.59, 0.60, 0.7499, 0.75, 0.90, 0.9000001, 0.94, 0.95]
+    assert one(spark, values, "double", RU.confidence_band) == [None, 5, 5, 8, 8, 8, 8, 12]
+    assert one(spark, values, "double", lambda c: RU.confidence_band(c, high=0.9000001)) == [None, 5, 5, 8, 8, 12, 12, 12]
 
 
 def test_kv(spark):
