@@ -51,7 +51,7 @@ def ngram_cells(text: str | None) -> np.ndarray:
 def counted(text: str | None, piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
     """(cells, counts) of a text."""
     text = text or ""
-    if len(text) <= piece:
+    if len(text) <= 500:
         cells, counts = np.unique(ngram_cells(text), return_counts=True)
         return cells, counts
     total = np.zeros(CELLS, np.int64)
@@ -95,7 +95,9 @@ def train(docs: DataFrame, smooth: float = 0.5) -> tuple[list[str], np.ndarray]:
 def mixtures(texts: list[str | None], logs: np.ndarray, penalty: float = 3.0) -> tuple[np.ndarray, np.ndarray]:
     """(proportions, selected) of each language for each text.
 
-    EM on scaled likelihoods: responsibilities are p_l(cell) theta_l over their sum; theta is their count-weighted mean.
+    The likelihood is concave in the proportions, so that no mixture gains more over the best single language than
+    n (max over languages of the mean likelihood ratio - 1). Texts where that is below the price of a second language
+    are settled; the others go through EM.
     """
     langs, docs = len(logs), len(texts)
     pairs = [counted(t) for t in texts]
@@ -104,9 +106,34 @@ def mixtures(texts: list[str | None], logs: np.ndarray, penalty: float = 3.0) ->
     cells = np.concatenate([c for c, _ in pairs])
     counts = np.concatenate([n for _, n in pairs]).astype(np.float32)
     total = np.add.reduceat(counts, starts)
+    cost = penalty * np.log(np.maximum(total, 2))
     like = logs[:, cells]  # languages x entries
-    top = like.max(0)
-    like = np.exp(like - top)
+    single = np.add.reduceat(counts * like, starts, axis=1, dtype=np.float64)
+    best = single.argmax(0)
+    of = np.repeat(best, sizes)
+    ratio = np.exp(like - like[of, np.arange(len(of))])
+    gain = total * ((np.add.reduceat(counts * ratio, starts, axis=1, dtype=np.float64) / total).max(0) - 1)
+    chosen = np.zeros((langs, docs), bool)
+    chosen[best, np.arange(docs)] = True
+    theta = chosen.astype(np.float32)
+    hard = np.flatnonzero(gain > cost)
+    if len(hard):
+        rows = np.concatenate([np.arange(starts[i], starts[i] + sizes[i]) for i in hard])
+        theta[:, hard], chosen[:, hard] = _grown(like[:, rows], counts[rows], sizes[hard], single[:, hard], cost[hard])
+    return theta, chosen
+
+
+def _grown(logs: np.ndarray, counts: np.ndarray, sizes: np.ndarray, single: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Language sets by penalised likelihood: from the best language on, the next by its share in the full mixture.
+
+    EM on scaled likelihoods: responsibilities are p_l(cell) theta_l over their sum; theta is their count-weighted mean.
+    """
+    langs, docs = single.shape
+    starts = np.cumsum(sizes) - sizes
+    total = np.add.reduceat(counts, starts)
+    top = logs.max(0)
+    like = np.exp(logs - top)
+    base = np.add.reduceat(counts * top, starts, dtype=np.float64)
     owner = np.repeat(np.arange(docs), sizes)
 
     def fit(theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,12 +142,10 @@ def mixtures(texts: list[str | None], logs: np.ndarray, penalty: float = 3.0) ->
             mass *= counts / mass.sum(0)
             theta = np.add.reduceat(mass, starts, axis=1) / total
         inside = np.maximum((like * theta[:, owner]).sum(0), 1e-30)
-        return theta, np.add.reduceat(counts * np.log(inside), starts)
+        return theta, base + np.add.reduceat(counts * np.log(inside), starts, dtype=np.float64)
 
     full, _ = fit(np.full((langs, docs), 1 / langs, np.float32))
-    single = np.add.reduceat(counts * np.log(np.maximum(like, 1e-30)), starts, axis=1)
     best = single.argmax(0)
-    cost = penalty * np.log(np.maximum(total, 2))
     chosen = np.zeros((langs, docs), bool)
     chosen[best, np.arange(docs)] = True
     theta, value = chosen.astype(np.float32), single.max(0) - cost
