@@ -18,7 +18,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,9 +75,18 @@ def text_features(text: str | None) -> np.ndarray:
 WIDTH = len(text_features(""))
 
 
-@F.pandas_udf(ArrayType(FloatType()))
-def features(texts: pd.Series) -> pd.Series:
-    return pd.Series([text_features(t) for t in texts])
+def feature_rows(texts: pa.Array) -> np.ndarray:
+    """One text at a time becomes a Python object."""
+    out = np.empty((len(texts), WIDTH), np.float32)
+    for i, t in enumerate(texts):
+        out[i] = text_features(t.as_py())
+    return out
+
+
+@F.arrow_udf(ArrayType(FloatType()))
+def features(texts: pa.Array) -> pa.Array:
+    x = feature_rows(texts)
+    return pa.ListArray.from_arrays(np.arange(0, x.size + 1, WIDTH, dtype=np.int32), x.ravel())
 
 
 def expand(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
@@ -198,8 +206,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     """The rows of ``docs`` that the classifier does not reject; texts are read a second time, nothing is joined."""
     model, _ = train(docs, labels, **how)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(np.stack([text_features(t) for t in texts])) if len(texts) else np.zeros(0))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(model.scores(feature_rows(texts)))
 
     return docs.filter(score("text") >= threshold)

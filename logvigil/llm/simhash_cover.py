@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,9 +63,10 @@ def simhash(text: str | None, width: int = 3) -> int:
     return int(np.packbits(2 * counts > total, bitorder="little").view("<i8")[0])
 
 
-@F.pandas_udf(LongType())
-def fingerprint(texts: pd.Series) -> pd.Series:
-    return pd.Series([simhash(t) for t in texts], dtype="int64")
+@F.arrow_udf(LongType())
+def fingerprint(texts: pa.Array) -> pa.Array:
+    # one text at a time becomes a Python object
+    return pa.array([simhash(t.as_py()) for t in texts], pa.int64())
 
 
 def masks(radius: int = RADIUS) -> list[int]:

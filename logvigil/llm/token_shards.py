@@ -79,7 +79,7 @@ def sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULAR
                     ids.append(d)
                     pieces.append(i)
                     tokens.append(data[at:at + stride])
-                    if len(ids) >= 8192:
+                    if len(ids) >= 2048:
                         yield batch(ids, pieces, tokens, place, id_type)
                         place += len(ids)
                         ids, pieces, tokens = [], [], []
