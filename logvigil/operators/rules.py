@@ -252,18 +252,14 @@ def severity_level() -> Column:
     )
 
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def ioc_match(df: DataFrame, indicators: DataFrame, columns: tuple[str, ...], value: str = "indicator", tags: tuple[str, ...] = ("kind",), small: bool = False) -> DataFrame:
+def ioc_match(df: DataFrame, indicators: DataFrame, columns: tuple[str, ...], value: str = "indicator", tags: tuple[str, ...] = ("kind",)) -> DataFrame:
     """Rows of which any of ``columns`` is a listed indicator: adds ``ioc_column``, ``indicator`` and
     the list's tags, one row per hit.
 
-    ``small=True`` promises a list that fits a broadcast; otherwise Spark picks the join by the
-    list's size, and AQE splits values that very many rows share.
+    Spark picks the join by the list's size, and AQE splits values that very many rows share.
     """
     entries = F.array_compact(F.array(*[
         F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))) for c in columns]))
     long = df.withColumn("_e", F.explode(entries)).select(*df.columns, F.col("_e.c").alias("ioc_column"), F.col("_e.v").alias(value))
     listed = indicators.select(value, *tags).distinct()
-    return long.join(F.broadcast(listed) if small else listed, value)
+    return long.join(listed, value)

@@ -54,14 +54,14 @@ def _halo() -> int:
     return C.ERROR_ROWS - 1 + C.RING_ROWS - 1
 
 
-def decide(d: DataFrame, ts: str, tie: str, assignments: DataFrame | None = None, wide: DataFrame | None = None, few_entities: bool = False) -> DataFrame:
+def decide(d: DataFrame, ts: str, tie: str, assignments: DataFrame | None = None, wide: DataFrame | None = None) -> DataFrame:
     """Scores and status from sequence number, error and error window (batch and stream).
 
     ``wide`` has one row per group, so it is broadcast. ``assignments`` grows with the entities and
-    is broadcast only where the caller knows there are few.
+    is joined as Spark finds it fit; AQE splits a hot entity's side.
     """
     if wide is not None:
-        d = d.join(F.broadcast(assignments) if few_entities else assignments, "entity", "left")
+        d = d.join(assignments, "entity", "left")
         d = d.join(F.broadcast(wide), "group_id", "left")  # at most MAX_GROUPS rows
         peer, gid, gsize = PE.peer_score(C.TRAFFIC_FEATURES), F.col("group_id"), F.col("group_size")
     else:
@@ -123,15 +123,15 @@ def score(
         else:
             wide = PE.stats_wide(stats, feats)
 
-    def finish(d: DataFrame, part: list[str], few: bool) -> DataFrame:
-        return decide(PR.add_error_window(d, part), ts, tie, groups, wide, few)
+    def finish(d: DataFrame, part: list[str]) -> DataFrame:
+        return decide(PR.add_error_window(d, part), ts, tie, groups, wide)
 
     def zero_error(d: DataFrame) -> DataFrame:
         d = d.withColumn("recon_err", F.when(F.col("seq") >= C.TRAINING_ROWS, PR.scaled_error(feats)))
         return d.drop(*[f"{p}_{f}" for f in feats for p in ("mean", "std")])
 
     def build(d: DataFrame, part: list[str]) -> DataFrame:
-        return finish(zero_error(PR.add_running_baseline(PR.add_rings(featured(d), part), part, feats)), part, False)
+        return finish(zero_error(PR.add_running_baseline(PR.add_rings(featured(d), part), part, feats)), part)
 
     def build_hot(d: DataFrame, part: list[str]) -> DataFrame:
         # A chunk cannot see the entity's first rows, so the baseline is joined. Only hot entities
@@ -140,7 +140,7 @@ def score(
         first = d.filter((F.col("_home") == F.col("_chunk")) & (F.col("seq") <= C.TRAINING_ROWS))
         baseline = PR.entity_baseline(first, feats, "entity", ts, tie)
         joined = PR.add_rings(d, part).join(F.broadcast(baseline.drop("training_rows")), "entity", "left")
-        return finish(zero_error(joined), part, True)
+        return finish(zero_error(joined), part)
 
     if scorer == "zero":
         out = PR.rolling(known, "entity", ts, tie, _halo(), build, hot_rows, build_hot)
@@ -149,7 +149,7 @@ def score(
         params = MO.train_models(featured(PR.head_rows(known.drop("_event"), C.TRAINING_ROWS, "entity", ts, tie)), scorer, "entity", ts, tie)
         # the models are trained once per run, not once per use of the errors
         rows = materialize(MO.model_errors(rows, params, scorer, ts=ts, tie=tie), "errors")
-        out = PR.rolling(rows, "entity", ts, tie, C.ERROR_ROWS - 1, lambda d, p: finish(d, p, False), hot_rows, has_seq=True)
+        out = PR.rolling(rows, "entity", ts, tie, C.ERROR_ROWS - 1, finish, hot_rows, has_seq=True)
     out = out.unionByName(empty_result(base.filter(F.col("entity").isNull()), ts, tie, "no_entity"))
     if not keep:
         return out
