@@ -1,14 +1,16 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-1. *Blocks.* Texts become rows of about 8 MB of text: a vocabulary in hash order and the token numbers. The stored
+1. *Blocks.* Texts become rows of about 4 MB of text: a vocabulary in hash order and the token numbers. The stored
    blocks are read from then on; texts are split into words once.
 2. *Counts.* Each block sends its vocabulary with counts, cut into hash buckets, to the bucket that adds them up
    exactly and answers every block with the totals of its own words. A frequent word is one entry a block.
    Pairs of neighbours are counted likewise, as hashes of 32 bits beside the bucket's number.
 3. *Filter.* An n-gram counted c times is in the filter with the levels 1 .. 1 + log_base(c). Each bucket builds
    its own part of the filter. Probing level after level until one misses gives the quantised count back.
-4. *Scores.* Every block is scored by itself: the exact unigram base, and the model, a Dirichlet-smoothed bigram
-   probability over smoothed unigrams, both from probed counts.
+4. *Scores.* Every block is scored by itself: the exact unigram base, and the model, a bigram probability with absolute
+   discounting, interpolated with smoothed unigrams, from probed counts. How much a context leaves to the unigrams is
+   known for each level of context counts: one minus the discounted share of its tokens that kept pairs explain,
+   summed up over all training tokens.
 
 The number of buckets follows the corpus, so that a bucket stays near ``BUCKET`` entries. The filter grows with
 the corpus too. What is broadcast at once is bounded: parts above ``max_bytes`` are probed in further passes over the blocks,
@@ -38,11 +40,12 @@ from pyspark.sql import functions as F
 from .common import fold, stored
 
 FOLDS = 10
-BLOCK = 8 << 20  # bytes of text
+BLOCK = 4 << 20  # bytes of text
 BUCKET = 2_000_000  # entries of a bucket
 MAX_BYTES = 256 << 20
 END = b""
 U = np.uint64
+END_HASH = U(xxhash.xxh64_intdigest(END, 7))
 
 
 class _Block:
@@ -231,53 +234,83 @@ def _contexts(tokens: np.ndarray, lens: np.ndarray, hashes: np.ndarray) -> tuple
     starts = np.cumsum(lens) - lens
     before = np.empty(len(tokens), U)
     before[1:] = hashes[tokens[:-1]]
-    before[starts] = U(xxhash.xxh64_intdigest(END, 7))
+    before[starts] = END_HASH
     return before, starts
 
 
-def pair_parts(rows: DataFrame, tokens: int, shape: Shape, min_pairs: int) -> tuple[DataFrame, int]:
-    """Stored (bucket, part): the filter of neighbouring pairs."""
+LEVELS = 128  # of context counts
+
+
+def pair_parts(rows: DataFrame, tokens: int, shape: Shape, min_pairs: int, word_filter) -> tuple[DataFrame, int]:
+    """Stored (bucket, part, seen, kinds, known): the filter of neighbouring pairs, and for each level of context counts the
+    tokens and the kinds of its kept pairs; the row of bucket -1 has all tokens by level in ``known``."""
     bits = _bits(tokens)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for held, lens, toks, words in zip(*[b.column(c).to_pylist() for c in ("held", "lens", "tokens", "words")]):
+            for i in range(b.num_rows):
+                held, lens, toks, words = (b.column(c)[i].as_py() for c in ("held", "lens", "tokens", "words"))
                 held, lens, toks, hashes = _block_arrays(held, lens, toks, words)
-                before, _ = _contexts(toks, lens, hashes)
+                before, starts = _contexts(toks, lens, hashes)
+                level = np.minimum(word_filter.value.levels(hashes), LEVELS - 1).astype(np.uint8)
+                of = np.empty(len(toks), np.uint8)
+                of[1:], of[starts] = level[toks[:-1]], level[np.flatnonzero(hashes == END_HASH)[0]]
                 use = np.repeat(~held, lens)
-                k, c = np.unique(keys(pair_hashes(before[use], hashes[toks[use]]), bits), return_counts=True)
-                out = []
+                of = of[use]
+                k, first, c = np.unique(keys(pair_hashes(before[use], hashes[toks[use]]), bits), return_index=True, return_counts=True)
+                out = [(-1, b"", np.bincount(of, minlength=LEVELS).astype("<i8").tobytes(), b"")]
                 for once in (True, False):
-                    kk, cc = k[(c == 1) == once], c[(c == 1) == once]
+                    pick = (c == 1) == once
+                    kk, cc, ll = k[pick], c[pick], of[first[pick]]
                     edges = np.searchsorted(kk >> U(32), np.arange((1 << bits) + 1, dtype=U))
-                    out += [(i, kk[x:y].astype("<u4").tobytes(), b"" if once else cc[x:y].astype("<i4").tobytes()) for i, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
-                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in out], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["bucket", "pairs", "counts"])
+                    out += [(i, kk[x:y].astype("<u4").tobytes(), b"" if once else cc[x:y].astype("<i4").tobytes(), ll[x:y].tobytes()) for i, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
+                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in out], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "pairs", "counts", "levels"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         bucket = int(frame["bucket"].iloc[0])
+        if bucket < 0:
+            known = np.sum([np.frombuffer(c, "<i8") for c in frame["counts"]], axis=0)
+            return pd.DataFrame({"bucket": [bucket], "part": [None], "seen": [None], "kinds": [None], "known": [known.tolist()]})
         k = np.concatenate([np.frombuffer(p, "<u4") for p in frame["pairs"]])
+        of = np.concatenate([np.frombuffer(x, np.uint8) for x in frame["levels"]])
         c = np.concatenate([np.frombuffer(x, "<i4") if x else np.ones(len(p) // 4, np.int32) for p, x in zip(frame["pairs"], frame["counts"])])
         order = np.argsort(k)
         k, c = k[order], c[order].astype(np.int64)
         first = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
         total = np.add.reduceat(c, first) if len(first) else np.zeros(0, np.int64)
         kept = total >= min_pairs
+        of = of[order][first][kept]
+        seen, kinds = np.bincount(of, total[kept], LEVELS), np.bincount(of, minlength=LEVELS)
         part = shape.part(k[first][kept].astype(U) + (U(bucket) << U(32)), total[kept])
-        return pd.DataFrame({"bucket": [bucket], "part": [part]})
+        return pd.DataFrame({"bucket": [bucket], "part": [part], "seen": [seen.astype(np.int64).tolist()], "kinds": [kinds.tolist()], "known": [None]})
+
+    sent = rows.select("held", "lens", "tokens", "words").mapInArrow(cut, "bucket int, pairs binary, counts binary, levels binary")
+    return stored(sent.groupBy("bucket").applyInPandas(add, "bucket int, part binary, seen array<bigint>, kinds array<bigint>, known array<bigint>"), "pairs"), bits
 
-    sent = rows.select("held", "lens", "tokens", "words").mapInArrow(cut, "bucket int, pairs binary, counts binary")
-    return stored(sent.groupBy("bucket").applyInPandas(add, "bucket int, part binary"), "pairs"), bits
 
+def left_to_words(pairs: DataFrame, discount: float) -> np.ndarray:
+    """Share of a context's probability that goes by its words, for each level of the context's count."""
+    none = F.array_repeat(F.lit(0).cast("bigint"), LEVELS)
+    zipped = F.arrays_zip(*[F.coalesce(c, none).alias(c) for c in ("seen", "kinds", "known")])
+    sums = pairs.select(F.posexplode(zipped).alias("i", "x")).groupBy("i").agg(*[F.sum(F.col("x")[c]).alias(c) for c in ("seen", "kinds", "known")])
+    total = np.zeros((3, LEVELS))
+    for r in sums.collect():  # one row a level
+        total[:, r.i] = r.seen, r.kinds, r.known
+    seen, kinds, known = total
+    return np.clip(1 - (seen - discount * kinds) / np.maximum(known, 1), 0.02, 1)
 
-def scores(docs: DataFrame, shape: Shape | None = None, min_pairs: int = 2, strength: float = 20.0, max_bytes: int = MAX_BYTES) -> DataFrame:
+
+def scores(docs: DataFrame, shape: Shape | None = None, min_pairs: int = 2, discount: float = 0.75, max_bytes: int = MAX_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document."""
     shape = shape or Shape()
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     rows = blocks(docs)
     words, word_bits = word_counts(rows, shape)
     n, v, word_bytes = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0)), F.coalesce(F.sum(F.octet_length("part")), F.lit(0))).first()
-    pairs, pair_bits = pair_parts(rows, n, shape, min_pairs)
-    sizes = [(r[0], r[1]) for r in pairs.select("bucket", F.octet_length("part")).orderBy("bucket").collect()]  # one small row a bucket
+    word_filter = spark.sparkContext.broadcast(Filter([(r[0], bytes(r[1])) for r in words.filter("part is not null").select("bucket", "part").orderBy("bucket").collect()], word_bits, shape))
+    pairs, pair_bits = pair_parts(rows, n, shape, min_pairs, word_filter)
+    by_words = left_to_words(pairs, discount)
+    sizes = [(r[0], r[1]) for r in pairs.filter("bucket >= 0").select("bucket", F.octet_length("part")).orderBy("bucket").collect()]  # one small row a bucket
     ranges, room = [[0, 0]], max(max_bytes - word_bytes, max_bytes // 4)
     for bucket, size in sizes:
         if ranges[-1][1] and ranges[-1][1] + size > room:
@@ -289,7 +322,6 @@ def scores(docs: DataFrame, shape: Shape | None = None, min_pairs: int = 2, stre
     joined = rows.select("block", "docs", "held", "lens", "tokens", "words").join(answers, "block")
     if len(firsts) > 1:
         joined = stored(joined, "answered")
-    word_filter = spark.sparkContext.broadcast(Filter([(r[0], bytes(r[1])) for r in words.filter("part is not null").select("bucket", "part").orderBy("bucket").collect()], word_bits, shape))
     out = None
     for first, past in zip(firsts, [*firsts[1:], 1 << 30]):
         got = pairs.filter((F.col("bucket") >= first) & (F.col("bucket") < past)).orderBy("bucket").collect()
@@ -304,18 +336,20 @@ def scores(docs: DataFrame, shape: Shape | None = None, min_pairs: int = 2, stre
                     before, starts = _contexts(toks, lens, hashes)
                     base = np.add.reduceat(np.log10((exact + 0.1) / norm)[toks], starts)
                     known = np.add.reduceat((exact > 0).astype(np.int64)[toks], starts)
-                    counts = shape.count(word_filter.value.levels(hashes))
-                    end = shape.count(word_filter.value.levels(np.array([xxhash.xxh64_intdigest(END, 7)], U)))[0]
+                    levels = word_filter.value.levels(hashes)
+                    counts, end = shape.count(levels), np.flatnonzero(hashes == END_HASH)[0]
+                    left = np.where(levels > 0, by_words[np.minimum(levels, LEVELS - 1)], 1.0)
                     uni = (counts + 0.1) / norm
-                    context = np.empty(len(toks))
-                    context[1:], context[starts] = counts[toks[:-1]], end
+                    context = np.empty(len(toks), np.int32)  # the token before
+                    context[1:], context[starts] = toks[:-1], end
                     h = pair_hashes(before, hashes[toks])
                     bucket = (keys(h, pair_bits) >> U(32)).astype(np.int64)
                     mine = np.flatnonzero((bucket >= first) & (bucket < past))
                     kinds, back = np.unique(h[mine], return_inverse=True)
-                    pair = np.minimum(shape.count(pair_filter.value.levels(kinds))[back], np.maximum(context[mine], 1))
+                    pair = np.maximum(shape.count(pair_filter.value.levels(kinds))[back] - discount, 0)
                     logs = np.zeros(len(toks))
-                    logs[mine] = np.log10((pair + strength * uni[toks[mine]]) / (context[mine] + strength))
+                    of = context[mine]
+                    logs[mine] = np.log10(np.minimum(np.minimum(pair / np.maximum(counts[of], 1), 1) + left[of] * uni[toks[mine]], 1))
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.full(len(lens), block.as_py())), pa.array(np.arange(len(lens), dtype=np.int32)), ids.values, pa.array(held), pa.array(lens.astype(np.int64)),
                         pa.array(known), pa.array(np.full(len(lens), n, np.int64)), pa.array(base), pa.array(np.add.reduceat(logs, starts))],
