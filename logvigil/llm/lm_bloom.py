@@ -15,8 +15,8 @@
 The number of buckets follows the corpus, so that a bucket stays near ``BUCKET`` entries. The filter grows with
 the corpus too. What is broadcast at once is bounded: parts above ``max_bytes`` are probed in further passes over the blocks,
 each with its own range of pair buckets. Word parts take part in every pass; they grow with the vocabulary only
-(about 2 bytes a word). Pairs seen once are left out of the model by ``min_pairs`` (a parameter of the model, not of its
-size); counts themselves cover all training rows.
+(about 2 bytes a word). All training pairs are in the filter; ``min_pairs`` above 1 makes a smaller one of the more frequent
+pairs only. Counts cover all training rows.
 
 Null text counts as empty, which is the end token alone. A null id counts as fold 0. Repeated rows count as
 often as they occur and are scored each. An empty table gives an empty result. Without training rows all counts are 0.
@@ -300,7 +300,7 @@ def left_to_words(pairs: DataFrame, discount: float) -> np.ndarray:
     return np.clip(1 - (seen - discount * kinds) / np.maximum(known, 1), 0.02, 1)
 
 
-def scores(docs: DataFrame, shape: Shape | None = None, min_pairs: int = 2, discount: float = 0.75, max_bytes: int = MAX_BYTES) -> DataFrame:
+def scores(docs: DataFrame, shape: Shape | None = None, min_pairs: int = 1, discount: float = 0.75, max_bytes: int = MAX_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document."""
     shape = shape or Shape()
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()

@@ -157,3 +157,12 @@ def test_vptree_recall(spark):
     got = {(r.query_id, r.vec_id) for r in V.search(df, df.filter("vec_id % 20 = 0")).collect()}
     want = {(q, v) for q, _, v in brute([(r.vec_id, r.embedding) for r in df.collect()], 20)}
     assert len(got & want) >= 0.9 * len(want)
+
+
+def test_lm_knows_pairs_seen_once(spark):
+    """A held-out text of a pair that training has once scores better than one of the same words in an unseen order."""
+    train = [i for i in range(400) if crc(i, 10)]
+    held = [i for i in range(400) if not crc(i, 10)][:2]
+    docs = [(i, f"a{i} b{i}") for i in train] + [(held[0], f"a{train[0]} b{train[0]}"), (held[1], f"a{train[0]} b{train[1]}")]
+    got = {r.doc_id: r.score for r in B.scores(spark.createDataFrame(docs, "doc_id long, text string")).filter("held_out").collect()}
+    assert got[held[0]] > got[held[1]] + 0.5
