@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, lang_mixture, lm_bloom, pu_quality, separator_scan, simhash_cover, source_mix, token_shards, url_cascade, vptree
+from . import decontaminate, fim_chunks, lang_mixture, lm_bloom, pu_quality, separator_scan, simhash_cover, source_mix, token_shards, url_cascade, vptree
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -70,3 +70,8 @@ def op8(spark, sf_dir):
 @query("op10_lm_bloom")
 def op10(spark, sf_dir):
     return lm_bloom.scores(table(spark, sf_dir, "documents"))
+
+
+@query("op11_fim_chunks", fim_chunks.FIM_SQL)
+def op11(spark, sf_dir):
+    return fim_chunks.report(table(spark, sf_dir, "documents"))
