@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, fim_chunks, lang_mixture, lm_bloom, pu_quality, separator_scan, simhash_cover, source_mix, token_shards, url_cascade, vptree
+from . import decontaminate, fim_chunks, lang_mixture, lm_bloom, pu_quality, separator_scan, simhash_cover, source_mix, token_alignment, token_shards, url_cascade, vptree
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -75,3 +75,8 @@ def op10(spark, sf_dir):
 @query("op11_fim_chunks", fim_chunks.FIM_SQL)
 def op11(spark, sf_dir):
     return fim_chunks.report(table(spark, sf_dir, "documents"))
+
+
+@query("op12_token_alignment")
+def op12(spark, sf_dir):
+    return token_alignment.report(table(spark, sf_dir, "documents"))
