@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, fim_chunks, lang_mixture, lm_bloom, pu_quality, separator_scan, simhash_cover, source_mix, token_alignment, token_shards, url_cascade, vptree
+from . import decontaminate, fim_chunks, jaccard_join, lang_mixture, lm_bloom, pu_quality, separator_scan, simhash_cover, source_mix, token_alignment, token_shards, url_cascade, vptree
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -80,3 +80,8 @@ def op11(spark, sf_dir):
 @query("op12_token_alignment")
 def op12(spark, sf_dir):
     return token_alignment.report(table(spark, sf_dir, "documents"))
+
+
+@query("op13_jaccard_join")
+def op13(spark, sf_dir):
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
