@@ -4,9 +4,8 @@ A document is the set of its distinct five-word shingles; sets are identified by
 from the start. Two sets link when 100 * intersection >= 80 * union. Tokens (shingles) have one order: rare class first,
 then by hash. A set of s tokens may miss at most m = s - ceil(0.8 s) tokens of a partner.
 
-1. *Classes.* Each set shows its first m + 1 tokens by hash. A token shown by more than ``LIST`` sets is frequent. Sets with
-   such a token show three times as many, and tokens frequent among those count as well. The classes are then fixed: any
-   fixed class gives right results, the count only keeps lists short.
+1. *Classes.* Each set shows its first 2 (m + 1) tokens by hash. A token shown by more than ``LIST`` sets is frequent. Any
+   fixed class gives right results; the count only keeps lists short.
 2. *Prefixes.* A set whose first m + 1 tokens are rare indexes each of them: a partner shares one. A set that reaches
    the frequent class has its prefix extended: its frequent tokens fall into q classes by hash, it indexes pairs
    within a class and takes q tokens more. Partners share the first 1 + q of their common tokens within both prefixes;
@@ -15,9 +14,9 @@ then by hash. A set of s tokens may miss at most m = s - ceil(0.8 s) tokens of a
 3. *Short lists* of up to ``LIST`` sets compare all pairs. A pair is dropped if the keys it shares and all tokens behind the
    prefix cannot reach the threshold.
 4. *Long lists* compare each set with the list's hub, the set met most often. Sets that are linked to the hub are of one
-   component and need no more. The others of a hub's family are compared with all its members, unless the
-   distances to the hub rule the pair out: 1 - similarity is a metric. Families of true copies cost a row for each set; only
-   look-alikes just below the threshold cost one for each member of their family.
+   component and need no more. Any other set x of a hub's family lacks D_x of the hub's tokens and has A_x others; it
+   can be similar to a member y only if the two share a number of these differences that follows from their counts, more than
+   half of them near the threshold. So differences, rare ones first, are joined by prefixes of their own.
 5. *Verification* compares whole sets. Links are closed by star contraction.
 
 Texts are read again for the sets that steps 1 and 5 ask for, found by a hash of the text and confirmed by that of the set.
@@ -32,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +45,7 @@ from .simhash_cover import connected
 WIDTH = 5
 PERCENT = 80
 LIST = 8  # sets of a list that is compared pair by pair
-SHOWN = 3  # prefixes that sets with frequent tokens show
+SHOWN = 2  # prefixes that a set shows
 BROADCAST = 1 << 20  # rows of 8 to 24 bytes
 TOKEN_BITS = 48  # of a key; verification compares 64
 U = np.uint64
@@ -104,16 +104,26 @@ def _signed(texts: pa.Array) -> pa.Array:
         h = whole_set(t.as_py())
         prints.append(identity(h))
         sizes.append(len(h))
-        shown.append(tokens(h[:missing(len(h)) + 1]))
+        shown.append(tokens(h[:SHOWN * (missing(len(h)) + 1)]))
     return pa.StructArray.from_arrays([pa.array(prints, pa.int64()), pa.array(sizes, pa.int64()), pa.array(shown, pa.list_(pa.int64()))], ["fp", "n", "shown"])
 
 
 signed = F.arrow_udf(_signed, StructType([StructField("fp", LongType()), StructField("n", LongType()), StructField("shown", ArrayType(LongType()))]))
 
 
-def _keyed(all_: pa.Array, frequent: pa.Array) -> pa.Array:
-    found = [keys_of(np.asarray(a.values), np.asarray(f.values)) for a, f in zip(all_, frequent)]
-    return pa.StructArray.from_arrays([pa.array([s for s, _ in found], pa.bool_()), pa.array([k for _, k in found], pa.list_(pa.int64()))], ["short", "keys"])
+def _keyed(shown: pa.Array, frequent: pa.Array, sizes: pa.Array) -> pa.Array:
+    short, keys = [], []
+    for t, f, n in zip(shown, frequent, sizes.to_pylist()):
+        t, f = np.asarray(t.values), np.asarray(f.values)
+        rare, m = t[~np.isin(t, f)] if len(f) else t, missing(n)
+        if len(rare) <= m and len(t) < n:  # the whole set must tell
+            short.append(None)
+            keys.append([])
+            continue
+        s, k = (False, np.unique(rare[:m + 1])) if len(rare) > m else keys_of(t, f)
+        short.append(s)
+        keys.append(k)
+    return pa.StructArray.from_arrays([pa.array(short, pa.bool_()), pa.array(keys, pa.list_(pa.int64()))], ["short", "keys"])
 
 
 keyed = F.arrow_udf(_keyed, StructType([StructField("short", BooleanType()), StructField("keys", ArrayType(LongType()))]))
@@ -148,29 +158,33 @@ def _tokens(sets: pa.Array) -> pa.Array:
     return pa.array([tokens(np.frombuffer(h.as_buffer(), "<u8")) for h in sets], pa.list_(pa.int64()))
 
 
-def _frequent(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > LIST).select("token")
+def marked(sets: DataFrame, column: str, frequent: DataFrame) -> DataFrame:
+    """``sets`` with ``f``, the frequent ones among the tokens of ``column``."""
+    if frequent.limit(BROADCAST + 1).count() <= BROADCAST:
+        table = sets.sparkSession.sparkContext.broadcast(np.sort(frequent.toArrow()["token"].to_numpy()))
+
+        @F.arrow_udf(ArrayType(LongType()))
+        def among(cells: pa.Array) -> pa.Array:
+            flat, known = np.asarray(cells.flatten()), table.value
+            at = np.minimum(np.searchsorted(known, flat), max(0, len(known) - 1))
+            hit = known[at] == flat if len(known) else np.zeros(len(flat), bool)
+            ends = np.concatenate([[0], np.cumsum(hit)])[np.concatenate([[0], np.cumsum(np.asarray(pa.compute.list_value_length(cells)))])]
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[hit], pa.int64()))
+
+        return sets.withColumn("f", among(column))
+    held = sets.select("fp", F.explode(column).alias("token")).join(frequent, "token", "left_semi").groupBy("fp").agg(F.collect_list("token").alias("f"))  # a set's own tokens
+    return sets.join(held, "fp", "left").withColumn("f", F.coalesce("f", F.array().cast("array<bigint>")))
 
 
 def index(docs: DataFrame, text_col: str, sets: DataFrame) -> DataFrame:
-    """(key, fp, n, short): the keys of all distinct sets."""
-    shown = sets.select("fp", "n", F.explode("shown").alias("token"))
-    first = stored(_frequent(shown), "frequent")
-    plain = shown.select(F.col("token").alias("key"), "fp", "n", F.lit(False).alias("short"))
-    if first.isEmpty():
-        return plain
-    reached = stored(shown.join(_side(first), "token", "left_semi").select("fp").distinct(), "reached")
-    full = fetch(docs, text_col, sets.select("fp", "mark").join(_side(reached), "fp", "left_semi"), "reached-sets")
-    more = full.select(_tokens("h").alias("t")).select(F.explode(F.expr(f"slice(t, 1, cast({SHOWN} * (size(t) - ({PERCENT} * size(t) + 99) div 100 + 1) as int))")).alias("token"))
-    frequent = stored(first.union(_frequent(more)).distinct(), "all-frequent")
-    side = _side(frequent)
-    all_reached = stored(shown.join(side, "token", "left_semi").select("fp").distinct(), "all-reached")
-    late = fetch(docs, text_col, sets.select("fp", "mark").join(_side(all_reached), "fp", "left_semi").join(_side(reached), "fp", "left_anti"), "late-sets")
-    known = full.union(late).select("fp", _tokens("h").alias("t"))
-    held = known.select("fp", F.explode("t").alias("token")).join(side, "token", "left_semi").groupBy("fp").agg(F.collect_list("token").alias("f"))  # a set's own tokens
-    extended = stored(known.join(held, "fp").select("fp", F.size("t").cast("bigint").alias("n"), keyed("t", "f").alias("k")).select("fp", "n", "k.*"), "extended")
-    own = extended.select(F.explode("keys").alias("key"), "fp", "n", "short")
-    return plain.join(_side(all_reached), "fp", "left_anti").select("key", "fp", "n", "short").union(own)
+    """(key, fp, n, short): the keys of all distinct sets. ``sets``: fp, n, mark, shown."""
+    shown = sets.select(F.explode("shown").alias("token"))
+    frequent = stored(shown.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > LIST).select("token"), "frequent")
+    state = stored(marked(sets, "shown", frequent).select("fp", "n", "mark", keyed("shown", "f", "n").alias("k")).select("fp", "n", "mark", "k.*"), "keys")
+    full = fetch(docs, text_col, state.filter("short is null").select("fp", "mark"), "full-sets").select("fp", _tokens("h").alias("t"))
+    rest = stored(marked(full, "t", frequent).select("fp", F.size("t").cast("bigint").alias("n"), keyed("t", "f", F.size("t").cast("bigint")).alias("k")).select("fp", "n", "k.*"), "full-keys")
+    both = state.filter("short is not null").select("fp", "n", "short", "keys").union(rest.select("fp", "n", "short", "keys"))
+    return both.select(F.explode("keys").alias("key"), "fp", "n", "short")
 
 
 def _near(a: str, b: str) -> F.Column:
@@ -229,18 +243,52 @@ def _ordered(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
 
 
-def strays(families: DataFrame, found: DataFrame, stars: DataFrame) -> DataFrame:
-    """(u, v): sets that are not of their hub's component with the members of the family that may be near them."""
+def differences(families: DataFrame, sets: DataFrame) -> DataFrame:
+    """(hub, fp, h, lacks, more, e): size of the hub, how many of its tokens a member lacks and how many others it has, and
+    these tokens as numbers: lacking ones negative."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cells = []
+            for left, right in zip(b.column("a"), b.column("b")):
+                hub, own = np.frombuffer(left.as_buffer(), "<u8"), np.frombuffer(right.as_buffer(), "<u8")
+                lacks, more = (np.setdiff1d(x, y, assume_unique=True) >> U(1) for x, y in ((hub, own), (own, hub)))
+                cells.append((len(hub), len(lacks), len(more), np.concatenate([-1 - lacks.astype(np.int64), more.astype(np.int64)])))
+            cols = list(zip(*cells)) if cells else [()] * 4
+            yield pa.RecordBatch.from_arrays([b.column("hub"), b.column("fp"), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.list_(pa.int64()))], ["hub", "fp", "h", "lacks", "more", "e"])
+
+    joined = families.select("hub", "fp").join(sets.toDF("hub", "a"), "hub").join(sets.toDF("fp", "b"), "fp").select("hub", "fp", "a", "b")
+    return joined.mapInArrow(compare, "hub bigint, fp bigint, h bigint, lacks bigint, more bigint, e array<bigint>")
+
+
+def strays(families: DataFrame, found: DataFrame, stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v): sets that are not of their hub's component with those members of the family that may be near them.
+
+    For members x and y of a hub of h tokens let g = 100 D + 80 A. A link needs (g_x + g_y - 20 h) / 180 common differences, more
+    than none as g > 20 h for a set that is not linked to the hub. There are at most min(D_x, D_y) + min(A_x, A_y), and so
+    at most D_y + A_y, from which 80 D_y + 100 A_y >= g_x - 20 h and g_y >= 0.8 (g_x - 20 h) follow.
+    """
+    p, all_ = PERCENT, 100 + PERCENT
     root = stars.toDF("fp", "root")
-    distance = found.select("u", "v", (1 - F.col("both") / F.col("either")).alias("d"))
-    pairs = families.withColumn("u", F.greatest("fp", "hub")).withColumn("v", F.least("fp", "hub"))
-    far = pairs.join(distance, ["u", "v"], "left").select("fp", "n", "hub", F.when(F.col("fp") == F.col("hub"), 0.0).otherwise(F.col("d")).alias("d"))
-    named = far.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp")).join(root.toDF("hub", "hub_root"), "hub", "left")
+    named = families.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp")).join(root.toDF("hub", "hub_root"), "hub", "left")
     named = stored(named.withColumn("stray", F.col("root") != F.coalesce("hub_root", "hub")), "placed")
-    s = named.filter("stray").select(F.col("fp").alias("s"), F.col("n").alias("s_n"), "hub", F.col("d").alias("s_d"), F.col("root").alias("s_root"))
-    slack = 1 - PERCENT / 100 + 1e-9
-    cross = s.join(named, "hub").filter((F.col("s_root") != F.col("root")) & _near("s_n", "n") & (F.abs(F.col("s_d") - F.col("d")) <= slack) & (~F.col("stray") | (F.col("s") > F.col("fp"))))
-    return _ordered(cross, "s", "fp").distinct().join(found.select("u", "v"), ["u", "v"], "left_anti")
+    open_ = named.join(named.filter("stray").select("hub").distinct(), "hub", "left_semi").filter("fp <> hub")
+    d = stored(differences(open_, sets), "differences").withColumn("g", 100 * F.col("lacks") + p * F.col("more")).withColumn("excess", F.col("g") - (100 - p) * F.col("h"))
+    d = d.join(open_, ["hub", "fp"])
+    least = d.groupBy("hub").agg(F.min("g").alias("least"), F.min(F.when(F.col("stray"), F.col("g"))).alias("least_stray"))
+    part = d.select("hub", "fp", F.explode("e").alias("e"))
+    counted = part.join(part.groupBy("hub", "e").agg(F.count("*").alias("c")), ["hub", "e"])
+    ranked = counted.groupBy("hub", "fp").agg(F.array_sort(F.collect_list(F.struct("c", "e"))).alias("r"))  # a set's own differences
+    other = F.when(F.col("stray"), F.greatest(F.col("least"), F.col("excess") * p / 100)).otherwise(F.greatest("least_stray", F.col("excess") * p / 100))
+    common = F.greatest(F.lit(1), F.ceil((F.col("excess") + other) / all_ - 1e-9))  # with any partner
+    kept = d.drop("e").join(least, "hub").join(ranked, ["hub", "fp"]).withColumn("common", common).withColumn("k", (F.size("r") - F.col("common") + 1).cast("int")).filter("k > 0")
+    rows = stored(kept.select("hub", "fp", "n", "root", "stray", "lacks", "more", "excess", "g", "common", F.explode(F.slice("r.e", F.lit(1), F.col("k"))).alias("e")), "difference-prefixes")
+    s = rows.filter("stray").select("hub", "e", *[F.col(c).alias(f"s_{c}") for c in ("fp", "n", "root", "lacks", "more", "excess", "common")])
+    need = (F.col("s_excess") + F.col("g")) / all_ - 1e-9
+    able = F.least("lacks", "s_lacks") + F.least("more", "s_more") >= need
+    cross = s.join(rows, ["hub", "e"]).filter((F.col("s_root") != F.col("root")) & _near("s_n", "n") & able & (~F.col("stray") | (F.col("s_fp") > F.col("fp"))))
+    pairs = cross.groupBy("hub", "s_fp", "fp").agg(F.count("*").alias("shared"), F.first(need).alias("need"), F.first(F.greatest("common", "s_common")).alias("behind"))
+    return _ordered(pairs.filter(F.col("shared") + F.col("behind") - 1 >= F.col("need")), "s_fp", "fp").distinct().join(found.select("u", "v"), ["u", "v"], "left_anti")
 
 
 def links(docs: DataFrame, text_col: str, sets: DataFrame) -> DataFrame:
@@ -254,21 +302,22 @@ def links(docs: DataFrame, text_col: str, sets: DataFrame) -> DataFrame:
     def asked(p: DataFrame) -> DataFrame:
         return sets.select("fp", "mark").join(_side(stored(p.select("u").union(p.select("v")).toDF("fp").distinct(), "asked")), "fp", "left_semi")
 
-    found = stored(verified(pairs, fetch(docs, text_col, asked(pairs), "pair-sets")), "found")
+    whole = fetch(docs, text_col, asked(pairs), "pair-sets")
+    found = stored(verified(pairs, whole), "found")
     near = _linked(found)
     if families.isEmpty():
         return stored(near, "jaccard-links")
-    more = stored(strays(families, found, connected(near)), "strays")
-    if more.isEmpty():
-        return stored(near, "jaccard-links")
-    return stored(near.union(_linked(verified(more, fetch(docs, text_col, asked(more), "stray-sets")))), "jaccard-links")
+    more = stored(strays(families, found, connected(near), whole), "strays")
+    return stored(near.union(_linked(verified(more, whole))), "jaccard-links")  # members of families are among the sets
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
-    rows = stored(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"), signed(F.col(text_col)).alias("s")).select("doc_id", "mark", "s.*"), "signed")
-    sets = stored(rows.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("mark").alias("mark"), F.first("shown").alias("shown")), "sets")
-    stars = connected(links(docs, text_col, sets.select("fp", "n", "mark", "shown")))
+    rows = stored(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.monotonically_increasing_id().alias("place"), signed(F.col(text_col)).alias("s")).select("doc_id", "mark", "place", "s.*"), "signed")
+    sets = stored(rows.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("place").alias("place"), F.count("*").alias("rows")), "sets")
+    copies = sets.filter("rows > 1").select("fp", F.col("place").alias("kept"))
+    first = rows.filter("n > 0").join(_side(copies), "fp", "left").filter("kept is null or kept = place")  # one row of each set
+    stars = connected(links(docs, text_col, first.select("fp", "n", "mark", "shown")))
     rooted = sets.select("fp", "least").join(stars.toDF("fp", "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     out = rows.select("doc_id", "n", "fp").join(stored(named, "named"), "fp", "left")
