@@ -31,11 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from .common import stored
 from .lm_bloom import mixed
@@ -111,22 +110,12 @@ def _signed(texts: pa.Array) -> pa.Array:
 signed = F.arrow_udf(_signed, StructType([StructField("fp", LongType()), StructField("n", LongType()), StructField("shown", ArrayType(LongType()))]))
 
 
-def _keyed(shown: pa.Array, frequent: pa.Array, sizes: pa.Array) -> pa.Array:
-    short, keys = [], []
-    for t, f, n in zip(shown, frequent, sizes.to_pylist()):
-        t, f = np.asarray(t.values), np.asarray(f.values)
-        rare, m = t[~np.isin(t, f)] if len(f) else t, missing(n)
-        if len(rare) <= m and len(t) < n:  # the whole set must tell
-            short.append(None)
-            keys.append([])
-            continue
-        s, k = (False, np.unique(rare[:m + 1])) if len(rare) > m else keys_of(t, f)
-        short.append(s)
-        keys.append(k)
-    return pa.StructArray.from_arrays([pa.array(short, pa.bool_()), pa.array(keys, pa.list_(pa.int64()))], ["short", "keys"])
-
-
-keyed = F.arrow_udf(_keyed, StructType([StructField("short", BooleanType()), StructField("keys", ArrayType(LongType()))]))
+def _prefix(shown: np.ndarray, frequent: np.ndarray, size: int) -> tuple[bool | None, np.ndarray]:
+    """``keys_of`` from the shown tokens of a set of ``size``; None if the whole set must tell."""
+    rare, m = shown[~np.isin(shown, frequent)] if len(frequent) else shown, missing(size)
+    if len(rare) > m:
+        return False, np.unique(rare[:m + 1])
+    return keys_of(shown, frequent) if len(shown) >= size else (None, shown[:0])
 
 
 def _side(df: DataFrame) -> DataFrame:
@@ -158,32 +147,43 @@ def _tokens(sets: pa.Array) -> pa.Array:
     return pa.array([tokens(np.frombuffer(h.as_buffer(), "<u8")) for h in sets], pa.list_(pa.int64()))
 
 
-def marked(sets: DataFrame, column: str, frequent: DataFrame) -> DataFrame:
-    """``sets`` with ``f``, the frequent ones among the tokens of ``column``."""
+def prefixes(sets: DataFrame, column: str, frequent: DataFrame) -> DataFrame:
+    """(fp, n, mark, short, keys) by the tokens of ``column``; ``short`` is null where the whole set must tell."""
+    spark, known = sets.sparkSession, None
     if frequent.limit(BROADCAST + 1).count() <= BROADCAST:
-        table = sets.sparkSession.sparkContext.broadcast(np.sort(frequent.toArrow()["token"].to_numpy()))
-
-        @F.arrow_udf(ArrayType(LongType()))
-        def among(cells: pa.Array) -> pa.Array:
-            flat, known = np.asarray(cells.flatten()), table.value
-            at = np.minimum(np.searchsorted(known, flat), max(0, len(known) - 1))
-            hit = known[at] == flat if len(known) else np.zeros(len(flat), bool)
-            ends = np.concatenate([[0], np.cumsum(hit)])[np.concatenate([[0], np.cumsum(np.asarray(pa.compute.list_value_length(cells)))])]
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[hit], pa.int64()))
+        known = spark.sparkContext.broadcast(np.sort(frequent.toArrow()["token"].to_numpy()))
+        asked = sets.select("fp", "n", "mark", column)
+    else:
+        held = sets.select("fp", F.explode(column).alias("token")).join(frequent, "token", "left_semi").groupBy("fp").agg(F.collect_list("token").alias("f"))  # a set's own tokens
+        asked = sets.select("fp", "n", "mark", column).join(held, "fp", "left")
 
-        return sets.withColumn("f", among(column))
-    held = sets.select("fp", F.explode(column).alias("token")).join(frequent, "token", "left_semi").groupBy("fp").agg(F.collect_list("token").alias("f"))  # a set's own tokens
-    return sets.join(held, "fp", "left").withColumn("f", F.coalesce("f", F.array().cast("array<bigint>")))
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            short, keys = [], []
+            for i, (cell, n) in enumerate(zip(b.column(3), b.column(1).to_pylist())):
+                t = np.asarray(cell.values)
+                if known is None:
+                    f = np.asarray(b.column("f")[i].values if b.column("f")[i].is_valid else [], np.int64)
+                else:
+                    at = np.searchsorted(known.value, t)
+                    at[at == len(known.value)] = 0
+                    f = t[known.value[at] == t] if len(known.value) else t[:0]
+                s, k = _prefix(t, f, n)
+                short.append(s)
+                keys.append(k)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(short, pa.bool_()), pa.array(keys, pa.list_(pa.int64()))], ["fp", "n", "mark", "short", "keys"])
+
+    return asked.mapInArrow(read, "fp bigint, n bigint, mark bigint, short boolean, keys array<bigint>")
 
 
 def index(docs: DataFrame, text_col: str, sets: DataFrame) -> DataFrame:
     """(key, fp, n, short): the keys of all distinct sets. ``sets``: fp, n, mark, shown."""
     shown = sets.select(F.explode("shown").alias("token"))
     frequent = stored(shown.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > LIST).select("token"), "frequent")
-    state = stored(marked(sets, "shown", frequent).select("fp", "n", "mark", keyed("shown", "f", "n").alias("k")).select("fp", "n", "mark", "k.*"), "keys")
+    state = stored(prefixes(sets, "shown", frequent), "keys")
     full = fetch(docs, text_col, state.filter("short is null").select("fp", "mark"), "full-sets").select("fp", _tokens("h").alias("t"))
-    rest = stored(marked(full, "t", frequent).select("fp", F.size("t").cast("bigint").alias("n"), keyed("t", "f", F.size("t").cast("bigint")).alias("k")).select("fp", "n", "k.*"), "full-keys")
-    both = state.filter("short is not null").select("fp", "n", "short", "keys").union(rest.select("fp", "n", "short", "keys"))
+    full = stored(full.select("fp", F.size("t").cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("mark"), "t"), "full-tokens")
+    both = state.filter("short is not null").union(stored(prefixes(full, "t", frequent), "full-keys"))
     return both.select(F.explode("keys").alias("key"), "fp", "n", "short")
 
 

@@ -69,7 +69,7 @@ def corpus(seed):
     return rows + [(900, None), (901, ""), (902, " \t"), (None, rows[3][1]), (None, "alone here"), (None, None), (5, rows[5][1]), (903, "Éa éa"), (904, "éa éa"), (905, "x" * 20_000), (907, "\u00a0"), (908, " \u00a0 "), (906, rows[70][1].upper())]
 
 
-@pytest.mark.parametrize("seed, size", [(1, 8), (2, 2)])
+@pytest.mark.parametrize("seed, size", [(2, 2)])
 def test_components(spark, monkeypatch, seed, size):
     monkeypatch.setattr(J, "LIST", size)
     rows = corpus(seed)
