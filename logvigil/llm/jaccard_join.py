@@ -282,13 +282,14 @@ def strays(families: DataFrame, found: DataFrame, stars: DataFrame, sets: DataFr
     other = F.when(F.col("stray"), F.greatest(F.col("least"), F.col("excess") * p / 100)).otherwise(F.greatest("least_stray", F.col("excess") * p / 100))
     common = F.greatest(F.lit(1), F.ceil((F.col("excess") + other) / all_ - 1e-9))  # with any partner
     kept = d.drop("e").join(least, "hub").join(ranked, ["hub", "fp"]).withColumn("common", common).withColumn("k", (F.size("r") - F.col("common") + 1).cast("int")).filter("k > 0")
-    rows = stored(kept.select("hub", "fp", "n", "root", "stray", "lacks", "more", "excess", "g", "common", F.explode(F.slice("r.e", F.lit(1), F.col("k"))).alias("e")), "difference-prefixes")
-    s = rows.filter("stray").select("hub", "e", *[F.col(c).alias(f"s_{c}") for c in ("fp", "n", "root", "lacks", "more", "excess", "common")])
-    need = (F.col("s_excess") + F.col("g")) / all_ - 1e-9
+    rows = kept.select("hub", "fp", "n", "root", "stray", "lacks", "more", "excess", "g", F.size("r").alias("size"), F.posexplode(F.slice("r.e", F.lit(1), F.col("k"))).alias("place", "e"))
+    rows = stored(rows, "difference-prefixes")
+    s = rows.filter("stray").select("hub", "e", *[F.col(c).alias(f"s_{c}") for c in ("fp", "n", "root", "lacks", "more", "excess", "size", "place")])
+    need = F.ceil((F.col("s_excess") + F.col("g")) / all_ - 1e-9)
     able = F.least("lacks", "s_lacks") + F.least("more", "s_more") >= need
-    cross = s.join(rows, ["hub", "e"]).filter((F.col("s_root") != F.col("root")) & _near("s_n", "n") & able & (~F.col("stray") | (F.col("s_fp") > F.col("fp"))))
-    pairs = cross.groupBy("hub", "s_fp", "fp").agg(F.count("*").alias("shared"), F.first(need).alias("need"), F.first(F.greatest("common", "s_common")).alias("behind"))
-    return _ordered(pairs.filter(F.col("shared") + F.col("behind") - 1 >= F.col("need")), "s_fp", "fp").distinct().join(found.select("u", "v"), ["u", "v"], "left_anti")
+    ahead = (F.col("place") + need <= F.col("size")) & (F.col("s_place") + need <= F.col("s_size"))  # in the prefixes that this pair needs
+    cross = s.join(rows, ["hub", "e"]).filter((F.col("s_root") != F.col("root")) & _near("s_n", "n") & able & ahead & (~F.col("stray") | (F.col("s_fp") > F.col("fp"))))
+    return _ordered(cross, "s_fp", "fp").distinct().join(found.select("u", "v"), ["u", "v"], "left_anti")
 
 
 def links(docs: DataFrame, text_col: str, sets: DataFrame) -> DataFrame:
