@@ -95,7 +95,9 @@ def candidates(sets: DataFrame) -> DataFrame:
             break
         ranked = large.join(popular, "fp").groupBy("key", F.pmod(F.xxhash64("fp"), F.lit(SLOTS)).alias("slot")).agg(F.max(F.struct("popular", "fp")).alias("top"))
         centres = ranked.groupBy("key").agg(F.collect_list("top.fp").alias("centres"))
-        met = large.select("key", "fp").join(centres, "key").select("fp", F.explode("centres").alias("c")).filter("fp <> c")
+        # a set's centres over all its bands, each once: at most BANDS * SLOTS, few where the bands agree
+        mine = large.select("key", "fp").join(centres, "key").groupBy("fp").agg(F.array_distinct(F.flatten(F.collect_list("centres"))).alias("all"))
+        met = mine.select("fp", F.explode(F.array_remove("all", F.col("fp"))).alias("c"))
         found.append(met.select(F.greatest("fp", "c").alias("u"), F.least("fp", "c").alias("v")))
     out = found[0]
     for more in found[1:]:
