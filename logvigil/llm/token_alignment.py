@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stored
-from .tokens import PATTERN
+from .tokens import Ranks
 
 FOLDER = "/opt/tokenizers"
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -115,7 +115,6 @@ class Vocabularies:
 
     def __init__(self, first: bytes, second: bytes):
         import sentencepiece
-        import tiktoken
 
         model, alphabet = json.loads(first)["model"], _byte_alphabet()
         self.a_bytes = [b""] * (1 + max(model["vocab"].values()))
@@ -127,7 +126,7 @@ class Vocabularies:
         last = max(ids, default=255)
         ranks = {b: i for i, b in enumerate(self.a_bytes) if b and i <= last}
         if ids == sorted(ids) and len(ranks) == 256 + len(ids):
-            self.first = tiktoken.Encoding("first", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            self.first = Ranks(ranks).encode
         else:
             self.first = self.library(first)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=second)

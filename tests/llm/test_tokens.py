@@ -109,3 +109,15 @@ def test_pipeline_on_empty_documents(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, "/root/testdata/sf0.001").count() == 0
+
+
+def test_ranks_on_long_runs(monkeypatch):
+    """Long white space, long words and texts beyond one list give the numbers of the plain encoder's pieces."""
+    with open(K.VOCABULARY, "rb") as f:
+        code = K.Coder(f.read())
+    texts = ["a b  c\n" * 300, " " * 9000 + "x", "x" * 20_000, "é" * 9000 + "\n" * 5000 + " end", "tab\t 　 mixed 12 don't"]
+    whole = [b"".join(np.array(code.ranks.encoding._encode_single_piece(p), "<u2").tobytes() for p in code.ranks.pattern.findall(t)) for t in texts]
+    assert [code.encode(t) for t in texts] == whole
+    assert len(code.encode(" " * 1_000_000)) > 0
+    monkeypatch.setattr(K, "WHOLE", 100)
+    assert [code.encode(t) for t in texts] == whole
