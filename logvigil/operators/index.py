@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
+from ..sources.store import Store
 
 
 def ensure_timestamp(df: DataFrame, col: str = "@timestamp", now: Column | None = None) -> DataFrame:
@@ -179,6 +180,15 @@ def merge_enrichment(docs: DataFrame, results: DataFrame, doc_id: str = "doc_id"
     return joined.select(*kept, *[value(f).alias(f) for f in fields], (hit | before).alias("llm_matched"))
 
 
+def merge_stored(store: Store, results: DataFrame, txn: str, doc_id: str = "doc_id", order: tuple[str, ...] = ("t", "ask_id"), null_policy: str = "overwrite", fields: tuple[str, ...] = MERGED) -> list[tuple[str, str]]:
+    """``merge_enrichment`` into a stored table: only the parts that hold a matched document are read whole, written anew and
+    published in one commit. Returns these (folder, part). The store's columns must include the fields and ``llm_matched``."""
+    matched = results.filter(F.col("matched_doc").isNotNull())
+    cells = store.touched(matched.select(F.col("matched_doc").alias(doc_id)), doc_id)
+    store.rewrite(cells, lambda docs: merge_enrichment(docs, matched, doc_id, order, null_policy, fields), txn)
+    return cells
+
+
 def match_stats(matches: DataFrame, errors: Column | None = None) -> DataFrame:
     """total, matched, no_match and errors in one row."""
     bad = F.lit(False) if errors is None else F.coalesce(errors, F.lit(False))

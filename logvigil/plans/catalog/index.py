@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...operators import index as I
+from ...session import scratch_path
+from ...sources.store import Store
 from .registry import query, view, view_sql, with_view
 
 
@@ -113,6 +115,21 @@ def _merge(spark, sf_dir, policy: str):
     return I.merge_enrichment(docs, results, null_policy=policy).select("doc_id", *I.MERGED, "llm_matched")
 
 
+@query("merge_stored", _merge_sql("overwrite"))
+def merge_stored(spark, sf_dir):
+    """Documents are stored by day, the merge writes the touched days, and the store is read again."""
+    asks, docs = view(spark, sf_dir, "asks"), view(spark, sf_dir, "base_docs")
+    third = F.col("doc_id") % 3 == 0
+    docs = docs.withColumns({
+        "llm_is_suspicious": F.when(third, 1), "llm_confidence": F.when(third, F.lit(99).cast("bigint")),
+        "llm_response": F.when(third, "earlier"), "llm_trigger": F.lit(None).cast("string"), "llm_matched": F.lit(False)})
+    store = Store(spark, scratch_path(spark, "events"), docs.schema, F.to_date(F.timestamp_seconds("t")))
+    store.append(docs, "load")
+    stored = store.read()
+    I.merge_stored(store, I.match_enrichment(asks, stored).join(asks, "ask_id"), "merge")
+    return store.read().select("doc_id", *I.MERGED, "llm_matched")
+
+
 @query("merge_enrichment", _merge_sql("overwrite"))
 def merge_enrichment(spark, sf_dir):
     return _merge(spark, sf_dir, "overwrite")

@@ -63,25 +63,32 @@ def frequency_rule_stream(spark, sf_dir):
 def unseen_alerts_stream(spark, sf_dir):
     e = stream_view(spark, sf_dir, "fw_scored").withColumns({"doc_id": F.md5(F.concat("srcip", "dstip")), "ts": F.col("ts").cast("timestamp")})
     path = scratch_path(spark, "alerts")
-    gates.unseen_to(A.alert_candidates(e).select("doc_id", "ts"), path, path + "-checkpoint", available_now=True).awaitTermination()
-    return spark.read.parquet(path).select("doc_id")
+    alerts = A.alert_candidates(e).select("doc_id", "ts")
+    for checkpoint in ("-one", "-two"):  # the second one finds all ids sent
+        gates.unseen_to(alerts, path, path + checkpoint, available_now=True).awaitTermination()
+    return gates.sent_ids(spark, path, alerts.schema).read().select("doc_id")
 
 
-@query("index_append", with_view("fw_scored", "select event_id, srcip, dfp_score from fw_scored"))
+# Two checkpoints write to one store, one of them is started twice; the parts are then compacted.
+@query("index_append", with_view("fw_scored", "select event_id, srcip, dfp_score from fw_scored union all select event_id, srcip, dfp_score from fw_scored"))
 def index_append(spark, sf_dir):
     path = scratch_path(spark, "index")
-    e = stream_view(spark, sf_dir, "fw_scored").select("event_id", "srcip", "dfp_score")
-    io.index_append(e, path, path + "-checkpoint", available_now=True).awaitTermination()
-    return spark.read.parquet(path).select("event_id", "srcip", "dfp_score")
+    e = stream_view(spark, sf_dir, "fw_scored").select("event_id", "srcip", "dfp_score", "ts")
+    day = F.to_date("ts")
+    for checkpoint in ("-one", "-two", "-one"):
+        io.index_append(e, path, path + checkpoint, day, available_now=True).awaitTermination()
+    store = io.event_store(spark, path, e.schema, day)
+    store.compact(2)
+    return store.read().select("event_id", "srcip", "dfp_score")
 
 
-@query("index_metrics", with_view("fw_scored", "select count(*) as indexed, 0::bigint as errors from fw_scored"))
+@query("index_metrics", with_view("fw_scored", "select count(llm_response) as indexed, count(*) - count(llm_response) as errors from fw_scored"))
 def index_metrics(spark, sf_dir):
     path, counts = scratch_path(spark, "index"), []
-    e = stream_view(spark, sf_dir, "fw_scored").select("event_id")
-    io.index_append(e, path, path + "-checkpoint", available_now=True, on_batch=lambda batch, rows: counts.append(rows)).awaitTermination()
-    stored = spark.read.parquet(path)
-    return stored.agg(F.count("*").alias("indexed"), (F.lit(sum(counts)) - F.count("*")).alias("errors"))
+    e = stream_view(spark, sf_dir, "fw_scored").select("event_id", "llm_response")
+    q = io.index_append(e, path, path + "-checkpoint", required=("llm_response",), available_now=True, on_batch=lambda batch, stored, refused: counts.append(refused))
+    q.awaitTermination()
+    return io.event_store(spark, path, e.schema).read().agg(F.count("*").alias("indexed"), F.lit(sum(counts)).cast("bigint").alias("errors"))
 
 
 @query("deliver_alerts", with_view("fw_scored", "select event_id, llm_response from fw_scored where llm_is_suspicious=1 and llm_response is not null and llm_response<>'' and event_original is not null"))

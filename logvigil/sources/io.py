@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from .store import Store, append_stream
+
 
 def read_syslog(spark: SparkSession, path: str, stream: bool = False, max_files: int | None = None) -> DataFrame:
     """Raw lines as (value, ingest_ts), from files in batch or as they arrive."""
@@ -144,25 +146,13 @@ def model_labels(spark: SparkSession, metadata: str | None = None, config: str |
     raise FileNotFoundError("no label file could be read") from last
 
 
-def index_append(df: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, ...] = (), interval: str = "500 milliseconds", available_now: bool = False, on_batch: Callable[[int, int], None] | None = None) -> StreamingQuery:
-    """Append a stream to the event store in small batches (interval), with exactly-once files.
+def index_append(df: DataFrame, path: str, checkpoint: str, day: Column | None = None, required: tuple[str, ...] = (), interval: str = "500 milliseconds", available_now: bool = False, on_batch: Callable[[int, int, int], None] | None = None) -> StreamingQuery:
+    """Append a stream to the event store at ``path`` in small batches, each once, in parts by ``day``; read it with ``event_store``."""
+    return append_stream(df, event_store(df.sparkSession, path, df.schema, day), checkpoint, required, interval=interval, available_now=available_now, on_batch=on_batch)
 
-    ``on_batch(batch_id, rows)`` receives the count of each written batch, observed during the
-    write rather than by a second pass.
-    """
-    from pyspark.sql import Observation
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation()
-        w = batch.observe(seen, F.count("*").alias("rows")).withColumn("_batch", F.lit(batch_id))
-        # a retried batch replaces its own folder only
-        out = w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch", *partition_by)
-        out.parquet(path)
-        if on_batch:
-            on_batch(batch_id, int(seen.get["rows"]))
-
-    w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)).start()
+
+def event_store(spark: SparkSession, path: str, schema: T.StructType, day: Column | None = None) -> Store:
+    return Store(spark, path, schema, day)
 
 
 def deliver_alerts(df: DataFrame, callback: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = False, interval: str = "15 seconds") -> StreamingQuery:

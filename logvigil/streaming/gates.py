@@ -6,13 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import constants as C
 from ..operators.review import gate_key
+from ..sources.store import Store, bucket, unseen_stream
 
 
 def _keyed(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
@@ -77,21 +78,15 @@ def frequency_rule_stream(df: DataFrame, keys: list[str], frequency: int, timefr
         step, schema, "seconds array<bigint>, counts array<bigint>", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
-def unseen_to(df: DataFrame, sent: str, checkpoint: str, key: str = "doc_id", available_now: bool = False, interval: str = "15 seconds"):
-    """Append each id of a stream once to the table at ``sent``, however long ago it came first.
+def sent_ids(spark: SparkSession, sent: str, schema: T.StructType, key: str = "doc_id", buckets: int = 64) -> Store:
+    """The table of ids at ``sent``, in buckets of their hash."""
+    return Store(spark, sent, schema, bucket(key, buckets))
 
-    Every batch is held against the stored ids of the batches before it; a repeated batch replaces its own folder.
-    """
-    spark = df.sparkSession
-    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{sent}/_batch=-1")
 
-    def step(batch: DataFrame, i: int) -> None:
-        known = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_batch", T.LongType())])).parquet(sent)
-        new = batch.dropDuplicates([key]).join(known.filter(F.col("_batch") < i).select(key), key, "left_anti")
-        new.select(*df.columns).write.mode("overwrite").parquet(f"{sent}/_batch={i}")
-
-    w = df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)).start()
+def unseen_to(df: DataFrame, sent: str, checkpoint: str, key: str = "doc_id", buckets: int = 64, available_now: bool = False, interval: str = "15 seconds"):
+    """Append each id of a stream once to the table at ``sent`` (see ``sent_ids``), however long ago and under whatever checkpoint
+    it came first. A batch reads the buckets of its own ids only."""
+    return unseen_stream(df, sent_ids(df.sparkSession, sent, df.schema, key, buckets), checkpoint, key, buckets, interval, available_now)
 
 
 def first_per_id(df: DataFrame, key: str = "doc_id", ts: str = "ts", delay: str = "10 minutes") -> DataFrame:

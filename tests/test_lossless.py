@@ -62,7 +62,11 @@ def test_an_id_is_never_forgotten(spark, tmp_path):
     rows = [[(1, "x", 0), (2, "y", 1)], [(1, "x", 10**8), (3, "z", 10**8)], [(2, "y", 2 * 10**8)]]
     e = two_files(spark, tmp_path, rows).withColumnRenamed("event_id", "doc_id")
     gates.unseen_to(e, f"{tmp_path}/sent", f"{tmp_path}/check", available_now=True).awaitTermination()
-    assert sorted(r.doc_id for r in spark.read.parquet(f"{tmp_path}/sent").collect()) == [1, 2, 3]
+    sent = lambda: sorted(r.doc_id for r in gates.sent_ids(spark, f"{tmp_path}/sent", e.schema).read().collect())
+    assert sent() == [1, 2, 3]
+    for checkpoint in ("check", "another"):  # a restart and a new checkpoint send nothing twice
+        gates.unseen_to(e, f"{tmp_path}/sent", f"{tmp_path}/{checkpoint}", available_now=True).awaitTermination()
+        assert sent() == [1, 2, 3]
 
 
 def test_repeated_ids_are_not_multiplied(spark, sf_dir):
