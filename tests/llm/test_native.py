@@ -136,3 +136,9 @@ def test_mix(spark):
     assert mixed.columns == docs.columns
     assert mixed.agg(F.sum(M.word_count("text"))).first()[0] == sum(r.taken for r in rows)
     assert M.mix(docs.limit(0)).count() == 0 and M.mix_report(docs.limit(0)).count() == 0
+
+
+def test_rows_without_id_draw_by_their_texts(spark):
+    docs = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat_ws(" ", F.lit("word " * 18), F.col("id")).alias("text"), F.when(F.col("id") < 1700, "big").otherwise("small").alias("source"))
+    taken = {r.source: (r.t, r.target) for r in M.copies(docs.withColumn("_mark", M.text_mark("text")), M.targets(M.source_sizes(docs, M.word_count("text")))).groupBy("source").agg(F.sum(M.word_count("text") * F.col("copies")).alias("t"), F.first("target").alias("target")).collect()}
+    assert all(abs(t - target) < 0.08 * target for t, target in taken.values())
