@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ...functions import constants as C
 from ...operators import features as FE
+from ...operators import peer_versions as PV
 from ...operators import peers as PE
 from ...operators import profile as PR
 from ...session import materialize
@@ -215,9 +216,9 @@ def combine_scores(spark, sf_dir):
     return e.select("event_id", F.round(score, 6).alias("score"), flag.alias("is_anomaly"))
 
 
-def dfp_sql(peers: bool) -> str:
+def dfp_sql(peers: bool, peer: str | None = None) -> str:
     """The nine result columns of every row, rounded."""
-    join = f"left join ({peer_sql()}) p using (event_id)" if peers else "left join (select null::bigint as event_id, null::int as group_id, null::int as group_size, null::double as peer) p using (event_id)"
+    join = f"left join ({peer or peer_sql()}) p using (event_id)" if peers else "left join (select null::bigint as event_id, null::int as group_id, null::int as group_size, null::double as peer) p using (event_id)"
     return f"""select event_id, case when peer>0 then (case when 0.6*ind+0.4*peer > 0.7 or (ind>0.8 and peer>0.5) or (ind>0.5 and peer>0.8) then 1 else 0 end)
    when over then 1 else 0 end as dfp_is_anomaly,
  round(case when peer>0 then 0.6*ind+0.4*peer else ind end, 6) as dfp_score, round(ind, 6) as dfp_individual_score, round(peer, 6) as dfp_peer_score,
@@ -279,3 +280,52 @@ def refresh_peer_groups(spark, sf_dir):
     e = e.withColumn("group_id", F.split_part("entity", F.lit("."), F.lit(4)).cast("int") % GROUPS)
     out = PE.refresh_peer_stats(e, ["total_bytes"])
     return out.select("event_id", "global_seq", "version", "group_rows", F.round("group_avg_total_bytes", 4).alias("group_avg_total_bytes"))
+
+
+# Groups that change: an entity is assigned anew at each refresh that its rows see, at some of them to no group.
+EVERY = 250
+_MOVING = "case when (octet + version) % 7 = 0 then null else ((octet + version // 2) % 5)::int end"
+_GIVEN_SQL = f"""seen as materialized (select r.*, row_number() over (order by ts, event_id) as global_seq, row_number() over (order by ts, event_id) // {EVERY} as version from rings r),
+ given as materialized (select entity, version, {_MOVING} as group_id from (select distinct entity, version, split_part(entity, '.', 4)::int as octet from seen) a),
+ refreshes as (select distinct version as v from seen where version > 0),
+ member as materialized (select * from (select v, entity, group_id from refreshes join given on version <= v qualify row_number() over (partition by v, entity order by version desc) = 1) m0 where group_id is not null),
+ live as materialized (select * from (select v, s.* from refreshes join seen s on s.global_seq <= v * {EVERY} qualify row_number() over (partition by v, entity order by seq desc) <= 10) l0),
+ sized as materialized (select v, group_id, count(*)::int as group_size from member group by all having count(*) >= {C.MIN_GROUP_SIZE}),
+ pool as materialized (select l.*, group_id, group_size from live l join member using (v, entity) join sized using (v, group_id))"""
+
+
+def _asof_sql(body: str) -> str:
+    return with_view("fw", f"select * from (with rings as materialized ({rings_sql()}), {_GIVEN_SQL} {body}) q")
+
+
+def moving_groups(rows):
+    """(entity, version, group_id) at the versions that rows of the entity see."""
+    octet = F.split_part("entity", F.lit("."), F.lit(4)).cast("int")
+    moved = F.when((octet + F.col("version")) % 7 != 0, ((octet + F.floor(F.col("version") / 2)) % 5).cast("int"))
+    return rows.filter(F.col("entity").isNotNull()).select("entity", "version").distinct().withColumn("group_id", moved)
+
+
+@query("peer_stats_asof", _asof_sql("select * from (" + " union all ".join(
+    f"""select v as version, group_id, '{f}' as feature, group_size, round(avg({f}::double), 4) as mean, round(stddev_pop({f}::double), 4) as std,
+ round(quantile_cont({f}::double, 0.95), 4) as p95 from pool group by all""" for f in SHOWN) + ") s"))
+def peer_stats_asof(spark, sf_dir):
+    rows = materialize(PE.versioned(_events(spark, sf_dir), every=EVERY), "versioned")
+    s = PV.peer_stats_asof(rows, moving_groups(rows), EVERY, SHOWN)
+    return s.select("version", "group_id", "feature", "group_size", *[F.round(c, 4).alias(c) for c in ("mean", "std", "p95")])
+
+
+def peer_asof_sql() -> str:
+    """event_id -> group and peer score against the statistics of the row's own version."""
+    cells = " + ".join(
+        f"case when s_{f} < 1e-6 then case when abs({f}-m_{f}) > 1e-6 then 1.0 else 0.0 end else least(abs(({f}-m_{f})/s_{f})/3.0, 1.0) end"
+        for f in C.TRAFFIC_FEATURES)
+    wide = ", ".join(f"avg({f}::double) as m_{f}, stddev_pop({f}::double) as s_{f}" for f in C.TRAFFIC_FEATURES)
+    return f"""select event_id, g.group_id, g.group_size, ({cells}) / {len(C.TRAFFIC_FEATURES)} as peer
+ from seen r join given using (entity, version) join (select v, group_id, group_size, {wide} from pool group by all) g on g.v = version and g.group_id = given.group_id"""
+
+
+@query("dfp_score_asof", _asof_sql(dfp_sql(True, peer_asof_sql())))
+def dfp_score_asof(spark, sf_dir):
+    e = view(spark, sf_dir, "fw")
+    rows = PE.versioned(e.select("event_id", "ts", FE.entity_key(e).alias("entity")), every=EVERY)
+    return _dfp_columns(dfp.score(e, clock=F.col("ts"), assignments=moving_groups(rows), every=EVERY))

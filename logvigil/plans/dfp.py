@@ -9,6 +9,7 @@ from ..functions import constants as C
 from ..functions.fields import event_time
 from ..operators import features as FE
 from ..operators import models as MO
+from ..operators import peer_versions as PV
 from ..operators import peers as PE
 from ..operators import profile as PR
 from ..session import materialize
@@ -58,9 +59,13 @@ def decide(d: DataFrame, ts: str, tie: str, assignments: DataFrame | None = None
     """Scores and status from sequence number, error and error window (batch and stream).
 
     ``wide`` has one row per group, so it is broadcast. ``assignments`` grows with the entities and
-    is joined as Spark finds it fit; AQE splits a hot entity's side.
+    is joined as Spark finds it fit; AQE splits a hot entity's side. With a column ``version`` both
+    are tables by version, and a row takes the ones of its own.
     """
-    if wide is not None:
+    if wide is not None and "version" in wide.columns:
+        d = d.join(assignments, ["entity", "version"], "left").join(wide, ["group_id", "version"], "left")
+        peer, gid, gsize = PE.peer_score(C.TRAFFIC_FEATURES), F.col("group_id"), F.col("group_size")
+    elif wide is not None:
         d = d.join(assignments, "entity", "left")
         d = d.join(F.broadcast(wide), "group_id", "left")  # at most MAX_GROUPS rows
         peer, gid, gsize = PE.peer_score(C.TRAFFIC_FEATURES), F.col("group_id"), F.col("group_size")
@@ -99,6 +104,7 @@ def score(
     hot_rows: int | None = None,
     scorer: str = "zero",
     keep: list[str] | None = None,
+    every: int = C.PEER_REFRESH_ROWS,
 ) -> DataFrame:
     """Score every event: (tie, ts, 9 dfp_ columns), one output row per input row.
 
@@ -107,16 +113,24 @@ def score(
 
     ``assignments`` (entity, group_id) adds the peer layer with one set of group statistics for all
     rows; ``stats`` is the table of ``peers.peer_stats`` and is computed from ``e`` when not given.
-    Statistics that change over time: ``peers.refresh_peer_stats``. ``scorer`` is how an event is
+    With a column ``version`` the groups are refreshed at every ``every``-th message: an event is scored
+    against the groups and statistics of the latest refresh, see ``operators.peer_versions``; events before
+    the first one have no peers. ``scorer`` is how an event is
     reconstructed: ``zero`` (by the baseline mean, all in the JVM), ``pca`` or ``autoencoder`` (a
     model per entity, see ``operators.models``).
     """
     feats = C.TRAFFIC_FEATURES
     base = narrow(e, ts, tie, clock, keep)
+    versions = assignments is not None and "version" in assignments.columns
+    if versions:
+        base = materialize(PE.versioned(base, ts, tie, every), "versioned")  # read by the score and by the refreshes
     known = base.filter(F.col("entity").isNotNull())
     featured = lambda d: add_features(d, ts, tie)
     wide = groups = None
-    if assignments is not None:
+    if versions:
+        seen = featured(known.drop("_event"))
+        groups, wide = PV.versions_for(seen, assignments, every, feats, ts=ts, tie=tie, hot_rows=hot_rows)
+    elif assignments is not None:
         groups = assignments.select("entity", "group_id").filter(F.col("entity").isNotNull())
         if stats is None:
             wide = PE.group_moments(PR.recent_rows(known.drop("_event"), ts=ts, tie=tie, features=featured), groups, feats)
