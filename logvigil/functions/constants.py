@@ -64,21 +64,21 @@ SIGNATURES = [
     ("web_attack", r"(\.\./|\.\./\.\./|path.*traversal)"),
     ("web_attack", r"(cmd\.exe|/bin/bash|powershell)"),
 ]
-# For each signature, lower-case literals of which every match holds at least one.
+# For each signature its ways to match; a way needs at least one literal (lower case) of each of its groups.
 SIGNATURE_LITERALS = [
-    ["union", "="],
-    ["drop", "delete", "insert", "update"],
-    ["<script", "javascript:", "onerror=", "onload="],
-    ["alert(", "eval(", "document.cookie"],
-    [";", "|", "&&", "`", "$("],
-    ["../", "..\\", "/etc/passwd"],
-    ["failed"],
-    ["too many", "locked"],
-    ["virus", "trojan", "ransomware", "malware", "infected"],
-    ["cryptominer", "rootkit", "keylogger"],
-    ["flood", "scan", "nmap"],
-    ["../", "traversal"],
-    ["cmd.exe", "/bin/bash", "powershell"],
+    [[["union"], ["select"]], [["or"], ["="]]],
+    [[["drop", "delete", "insert", "update"], ["table", "from", "into"]]],
+    [[["<script", "javascript:", "onerror=", "onload="]]],
+    [[["alert(", "eval(", "document.cookie"]]],
+    [[[";", "|", "&&", "`"]], [["$("], [")"]]],
+    [[["../", "..\\", "/etc/passwd"]]],
+    [[["failed"], ["password", "authentication"], ["time"]]],
+    [[["too many"], ["attempts"]], [["account"], ["locked"]]],
+    [[["virus", "trojan", "ransomware", "malware", "infected"]]],
+    [[["cryptominer", "rootkit", "keylogger"]]],
+    [[["syn"], ["flood"]], [["port"], ["scan"]], [["nmap", "masscan"]]],
+    [[["../"]], [["path"], ["traversal"]]],
+    [[["cmd.exe", "/bin/bash", "powershell"]]],
 ]
 # Letters outside ASCII that match s, k or i when case is ignored.
 FOLDING_LETTERS = ["ſ", "K", "İ", "ı"]

@@ -153,6 +153,20 @@ def range_counts(
     return done.unionByName(null_safe_join(hot, slots, [*keys, clock]).select(*done.columns))
 
 
+def range_sums(df: DataFrame, keys: list[str], clock: str, wanted: dict[str, tuple[str, int]], hot_rows: int | None = None) -> DataFrame:
+    """``range_counts`` for several flags and lengths at once: column ``out`` of ``wanted`` {out: (flag, seconds)} is the number of
+    rows with the boolean ``flag``. All frames share one exchange and one sort, for hot keys one count per (key, second)."""
+    frame = lambda seconds: Window.partitionBy(*keys).orderBy(clock).rangeBetween(-seconds, Window.currentRow)
+    cold, hot = split_hot(df, keys, hot_keys(df, keys, hot_rows))
+    done = cold.withColumns({out: F.sum(F.col(flag).cast("bigint")).over(frame(s)) for out, (flag, s) in wanted.items()})
+    if hot is None:
+        return done
+    flags = sorted({flag for flag, _ in wanted.values()})
+    slots = hot.groupBy(*keys, clock).agg(*[F.sum(F.col(f).cast("bigint")).alias(f"_n{f}") for f in flags])
+    slots = slots.select(*keys, clock, *[F.sum(f"_n{flag}").over(frame(s)).alias(out) for out, (flag, s) in wanted.items()])
+    return done.unionByName(null_safe_join(hot, slots, [*keys, clock]).select(*done.columns))
+
+
 def lit_map(values: dict) -> Column:
     """A map literal from a small fixed table."""
     return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,19 +35,18 @@ def _hit(text: Column, pattern: str) -> Column:
     return text.rlike("(?idu)" + pattern)
 
 
-def _any_literal(low: str, literals: list[str]) -> Column:
-    hit = F.contains(F.col(low), F.lit(literals[0]))
-    for x in literals[1:]:
-        hit = hit | F.contains(F.col(low), F.lit(x))
-    return hit
+def _possible(low: str, ways: list[list[list[str]]]) -> Column:
+    """Whether a text holds what some way to match needs: of each of its groups of literals at least one."""
+    held = lambda group: reduce(Column.__or__, [F.contains(F.col(low), F.lit(x)) for x in group])
+    return reduce(Column.__or__, [reduce(Column.__and__, map(held, way)) for way in ways])
 
 
-def signature_match(df: DataFrame, text: str = "text", signatures=C.SIGNATURES, literals: list[list[str]] | None = None) -> DataFrame:
+def signature_match(df: DataFrame, text: str = "text", signatures=C.SIGNATURES, literals: list[list[list[list[str]]]] | None = None) -> DataFrame:
     """regex_match, regex_category, regex_confidence and regex_pattern of the first signature that
     matches in declared order.
 
-    A signature's pattern runs only on texts that hold one of its necessary ``literals`` (a plain
-    substring search on the lower-cased text), or one of the few letters whose case folding that
+    A signature's pattern runs only on texts that hold its necessary ``literals`` (plain
+    substring searches on the lower-cased text: for some way to match, one literal of each group), or one of the few letters whose case folding that
     search does not see. Other signatures than the built-in ones run without this test unless
     their literals are given.
     """
@@ -63,7 +63,7 @@ def signature_match(df: DataFrame, text: str = "text", signatures=C.SIGNATURES,
     for i, (_, pattern) in enumerate(signatures):
         hit = _hit(F.col(text), pattern)
         if literals:
-            hit = (F.col("_odd") | _any_literal("_low", literals[i])) & hit
+            hit = (F.col("_odd") | _possible("_low", literals[i])) & hit
         sig = sig.when(hit, F.lit(i))
     pick = lambda values: F.get(F.array(*[F.lit(v) for v in values]), F.col("_sig"))
     return out.withColumn("_sig", sig).withColumns({
@@ -262,7 +262,21 @@ def _fields(df: DataFrame) -> dict[str, Column]:
 
 
 def render_prompt(df: DataFrame, variant: str = "review") -> Column:
-    """Question put to the analysis model: ``"detector"`` or ``"review"`` wording."""
+    """Question put to the analysis model: ``"detector"`` or ``"review"`` wording, the detector's behind its system text.
+    For models with a chat form see ``chat_messages``."""
+    if variant == "detector":
+        return F.concat(F.lit(DETECTOR_SYSTEM + "\n\n"), _question(df, variant))
+    return _question(df, variant)
+
+
+def chat_messages(df: DataFrame, variant: str = "review") -> Column:
+    """The question as an array of (role, content)."""
+    said = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
+    asked = said("user", _question(df, variant))
+    return F.array(said("system", F.lit(DETECTOR_SYSTEM)), asked) if variant == "detector" else F.array(asked)
+
+
+def _question(df: DataFrame, variant: str) -> Column:
     f, lit = _fields(df), F.lit
     if variant == "review":
         lines = [
@@ -290,6 +304,10 @@ REVIEW_INSTRUCTION = (
     "Respond ONLY with valid JSON in this exact format:\n"
     '{"is_threat": true/false, "confidence": 0-100, "reason": "Brief explanation of the threat"}'
 )
+DETECTOR_SYSTEM = (
+    "You are a cybersecurity analyst. Analyse network logs concisely. Focus on: unusual ports, suspicious protocols, "
+    "data exfiltration patterns, known attack signatures."
+)
 DETECTOR_FORMAT = 'Answer in JSON: {"is_threat": true/false, "confidence": 0-100, "reason": "one sentence"}'
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
+from ..functions.bloom import MAX_BYTES, build_filter
 from ..sources.store import Store
 
 
@@ -84,7 +85,24 @@ def _join_keys(df: DataFrame, ports: list[str], mask: Column) -> list[Column]:
     return cols
 
 
-def match_enrichment(asks: DataFrame, docs: DataFrame, ask_id: str = "ask_id", doc_id: str = "doc_id", clock: str = "t", seconds: int = C.MATCH_SECONDS) -> DataFrame:
+def near_asks(docs: DataFrame, asks: DataFrame, clock: str = "t", seconds: int = C.MATCH_SECONDS, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """The documents whose addresses and time slot some ask could match, and about one in a hundred others.
+
+    The asks are copied to the two slots that their window touches and fill a Bloom filter, which the documents meet inside
+    their scan: what is left of them is shuffled. Asks too many for ``max_bytes`` prune nothing.
+    """
+    width = 2 * seconds
+    slot = lambda c: F.expr(f"({c} - pmod({c}, {width})) div {width}")
+    ticks = asks.select("srcip", "dstip", F.col(clock).cast("bigint").alias("_t")).withColumns({"_lo": F.col("_t") - seconds, "_hi": F.col("_t") + seconds})
+    keys = ticks.select("srcip", "dstip", F.explode(F.array(slot("_lo"), slot("_hi"))).alias("_slot"))
+    near = build_filter(keys, 2 * asks.count(), max_bytes)
+    if near is None:
+        return docs
+    at = F.col(clock).cast("bigint")
+    return docs.filter(near([F.col("srcip"), F.col("dstip"), F.expr(f"(cast({clock} as bigint) - pmod(cast({clock} as bigint), {width})) div {width}")]) | at.isNull())
+
+
+def match_enrichment(asks: DataFrame, docs: DataFrame, ask_id: str = "ask_id", doc_id: str = "doc_id", clock: str = "t", seconds: int = C.MATCH_SECONDS, max_bytes: int = MAX_BYTES) -> DataFrame:
     """For every ask the earliest document of the same addresses within +-``seconds``; ports must
     agree where the ask carries them. Adds ``matched_doc`` and ``matched_t`` (null: no match).
 
@@ -92,8 +110,9 @@ def match_enrichment(asks: DataFrame, docs: DataFrame, ask_id: str = "ask_id", d
     sides are reduced to distinct (key, tick) first, each tick of an ask looks for the first
     document tick at or after ``tick - seconds``, and the answer is joined back. Work is cut by
     key and time slot, so a busy address pair is spread over its slots and holds at most one row
-    per tick in each.
+    per tick in each. Documents far from all asks are left out first, see ``near_asks``.
     """
+    docs = near_asks(docs, asks, clock, seconds, max_bytes)
     ports = [p for p in ("srcport", "dstport") if p in asks.columns and p in docs.columns]
     if ports:
         mask = F.lit(0)

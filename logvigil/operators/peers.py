@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as C
 from ..functions.quantiles import exact_percentile
 from ..functions.skew import running_totals, sequenced
+from ..session import materialize
 from .profile import recent_rows
 
 
@@ -66,10 +67,12 @@ def peer_stats(recent: DataFrame, assignments: DataFrame, features: list[str] =
     """(group_id, feature, mean, std, p95) over the members' recent rows, groups of 3 or more only.
 
     ``recent`` is the output of ``profile.recent_rows``. The recent rows of a group grow with its
-    members, so everything combines map-side; p95, which no score uses, can be left out.
+    members, so everything combines map-side; p95, which no score uses, can be left out. It reads the members' rows
+    three times, so they are stored once.
     """
     sized = with_group_size(assignments, key).filter(F.col("group_size") >= C.MIN_GROUP_SIZE)
-    long = _unpivot(recent.join(sized, key), ["group_id", "group_size"], features)
+    rows = recent.join(sized, key).select("group_id", "group_size", *features)
+    long = _unpivot(materialize(rows, "members") if p95 else rows, ["group_id", "group_size"], features)
     long = long.withColumn("value", F.expr("if(isnan(value) or abs(value) = double('inf'), null, value)"))
     keys = ["group_id", "feature"]
     stats = long.groupBy(*keys, "group_size").agg(

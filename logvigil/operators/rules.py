@@ -7,7 +7,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.skew import range_counts
+from ..functions.skew import range_counts, range_sums
 
 
 @dataclass(frozen=True)
@@ -185,18 +185,29 @@ def frequency_rule(df: DataFrame, fired: Column, frequency: int, timeframe: int,
 
 
 def frequency_rules(df: DataFrame, fired: str = "fired_rules", rules: tuple[Rule, ...] = RULES, key: str = "srcip", clock: str = "t", hot_rows: int | None = None) -> DataFrame:
-    """Every frequency rule of a table over an array<int> column of rules that fired."""
-    parts = []
-    for r in rules:
-        if r.frequency is None:
-            continue
-        up = F.arrays_overlap(F.col(fired), F.array(*[F.lit(p) for p in r.parents]))
-        hit = frequency_rule(df, up, r.frequency, r.timeframe, key, clock, hot_rows)
-        parts.append(hit.withColumns({"rule_id": F.lit(r.rule_id), "rule_level": F.lit(r.level), "rule_description": render_description(df, r.description, {})}))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Every frequency rule of a table over an array<int> column of rules that fired: the row with matches, rule_id, rule_level
+    and rule_description, once for each rule that it completes.
+
+    One pass for all rules: each (parents, timeframe) is one count in the same exchange and sort, and the rules' numbers are
+    compared afterwards.
+    """
+    counted = [r for r in rules if r.frequency is not None]
+    flags = {p: f"_up{i}" for i, p in enumerate(dict.fromkeys(r.parents for r in counted))}
+    counts = {(r.parents, r.timeframe): f"_n{i}" for i, r in enumerate(counted)}
+    up = {name: F.coalesce(F.arrays_overlap(F.col(fired), F.array(*[F.lit(p) for p in parents]).cast("array<int>")), F.lit(False)) for parents, name in flags.items()}
+    some = F.lit(False)
+    for name in up:
+        some = some | F.col(name)
+    rows = df.withColumns(up).filter(some & F.col(key).isNotNull())
+    rows = range_sums(rows, [key], clock, {out: (flags[p], seconds) for (p, seconds), out in counts.items()}, hot_rows)
+
+    def completed(r: Rule) -> Column:
+        n = F.col(counts[r.parents, r.timeframe])
+        return F.when(F.col(flags[r.parents]) & (n >= r.frequency), F.struct(
+            n.alias("matches"), F.lit(r.rule_id).alias("rule_id"), F.lit(r.level).alias("rule_level"), render_description(df, r.description, {}).alias("rule_description")))
+
+    hits = F.array_compact(F.array(*map(completed, counted))).cast("array<struct<matches:bigint,rule_id:int,rule_level:int,rule_description:string>>")
+    return rows.select(*df.columns, F.explode(hits).alias("_f")).select(*df.columns, "_f.*")
 
 
 def suppress_rule(alerts: DataFrame) -> DataFrame:

@@ -204,7 +204,7 @@ _REVIEW_LINES = [("Source IP", "srcip"), ("Destination IP", "dstip"), ("Source P
                  ("Action", "action"), ("Application", "app"), ("Bytes Sent", "sentbyte"), ("Bytes Received", "rcvdbyte")]
 _REVIEW = "concat(" + _quote(D.REVIEW_INSTRUCTION + "\n\nLOG DATA:") + ", " + ", ".join(
     f"{_quote(chr(10) + '- ' + label + ': ')}, cast({c} as varchar)" for label, c in _REVIEW_LINES) + ")"
-_DETECTOR = f"""concat(case when dfp_is_anomaly=1 then concat('ALERT: DFP BEHAVIOURAL ANOMALY (score: ', cast(cast(round(dfp_score*100) as bigint) as varchar),
+_DETECTOR = f"""concat({_quote(D.DETECTOR_SYSTEM + chr(10) * 2)}, case when dfp_is_anomaly=1 then concat('ALERT: DFP BEHAVIOURAL ANOMALY (score: ', cast(cast(round(dfp_score*100) as bigint) as varchar),
  {_quote("%)" + chr(10) + "Entity behaviour differs significantly from baseline and/or peer group.")})
  else {_quote("ALERT: LOW CONFIDENCE DETECTION" + chr(10) + "ML classifier uncertain about this traffic pattern.")} end,
  {_quote(chr(10) * 2 + "NETWORK LOG:" + chr(10))}, srcip, ':', cast(srcport as varchar), ' → ', dstip, ':', cast(dstport as varchar),

@@ -63,9 +63,15 @@ def earliest_match(spark, sf_dir):
     return I.earliest_match(matched(spark, sf_dir)).select("ask_id", "matched_doc", "matched_t")
 
 
-@query("match_stats", _asks_sql("select count(*) as total, count(hit.doc) as matched, count(*)-count(hit.doc) as no_match, 0::bigint as errors from best"))
+# An ask whose stamp is no time cannot be processed: it is an error, matched or not.
+_STAMP = "case when ask_id%9=0 then 'not a time' when ask_id%9=1 then '' else substring(cast(ts as string), 1, 19) end"
+
+
+@query("match_stats", _asks_sql(f"""select count(*) as total, count_if(hit.doc is not null and not bad)::bigint as matched, count_if(hit.doc is null and not bad)::bigint as no_match,
+ count_if(bad)::bigint as errors from best join (select ask_id, try_cast({_STAMP} as timestamp) is null as bad from asks) s using (ask_id)"""))
 def match_stats(spark, sf_dir):
-    return I.match_stats(matched(spark, sf_dir))
+    stamps = view(spark, sf_dir, "asks").select("ask_id", F.expr(_STAMP).try_cast("timestamp").isNull().alias("bad"))
+    return I.match_stats(matched(spark, sf_dir).join(stamps, "ask_id"), F.col("bad"))
 
 
 # Documents whose address was stored with a suffix match only by the substring search.

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ...functions import constants as C
 from ...operators import metrics as M
 from ...operators import peers as PE
+from .. import dfp
 from ..views import table
 from .profile import _GROUP_SQL, GROUPS, _scored, _seq, dfp_sql, portable_groups
 from .registry import query, view, view_sql, with_view
@@ -18,10 +23,15 @@ def dfp_metrics(spark, sf_dir):
     return M.dfp_metrics(_scored(spark, sf_dir, peers=True))
 
 
-@query("top_entities", with_view("fw", """select srcip as dfp_entity, count(*) as messages, 'profiled' as status, 'ungrouped' as peer_group from fw
- group by 1 order by count(*) desc, srcip limit 3"""))
+# Ten entities of which five are admitted; those have a group once a row of theirs is scored.
+@query("top_entities", with_view("fw", f"""select entity as dfp_entity, messages, case when kept then 'profiled' else 'tracking' end as status,
+ case when kept and messages >= 24 then cast({_GROUP_SQL} as varchar) else 'ungrouped' end as peer_group from (select srcip as entity, count(*) as messages,
+ row_number() over (order by count(*) desc, srcip) <= 5 and (count(*) over () <= 5 or count(*) >= {C.MIN_ENTITY_ROWS}) as kept from fw group by 1) e
+ order by messages desc, entity limit 10"""))
 def top_entities(spark, sf_dir):
-    return M.top_entities(_scored(spark, sf_dir))
+    e = view(spark, sf_dir, "fw")
+    groups = portable_groups(e.withColumnRenamed("srcip", "entity"))
+    return M.top_entities(dfp.score_admitted(e, 5, clock=F.col("ts"), assignments=groups), 10)
 
 
 # Two groups more than have members: they count in the average.
@@ -71,7 +81,10 @@ def _size_sql(cols: list[tuple[str, bool]]) -> str:
 
 _STAGES = {
     "raw": [("value", True)],
+    "parsed": [("event_id", False), ("srcip", True), ("dstip", True), ("srcport", False), ("dstport", False), ("proto", False), ("action", True), ("app", True), ("rcvdbyte", False), ("duration", False)],
     "scored": [("event_id", False), ("srcip", True), ("dstip", True), ("dfp_is_anomaly", False), ("threat_class", True)],
+    "reviewed": [("event_id", False), ("srcip", True), ("dstip", True), ("dfp_is_anomaly", False), ("threat_class", True), ("llm_status", True), ("llm_is_suspicious", False),
+                 ("llm_confidence", False), ("llm_trigger", True)],
 }
 
 
@@ -80,13 +93,14 @@ def _raw_size(value: str) -> str:
     return f"{len(chr(123) + chr(34) + 'value' + chr(34) + ':' + chr(125)) + 2} + strlen({value}) + (strlen({value}) - strlen(replace({value}, chr(34), '')))"
 
 
-@query("message_size", with_view("fw_scored", f"select 'scored' as stage, round(avg({_size_sql(_STAGES['scored'])}), 4) as bytes from fw_scored union all select 'raw', round(avg({_raw_size('value')}), 4) from ({view_sql('raw_lines', 'duckdb')}) r"))
+@query("message_size", with_view("fw_scored", f"select 'scored' as stage, round(avg({_size_sql(_STAGES['scored'])}), 4) as bytes from fw_scored union all "
+       f"select 'reviewed', round(avg({_size_sql(_STAGES['reviewed'])}), 4) from fw_scored union all select 'parsed', round(avg({_size_sql(_STAGES['parsed'])}), 4) from ({view_sql('fw', 'duckdb')}) p union all select 'raw', round(avg({_raw_size('value')}), 4) from ({view_sql('raw_lines', 'duckdb')}) r"))
 def message_size(spark, sf_dir):
     sizes = []
-    for stage, name in (("scored", "fw_scored"), ("raw", "raw_lines")):
+    for stage, name in (("raw", "raw_lines"), ("parsed", "fw"), ("scored", "fw_scored"), ("reviewed", "fw_scored")):
         e = view(spark, sf_dir, name)
         sizes.append(e.agg(F.round(M.message_size(e, [c for c, _ in _STAGES[stage]]), 4).alias("bytes")).select(F.lit(stage).alias("stage"), "bytes"))
-    return sizes[0].unionByName(sizes[1])
+    return reduce(DataFrame.unionByName, sizes)
 
 
 @query("documents_per_day_all", with_view("fw_scored", "select cast(cast(ts as date) as varchar) as day, count(*) as documents from fw_scored group by 1"))

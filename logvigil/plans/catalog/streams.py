@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...functions import constants as C
 from ...operators import alerts as A
 from ...operators import metrics as M
 from ...operators import models as MO
@@ -15,7 +16,7 @@ from ...streaming import gates, profile_stream
 from ...streaming.sources import drain, table_stream
 from .. import dfp
 from ..views import _escape, utc
-from .profile import _dfp_columns, _events, _seq, dfp_sql, portable_groups
+from .profile import SHOWN, _dfp_columns, _events, _seq, dfp_sql, portable_groups
 from .registry import query, view, view_sql, with_view
 from .review import _gate
 
@@ -107,10 +108,15 @@ def throughput_stream(spark, sf_dir):
     return out.select(F.col("window_start").cast("string").alias("window_start"), "messages")
 
 
-@query("train_autoencoder", with_view("fw", f"select srcip as entity, {MO.parameter_count()}::int as parameters from fw group by 1 having count(*) >= 15"))
+# The weights are beyond SQL; the scaling that a model carries is not, and says which rows it was trained on.
+@query("train_autoencoder", _seq(f"""select entity, {MO.parameter_count()}::int as parameters, {", ".join(
+    f"round(avg({f}::double), 4) as mean_{f}, round(case when stddev_pop({f}::double) < 1e-6 then 1.0 else stddev_pop({f}::double) end, 4) as std_{f}" for f in SHOWN)}
+ from rings where seq <= 15 group by entity having count(*) = 15"""))
 def train_autoencoder(spark, sf_dir):
     m = MO.train_models(_events(spark, sf_dir))
-    return m.select("entity", F.size("params").alias("parameters"))
+    at = lambda i: F.round(F.get("params", F.lit(i)), 4)
+    width, place = len(C.TRAFFIC_FEATURES), C.TRAFFIC_FEATURES.index
+    return m.select("entity", F.size("params").alias("parameters"), *[at(place(f) + shift).alias(f"{name}_{f}") for f in SHOWN for name, shift in (("mean", 0), ("std", width))])
 
 
 # A model's errors are beyond SQL; what must hold of every row is not: number, status, method and the range of its score.
