@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import constants as C
 from ..operators import peers as PE
 from ..plans.dfp import decide, empty_result, prepare
 
-_STATE = "n bigint, ports array<double>, bytes array<double>, train array<double>, errors array<double>"
 _RESULT = ("seq", "port_entropy", "byte_variance", "recon_err", "err_count", "err_min", "err_max", "threshold")
 
 
@@ -38,59 +38,120 @@ def _baseline(train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return train.mean(0), np.where(std < 1e-6, 1.0, std)
 
 
-def _advance(pdf: pd.DataFrame, state: tuple | None) -> tuple[pd.DataFrame, tuple]:
-    """Score one entity's new rows in order and give its next state."""
-    feats = C.TRAFFIC_FEATURES
-    n0, ports, sizes, train, errors = state or (0, [], [], [], [])
+@dataclass
+class Known:
+    """What is kept of an entity: its rows so far, its rings, its last errors, and its first rows or, from then on, their baseline."""
+
+    n: int = 0
+    ports: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    sizes: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    errors: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    training: np.ndarray = field(default_factory=lambda: np.zeros((0, len(C.TRAFFIC_FEATURES))))
+    baseline: tuple[np.ndarray, np.ndarray] | None = None
+
+
+def _advance(pdf: pd.DataFrame, k: Known) -> pd.DataFrame:
+    """Score one entity's next rows in order; ``k`` becomes what is known after them."""
     pdf = pdf.copy()
-    pw = _windows(np.asarray(ports, float), pdf["dstport"].to_numpy(float), C.RING_ROWS)
-    bw = _windows(np.asarray(sizes, float), pdf["total_bytes"].to_numpy(float), C.RING_ROWS)
-    pdf["seq"] = n0 + 1 + np.arange(len(pdf))
-    pdf["port_entropy"] = _entropy(pw)
-    pdf["byte_variance"] = np.nanvar(bw, axis=1)
-    x = np.nan_to_num(pdf[feats].to_numpy(float), nan=0.0, posinf=0.0, neginf=0.0)
-    known = np.asarray(train, float).reshape(-1, len(feats))
-    if len(known) < C.TRAINING_ROWS:
-        known = np.concatenate([known, x[: C.TRAINING_ROWS - len(known)]])
+    ports, sizes = pdf["dstport"].to_numpy(float), pdf["total_bytes"].to_numpy(float)
+    pdf["seq"] = k.n + 1 + np.arange(len(pdf))
+    pdf["port_entropy"] = _entropy(_windows(k.ports, ports, C.RING_ROWS))
+    pdf["byte_variance"] = np.nanvar(_windows(k.sizes, sizes, C.RING_ROWS), axis=1)
+    x = np.nan_to_num(pdf[C.TRAFFIC_FEATURES].to_numpy(float), nan=0.0, posinf=0.0, neginf=0.0)
+    if k.baseline is None:
+        k.training = np.concatenate([k.training, x[: C.TRAINING_ROWS - len(k.training)]])
+        if len(k.training) == C.TRAINING_ROWS:
+            k.baseline, k.training = _baseline(k.training), k.training[:0]
     scored = pdf["seq"].to_numpy() >= C.TRAINING_ROWS
     err = np.full(len(pdf), np.nan)
     if scored.any():
-        mean, std = _baseline(known)
+        mean, std = k.baseline
         err[scored] = (((x[scored] - mean) / std) ** 2).mean(1)
     pdf["recon_err"] = err
-    ew = _windows(np.asarray(errors, float), err[scored], C.ERROR_ROWS)
     for name in ("err_min", "err_max", "threshold"):
         pdf[name] = np.nan
     pdf["err_count"] = 0
     if scored.any():
+        ew = _windows(k.errors, err[scored], C.ERROR_ROWS)
         pdf.loc[scored, "err_count"] = np.isfinite(ew).sum(1)
         pdf.loc[scored, "err_min"], pdf.loc[scored, "err_max"] = np.nanmin(ew, 1), np.nanmax(ew, 1)
         pdf.loc[scored, "threshold"] = np.nanpercentile(ew, C.ERROR_PERCENTILE * 100, axis=1)
-    last = lambda old, new, k: [float(v) for v in np.concatenate([np.asarray(old, float), new])[-k:]]
-    state = (
-        int(n0 + len(pdf)), last(ports, pdf["dstport"].to_numpy(float), C.RING_ROWS),
-        last(sizes, pdf["total_bytes"].to_numpy(float), C.RING_ROWS), [float(v) for v in known.ravel()], last(errors, err[scored], C.ERROR_ROWS),
-    )
-    return pdf, state
+    last = lambda old, new, rows: np.concatenate([old, new])[-rows:]
+    k.n += len(pdf)
+    k.ports, k.sizes, k.errors = last(k.ports, ports, C.RING_ROWS), last(k.sizes, sizes, C.RING_ROWS), last(k.errors, err[scored], C.ERROR_ROWS)
+    return pdf
+
+
+BLOCK = 1024  # rows of an entity that are expanded into windows at once
+IDLE_DAYS = 30
 
 
-def stateful_windows(base: DataFrame, ts: str, tie: str) -> DataFrame:
+class ProfileProcessor(StatefulProcessor):
+    """Keyed state in four values: rings, errors, the first rows until they are complete, and the baseline, which is then written.
+
+    All forget an entity after ``idle`` milliseconds of the cluster's clock without rows; so that the baseline of an active entity
+    stays, it is written again when half of that time has passed since it was.
+    """
+
+    def __init__(self, columns: list[str], ts: str, tie: str, idle: int, block: int = BLOCK):
+        self.columns, self.ts, self.tie, self.idle, self.block = columns, ts, tie, idle, block
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        value = lambda name, schema: handle.getValueState(name, schema, ttlDurationMs=self.idle)
+        self.rings = value("rings", "n bigint, ports array<double>, sizes array<double>")
+        self.errors = value("errors", "last array<double>")
+        self.training = value("training", "rows array<double>")
+        self.baseline = value("baseline", "mean array<double>, std array<double>, written bigint")
+
+    def _load(self) -> tuple[Known, int | None]:
+        k, floats, written = Known(), lambda a: np.asarray(a, float), None
+        rings = self.rings.get()
+        if rings is None:  # a new entity, or one that was idle for too long
+            return k, None
+        k.n, k.ports, k.sizes = int(rings[0]), floats(rings[1]), floats(rings[2])
+        baseline = self.baseline.get()
+        if baseline is not None:
+            k.baseline, written = (floats(baseline[0]), floats(baseline[1])), int(baseline[2])
+            k.errors = floats((self.errors.get() or ([],))[0])
+        else:
+            k.training = floats((self.training.get() or ([],))[0]).reshape(-1, len(C.TRAFFIC_FEATURES))
+        return k, written
+
+    def _store(self, k: Known, written: int | None, now: int) -> None:
+        floats = lambda a: [float(v) for v in np.ravel(a)]
+        self.rings.update((k.n, floats(k.ports), floats(k.sizes)))
+        if k.baseline is None:
+            self.training.update((floats(k.training),))
+            return
+        self.errors.update((floats(k.errors),))
+        if written is None:
+            self.training.clear()
+        if written is None or now - written > self.idle // 2:
+            self.baseline.update((floats(k.baseline[0]), floats(k.baseline[1]), now))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known, written = self._load()
+        data = pd.concat(list(rows)).sort_values([self.ts, self.tie], kind="stable")
+        for lo in range(0, len(data), self.block):
+            yield _advance(data.iloc[lo : lo + self.block], known)[self.columns]
+        self._store(known, written, int(timerValues.getCurrentProcessingTimeInMs()))
+
+    def close(self) -> None:
+        pass
+
+
+def stateful_windows(base: DataFrame, ts: str, tie: str, idle_days: int = IDLE_DAYS) -> DataFrame:
     """Sequence, rings, error and error window per entity from keyed state of fixed size.
 
-    A micro-batch holds an entity's new rows only; ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``
-    of the source bound them.
+    A micro-batch holds an entity's new rows only; ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger`` of the source bound them.
+    They are put in order once and scored in blocks. State of this kind lives in RocksDB, which is switched on for the session.
     """
+    base.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     types = {"seq": T.LongType(), "err_count": T.LongType()}
     fresh = [f for f in base.schema.fields if f.name not in _RESULT]
     schema = T.StructType(fresh + [T.StructField(n, types.get(n, T.DoubleType())) for n in _RESULT])
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values([ts, tie], kind="stable")
-        out, after = _advance(rows, state.get if state.exists else None)
-        state.update(after)
-        yield out[[f.name for f in schema.fields]]
-
-    return base.groupBy("entity").applyInPandasWithState(step, schema, _STATE, "append", GroupStateTimeout.NoTimeout)
+    processor = ProfileProcessor(schema.names, ts, tie, idle_days * 86_400_000)
+    return base.groupBy("entity").transformWithStateInPandas(processor, schema, "append", "ProcessingTime")
 
 
 def score_stream(e: DataFrame, ts: str = "ts", tie: str = "event_id", clock: Column | None = None, assignments: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
