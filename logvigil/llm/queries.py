@@ -22,7 +22,7 @@ def query(name, sql=None):
 
 @query("op4_url_cascade", url_cascade.URL_SQL)
 def op4(spark, sf_dir):
-    rules = spark.createDataFrame(url_cascade.RULES, "host string, path string, verdict string")
+    rules = spark.sql(f"select * from values {', '.join(map(str, url_cascade.RULES))} as r(host, path, verdict)")
     return url_cascade.judge_urls(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -9,7 +9,7 @@ judging a url takes bit tests only: no join and no shuffle.
 The filters are literals of the plan. ``max_bytes`` bounds them: n listed keys take 1.44 log2(1/rate) bits each, and later
 levels shrink. A list beyond the bound is looked up by a shuffled join on the same keys instead.
 
-Null urls and urls without ``://`` have an empty host and path, match no rule and get the default verdict, as do keys
+A url asks only for keys that it can form, so no null key meets a filter. Null urls and urls without ``://`` have an empty host and path, match no rule and get the default verdict, as do keys
 that no list has. Repeated urls get equal verdicts; an empty table gives an empty result; other columns are kept.
 """
 
@@ -106,51 +106,63 @@ def parts(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
 
 
-def asked(host: Column, path: Column, labels: list[int], lengths: list[int]) -> list[tuple[Column, Column, Column]]:
-    """(key or null, its length, host's length) for every rule that could fit."""
+def shapes(rules: DataFrame) -> list[tuple[int, int]]:
+    """(labels of the host, length of the path) that occur in the rules. Their number is bounded by the longest host times the longest
+    path, whatever the number of rules."""
+    labels = F.length("host") - F.length(F.replace("host", F.lit("."), F.lit(""))) + 1
+    return sorted((r[0], r[1]) for r in rules.select(labels, F.length("path")).distinct().collect())
+
+
+def asked(host: Column, path: Column, of: list[tuple[int, int]]) -> Column:
+    """Array of (key, n: its length, h: its host's length) for every shape of a rule that could fit the url.
+
+    The shapes are one literal, so that the plan is the same for one shape and for a thousand."""
     have = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
-    out = []
-    for k in labels:
-        suffix = F.substring_index(host, ".", -k)
-        for n in lengths:
-            fits = (have >= k) & (F.length(host) > 0) & (F.length(path) >= n)
-            out.append((F.when(fits, F.concat(suffix, F.substring(path, 1, n))), F.length(suffix) + n, F.length(suffix)))
-    return out
+    every = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(n).alias("n")) for k, n in of])
+
+    def one(s: Column) -> Column:
+        suffix = F.call_function("substring_index", host, F.lit("."), F.negative(s["k"]))
+        return F.struct(F.concat(suffix, F.substring(path, F.lit(1), s["n"])).alias("key"), (F.length(suffix) + s["n"]).alias("n"), F.length(suffix).alias("h"))
+
+    fits = F.filter(every, lambda s: (have >= s["k"]) & (F.length(host) > 0) & (F.length(path) >= s["n"]))
+    return F.transform(fits, one)
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow", max_bytes: int = MAX_BYTES) -> DataFrame:
     """``pages`` with host, path, rule and verdict. ``rules``: (host, path, verdict allow or block), a path starting with ``/``.
 
-    The longest rule wins, on a tie the one with the longer host. Label numbers and path lengths that occur in the rules
-    are read to the driver: at most a few hundred small numbers, however long the list is.
+    The longest rule wins, on a tie the one with the longer host, then ``block``. Every key of a url is tested by one higher-order
+    function, so the plan grows with the levels of the cascades (about the logarithm of the list), not with the rules' shapes.
     """
     clean = rules.select(F.lower("host").alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict").filter("host <> ''").distinct()
-    shape = clean.agg(F.collect_set(F.length("host") - F.length(F.replace("host", F.lit("."), F.lit(""))) + 1), F.collect_set(F.length("path"))).first()
-    labels, lengths = sorted(shape[0]), sorted(shape[1])
+    of = shapes(clean)
     base = pages.drop("host", "path", "rule", "verdict")
     host, path = parts(base[url_col])
     base = base.withColumns({"host": host, "path": path})
-    keys = asked(F.col("host"), F.col("path"), labels, lengths)
-    if not keys:
+    if not of:
         return base.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    universe = stored(base.select("host", "path").distinct().select(F.explode(F.array(*[k for k, _, _ in keys])).alias("key")).filter("key is not null").distinct(), "universe")
+    keys = asked(F.col("host"), F.col("path"), of)
+    universe = stored(base.select("host", "path").distinct().select(F.explode(keys).alias("k")).select("k.key").distinct(), "universe")
     listed = {v: stored(clean.filter(F.col("verdict") == v).select(F.concat("host", "path").alias("key")).distinct(), "listed") for v in ("allow", "block")}
     cascades = {v: build_cascade(universe, k, max_bytes=max_bytes) for v, k in listed.items()}
     if None in cascades.values():
         return _judge_by_join(base, clean, keys, default)
-    found = [F.when(c.contains(k), F.struct(n.alias("n"), h.alias("h"), F.lit(v).alias("verdict"), k.alias("rule")))
-             for v, c in cascades.items() if c.levels for k, n, h in keys]
-    best = F.greatest(*found) if len(found) > 1 else found[0]
-    out = base.withColumn("_best", best)
-    return out.withColumns({"rule": F.col("_best.rule"), "verdict": F.coalesce(F.col("_best.verdict"), F.lit(default))}).drop("_best")
+
+    def hits(verdict: str, cascade: Cascade) -> Column:
+        inside = F.filter("_keys", lambda k: cascade.contains(k["key"]))
+        return F.transform(inside, lambda k: F.struct(k["n"].alias("n"), k["h"].alias("h"), F.lit(verdict).alias("verdict"), k["key"].alias("rule")))
+
+    found = [hits(v, c) for v, c in cascades.items() if c.levels]
+    best = F.array_max(F.concat(*found)) if found else F.lit(None).cast("struct<n:int,h:int,verdict:string,rule:string>")
+    out = base.withColumn("_keys", keys).withColumn("_best", best)
+    return out.withColumns({"rule": F.col("_best.rule"), "verdict": F.coalesce(F.col("_best.verdict"), F.lit(default))}).drop("_best", "_keys")
 
 
-def _judge_by_join(base: DataFrame, clean: DataFrame, keys: list, default: str) -> DataFrame:
+def _judge_by_join(base: DataFrame, clean: DataFrame, keys: Column, default: str) -> DataFrame:
     """For lists beyond the filters' bound: distinct (host, path) pairs are resolved by a shuffled join and joined back."""
-    pairs = base.select("host", "path").distinct()
-    asks = pairs.select("host", "path", F.explode(F.array(*[F.struct(k.alias("key"), n.alias("n"), h.alias("h")) for k, n, h in keys])).alias("a")).select("host", "path", "a.*")
+    asks = base.select("host", "path").distinct().select("host", "path", F.explode(keys).alias("a")).select("host", "path", "a.*")
     listed = clean.select(F.concat("host", "path").alias("key"), "verdict")
-    best = asks.filter("key is not null").join(listed, "key").groupBy("host", "path").agg(F.max(F.struct("n", "h", "verdict", F.col("key").alias("rule"))).alias("_best"))
+    best = asks.join(listed, "key").groupBy("host", "path").agg(F.max(F.struct("n", "h", "verdict", F.col("key").alias("rule"))).alias("_best"))
     out = base.join(best, ["host", "path"], "left").select(*base.columns, "_best")
     return out.withColumns({"rule": F.col("_best.rule"), "verdict": F.coalesce(F.col("_best.verdict"), F.lit(default))}).drop("_best")
 
