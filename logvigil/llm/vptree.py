@@ -11,7 +11,8 @@ of its shard, and the answers are merged for each query. A tree is searched for
 task is a shard and a block, whatever the table's size.
 
 Vectors that are null, zero or hold null or non-finite components take no part; nor do those without an id or of another
-length than most. Equal rows (same id and vector) are one candidate; one id with different vectors stays several.
+length than most. Equal rows (same id and vector) are one candidate. An id with different vectors is found once, by the vector that
+is nearest to any of the query's vectors, and never by a query of the same id.
 An empty table gives an empty result; k above the number of candidates gives all of them.
 """
 
@@ -65,10 +66,11 @@ class Tree:
         self.order = order
         self.sorted = points[order]
 
-    def search(self, queries: np.ndarray, skip: np.ndarray, k: int, relax: float, biggest: float) -> np.ndarray:
+    def search(self, queries: np.ndarray, skip: tuple[np.ndarray, np.ndarray], k: int, relax: float, biggest: float, owner: np.ndarray | None = None) -> np.ndarray:
         """Rows of the k best for each query (-1: none), in no certain order; ties go to the smaller row.
 
-        ``skip``: row never to be returned. ``biggest`` is M; distance^2 = |q|^2 + M^2 - 2 q.x.
+        ``skip``: first and one past the last row never to be returned. ``owner``: only the best row of each owner is returned.
+        ``biggest`` is M; distance^2 = |q|^2 + M^2 - 2 q.x.
         """
         scale = STEPS / max(biggest**2, 1e-300)
         low = (1 << ROW_BITS) - 1
@@ -77,14 +79,25 @@ class Tree:
         worst = np.full(len(queries), NONE)
         seed = np.full(len(queries), -1)
 
+        def one_each(found: np.ndarray) -> np.ndarray:
+            """All but the best entry of an owner are emptied."""
+            found = np.sort(found, axis=1)[:, ::-1]
+            own = np.where(found == NONE, -1 - np.arange(found.shape[1]), owner[np.minimum(low - (found & low), len(owner) - 1)])
+            by = np.argsort(own, axis=1, kind="stable")
+            sorted_own = np.take_along_axis(own, by, 1)
+            again = np.zeros(own.shape, bool)
+            np.put_along_axis(again, by[:, 1:], sorted_own[:, 1:] == sorted_own[:, :-1], 1)
+            return np.where(again, NONE, found)
+
         def scan(lo: int, hi: int, active: np.ndarray) -> None:
             ids = self.order[lo:hi]
             keys = np.rint(queries[active] @ self.sorted[lo:hi].T * scale).astype(np.int64) << ROW_BITS | (low - ids)
-            keys[ids == skip[active][:, None]] = NONE
+            keys[(ids >= skip[0][active][:, None]) & (ids < skip[1][active][:, None])] = NONE
             better = keys.max(1) > worst[active]
             active = active[better]
             if len(active):
-                top = np.partition(np.hstack([best[active], keys[better]]), -k, axis=1)[:, -k:]
+                both = np.hstack([best[active], keys[better]])
+                top = np.partition(both if owner is None else one_each(both), -k, axis=1)[:, -k:]
                 best[active], worst[active] = top, top[:, 0]
 
         def toward(node: tuple, active: np.ndarray) -> np.ndarray:
@@ -151,20 +164,22 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, relax: float = 4
         lift = np.sqrt(np.maximum(biggest**2 - (x**2).sum(1), 0))
         tree = Tree(np.hstack([x, lift[:, None]]))
         qid, q = wanted["qid"].to_numpy(), np.stack(wanted["q"].to_numpy())
-        own = np.searchsorted(ids, qid).clip(max=len(ids) - 1)
-        own = np.where(ids[own] == qid, own, -2)
+        own = np.searchsorted(ids, qid), np.searchsorted(ids, qid, side="right")  # all rows of the query's id
+        first = np.append(True, ids[1:] != ids[:-1])
+        owner = None if first.all() else np.cumsum(first)
         out = []
         for lo in range(0, len(q), 1024):
             part = slice(lo, lo + 1024)
-            rows = tree.search(np.hstack([q[part], np.zeros((len(q[part]), 1))]), own[part], k, relax, biggest)
+            rows = tree.search(np.hstack([q[part], np.zeros((len(q[part]), 1))]), (own[0][part], own[1][part]), k, relax, biggest, owner)
             r, c = np.nonzero(rows >= 0)
             found = rows[r, c]
             score = (x[found] * q[part][r]).sum(1)
-            keep = ids[found] != qid[part][r]
-            out.append(pd.DataFrame({"query_id": qid[part][r][keep], "vec_id": ids[found][keep], "score": score[keep]}))
+            out.append(pd.DataFrame({"query_id": qid[part][r], "vec_id": ids[found], "score": score}))
         return pd.concat(out, ignore_index=True)
 
     kind = base.schema["id"].dataType.simpleString()
     found = here.groupBy("shard", "chunk").cogroup(there.groupBy("shard", "chunk")).applyInPandas(answer, f"query_id {kind}, vec_id {kind}, score double")
+    # an id of several vectors counts once, by its best; both steps use one exchange by query
+    found = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
