@@ -6,7 +6,8 @@ language, 64 kB a language at 8 bits of precision and 256 kB as used, so it is b
 
 A document's n-grams are drawn from a mixture of languages. EM estimates the proportions; language sets grow from the single best one by the
 language with the largest proportion, and the set with the best likelihood less ``penalty`` log(n) for each language is
-selected. The prediction is the largest proportion in the selected set. Batches of documents run through EM together.
+selected; a text's set grows until the next language does not pay, up to all languages, and its EM runs until its shares stand still.
+The prediction is the largest proportion in the selected set. Batches of documents run through EM together.
 
 Null text and text without a letter are ``und`` with score 0, as is every text if nothing was learned. Null ids count as
 fold 0; null languages are not learned from. Ties go to the language that sorts first. Repeated rows count as often
@@ -29,8 +30,8 @@ from .common import fold
 FOLDS = 5
 CELLS = 1 << 16
 ORDERS = (1, 2, 3, 4)
-ROUNDS = 8
-LARGEST = 4  # languages of a set
+ROUNDS = 200
+STILL = 1e-3  # a text's EM ends when no share moves by more
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -134,30 +135,46 @@ def _grown(logs: np.ndarray, counts: np.ndarray, sizes: np.ndarray, single: np.n
     top = logs.max(0)
     like = np.exp(logs - top)
     base = np.add.reduceat(counts * top, starts, dtype=np.float64)
-    owner = np.repeat(np.arange(docs), sizes)
 
-    def fit(theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        for _ in range(ROUNDS):
-            mass = like * theta[:, owner]
-            mass *= counts / mass.sum(0)
-            theta = np.add.reduceat(mass, starts, axis=1) / total
-        inside = np.maximum((like * theta[:, owner]).sum(0), 1e-30)
-        return theta, base + np.add.reduceat(counts * np.log(inside), starts, dtype=np.float64)
+    def entries(at: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.arange(starts[i], starts[i] + sizes[i]) for i in at])
 
-    full, _ = fit(np.full((langs, docs), 1 / langs, np.float32))
+    def fit(theta: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shares and log likelihood of some texts; a text is left alone as soon as it stands still, so its neighbours don't matter."""
+        theta, live = theta.copy(), np.arange(len(texts))
+        for _ in range(ROUNDS):
+            rows = entries(texts[live])
+            of, size = np.repeat(np.arange(len(live)), sizes[texts[live]]), sizes[texts[live]]
+            mass = like[:, rows] * theta[:, live][:, of]
+            mass *= counts[rows] / np.maximum(mass.sum(0), 1e-30)
+            now = np.add.reduceat(mass, np.cumsum(size) - size, axis=1) / total[texts[live]]
+            moved = np.abs(now - theta[:, live]).max(0) > STILL
+            theta[:, live] = now
+            live = live[moved]
+            if not len(live):
+                break
+        rows = entries(texts)
+        of, size = np.repeat(np.arange(len(texts)), sizes[texts]), sizes[texts]
+        inside = np.maximum((like[:, rows] * theta[:, of]).sum(0), 1e-30)
+        return theta, base[texts] + np.add.reduceat(counts[rows] * np.log(inside), np.cumsum(size) - size, dtype=np.float64)
+
+    full, _ = fit(np.full((langs, docs), 1 / langs, np.float32), np.arange(docs))
     best = single.argmax(0)
     chosen = np.zeros((langs, docs), bool)
     chosen[best, np.arange(docs)] = True
     theta, value = chosen.astype(np.float32), single.max(0) - cost
     order = np.argsort(-np.where(chosen, np.inf, full), axis=0, kind="stable")
-    for size in range(2, min(langs, LARGEST) + 1):
-        trial = np.zeros((langs, docs), bool)
-        np.put_along_axis(trial, order[:size], True, 0)
-        begin = np.where(trial, np.maximum(full, 1e-3), 0).astype(np.float32)
-        t, v = fit(begin / begin.sum(0))
-        better = v - size * cost > value
-        theta[:, better], chosen[:, better], value[better] = t[:, better], trial[:, better], (v - size * cost)[better]
-        if not better.any():
+    growing = np.arange(docs)  # a text's set grows until a language more does not pay, up to all of them
+    for size in range(2, langs + 1):
+        trial = np.zeros((langs, len(growing)), bool)
+        np.put_along_axis(trial, order[:size, growing], True, 0)
+        begin = np.where(trial, np.maximum(full[:, growing], 1e-3), 0).astype(np.float32)
+        t, v = fit(begin / begin.sum(0), growing)
+        better = v - size * cost[growing] > value[growing]
+        at = growing[better]
+        theta[:, at], chosen[:, at], value[at] = t[:, better], trial[:, better], (v - size * cost[growing])[better]
+        growing = at
+        if not len(growing):
             break
     return theta, chosen
 
@@ -169,19 +186,28 @@ def _judge(docs: DataFrame, langs: list[str], logs: np.ndarray, chunk: int = 1 <
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, table = model.value
         for b in batches:
-            texts = b.column("text").to_pylist()
+            texts = b.column("text")
             pred, score, mixed = ["und"] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
-            has = [i for i, t in enumerate(texts) if names and t and _LETTER.search(t)]
-            while has:
-                size, now = 0, []
-                while has and size < chunk:  # bounded work: about a megabyte of text at a time
-                    size += len(texts[has[-1]])
-                    now.append(has.pop())
-                theta, chosen = mixtures([texts[i] for i in now], table)
+
+            def settle(now: list[int], held: list[str]) -> None:
+                theta, chosen = mixtures(held, table)
                 top = theta.argmax(0)
                 for j, i in enumerate(now):
                     pred[i], score[i] = names[top[j]], min(1.0, float(theta[top[j], j]))
                     mixed[i] = [(names[x], float(theta[x, j])) for x in np.flatnonzero(chosen[:, j])]
+
+            size, now, held = 0, [], []
+            for i, cell in enumerate(texts):  # about a megabyte of text at a time becomes Python objects
+                t = cell.as_py()
+                if names and t and _LETTER.search(t):
+                    now.append(i)
+                    held.append(t)
+                    size += len(t)
+                if size >= chunk:
+                    settle(now, held)
+                    size, now, held = 0, [], []
+            if now:
+                settle(now, held)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(pred), pa.array(score), pa.array(
                 [[{"lang": n, "share": s} for n, s in m] for m in mixed], pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))],
                 ["doc_id", "held_out", "lang_pred", "score", "languages"])

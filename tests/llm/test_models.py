@@ -77,6 +77,25 @@ def test_language_mixture_and_edge_cases(spark):
     assert L.identify(odd.limit(0)).count() == 0
 
 
+def test_language_sets_have_no_cap():
+    """Five languages in one text are all found; a text's answer does not depend on the others of its batch."""
+    rng = np.random.default_rng(8)
+    letters = [rng.permutation(list("abcdefghijklmnopqrstuvwxyz"))[:9] for _ in range(7)]
+    say = lambda k, n: " ".join("".join(rng.choice(letters[k], 5)) for _ in range(n))
+    logs = np.full((7, L.CELLS), 0.5)
+    for k in range(7):
+        cells, counts = L.counted(say(k, 6000))
+        logs[k, cells] += counts
+    logs = np.log(logs / logs.sum(1, keepdims=True)).astype(np.float32)
+    texts = [" ".join(say(k, 300) for k in range(5)), say(6, 200), say(2, 100) + " " + say(3, 300), "x", " ".join(say(k, 300) for k in range(7))]
+    theta, chosen = L.mixtures(texts, logs)
+    assert [list(np.flatnonzero(chosen[:, i])) for i in (0, 1, 2, 4)] == [[0, 1, 2, 3, 4], [6], [2, 3], [0, 1, 2, 3, 4, 5, 6]]
+    assert abs(theta[:5, 0] - 0.2).max() < 0.03
+    for i, t in enumerate(texts):
+        alone, one = L.mixtures([t], logs)
+        assert (one[:, 0] == chosen[:, i]).all() and abs(alone[:, 0] - theta[:, i]).max() < 1e-3
+
+
 def plain_base(docs):
     tokens = [(d, [w for w in (t or "").encode().lower().split()] + [None]) for d, t in docs]
     c = Counter(w for d, ws in tokens if crc(d, 10) for w in ws)
@@ -166,3 +185,25 @@ def test_lm_knows_pairs_seen_once(spark):
     docs = [(i, f"a{i} b{i}") for i in train] + [(held[0], f"a{train[0]} b{train[0]}"), (held[1], f"a{train[0]} b{train[1]}")]
     got = {r.doc_id: r.score for r in B.scores(spark.createDataFrame(docs, "doc_id long, text string")).filter("held_out").collect()}
     assert got[held[0]] > got[held[1]] + 0.5
+
+
+def test_ids_with_several_vectors(spark):
+    """25 vectors under one query id, ids of several vectors among the candidates: 20 distinct ids, as by brute force."""
+    rng = np.random.default_rng(11)
+    rows = [(0, list(map(float, rng.normal(size=6)))) for _ in range(25)] + [(1 + i // 3, list(map(float, rng.normal(size=6)))) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = df.filter("vec_id % 100 = 0")
+    want = {}
+    for a, x in rows:
+        for b, y in rows:
+            if a % 100 == 0 and a != b:
+                want[a, b] = max(want.get((a, b), -9e9), sum(s * t for s, t in zip(x, y)))
+    for shard_rows in (16_384, 100):
+        got = {}
+        for r in V.search(df, q, relax=1.0, shard_rows=shard_rows).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+        assert set(got) == {a for a, _ in want}
+        for a, found in got.items():
+            best = sorted(((s, -b) for (c, b), s in want.items() if c == a), reverse=True)[:20]
+            assert [(i, b) for i, b, _ in sorted(found)] == [(i + 1, -b) for i, (_, b) in enumerate(best)]
+            np.testing.assert_allclose([s for _, _, s in sorted(found)], [s for s, _ in best])
