@@ -25,6 +25,8 @@ from .tokens import DTYPE, END_OF_DOCUMENT, VOCABULARY, coder
 
 BLOCK = 1 << 16  # tokens
 GROUP = 1024  # blocks
+RUN = 256  # blocks that one task reads in a row: 32 MB
+MOST_TASKS = 100_000
 
 
 def flat_blocks(docs: DataFrame, block: int = BLOCK, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -57,12 +59,35 @@ def flat_blocks(docs: DataFrame, block: int = BLOCK, vocabulary: str = VOCABULAR
     return stored(docs.select("doc_id", "text").mapInArrow(write, f"file int, block bigint, tokens binary, ended array<{kind}>"), "flat")
 
 
-def read_flat(spark, path: str, block: int = BLOCK) -> DataFrame:
-    """Blocks of the flat files below ``path``. A file is read by one task and must be smaller than 2 GB."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content", "length")
-    size = 2 * block
-    at = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.lit(0).cast("bigint"), F.expr(f"(length - 1) div {size}"))))
-    return files.select("file", at.alias("block"), "content").select("file", "block", F.expr(f"substring(content, cast(block * {size} + 1 as int), {size})").alias("tokens"))
+def read_flat(spark, path: str, block: int = BLOCK, run: int = RUN) -> DataFrame:
+    """(file, block, tokens): blocks of the flat files below ``path``, of any size.
+
+    Spark lists names and lengths only. A row is a run of blocks of one file; rows are spread over the tasks, and a task
+    opens the file through its file system and reads the run's bytes block by block. A lost task reads its runs again.
+    """
+    size, span = 2 * block, 2 * block * run
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "length")
+    first = F.explode(F.expr(f"sequence(0L, greatest(0L, (length - 1) div {span}))"))
+    runs = files.select("file", "length", first.alias("run"))
+    tasks = max(spark.sparkContext.defaultParallelism, min(MOST_TASKS, runs.agg(F.count("*")).first()[0]))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for b in batches:
+            for file, length, at in zip(b.column("file").to_pylist(), b.column("length").to_pylist(), b.column("run").to_pylist()):
+                system, name = fs.FileSystem.from_uri(_uri(file))
+                with system.open_input_file(name) as f:
+                    f.seek(at * span)
+                    for number in range(at * run, min((at + 1) * run, max(1, -(-length // size)))):
+                        yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([number], pa.int64()), pa.array([f.read(size)], pa.binary())], ["file", "block", "tokens"])
+
+    return runs.repartition(tasks, "file", "run").mapInArrow(read, "file string, block bigint, tokens binary")
+
+
+def _uri(path: str) -> str:
+    """Spark's path as a standard one: a file's has three slashes, escaped as it was listed."""
+    return "file://" + path.removeprefix("file:").removeprefix("//") if path.startswith("file:") else path
 
 
 def summaries(blocks: DataFrame, separator: int = END_OF_DOCUMENT, keep: tuple[str, ...] = ()) -> DataFrame:

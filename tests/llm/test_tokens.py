@@ -85,7 +85,10 @@ def test_scan_of_flat_files(spark, tmp_path, monkeypatch):
             start = int(at) + 1
         if start < len(x):
             want.append((i, int((x == 9).sum()), start, len(x) - start, False))
-    got = C.documents(C.read_flat(spark, str(tmp_path), 16), 9).collect()
+    (tmp_path / "3 odd%name.bin").write_bytes(b"")
+    flat = C.read_flat(spark, str(tmp_path), 16, run=5)
+    assert flat.select(F.spark_partition_id()).distinct().count() > 3 and flat.filter("length(tokens) > 32").count() == 0  # one file, many tasks
+    got = C.documents(flat, 9).collect()
     assert sorted((int(r.file[-5]), r.doc, r.start, r.n_tokens, r.closed) for r in got) == want
     blocks = spark.createDataFrame([(1, 0, None), (1, 1, b""), (1, 2, b"\x09\x00\x01\x00")], "file int, block long, tokens binary")
     assert [(r.doc, r.n_tokens, r.closed) for r in C.documents(blocks, 9).orderBy("doc").collect()] == [(0, 0, True), (1, 1, False)]
