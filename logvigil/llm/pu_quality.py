@@ -180,9 +180,13 @@ def fit(rows: DataFrame, prior: float, steps: int = 15, ridge: float = 1e-3) ->
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", prior: float | None = None) -> tuple[Model, DataFrame]:
     """The model and the stored features (row columns doc_id, held_out, x) of all documents."""
     feats = stored(docs.select("doc_id", (fold("doc_id", FOLDS) == 0).alias("held_out"), features("text").alias("x")), "features")
+    return train_on(feats, labels, label, prior), feats
+
+
+def train_on(feats: DataFrame, labels: DataFrame, label: str = "quality", prior: float | None = None) -> Model:
     known = labels.filter(F.col(label).isNotNull() & (fold("doc_id", FOLDS) != 0)).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
     rows = feats.filter(~F.col("held_out")).join(known, "doc_id", "left").select("x", F.coalesce(F.col("label") == 1, F.lit(False)).alias("positive"))
-    return fit(stored(rows, "rows"), class_prior(known) if prior is None else prior), feats
+    return fit(stored(rows, "rows"), class_prior(known) if prior is None else prior)
 
 
 def score_features(feats: DataFrame, model: Model) -> DataFrame:
@@ -203,11 +207,14 @@ def scores(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **how) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject; texts are read a second time, nothing is joined."""
-    model, _ = train(docs, labels, **how)
+    """The rows of ``docs`` that the classifier does not reject. The features are stored beside the row, so that each text is
+    looked at once and nothing is joined."""
+    marked = stored(docs.select(F.struct("*").alias("_row"), features("text").alias("x")), "marked")
+    held_out = (fold(F.col("_row.doc_id"), FOLDS) == 0).alias("held_out")
+    model = train_on(marked.select(F.col("_row.doc_id").alias("doc_id"), held_out, "x"), labels, **how)
 
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        return pa.array(model.scores(feature_rows(texts)))
+    def score(x: pa.Array) -> pa.Array:
+        return pa.array(model.scores(_matrix(x)) if len(x) else np.zeros(0))
 
-    return docs.filter(score("text") >= threshold)
+    return marked.filter(score("x") >= threshold).select("_row.*")
