@@ -5,18 +5,22 @@
 2. *Counts.* Each block sends its vocabulary with counts, cut into hash buckets, to the bucket that adds them up
    exactly and answers every block with the totals of its own words. A frequent word is one entry a block.
    Pairs of neighbours are counted likewise, as hashes of 32 bits beside the bucket's number.
-3. *Filter.* An n-gram counted c times is in the filter with the levels 1 .. 1 + log_base(c). Each bucket builds
-   its own part of the filter. Probing level after level until one misses gives the quantised count back.
-4. *Scores.* Every block is scored by itself: the exact unigram base, and the model, a bigram probability with absolute
-   discounting, interpolated with smoothed unigrams, from probed counts. How much a context leaves to the unigrams is
-   known for each level of context counts: one minus the discounted share of its tokens that kept pairs explain,
-   summed up over all training tokens.
+3. *Filter.* A pair counted c times is in the filter with the levels 1 .. 1 + log_base(c). Each bucket builds
+   its own part of the filter. Probing level after level until one misses gives the quantised count back. The bits of level 1
+   follow the vocabulary, so that a context has ``FALSE`` false followers in the mean.
+4. *Scores.* Every block is scored by itself: the exact unigram base, and the model, a bigram probability interpolated with
+   smoothed unigrams (Jelinek-Mercer by the level of the context's count):
+   (1 - left) least(c(u, w)) / (c(u) + FALSE) + left uni(w). Counts of words are exact, those of pairs are the least of
+   their level, never above those of their words. Pairs of a context add up to c(u) at most, false ones
+   to FALSE in the mean, so the probabilities after a context sum to 1 at most, in the mean over the filter's hashes; one
+   context in twenty has a false follower and may exceed that. ``left`` is one minus the discounted share of a level's tokens
+   that kept pairs explain, summed up over all training tokens.
 
 The number of buckets follows the corpus, so that a bucket stays near ``BUCKET`` entries. The filter grows with
 the corpus too. What is broadcast at once is bounded: parts above ``max_bytes`` are probed in further passes over the blocks,
-each with its own range of pair buckets. Word parts take part in every pass; they grow with the vocabulary only
-(about 2 bytes a word). All training pairs are in the filter; ``min_pairs`` above 1 makes a smaller one of the more frequent
-pairs only. Counts cover all training rows.
+each with its own range of pair buckets, one after the other; the driver holds the parts of one pass. Words are never
+collected: each block carries the counts of its own. All training pairs are in the filter; ``min_pairs`` above 1 makes a
+smaller one of the more frequent pairs only. Counts cover all training rows.
 
 Null text counts as empty, which is the end token alone. A null id counts as fold 0. Repeated rows count as
 often as they occur and are scored each. An empty table gives an empty result. Without training rows all counts are 0.
@@ -27,7 +31,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -43,6 +47,10 @@ FOLDS = 10
 BLOCK = 4 << 20  # bytes of text
 BUCKET = 2_000_000  # entries of a bucket
 MAX_BYTES = 256 << 20
+FALSE = 0.05  # false followers of a context, in the mean
+ENTRY = 44  # bits that tell the entries of a bucket apart
+WIDE = 6  # bytes that hold them
+LEVELS = 128  # of context counts
 END = b""
 U = np.uint64
 END_HASH = U(xxhash.xxh64_intdigest(END, 7))
@@ -105,8 +113,23 @@ def blocks(docs: DataFrame) -> DataFrame:
 
 
 def keys(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """The leading ``32 + bits`` bits of a hash: bucket, then the 32 bits that tell its entries apart."""
-    return hashes >> U(32 - bits)
+    """The leading ``ENTRY + bits`` bits of a hash: bucket, then the bits that tell its entries apart."""
+    return hashes >> U(64 - ENTRY - bits)
+
+
+def bucket_of(keys_: np.ndarray) -> np.ndarray:
+    return (keys_ >> U(ENTRY)).astype(np.int64)
+
+
+def planes(entries: np.ndarray) -> bytes:
+    """Sorted entries as planes of bytes, which compress better than the numbers."""
+    return entries.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDE].T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // WIDE, 8), np.uint8)
+    out[:, :WIDE] = np.frombuffer(data, np.uint8).reshape(WIDE, -1).T
+    return out.view("<u8").ravel()
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -125,25 +148,40 @@ class Shape:
     base: float = 1.5  # of the logarithm
     bits: int = 10  # of the filter for each n-gram and level
     probes: int = 5
+    first_bits: int = 10  # for level 1
+    first_probes: int = 5
+
+    def for_words(self, distinct: int) -> Shape:
+        """With as many bits at level 1 as leave ``FALSE`` false followers among ``distinct`` words."""
+        need = math.log2(max(2, distinct) / FALSE)
+        return replace(self, first_bits=math.ceil(need / math.log(2)), first_probes=math.ceil(need))
 
     def level(self, counts: np.ndarray) -> np.ndarray:
         return 1 + np.floor(np.log(counts) / np.log(self.base) + 1e-9).astype(np.int64)
 
+    def context_level(self, counts: np.ndarray) -> np.ndarray:
+        """Level of any count, 0 included, below ``LEVELS``."""
+        return np.where(counts > 0, np.minimum(self.level(np.maximum(counts, 1)), LEVELS - 1), 0)
+
+    def least(self, levels: np.ndarray) -> np.ndarray:
+        """Smallest of the integers that share a level; 0 for level 0."""
+        return np.where(levels > 0, np.ceil(self.base ** (levels - 1.0) - 1e-9), 0.0)
+
     def count(self, levels: np.ndarray) -> np.ndarray:
         """Middle of the integers that share a level; 0 for level 0."""
-        low, high = np.ceil(self.base ** (levels - 1.0) - 1e-9), np.ceil(self.base ** levels.astype(float) - 1e-9) - 1
+        low, high = self.least(levels), np.ceil(self.base ** levels.astype(float) - 1e-9) - 1
         return np.where(levels > 0, (low + np.maximum(low, high)) / 2, 0.0)
 
-    def places(self, keys_: np.ndarray, level: np.ndarray | int, size: np.ndarray | int) -> Iterator[np.ndarray]:
-        a = mixed(keys_ + np.asarray(level).astype(U) * U(0xD1342543DE82EF95))
+    def places(self, keys_: np.ndarray, level: int, size: np.ndarray | int) -> Iterator[np.ndarray]:
+        a = mixed(keys_ + np.array(level, U) * U(0xD1342543DE82EF95))
         step = mixed(a + U(0x2545F4914F6CDD1D)) | U(1)
-        for i in range(self.probes):
+        for i in range(self.first_probes if level == 1 else self.probes):
             yield (a + U(i) * step) % np.asarray(size).astype(U)
 
     def part(self, keys_: np.ndarray, counts: np.ndarray) -> bytes:
         """The filter of one bucket."""
         levels = self.level(counts) if len(counts) else np.zeros(0, np.int64)
-        size = max(64, int(levels.sum()) * self.bits)
+        size = max(64, len(levels) * self.first_bits + int((levels - 1).sum()) * self.bits)
         bits = np.zeros(-(-size // 8), np.uint8)
         rest = np.arange(len(keys_))
         at = 1
@@ -171,7 +209,7 @@ class Filter:
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """Quantised counts by repeated membership probes."""
         k = keys(hashes, self.bits)
-        bucket = (k >> U(32)).astype(np.int64)
+        bucket = bucket_of(k)
         out = np.zeros(len(k), np.int64)
         rest = np.flatnonzero(self.size[bucket] > 0)
         level = 1
@@ -193,16 +231,16 @@ def _bits(entries: int) -> int:
     return min(20, max(0, math.ceil(math.log2(max(1, entries) / BUCKET))))
 
 
-def word_counts(rows: DataFrame, shape: Shape) -> tuple[DataFrame, int]:
-    """Stored (bucket, block, counts, part, total, distinct): answers to the blocks, and one row for each bucket with its
-    part of the filter, its training tokens and its distinct training tokens."""
+def word_counts(rows: DataFrame, shape: Shape) -> DataFrame:
+    """Stored (bucket, block, counts, total, distinct, known): answers to the blocks, and one row for each bucket with its
+    training tokens, its distinct training tokens, and its training tokens by level of their count."""
     bits = _bits(rows.agg(F.sum("n")).first()[0] or 0)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, words, counts in zip(b.column("block").to_pylist(), b.column("words").to_pylist(), b.column("counts").to_pylist()):
                 words, counts = words.split(b"\n"), np.frombuffer(counts, "<i4")
-                edges = np.searchsorted(keys(word_hashes(words), bits) >> U(32), np.arange((1 << bits) + 1, dtype=U))
+                edges = np.searchsorted(bucket_of(keys(word_hashes(words), bits)), np.arange((1 << bits) + 1))
                 found = [(i, block, b"\n".join(words[x:y]), counts[x:y].tobytes()) for i, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
                 yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], t) for c, t in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["bucket", "block", "words", "counts"])
 
@@ -213,149 +251,170 @@ def word_counts(rows: DataFrame, shape: Shape) -> tuple[DataFrame, int]:
             for w, c in zip(words, np.frombuffer(counts, "<i4").tolist()):
                 total[w] += c
         answers = [np.fromiter(map(total.__getitem__, words), np.int64, len(words)).tobytes() for words in split]
-        out = pd.DataFrame({"bucket": frame["bucket"], "block": frame["block"], "counts": answers, "part": None, "total": None, "distinct": None})
-        known = {w: c for w, c in total.items() if c}
-        c = np.fromiter(known.values(), np.int64, len(known))
-        part = shape.part(keys(word_hashes(list(known)), bits), c)
-        end = pd.DataFrame({"bucket": [int(frame["bucket"].iloc[0])], "block": None, "counts": None, "part": [part], "total": [int(c.sum())], "distinct": [len(known)]})
+        out = pd.DataFrame({"bucket": frame["bucket"], "block": frame["block"], "counts": answers, "total": None, "distinct": None, "known": None})
+        c = np.fromiter((n for n in total.values() if n), np.int64)
+        known = np.bincount(shape.context_level(c), c, LEVELS).astype(np.int64).tolist()
+        end = pd.DataFrame({"bucket": [int(frame["bucket"].iloc[0])], "block": None, "counts": None, "total": [int(c.sum())], "distinct": [len(c)], "known": [known]})
         return pd.concat([out.astype(object), end.astype(object)], ignore_index=True)
 
     sent = rows.select("block", "words", "counts").mapInArrow(cut, "bucket int, block bigint, words binary, counts binary")
-    return stored(sent.groupBy("bucket").applyInPandas(add, "bucket int, block bigint, counts binary, part binary, total bigint, distinct bigint"), "words"), bits
+    return stored(sent.groupBy("bucket").applyInPandas(add, "bucket int, block bigint, counts binary, total bigint, distinct bigint, known array<bigint>"), "words")
 
 
-def _block_arrays(held: bytes, lens: bytes, tokens: bytes, words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    lens_ = np.frombuffer(lens, "<i4")
-    return np.unpackbits(np.frombuffer(held, np.uint8))[: len(lens_)].astype(bool), lens_, np.frombuffer(tokens, "<i4"), word_hashes(words.split(b"\n"))
+BLOCK_COLUMNS = ("held", "lens", "tokens", "words", "answers")
 
 
-def _contexts(tokens: np.ndarray, lens: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the token before each token (the end token before the first of a text), and starts of the texts."""
-    starts = np.cumsum(lens) - lens
-    before = np.empty(len(tokens), U)
-    before[1:] = hashes[tokens[:-1]]
-    before[starts] = END_HASH
-    return before, starts
+def _block_arrays(b: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Held-out marks and lengths of the texts, their tokens, hashes and exact training counts of the words."""
+    held, lens, tokens, words, answers = (b.column(c)[i].as_py() for c in BLOCK_COLUMNS)
+    lens_ = np.frombuffer(lens, "<i4")
+    return (np.unpackbits(np.frombuffer(held, np.uint8))[: len(lens_)].astype(bool), lens_, np.frombuffer(tokens, "<i4"), word_hashes(words.split(b"\n")),
+            np.concatenate([np.frombuffer(x, "<i8") for x in answers]))
 
 
-LEVELS = 128  # of context counts
+def _contexts(tokens: np.ndarray, lens: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and number of the token before each token (the end token before the first of a text), and starts of the texts."""
+    starts = np.cumsum(lens) - lens
+    context = np.empty(len(tokens), np.int32)
+    context[1:], context[starts] = tokens[:-1], np.flatnonzero(hashes == END_HASH)[0]
+    return hashes[context], context, starts
 
 
-def pair_parts(rows: DataFrame, tokens: int, shape: Shape, min_pairs: int, word_filter) -> tuple[DataFrame, int]:
-    """Stored (bucket, part, seen, kinds, known): the filter of neighbouring pairs, and for each level of context counts the
-    tokens and the kinds of its kept pairs; the row of bucket -1 has all tokens by level in ``known``."""
+def pair_parts(rows: DataFrame, tokens: int, shape: Shape, min_pairs: int) -> tuple[DataFrame, int]:
+    """Stored (bucket, part, seen, kinds): the filter of neighbouring pairs, and for each level of context counts the
+    tokens (as the filter will give them back) and the kinds of its kept pairs."""
     bits = _bits(tokens)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                held, lens, toks, words = (b.column(c)[i].as_py() for c in ("held", "lens", "tokens", "words"))
-                held, lens, toks, hashes = _block_arrays(held, lens, toks, words)
-                before, starts = _contexts(toks, lens, hashes)
-                level = np.minimum(word_filter.value.levels(hashes), LEVELS - 1).astype(np.uint8)
-                of = np.empty(len(toks), np.uint8)
-                of[1:], of[starts] = level[toks[:-1]], level[np.flatnonzero(hashes == END_HASH)[0]]
+                held, lens, toks, words, exact = _block_arrays(b, i)
+                before, context, _ = _contexts(toks, lens, words)
                 use = np.repeat(~held, lens)
-                of = of[use]
-                k, first, c = np.unique(keys(pair_hashes(before[use], hashes[toks[use]]), bits), return_index=True, return_counts=True)
-                out = [(-1, b"", np.bincount(of, minlength=LEVELS).astype("<i8").tobytes(), b"")]
+                of = shape.context_level(exact).astype(np.uint8)[context[use]]
+                k, first, c = np.unique(keys(pair_hashes(before[use], words[toks[use]]), bits), return_index=True, return_counts=True)
+                out = []
                 for once in (True, False):
                     pick = (c == 1) == once
                     kk, cc, ll = k[pick], c[pick], of[first[pick]]
-                    edges = np.searchsorted(kk >> U(32), np.arange((1 << bits) + 1, dtype=U))
-                    out += [(i, kk[x:y].astype("<u4").tobytes(), b"" if once else cc[x:y].astype("<i4").tobytes(), ll[x:y].tobytes()) for i, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
-                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in out], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "pairs", "counts", "levels"])
+                    edges = np.searchsorted(bucket_of(kk), np.arange((1 << bits) + 1))
+                    out += [(j, planes(kk[x:y]), b"" if once else cc[x:y].astype("<i4").tobytes(), ll[x:y].tobytes()) for j, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
+                yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in out], t) for j, t in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "pairs", "counts", "levels"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         bucket = int(frame["bucket"].iloc[0])
-        if bucket < 0:
-            known = np.sum([np.frombuffer(c, "<i8") for c in frame["counts"]], axis=0)
-            return pd.DataFrame({"bucket": [bucket], "part": [None], "seen": [None], "kinds": [None], "known": [known.tolist()]})
-        k = np.concatenate([np.frombuffer(p, "<u4") for p in frame["pairs"]])
+        k = np.concatenate([from_planes(p) for p in frame["pairs"]])
         of = np.concatenate([np.frombuffer(x, np.uint8) for x in frame["levels"]])
-        c = np.concatenate([np.frombuffer(x, "<i4") if x else np.ones(len(p) // 4, np.int32) for p, x in zip(frame["pairs"], frame["counts"])])
+        c = np.concatenate([np.frombuffer(x, "<i4") if x else np.ones(len(p) // WIDE, np.int32) for p, x in zip(frame["pairs"], frame["counts"])])
         order = np.argsort(k)
         k, c = k[order], c[order].astype(np.int64)
-        first = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
-        total = np.add.reduceat(c, first) if len(first) else np.zeros(0, np.int64)
+        first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        total = np.add.reduceat(c, first)
         kept = total >= min_pairs
-        of = of[order][first][kept]
-        seen, kinds = np.bincount(of, total[kept], LEVELS), np.bincount(of, minlength=LEVELS)
-        part = shape.part(k[first][kept].astype(U) + (U(bucket) << U(32)), total[kept])
-        return pd.DataFrame({"bucket": [bucket], "part": [part], "seen": [seen.astype(np.int64).tolist()], "kinds": [kinds.tolist()], "known": [None]})
+        of, total, k = of[order][first][kept], total[kept], k[first][kept]
+        seen, kinds = np.bincount(of, shape.least(shape.level(total)), LEVELS), np.bincount(of, minlength=LEVELS)
+        part = shape.part((k & U((1 << ENTRY) - 1)) + (U(bucket) << U(ENTRY)), total)
+        return pd.DataFrame({"bucket": [bucket], "part": [part], "seen": [seen.astype(np.int64).tolist()], "kinds": [kinds.tolist()]})
+
+    sent = rows.select(*BLOCK_COLUMNS).mapInArrow(cut, "bucket int, pairs binary, counts binary, levels binary")
+    return stored(sent.groupBy("bucket").applyInPandas(add, "bucket int, part binary, seen array<bigint>, kinds array<bigint>"), "pairs"), bits
+
 
-    sent = rows.select("held", "lens", "tokens", "words").mapInArrow(cut, "bucket int, pairs binary, counts binary, levels binary")
-    return stored(sent.groupBy("bucket").applyInPandas(add, "bucket int, part binary, seen array<bigint>, kinds array<bigint>, known array<bigint>"), "pairs"), bits
+def by_level(rows: DataFrame, column: str) -> np.ndarray:
+    """Sums of an array column, place by place: one small row a level reaches the driver."""
+    out = np.zeros(LEVELS)
+    for r in rows.select(F.posexplode(column).alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect():
+        out[r.i] = r.x
+    return out
 
 
-def left_to_words(pairs: DataFrame, discount: float) -> np.ndarray:
+def left_to_words(words: DataFrame, pairs: DataFrame, discount: float) -> np.ndarray:
     """Share of a context's probability that goes by its words, for each level of the context's count."""
-    none = F.array_repeat(F.lit(0).cast("bigint"), LEVELS)
-    zipped = F.arrays_zip(*[F.coalesce(c, none).alias(c) for c in ("seen", "kinds", "known")])
-    sums = pairs.select(F.posexplode(zipped).alias("i", "x")).groupBy("i").agg(*[F.sum(F.col("x")[c]).alias(c) for c in ("seen", "kinds", "known")])
-    total = np.zeros((3, LEVELS))
-    for r in sums.collect():  # one row a level
-        total[:, r.i] = r.seen, r.kinds, r.known
-    seen, kinds, known = total
-    return np.clip(1 - (seen - discount * kinds) / np.maximum(known, 1), 0.02, 1)
+    seen, kinds, known = by_level(pairs, "seen"), by_level(pairs, "kinds"), by_level(words, "known")
+    return np.append(1.0, np.clip(1 - (seen - discount * kinds) / np.maximum(known, 1), 0.02, 1)[1:])
 
 
-def scores(docs: DataFrame, shape: Shape | None = None, min_pairs: int = 1, discount: float = 0.75, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document."""
+def probabilities(pair_counts: np.ndarray, context_counts: np.ndarray, word_counts_: np.ndarray, left: np.ndarray, norm: float) -> np.ndarray:
+    """Of words after contexts, from the least counts of pairs and exact counts of words; ``left`` belongs to the contexts."""
+    pair = np.minimum(pair_counts, np.minimum(context_counts, word_counts_))
+    return (1 - left) * pair / (context_counts + FALSE) + left * (word_counts_ + 0.1) / norm
+
+
+@dataclass
+class Model:
+    rows: DataFrame  # blocks with the counts of their words
+    pairs: DataFrame  # parts of the filter
+    pair_bits: int
+    shape: Shape
+    left: np.ndarray
+    tokens: int
+    distinct: int
+
+    @property
+    def norm(self) -> float:
+        return self.tokens + 0.1 * (self.distinct + 1)
+
+    def filter(self, first: int = 0, past: int = 1 << 30) -> Filter:
+        """The parts of a range of buckets, gathered by the driver."""
+        got = self.pairs.filter((F.col("bucket") >= first) & (F.col("bucket") < past)).select("bucket", "part").orderBy("bucket").collect()
+        return Filter([(r[0], bytes(r[1])) for r in got], self.pair_bits, self.shape)
+
+
+def fit(docs: DataFrame, shape: Shape | None = None, min_pairs: int = 1, discount: float = 0.75) -> Model:
     shape = shape or Shape()
-    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     rows = blocks(docs)
-    words, word_bits = word_counts(rows, shape)
-    n, v, word_bytes = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0)), F.coalesce(F.sum(F.octet_length("part")), F.lit(0))).first()
-    word_filter = spark.sparkContext.broadcast(Filter([(r[0], bytes(r[1])) for r in words.filter("part is not null").select("bucket", "part").orderBy("bucket").collect()], word_bits, shape))
-    pairs, pair_bits = pair_parts(rows, n, shape, min_pairs, word_filter)
-    by_words = left_to_words(pairs, discount)
-    sizes = [(r[0], r[1]) for r in pairs.filter("bucket >= 0").select("bucket", F.octet_length("part")).orderBy("bucket").collect()]  # one small row a bucket
-    ranges, room = [[0, 0]], max(max_bytes - word_bytes, max_bytes // 4)
-    for bucket, size in sizes:
-        if ranges[-1][1] and ranges[-1][1] + size > room:
+    words = word_counts(rows, shape)
+    n, v = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
+    shape = shape.for_words(v)
+    answers = words.filter("block is not null").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "counts"))).alias("a")).select("block", F.col("a.counts").alias("answers"))
+    rows = stored(rows.select("block", "docs", "held", "lens", "tokens", "words").join(answers, "block"), "answered")
+    pairs, pair_bits = pair_parts(rows, n, shape, min_pairs)
+    return Model(rows, pairs, pair_bits, shape, left_to_words(words, pairs, discount), n, v)
+
+
+def scores(docs: DataFrame, max_bytes: int = MAX_BYTES, **how) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document."""
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    model = fit(docs, **how)
+    pair_bits, shape, by_words, n, norm = model.pair_bits, model.shape, model.left, model.tokens, model.norm
+    ranges = [[0, 0]]
+    for bucket, size in model.pairs.select("bucket", F.octet_length("part")).orderBy("bucket").collect():  # one small row a bucket
+        if ranges[-1][1] and ranges[-1][1] + size > max_bytes:
             ranges.append([bucket, 0])
         ranges[-1][1] += size
     firsts = [r[0] for r in ranges]
-    norm = n + 0.1 * (v + 1)
-    answers = words.filter("block is not null").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "counts"))).alias("a")).select("block", F.col("a.counts").alias("answers"))
-    joined = rows.select("block", "docs", "held", "lens", "tokens", "words").join(answers, "block")
-    if len(firsts) > 1:
-        joined = stored(joined, "answered")
-    out = None
-    for first, past in zip(firsts, [*firsts[1:], 1 << 30]):
-        got = pairs.filter((F.col("bucket") >= first) & (F.col("bucket") < past)).orderBy("bucket").collect()
-        pair_filter = spark.sparkContext.broadcast(Filter([(r[0], bytes(r[1])) for r in got], pair_bits, shape))
 
-        def judge(batches, pair_filter=pair_filter, first=first, past=past):
+    def judge(pair_filter, first: int, past: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for i in range(b.num_rows):
-                    block, ids, held, lens, toks, w, a = (b.column(c)[i] for c in ("block", "docs", "held", "lens", "tokens", "words", "answers"))
-                    held, lens, toks, hashes = _block_arrays(held.as_py(), lens.as_py(), toks.as_py(), w.as_py())
-                    exact = np.concatenate([np.frombuffer(x, "<i8") for x in a.as_py()])
-                    before, starts = _contexts(toks, lens, hashes)
+                    held, lens, toks, hashes, exact = _block_arrays(b, i)
+                    before, context, starts = _contexts(toks, lens, hashes)
                     base = np.add.reduceat(np.log10((exact + 0.1) / norm)[toks], starts)
                     known = np.add.reduceat((exact > 0).astype(np.int64)[toks], starts)
-                    levels = word_filter.value.levels(hashes)
-                    counts, end = shape.count(levels), np.flatnonzero(hashes == END_HASH)[0]
-                    left = np.where(levels > 0, by_words[np.minimum(levels, LEVELS - 1)], 1.0)
-                    uni = (counts + 0.1) / norm
-                    context = np.empty(len(toks), np.int32)  # the token before
-                    context[1:], context[starts] = toks[:-1], end
                     h = pair_hashes(before, hashes[toks])
-                    bucket = (keys(h, pair_bits) >> U(32)).astype(np.int64)
+                    bucket = bucket_of(keys(h, pair_bits))
                     mine = np.flatnonzero((bucket >= first) & (bucket < past))
-                    kinds, back = np.unique(h[mine], return_inverse=True)
-                    pair = np.maximum(shape.count(pair_filter.value.levels(kinds))[back] - discount, 0)
+                    _, at, back = np.unique(h[mine], return_index=True, return_inverse=True)
+                    kinds = mine[at]
+                    of = exact[context[kinds]]
+                    p = probabilities(shape.least(pair_filter.value.levels(h[kinds])), of, exact[toks[kinds]], by_words[shape.context_level(of)], norm)
                     logs = np.zeros(len(toks))
-                    of = context[mine]
-                    logs[mine] = np.log10(np.minimum(np.minimum(pair / np.maximum(counts[of], 1), 1) + left[of] * uni[toks[mine]], 1))
+                    logs[mine] = np.log10(np.minimum(p, 1))[back]
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(lens), block.as_py())), pa.array(np.arange(len(lens), dtype=np.int32)), ids.values, pa.array(held), pa.array(lens.astype(np.int64)),
+                        pa.array(np.full(len(lens), b.column("block")[i].as_py())), pa.array(np.arange(len(lens), dtype=np.int32)), b.column("docs")[i].values, pa.array(held), pa.array(lens.astype(np.int64)),
                         pa.array(known), pa.array(np.full(len(lens), n, np.int64)), pa.array(base), pa.array(np.add.reduceat(logs, starts))],
                         ["block", "place", "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-        part = joined.mapInArrow(judge, f"block bigint, place int, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+        return run
+
+    out = None
+    for first, past in zip(firsts, [*firsts[1:], 1 << 30]):
+        pair_filter = spark.sparkContext.broadcast(model.filter(first, past))  # max_bytes, or one bucket
+        part = model.rows.mapInArrow(judge(pair_filter, first, past), f"block bigint, place int, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+        if len(firsts) > 1:  # done before the next filter is made
+            part = stored(part, "pass")
+            pair_filter.destroy()
         out = part if out is None else out.unionByName(part)
     if len(firsts) > 1:
         same = [F.first(c).alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score")]

@@ -152,6 +152,45 @@ def test_lm_base_is_exact(spark, monkeypatch):
     check_scores(spark, [(d, t) for d, t in docs if crc(d, 10) == 0])
 
 
+def test_lm_probabilities_sum_to_one_at_most(spark, monkeypatch):
+    """Over the whole vocabulary and all contexts, rare ones too; beside the same model from plain counts."""
+    rng = np.random.default_rng(5)
+    draw = np.minimum(rng.zipf(1.3, 30_000), 900)
+    docs = [(i, " ".join(f"w{x}" for x in draw[i * 30:(i + 1) * 30])) for i in range(1000)]
+    monkeypatch.setattr(B, "BLOCK", 20_000)
+    monkeypatch.setattr(B, "BUCKET", 2000)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    model = B.fit(df)
+    words, pairs = Counter(), Counter()
+    for d, t in docs:
+        if crc(d, 10):
+            ws = t.encode().split() + [b""]
+            words.update(ws)
+            pairs.update(zip([b"", *ws], ws))
+    assert (model.tokens, model.distinct) == (sum(words.values()), len(words)) and len(pairs) > 5000
+    known, shape = sorted(words), model.shape
+    h, c, f = B.word_hashes(known), np.array([words[w] for w in known]), model.filter()
+    left = lambda n: model.left[shape.context_level(n)]
+    sums, false = [], 0
+    for u, x, n in zip(known, h, c):
+        true = np.array([pairs[u, w] for w in known])
+        got = shape.least(f.levels(B.pair_hashes(np.full(len(h), x), h)))
+        assert (got >= shape.least(shape.level(np.maximum(true, 1))) * (true > 0)).all()
+        false += ((got > 0) & (true == 0)).sum()
+        sums.append(B.probabilities(got, n, c, left(n), model.norm).sum())
+    sums = np.array(sums)
+    assert sums.mean() <= 1 and (sums <= 1).mean() > 0.9 and false <= 2 * B.FALSE * len(known)
+    assert sums[c == 1].mean() <= 1.01 and sums.min() > 0.6
+    at = dict(zip(known, c))
+    for r in B.scores(df).filter("held_out").collect():
+        ws = docs[r.doc_id][1].encode().split() + [b""]
+        want = 0.0
+        for u, w in zip([b"", *ws], ws):
+            n, m = at.get(u, 0), pairs[u, w]
+            want += math.log10(B.probabilities(shape.least(shape.level(np.array([max(m, 1)]))) * (m > 0), n, at.get(w, 0), left(np.array(n)), model.norm)[0])
+        assert abs(r.score - want) < 1.5  # of about -90: false levels
+
+
 def test_lm_predicts_held_out(spark):
     rows = B.scores(table(spark, SF, "documents")).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert rows[0] > rows[1]
