@@ -56,6 +56,27 @@ U = np.uint64
 END_HASH = U(xxhash.xxh64_intdigest(END, 7))
 
 
+def pack(data: bytes) -> bytes:
+    """Length and zstd frame; shuffles and stored tables hold little else than such cells."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpack(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
+def planes(numbers: np.ndarray, wide: int) -> bytes:
+    """The low ``wide`` bytes of integers as packed planes of bytes, which compress better than the numbers."""
+    return pack(numbers.view(np.uint8).reshape(-1, numbers.itemsize)[:, :wide].T.tobytes())
+
+
+def from_planes(data: bytes, wide: int, kind: str) -> np.ndarray:
+    raw = np.frombuffer(unpack(data), np.uint8).reshape(wide, -1).T
+    out = np.zeros((len(raw), np.dtype(kind).itemsize), np.uint8)
+    out[:, :wide] = raw
+    return out.view(kind).ravel()
+
+
 class _Block:
     """Documents gathered into one row."""
 
@@ -84,7 +105,7 @@ class _Block:
         one = lambda x, t: pa.array([x], t)
         return pa.RecordBatch.from_arrays([
             one(block, pa.int64()), one(self.docs, pa.list_(id_type)), one(np.packbits(self.held).tobytes(), pa.binary()), one(lens.tobytes(), pa.binary()),
-            one(tokens.astype("<i4").tobytes(), pa.binary()), one(b"\n".join(words[i] for i in order), pa.binary()), one(counts.tobytes(), pa.binary()), one(len(words), pa.int32())],
+            one(planes(tokens.astype("<i4"), 4), pa.binary()), one(pack(b"\n".join(words[i] for i in order)), pa.binary()), one(pack(counts.tobytes()), pa.binary()), one(len(words), pa.int32())],
             ["block", "docs", "held", "lens", "tokens", "words", "counts", "n"])
 
 
@@ -121,17 +142,6 @@ def bucket_of(keys_: np.ndarray) -> np.ndarray:
     return (keys_ >> U(ENTRY)).astype(np.int64)
 
 
-def planes(entries: np.ndarray) -> bytes:
-    """Sorted entries as planes of bytes, which compress better than the numbers."""
-    return entries.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDE].T.tobytes()
-
-
-def from_planes(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // WIDE, 8), np.uint8)
-    out[:, :WIDE] = np.frombuffer(data, np.uint8).reshape(WIDE, -1).T
-    return out.view("<u8").ravel()
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     """A finaliser with good avalanche (fixed constants of SplitMix64)."""
     h = (h ^ (h >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -239,18 +249,18 @@ def word_counts(rows: DataFrame, shape: Shape) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, words, counts in zip(b.column("block").to_pylist(), b.column("words").to_pylist(), b.column("counts").to_pylist()):
-                words, counts = words.split(b"\n"), np.frombuffer(counts, "<i4")
+                words, counts = unpack(words).split(b"\n"), np.frombuffer(unpack(counts), "<i4")
                 edges = np.searchsorted(bucket_of(keys(word_hashes(words), bits)), np.arange((1 << bits) + 1))
-                found = [(i, block, b"\n".join(words[x:y]), counts[x:y].tobytes()) for i, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
+                found = [(i, block, pack(b"\n".join(words[x:y])), pack(counts[x:y].tobytes())) for i, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
                 yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], t) for c, t in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["bucket", "block", "words", "counts"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         total: dict[bytes, int] = defaultdict(int)
-        split = [w.split(b"\n") for w in frame["words"]]
+        split = [unpack(w).split(b"\n") for w in frame["words"]]
         for words, counts in zip(split, frame["counts"]):
-            for w, c in zip(words, np.frombuffer(counts, "<i4").tolist()):
+            for w, c in zip(words, np.frombuffer(unpack(counts), "<i4").tolist()):
                 total[w] += c
-        answers = [np.fromiter(map(total.__getitem__, words), np.int64, len(words)).tobytes() for words in split]
+        answers = [planes(np.fromiter(map(total.__getitem__, words), "<i8", len(words)), 8) for words in split]
         out = pd.DataFrame({"bucket": frame["bucket"], "block": frame["block"], "counts": answers, "total": None, "distinct": None, "known": None})
         c = np.fromiter((n for n in total.values() if n), np.int64)
         known = np.bincount(shape.context_level(c), c, LEVELS).astype(np.int64).tolist()
@@ -268,8 +278,8 @@ def _block_arrays(b: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np
     """Held-out marks and lengths of the texts, their tokens, hashes and exact training counts of the words."""
     held, lens, tokens, words, answers = (b.column(c)[i].as_py() for c in BLOCK_COLUMNS)
     lens_ = np.frombuffer(lens, "<i4")
-    return (np.unpackbits(np.frombuffer(held, np.uint8))[: len(lens_)].astype(bool), lens_, np.frombuffer(tokens, "<i4"), word_hashes(words.split(b"\n")),
-            np.concatenate([np.frombuffer(x, "<i8") for x in answers]))
+    return (np.unpackbits(np.frombuffer(held, np.uint8))[: len(lens_)].astype(bool), lens_, from_planes(tokens, 4, "<i4"), word_hashes(unpack(words).split(b"\n")),
+            np.concatenate([from_planes(x, 8, "<i8") for x in answers]))
 
 
 def _contexts(tokens: np.ndarray, lens: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -298,14 +308,15 @@ def pair_parts(rows: DataFrame, tokens: int, shape: Shape, min_pairs: int) -> tu
                     pick = (c == 1) == once
                     kk, cc, ll = k[pick], c[pick], of[first[pick]]
                     edges = np.searchsorted(bucket_of(kk), np.arange((1 << bits) + 1))
-                    out += [(j, planes(kk[x:y]), b"" if once else cc[x:y].astype("<i4").tobytes(), ll[x:y].tobytes()) for j, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
+                    out += [(j, planes(kk[x:y], WIDE), b"" if once else planes(cc[x:y].astype("<i4"), 4), pack(ll[x:y].tobytes())) for j, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
                 yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in out], t) for j, t in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "pairs", "counts", "levels"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         bucket = int(frame["bucket"].iloc[0])
-        k = np.concatenate([from_planes(p) for p in frame["pairs"]])
-        of = np.concatenate([np.frombuffer(x, np.uint8) for x in frame["levels"]])
-        c = np.concatenate([np.frombuffer(x, "<i4") if x else np.ones(len(p) // WIDE, np.int32) for p, x in zip(frame["pairs"], frame["counts"])])
+        found = [from_planes(p, WIDE, "<u8") for p in frame["pairs"]]
+        k = np.concatenate(found)
+        of = np.concatenate([np.frombuffer(unpack(x), np.uint8) for x in frame["levels"]])
+        c = np.concatenate([from_planes(x, 4, "<i4") if x else np.ones(len(p), np.int32) for p, x in zip(found, frame["counts"])])
         order = np.argsort(k)
         k, c = k[order], c[order].astype(np.int64)
         first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
