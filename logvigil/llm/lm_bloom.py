@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -46,7 +46,7 @@ from .common import fold, stored
 FOLDS = 10
 BLOCK = 4 << 20  # bytes of text
 BUCKET = 2_000_000  # entries of a bucket
-MAX_BYTES = 256 << 20
+MAX_BYTES = 128 << 20  # every Python worker holds its own copy
 FALSE = 0.05  # false followers of a context, in the mean
 ENTRY = 44  # bits that tell the entries of a bucket apart
 WIDE = 6  # bytes that hold them
@@ -204,17 +204,16 @@ class Shape:
 
 
 class Filter:
-    """Parts of buckets ``first`` and following, in order; a bucket may be missing (nothing is in it)."""
+    """Parts of buckets in any order; a bucket may be missing (nothing is in it)."""
 
-    def __init__(self, parts: list[tuple[int, bytes]], bits: int, shape: Shape):
+    def __init__(self, parts: Iterable[tuple[int, bytes]], bits: int, shape: Shape):
         self.bits, self.shape = bits, shape
         self.size, self.start = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
-        pieces, at = [], 0
+        data = bytearray()
         for bucket, blob in parts:
-            self.size[bucket], self.start[bucket] = int.from_bytes(blob[:8], "little"), at
-            pieces.append(np.frombuffer(blob, np.uint8, offset=8))
-            at += len(pieces[-1])
-        self.data = np.concatenate(pieces) if pieces else np.zeros(0, np.uint8)
+            self.size[bucket], self.start[bucket] = int.from_bytes(blob[:8], "little"), len(data)
+            data += memoryview(blob)[8:]
+        self.data = np.frombuffer(data, np.uint8)
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """Quantised counts by repeated membership probes."""
@@ -366,9 +365,9 @@ class Model:
         return self.tokens + 0.1 * (self.distinct + 1)
 
     def filter(self, first: int = 0, past: int = 1 << 30) -> Filter:
-        """The parts of a range of buckets, gathered by the driver."""
-        got = self.pairs.filter((F.col("bucket") >= first) & (F.col("bucket") < past)).select("bucket", "part").orderBy("bucket").collect()
-        return Filter([(r[0], bytes(r[1])) for r in got], self.pair_bits, self.shape)
+        """The parts of a range of buckets, gathered by the driver one stored file after the other."""
+        got = self.pairs.filter((F.col("bucket") >= first) & (F.col("bucket") < past)).select("bucket", "part")
+        return Filter(((r[0], r[1]) for r in got.toLocalIterator()), self.pair_bits, self.shape)
 
 
 def fit(docs: DataFrame, shape: Shape | None = None, min_pairs: int = 1, discount: float = 0.75) -> Model:
@@ -401,8 +400,11 @@ def scores(docs: DataFrame, max_bytes: int = MAX_BYTES, **how) -> DataFrame:
                 for i in range(b.num_rows):
                     held, lens, toks, hashes, exact = _block_arrays(b, i)
                     before, context, starts = _contexts(toks, lens, hashes)
-                    base = np.add.reduceat(np.log10((exact + 0.1) / norm)[toks], starts)
-                    known = np.add.reduceat((exact > 0).astype(np.int64)[toks], starts)
+                    if first:  # other columns come from the first pass
+                        base, known = np.zeros(len(lens)), np.zeros(len(lens), np.int64)
+                    else:
+                        base = np.add.reduceat(np.log10((exact + 0.1) / norm)[toks], starts)
+                        known = np.add.reduceat((exact > 0).astype(np.int64)[toks], starts)
                     h = pair_hashes(before, hashes[toks])
                     bucket = bucket_of(keys(h, pair_bits))
                     mine = np.flatnonzero((bucket >= first) & (bucket < past))
@@ -428,6 +430,7 @@ def scores(docs: DataFrame, max_bytes: int = MAX_BYTES, **how) -> DataFrame:
             pair_filter.destroy()
         out = part if out is None else out.unionByName(part)
     if len(firsts) > 1:
-        same = [F.first(c).alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score")]
-        out = out.groupBy("block", "place").agg(*same, F.sum("score").alias("score"))
+        same = [F.first(c).alias(c) for c in ("doc_id", "held_out", "n_tokens", "train_tokens")]
+        out = out.groupBy("block", "place").agg(*same, *[F.sum(c).alias(c) for c in ("n_known", "base_score", "score")])
+        out = out.select("block", "place", "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     return out.drop("block", "place")
