@@ -1,10 +1,10 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-1. *Blocks.* Texts become rows of about 4 MB of text: a vocabulary in hash order and the token numbers. The stored
-   blocks are read from then on; texts are split into words once.
+1. *Blocks.* Texts become rows of about 4 MB of text: a vocabulary, the most frequent words first and equally frequent ones
+   sorted, and the token numbers, which pack well in that order. The stored blocks are read from then on; texts are split into words once.
 2. *Counts.* Each block sends its vocabulary with counts, cut into hash buckets, to the bucket that adds them up
    exactly and answers every block with the totals of its own words. A frequent word is one entry a block.
-   Pairs of neighbours are counted likewise, as hashes of 32 bits beside the bucket's number.
+   Pairs of neighbours are counted likewise, as sorted hashes of 44 bits beside the bucket's number, sent as their differences.
 3. *Filter.* A pair counted c times is in the filter with the levels 1 .. 1 + log_base(c). Each bucket builds
    its own part of the filter. Probing level after level until one misses gives the quantised count back. The bits of level 1
    follow the vocabulary, so that a context has ``FALSE`` false followers in the mean.
@@ -50,6 +50,7 @@ MAX_BYTES = 128 << 20  # every Python worker holds its own copy
 FALSE = 0.05  # false followers of a context, in the mean
 ENTRY = 44  # bits that tell the entries of a bucket apart
 WIDE = 6  # bytes that hold them
+CHUNK = 1 << 16  # keys probed at once
 LEVELS = 128  # of context counts
 END = b""
 U = np.uint64
@@ -95,12 +96,14 @@ class _Block:
         self.size += len(data) + 64
 
     def row(self, block: int, id_type: pa.DataType) -> pa.RecordBatch:
-        words = list(self.vocab)
-        order = np.argsort(word_hashes(words), kind="stable")
-        place = np.empty(len(order), np.int32)
-        place[order] = np.arange(len(order), dtype=np.int32)
+        words = sorted(self.vocab)
+        old = np.fromiter(map(self.vocab.__getitem__, words), np.int32, len(words))
         lens = np.fromiter(map(len, self.ids), np.int32, len(self.ids))
-        tokens = place[np.concatenate(self.ids)]
+        tokens = np.concatenate(self.ids)
+        order = np.argsort(-np.bincount(tokens, minlength=len(words))[old], kind="stable")
+        place = np.empty(len(order), np.int32)
+        place[old[order]] = np.arange(len(order), dtype=np.int32)
+        tokens = place[tokens]
         counts = np.bincount(tokens[np.repeat(~np.array(self.held, bool), lens)], minlength=len(words)).astype("<i4")
         one = lambda x, t: pa.array([x], t)
         return pa.RecordBatch.from_arrays([
@@ -149,6 +152,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
+def runs(sorted_: np.ndarray) -> np.ndarray:
+    """Where each run of equal values starts."""
+    return np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])[: len(sorted_)])
+
+
 def pair_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mixed(left * U(0x9E3779B97F4A7C15) + (right ^ (right >> U(29))))
 
@@ -162,9 +170,11 @@ class Shape:
     first_probes: int = 5
 
     def for_words(self, distinct: int) -> Shape:
-        """With as many bits at level 1 as leave ``FALSE`` false followers among ``distinct`` words."""
+        """With as many bits at level 1 as leave ``FALSE`` false followers among ``distinct`` words. Seven tenths of the
+        probes that need the fewest bits take 4 % more bits."""
         need = math.log2(max(2, distinct) / FALSE)
-        return replace(self, first_bits=math.ceil(need / math.log(2)), first_probes=math.ceil(need))
+        probes = math.ceil(0.7 * need)
+        return replace(self, first_bits=math.ceil(-probes / math.log(1 - 2 ** (-need / probes))), first_probes=probes)
 
     def level(self, counts: np.ndarray) -> np.ndarray:
         return 1 + np.floor(np.log(counts) / np.log(self.base) + 1e-9).astype(np.int64)
@@ -182,25 +192,35 @@ class Shape:
         low, high = self.least(levels), np.ceil(self.base ** levels.astype(float) - 1e-9) - 1
         return np.where(levels > 0, (low + np.maximum(low, high)) / 2, 0.0)
 
-    def places(self, keys_: np.ndarray, level: int, size: np.ndarray | int) -> Iterator[np.ndarray]:
+    def probes_at(self, level: int) -> int:
+        return self.first_probes if level == 1 else self.probes
+
+    @staticmethod
+    def steps(keys_: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """First hash of each key at a level, and the step to the next."""
         a = mixed(keys_ + np.array(level, U) * U(0xD1342543DE82EF95))
-        step = mixed(a + U(0x2545F4914F6CDD1D)) | U(1)
-        for i in range(self.first_probes if level == 1 else self.probes):
-            yield (a + U(i) * step) % np.asarray(size).astype(U)
+        return a, mixed(a + U(0x2545F4914F6CDD1D)) | U(1)
+
+    @staticmethod
+    def place(a: np.ndarray, size: np.ndarray | U) -> np.ndarray:
+        """A hash as a place below ``size``, which is below 2^32."""
+        return ((a >> U(32)) * size) >> U(32)
 
     def part(self, keys_: np.ndarray, counts: np.ndarray) -> bytes:
         """The filter of one bucket."""
         levels = self.level(counts) if len(counts) else np.zeros(0, np.int64)
         size = max(64, len(levels) * self.first_bits + int((levels - 1).sum()) * self.bits)
-        bits = np.zeros(-(-size // 8), np.uint8)
-        rest = np.arange(len(keys_))
-        at = 1
-        while len(rest):
-            for p in self.places(keys_[rest], at, size):
-                np.bitwise_or.at(bits, (p >> U(3)).astype(np.int64), np.left_shift(1, (p & U(7)).astype(np.uint8)).astype(np.uint8))
-            at += 1
-            rest = rest[levels[rest] >= at]
-        return size.to_bytes(8, "little") + bits.tobytes()
+        bits = np.zeros(size, bool)
+        for lo in range(0, len(keys_), CHUNK):
+            k, of, at = keys_[lo:lo + CHUNK], levels[lo:lo + CHUNK], 1
+            while len(k):
+                a, step = self.steps(k, at)
+                for _ in range(self.probes_at(at)):
+                    bits[self.place(a, U(size)).view(np.int64)] = True
+                    a += step
+                at += 1
+                k, of = k[of >= at], of[of >= at]
+        return size.to_bytes(8, "little") + np.packbits(bits, bitorder="little").tobytes()
 
 
 class Filter:
@@ -208,7 +228,7 @@ class Filter:
 
     def __init__(self, parts: Iterable[tuple[int, bytes]], bits: int, shape: Shape):
         self.bits, self.shape = bits, shape
-        self.size, self.start = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+        self.size, self.start = np.zeros(1 << bits, U), np.zeros(1 << bits, U)
         data = bytearray()
         for bucket, blob in parts:
             self.size[bucket], self.start[bucket] = int.from_bytes(blob[:8], "little"), len(data)
@@ -217,40 +237,51 @@ class Filter:
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """Quantised counts by repeated membership probes."""
-        k = keys(hashes, self.bits)
+        out = np.zeros(len(hashes), np.int64)
+        for lo in range(0, len(hashes), CHUNK):
+            self._probe(keys(hashes[lo:lo + CHUNK], self.bits), out[lo:lo + CHUNK])
+        return out
+
+    def _probe(self, k: np.ndarray, out: np.ndarray) -> None:
         bucket = bucket_of(k)
-        out = np.zeros(len(k), np.int64)
-        rest = np.flatnonzero(self.size[bucket] > 0)
-        level = 1
+        rest = np.flatnonzero(self.size[bucket])
+        k, size, start, level = k[rest], self.size[bucket[rest]], self.start[bucket[rest]], 1
         while len(rest):
-            b = bucket[rest]
-            size, start = self.size[b], self.start[b]
-            alive = np.ones(len(rest), bool)
-            for p in self.shape.places(k[rest], level, size):
-                on = np.flatnonzero(alive)
-                q = p[on]
-                alive[on] = (self.data[start[on] + (q >> U(3)).astype(np.int64)] >> (q & U(7)).astype(np.uint8)) & 1 == 1
-            rest = rest[alive]
+            a, step = self.shape.steps(k, level)
+            alive, probes = np.ones(len(rest), np.uint8), self.shape.probes_at(level)
+            for i in range(1, probes + 1):
+                p = self.shape.place(a, size)
+                alive &= self.data.take((start + (p >> U(3))).view(np.int64)) >> (p & U(7)).astype(np.uint8)
+                a += step
+                if i in (1, 2, 4, probes):  # in between, the few that miss cost less than leaving them out
+                    on = np.flatnonzero(alive & 1)
+                    rest, k, size, start, a, step, alive = (x[on] for x in (rest, k, size, start, a, step, alive))
             out[rest] = level
             level += 1
-        return out
 
 
 def _bits(entries: int) -> int:
     return min(20, max(0, math.ceil(math.log2(max(1, entries) / BUCKET))))
 
 
-def word_counts(rows: DataFrame, shape: Shape) -> DataFrame:
+def by_bucket(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order by bucket, and where the buckets' ranges start and end in it."""
+    bucket = bucket_of(keys(hashes, bits))
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
+
+
+def word_counts(rows: DataFrame, shape: Shape) -> tuple[DataFrame, int]:
     """Stored (bucket, block, counts, total, distinct, known): answers to the blocks, and one row for each bucket with its
-    training tokens, its distinct training tokens, and its training tokens by level of their count."""
+    training tokens, its distinct training tokens, and its training tokens by level of their count. Beside it the bits of a bucket's number."""
     bits = _bits(rows.agg(F.sum("n")).first()[0] or 0)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, words, counts in zip(b.column("block").to_pylist(), b.column("words").to_pylist(), b.column("counts").to_pylist()):
                 words, counts = unpack(words).split(b"\n"), np.frombuffer(unpack(counts), "<i4")
-                edges = np.searchsorted(bucket_of(keys(word_hashes(words), bits)), np.arange((1 << bits) + 1))
-                found = [(i, block, pack(b"\n".join(words[x:y])), pack(counts[x:y].tobytes())) for i, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
+                order, edges = by_bucket(word_hashes(words), bits)
+                found = [(i, block, pack(b"\n".join([words[w] for w in order[x:y]])), pack(counts[order[x:y]].tobytes())) for i, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
                 yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], t) for c, t in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["bucket", "block", "words", "counts"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
@@ -267,18 +298,19 @@ def word_counts(rows: DataFrame, shape: Shape) -> DataFrame:
         return pd.concat([out.astype(object), end.astype(object)], ignore_index=True)
 
     sent = rows.select("block", "words", "counts").mapInArrow(cut, "bucket int, block bigint, words binary, counts binary")
-    return stored(sent.groupBy("bucket").applyInPandas(add, "bucket int, block bigint, counts binary, total bigint, distinct bigint, known array<bigint>"), "words")
+    return stored(sent.groupBy("bucket").applyInPandas(add, "bucket int, block bigint, counts binary, total bigint, distinct bigint, known array<bigint>"), "words"), bits
 
 
 BLOCK_COLUMNS = ("held", "lens", "tokens", "words", "answers")
 
 
-def _block_arrays(b: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _block_arrays(b: pa.RecordBatch, i: int, word_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Held-out marks and lengths of the texts, their tokens, hashes and exact training counts of the words."""
     held, lens, tokens, words, answers = (b.column(c)[i].as_py() for c in BLOCK_COLUMNS)
-    lens_ = np.frombuffer(lens, "<i4")
-    return (np.unpackbits(np.frombuffer(held, np.uint8))[: len(lens_)].astype(bool), lens_, from_planes(tokens, 4, "<i4"), word_hashes(unpack(words).split(b"\n")),
-            np.concatenate([from_planes(x, 8, "<i8") for x in answers]))
+    lens_, hashes = np.frombuffer(lens, "<i4"), word_hashes(unpack(words).split(b"\n"))
+    exact = np.empty(len(hashes), np.int64)
+    exact[by_bucket(hashes, word_bits)[0]] = np.concatenate([from_planes(x, 8, "<i8") for x in answers])
+    return np.unpackbits(np.frombuffer(held, np.uint8))[: len(lens_)].astype(bool), lens_, from_planes(tokens, 4, "<i4"), hashes, exact
 
 
 def _contexts(tokens: np.ndarray, lens: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -289,7 +321,7 @@ def _contexts(tokens: np.ndarray, lens: np.ndarray, hashes: np.ndarray) -> tuple
     return hashes[context], context, starts
 
 
-def pair_parts(rows: DataFrame, tokens: int, shape: Shape, min_pairs: int) -> tuple[DataFrame, int]:
+def pair_parts(rows: DataFrame, word_bits: int, tokens: int, shape: Shape, min_pairs: int) -> tuple[DataFrame, int]:
     """Stored (bucket, part, seen, kinds): the filter of neighbouring pairs, and for each level of context counts the
     tokens (as the filter will give them back) and the kinds of its kept pairs."""
     bits = _bits(tokens)
@@ -297,28 +329,31 @@ def pair_parts(rows: DataFrame, tokens: int, shape: Shape, min_pairs: int) -> tu
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                held, lens, toks, words, exact = _block_arrays(b, i)
+                held, lens, toks, words, exact = _block_arrays(b, i, word_bits)
                 before, context, _ = _contexts(toks, lens, words)
                 use = np.repeat(~held, lens)
-                of = shape.context_level(exact).astype(np.uint8)[context[use]]
-                k, first, c = np.unique(keys(pair_hashes(before[use], words[toks[use]]), bits), return_index=True, return_counts=True)
+                k = keys(pair_hashes(before[use], words[toks[use]]), bits)
+                order = np.argsort(k)
+                first = runs(k[order])
+                k, c = k[order[first]], np.diff(np.append(first, len(order)))
+                of = shape.context_level(exact).astype(np.uint8)[context[use][order[first]]]
                 out = []
                 for once in (True, False):
                     pick = (c == 1) == once
-                    kk, cc, ll = k[pick], c[pick], of[first[pick]]
+                    kk, cc, ll = k[pick], c[pick], of[pick]
                     edges = np.searchsorted(bucket_of(kk), np.arange((1 << bits) + 1))
-                    out += [(j, planes(kk[x:y], WIDE), b"" if once else planes(cc[x:y].astype("<i4"), 4), pack(ll[x:y].tobytes())) for j, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
+                    out += [(j, planes(np.diff(kk[x:y], prepend=U(j << ENTRY)), WIDE), b"" if once else planes(cc[x:y].astype("<i4"), 4), pack(ll[x:y].tobytes())) for j, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
                 yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in out], t) for j, t in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "pairs", "counts", "levels"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         bucket = int(frame["bucket"].iloc[0])
-        found = [from_planes(p, WIDE, "<u8") for p in frame["pairs"]]
+        found = [np.cumsum(from_planes(p, WIDE, "<u8")) for p in frame["pairs"]]
         k = np.concatenate(found)
         of = np.concatenate([np.frombuffer(unpack(x), np.uint8) for x in frame["levels"]])
         c = np.concatenate([from_planes(x, 4, "<i4") if x else np.ones(len(p), np.int32) for p, x in zip(found, frame["counts"])])
         order = np.argsort(k)
         k, c = k[order], c[order].astype(np.int64)
-        first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        first = runs(k)
         total = np.add.reduceat(c, first)
         kept = total >= min_pairs
         of, total, k = of[order][first][kept], total[kept], k[first][kept]
@@ -353,6 +388,7 @@ def probabilities(pair_counts: np.ndarray, context_counts: np.ndarray, word_coun
 @dataclass
 class Model:
     rows: DataFrame  # blocks with the counts of their words
+    word_bits: int  # of the buckets that counted them
     pairs: DataFrame  # parts of the filter
     pair_bits: int
     shape: Shape
@@ -373,20 +409,20 @@ class Model:
 def fit(docs: DataFrame, shape: Shape | None = None, min_pairs: int = 1, discount: float = 0.75) -> Model:
     shape = shape or Shape()
     rows = blocks(docs)
-    words = word_counts(rows, shape)
+    words, word_bits = word_counts(rows, shape)
     n, v = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     shape = shape.for_words(v)
     answers = words.filter("block is not null").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "counts"))).alias("a")).select("block", F.col("a.counts").alias("answers"))
     rows = stored(rows.select("block", "docs", "held", "lens", "tokens", "words").join(answers, "block"), "answered")
-    pairs, pair_bits = pair_parts(rows, n, shape, min_pairs)
-    return Model(rows, pairs, pair_bits, shape, left_to_words(words, pairs, discount), n, v)
+    pairs, pair_bits = pair_parts(rows, word_bits, n, shape, min_pairs)
+    return Model(rows, word_bits, pairs, pair_bits, shape, left_to_words(words, pairs, discount), n, v)
 
 
 def scores(docs: DataFrame, max_bytes: int = MAX_BYTES, **how) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document."""
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     model = fit(docs, **how)
-    pair_bits, shape, by_words, n, norm = model.pair_bits, model.shape, model.left, model.tokens, model.norm
+    word_bits, pair_bits, shape, by_words, n, norm = model.word_bits, model.pair_bits, model.shape, model.left, model.tokens, model.norm
     ranges = [[0, 0]]
     for bucket, size in model.pairs.select("bucket", F.octet_length("part")).orderBy("bucket").collect():  # one small row a bucket
         if ranges[-1][1] and ranges[-1][1] + size > max_bytes:
@@ -398,7 +434,7 @@ def scores(docs: DataFrame, max_bytes: int = MAX_BYTES, **how) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for i in range(b.num_rows):
-                    held, lens, toks, hashes, exact = _block_arrays(b, i)
+                    held, lens, toks, hashes, exact = _block_arrays(b, i, word_bits)
                     before, context, starts = _contexts(toks, lens, hashes)
                     if first:  # other columns come from the first pass
                         base, known = np.zeros(len(lens)), np.zeros(len(lens), np.int64)
@@ -408,12 +444,13 @@ def scores(docs: DataFrame, max_bytes: int = MAX_BYTES, **how) -> DataFrame:
                     h = pair_hashes(before, hashes[toks])
                     bucket = bucket_of(keys(h, pair_bits))
                     mine = np.flatnonzero((bucket >= first) & (bucket < past))
-                    _, at, back = np.unique(h[mine], return_index=True, return_inverse=True)
-                    kinds = mine[at]
+                    mine = mine[np.argsort(h[mine])]
+                    first_of = runs(h[mine])
+                    kinds = mine[first_of]
                     of = exact[context[kinds]]
                     p = probabilities(shape.least(pair_filter.value.levels(h[kinds])), of, exact[toks[kinds]], by_words[shape.context_level(of)], norm)
                     logs = np.zeros(len(toks))
-                    logs[mine] = np.log10(np.minimum(p, 1))[back]
+                    logs[mine] = np.repeat(np.log10(np.minimum(p, 1)), np.diff(np.append(first_of, len(mine))))
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.full(len(lens), b.column("block")[i].as_py())), pa.array(np.arange(len(lens), dtype=np.int32)), b.column("docs")[i].values, pa.array(held), pa.array(lens.astype(np.int64)),
                         pa.array(known), pa.array(np.full(len(lens), n, np.int64)), pa.array(base), pa.array(np.add.reduceat(logs, starts))],

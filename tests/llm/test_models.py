@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -271,3 +272,24 @@ def test_ids_with_several_vectors(spark):
             best = sorted(((s, -b) for (c, b), s in want.items() if c == a), reverse=True)[:20]
             assert [(i, b) for i, b, _ in sorted(found)] == [(i + 1, -b) for i, (_, b) in enumerate(best)]
             np.testing.assert_allclose([s for _, _, s in sorted(found)], [s for s, _ in best])
+
+
+def test_lm_blocks_pack_and_probes_are_few():
+    """Tokens are numbered by frequency, which packs better than by hash; few probes cost few bits, and keep the share of false ones."""
+    rng = np.random.default_rng(4)
+    words = [b"w%d" % x for x in np.minimum(rng.zipf(1.2, 60_000), 20_000)]
+    block = B._Block()
+    block.add(1, False, b" ".join(words).decode())
+    row = block.row(0, pa.int64())
+    got = B.unpack(row.column("words")[0].as_py()).split(b"\n")
+    counts = Counter([*words, b""])
+    assert got == sorted(counts, key=lambda w: (-counts[w], w))
+    tokens = B.from_planes(row.column("tokens")[0].as_py(), 4, "<i4")
+    assert [got[i] for i in tokens] == [*words, b""]
+    place = np.empty(len(got), "<i4")
+    place[np.argsort(B.word_hashes(got))] = np.arange(len(got))
+    assert len(row.column("tokens")[0].as_py()) < 0.85 * len(B.planes(place[tokens], 4))
+    shape, need = B.Shape().for_words(300_000), math.log2(300_000 / B.FALSE)
+    assert shape.first_probes < 0.75 * need and shape.first_bits < 1.1 * need / math.log(2)
+    false = (1 - math.exp(-shape.first_probes / shape.first_bits)) ** shape.first_probes
+    assert 300_000 * false <= B.FALSE * 1.01
