@@ -1,9 +1,16 @@
-"""Near-duplicate documents by the Jaccard similarity of their word shingles: MinHash finds, exact sets decide.
+"""Near-duplicate documents by the Jaccard similarity of their word shingles: fingerprints find, exact sets decide.
 
-A document is the set of its shingles of five lower-cased words. Each of ``BANDS`` bands joins ``ROWS`` independent
-minima of the set; two sets of similarity 0.8 agree in none of the bands with a chance of (1 - 0.8^4)^24 = 3e-6. Sets that
-agree in a band become candidates, and a candidate pair is linked only if the Jaccard similarity of the two sets,
-computed from the texts, is ``least`` or more. Links are closed by star contraction. Equal sets are one from the start.
+A document is the set of its shingles of five lower-cased words. Two searches name candidate pairs, and a pair is linked only
+if the Jaccard similarity of the two sets, computed from the texts, is ``least`` or more:
+
+1. *SimHash with a covering* (``simhash_cover``): one fingerprint of 64 bits over the set, and the covering's masks for ``REACH``
+   differing bits. Fingerprints that differ in as many bits or fewer keep the same bits under some mask; each set is compared with
+   the first one of each of its buckets.
+2. *MinHash bands*, for what the covering cannot reach: sets of similarity 0.8 differ in some ten bits, and each further bit doubles
+   the masks. Each of ``BANDS`` bands joins ``ROWS`` independent minima of the set; two sets of similarity 0.8 agree in none of the
+   bands with a chance of (1 - 0.8^4)^24 = 3e-6.
+
+Links are closed by star contraction. Equal sets are one from the start.
 
 A bucket of up to ``SMALL`` sets compares all its pairs. A larger one compares each set with at most ``SLOTS`` centres,
 always among them the set that shares the most buckets, counted with their sizes (the text others were edited
@@ -28,10 +35,11 @@ from pyspark.sql.types import ArrayType, LongType
 
 from .common import stored
 from .lm_bloom import mixed
-from .simhash_cover import connected, word_blocks
+from .simhash_cover import bit_counts, connected, majority, masks, signed, word_blocks
 
 WIDTH = 5
 LEAST = 0.8
+REACH = 4  # differing bits that the covering bears: 31 masks
 BANDS, ROWS = 24, 4
 SMALL = 8
 SLOTS = 8
@@ -53,7 +61,7 @@ def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
 
 
 def signature(text: str | None) -> np.ndarray:
-    """A hash of the set, then one of each band."""
+    """A hash of the set, its SimHash fingerprint, then a hash of each band."""
     h = shingle_set(text)
     least = np.full(BANDS * ROWS, ~U(0))
     for lo in range(0, len(h), 1024):
@@ -62,7 +70,7 @@ def signature(text: str | None) -> np.ndarray:
     for i in range(ROWS):
         bands = mixed(bands * U(0x9E3779B97F4A7C15) + parts[:, i])
     own = xxhash.xxh64_intdigest(h.tobytes(), 42)
-    return np.append(U(own), bands).view(np.int64)
+    return np.concatenate([np.array([own], U).view(np.int64), [majority(sum(bit_counts(h[lo:lo + 4096]) for lo in range(0, len(h), 4096)), len(h))], bands.view(np.int64)])
 
 
 @F.arrow_udf(ArrayType(LongType()))
@@ -102,7 +110,19 @@ def candidates(sets: DataFrame) -> DataFrame:
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
-    return stored(out.distinct(), "candidates")
+    return out
+
+
+def covered(sets: DataFrame) -> DataFrame:
+    """(u, v), u > v: sets of one fingerprint with the first of them, and first sets of fingerprints with the first of each
+    bucket of the covering. ``sets``: distinct ``fp`` with ``print``."""
+    prints = stored(sets.groupBy("print").agg(F.min("fp").alias("v")), "prints")
+    same = sets.join(prints, "print").filter("fp <> v").select(F.col("fp").alias("u"), "v")
+    keys = F.array(*[F.xxhash64(F.lit(t), F.col("print").bitwiseAND(F.lit(signed(m)))) for t, m in enumerate(masks(REACH))])
+    keyed = prints.select(F.col("v").alias("u"), F.explode(keys).alias("key"))
+    first = keyed.groupBy("key").agg(F.min("u").alias("v"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    near = keyed.join(first, "key").filter("u <> v").select("u", "v")
+    return stored(same.unionByName(near).distinct(), "covered")
 
 
 def similar(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
@@ -125,9 +145,9 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Stored (_row, _place, fp): the rows with a unique number and their set; and (fp, root): the smallest set of each
     set's component."""
     marked = docs.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_place"), signatures(F.col(text_col)).alias("_s"))
-    rows = stored(marked.select("_row", "_place", F.get("_s", F.lit(0)).alias("fp"), F.slice("_s", 2, BANDS).alias("bands")), "signed")
-    sets = stored(rows.groupBy("fp").agg(F.min("_place").alias("_place"), F.first("bands").alias("bands")), "sets")
-    pairs = candidates(sets)
+    rows = stored(marked.select("_row", "_place", F.get("_s", F.lit(0)).alias("fp"), F.get("_s", F.lit(1)).alias("print"), F.slice("_s", 3, BANDS).alias("bands")), "signed")
+    sets = stored(rows.groupBy("fp").agg(F.min("_place").alias("_place"), F.first("print").alias("print"), F.first("bands").alias("bands")), "sets")
+    pairs = stored(covered(sets).unionByName(candidates(sets)).distinct(), "pairs")
     asked = pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct()
     places = sets.select("fp", "_place").join(asked, "fp", "left_semi").select("_place")
     texts = stored(rows.select("_place", "fp", F.col("_row")[text_col].alias("text")).join(places, "_place", "left_semi").select("fp", "text"), "texts")

@@ -45,6 +45,16 @@ def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
         start = end
 
 
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """In how many of the hashes each bit is set."""
+    return np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def majority(counts: np.ndarray, total: int) -> int:
+    """The fingerprint of the bits that are set in over half of ``total`` hashes, as a signed 64-bit number."""
+    return int(np.packbits(2 * counts > total, bitorder="little").view("<i8")[0])
+
+
 def simhash(text: str | None, width: int = 3) -> int:
     """The fingerprint, as a signed 64-bit number."""
     counts, total, tail = np.zeros(BITS, np.int64), 0, []
@@ -52,15 +62,14 @@ def simhash(text: str | None, width: int = 3) -> int:
         words = tail + block
         h = [xxhash.xxh64_intdigest(b" ".join(s), 42) for s in zip(*[words[i:] for i in range(width)])]
         if h:
-            bits = np.unpackbits(np.array(h, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            counts += bits.sum(axis=0, dtype=np.int64)
+            counts += bit_counts(np.array(h, "<u8"))
             total += len(h)
         tail = words[-(width - 1):]
     if not total:
         if not tail:
             return 0
         return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(tail), 42)).astype(np.int64))
-    return int(np.packbits(2 * counts > total, bitorder="little").view("<i8")[0])
+    return majority(counts, total)
 
 
 @F.arrow_udf(LongType())
@@ -75,19 +84,19 @@ def masks(radius: int = RADIUS) -> list[int]:
     return [sum(1 << i for i, x in enumerate(vectors) if (x & v).bit_count() % 2) for v in range(1, 2 << radius)]
 
 
-def _signed(x: int) -> int:
+def signed(x: int) -> int:
     return x - (1 << BITS) if x >> (BITS - 1) else x
 
 
 def links(prints: DataFrame) -> DataFrame:
     """(u, v), u > v: for each centre its smallest fingerprint with every other one. ``prints``: distinct ``fp``."""
-    kept = [_signed(m) for m in masks()]
+    kept = [signed(m) for m in masks()]
     tables = F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(kept)])
     keyed = prints.select("fp", F.explode(tables).alias("k")).select("fp", "k.t", "k.key")
     shared = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    free = F.get(F.array(*[F.lit(_signed(((1 << BITS) - 1) ^ (m % (1 << BITS)))) for m in kept]), F.col("t"))
+    free = F.get(F.array(*[F.lit(signed(((1 << BITS) - 1) ^ (m % (1 << BITS)))) for m in kept]), F.col("t"))
     near = keyed.join(shared, ["t", "key"]).groupBy("fp").agg(F.bit_or(free).alias("free"))
-    flips = F.filter(F.array(*[F.lit(_signed(1 << i)) for i in range(BITS)]), lambda b: F.col("free").bitwiseAND(b) != 0)
+    flips = F.filter(F.array(*[F.lit(signed(1 << i)) for i in range(BITS)]), lambda b: F.col("free").bitwiseAND(b) != 0)
     centres = near.select("fp", F.explode(F.concat(F.array(F.lit(0).cast("bigint")), flips)).alias("flip"))
     groups = centres.groupBy(F.col("fp").bitwiseXOR(F.col("flip")).alias("centre")).agg(F.array_sort(F.collect_set("fp")).alias("fps")).filter("size(fps) > 1")
     return groups.select(F.col("fps")[0].alias("v"), F.explode(F.slice("fps", 2, BITS + 1)).alias("u")).select("u", "v").distinct()

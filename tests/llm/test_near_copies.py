@@ -80,3 +80,40 @@ def test_exact_sets_decide(spark, least):
     pairs = [(i, j) for i in range(60) for j in range(i)]
     got = N.similar(spark.createDataFrame(pairs, "u long, v long"), df, least).collect()
     assert {(r.u, r.v) for r in got} == {(i, j) for i, j in pairs if jaccard(plain_set(texts[i]), plain_set(texts[j])) >= least}
+
+
+def test_covered_fingerprints_are_a_search_of_their_own(spark, monkeypatch):
+    """Without bands, the covering still joins all pairs of fingerprints at ``REACH`` bits or fewer, and exact sets decide."""
+    rng = random.Random(2)
+    base = [" ".join(f"w{rng.randrange(9000)}" for _ in range(1500)) for _ in range(10)]
+    texts = base + [edited(rng, b, n) for b in base for n in (1, 2, 3, 40)] + [base[0], None, "", "one two", "ONE two"]
+    sets = {int(s[0]): int(s[1]) for s in map(N.signature, texts)}
+    near = {frozenset((a, b)) for a in sets for b in sets if a < b and ((sets[a] ^ sets[b]) & (1 << 64) - 1).bit_count() <= N.REACH}
+    assert len(near) > 10
+    df = spark.createDataFrame(list(sets.items()), "fp long, print long")
+    got = [(r.u, r.v) for r in N.covered(df).collect()]
+    assert all(u > v for u, v in got)
+
+    def groups(pairs):
+        root = {f: f for f in sets}
+
+        def find(f):
+            while root[f] != f:
+                f = root[f]
+            return f
+
+        for a, b in map(tuple, pairs):
+            root[find(a)] = find(b)
+        return {frozenset(f for f in sets if find(f) == r) for r in set(map(find, sets))}
+
+    linked = groups(got)
+    assert all(any(p <= g for g in linked) for p in near)
+    none = spark.createDataFrame([], "u long, v long")
+    monkeypatch.setattr(N, "candidates", lambda sets: none)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _, named = N.components(docs)
+    root = {r.fp: r.root for r in named.collect()}
+    of = {int(N.signature(t)[0]): plain_set(t) for t in texts}
+    want = [p for p in near if jaccard(*(of[f] for f in p)) >= 0.8]
+    assert want and all(root[a] == root[b] for a, b in map(tuple, want))
+    assert all(max(jaccard(of[a], of[b]) for b in of if b != a and root[b] == root[a]) >= 0.8 for a in of if list(root.values()).count(root[a]) > 1)
