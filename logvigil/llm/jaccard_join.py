@@ -17,7 +17,8 @@ then by hash. A set of s tokens may miss at most m = s - ceil(0.8 s) tokens of a
    component and need no more. Any other set x of a hub's family lacks D_x of the hub's tokens and has A_x others; it
    can be similar to a member y only if the two share a number of these differences that follows from their counts, more than
    half of them near the threshold. So differences, rare ones first, are joined by prefixes of their own.
-5. *Verification* compares whole sets. Links are closed by star contraction.
+5. *Verification* compares whole sets. Links are closed by star contraction: those of steps 3 and 4 first, then those of differences between
+   the components, not the sets, that they join.
 
 Texts are read again for the sets that steps 1 and 5 ask for, found by a hash of the text and confirmed by that of the set.
 Null and wordless texts have no shingle and link with nothing: their component is their own id. Equal sets link. Rows with
@@ -192,21 +193,25 @@ def _near(a: str, b: str) -> F.Column:
     return F.lit(100) * F.least(a, b) >= F.lit(PERCENT) * F.greatest(a, b)
 
 
-def short_pairs(listed: DataFrame) -> DataFrame:
-    """(u, v), u > v: pairs of short lists that their shared keys do not rule out."""
-    long_ones = listed.filter(F.col("c") > LIST).select("fp").distinct().withColumn("hot", F.lit(True))
+def short_pairs(listed: DataFrame, families: DataFrame | None = None) -> DataFrame:
+    """(u, v), u > v: pairs of short lists that their shared keys do not rule out, and all of ``families`` with their hubs."""
+    long_ones = (listed.filter(F.col("c") > LIST) if families is None else families).select("fp").distinct().withColumn("hot", F.lit(True))
     rows = listed.filter(F.col("c") <= LIST).join(_side(long_ones), "fp", "left")
     whole = rows.groupBy("key").agg(F.collect_list(F.struct("fp", "n", "short", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("l"))
     one = whole.select("l", F.posexplode("l").alias("i", "a"))
     two = one.select("a", F.explode(F.slice("l", F.col("i") + 2, LIST)).alias("b")).filter(_near("a.n", "b.n"))
     turned = F.col("a.fp") > F.col("b.fp")
     pairs = two.select(F.when(turned, F.col("a")).otherwise(F.col("b")).alias("x"), F.when(turned, F.col("b")).otherwise(F.col("a")).alias("y"))
-    shared = pairs.groupBy(F.col("x.fp").alias("u"), F.col("y.fp").alias("v")).agg(F.count("*").alias("shared"), F.first("x").alias("x"), F.first("y").alias("y"))
+    pairs = pairs.select(F.col("x.fp").alias("u"), F.col("y.fp").alias("v"), "x", "y")
+    if families is not None:
+        pairs = pairs.unionByName(_ordered(families, "fp", "hub"), allowMissingColumns=True)
+    one_each = [F.first("x", ignorenulls=True).alias("x"), F.first("y", ignorenulls=True).alias("y")]
+    shared = pairs.groupBy("u", "v").agg(F.count("x").alias("shared"), F.bool_or(F.col("x").isNull()).alias("family"), *one_each)
     need = F.expr(f"({PERCENT} * (x.n + y.n) + {99 + PERCENT}) div {100 + PERCENT}")
     # tokens behind a prefix of rare tokens: s - (m + 1)
     behind = F.greatest(*[F.when(~F.col(f"{s}.short"), F.expr(f"({PERCENT} * {s}.n + 99) div 100 - 1")) for s in "xy"])
     open_ = (F.col("x.short") & F.col("y.short")) | (F.col("x.hot") & F.col("y.hot"))
-    return shared.filter(open_ | (F.col("shared") + behind >= need)).select("u", "v")
+    return shared.filter(F.col("family") | open_ | (F.col("shared") + behind >= need)).select("u", "v")
 
 
 def hubs(listed: DataFrame) -> DataFrame:
@@ -218,7 +223,8 @@ def hubs(listed: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(u, v, both, either): sizes of the intersection and the union of each pair."""
+    """``pairs`` (u, v, more numbers) with both, either: sizes of the intersection and the union of each pair."""
+    names = pairs.columns
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -229,23 +235,24 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 n = int((z[1:] == z[:-1]).sum())
                 both.append(n)
                 either.append(len(z) - n)
-            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v"), pa.array(both, pa.int64()), pa.array(either, pa.int64())], ["u", "v", "both", "either"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(both, pa.int64()), pa.array(either, pa.int64())], [*names, "both", "either"])
 
-    joined = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v").select("u", "v", "a", "b")
-    return joined.mapInArrow(judge, "u bigint, v bigint, both bigint, either bigint")
+    joined = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v").select(*names, "a", "b")
+    return joined.mapInArrow(judge, ", ".join(f"{c} bigint" for c in [*names, "both", "either"]))
 
 
-def _linked(found: DataFrame) -> DataFrame:
-    return found.filter(F.lit(100) * F.col("both") >= F.lit(PERCENT) * F.col("either")).select("u", "v")
+def _linked(found: DataFrame, a: str = "u", b: str = "v") -> DataFrame:
+    return found.filter(F.lit(100) * F.col("both") >= F.lit(PERCENT) * F.col("either")).select(F.col(a).alias("u"), F.col(b).alias("v"))
 
 
-def _ordered(df: DataFrame, a: str, b: str) -> DataFrame:
-    return df.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+def _ordered(df: DataFrame, a: str, b: str, *more: F.Column) -> DataFrame:
+    return df.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), *more)
 
 
 def differences(families: DataFrame, sets: DataFrame) -> DataFrame:
-    """(hub, fp, h, lacks, more, e): size of the hub, how many of its tokens a member lacks and how many others it has, and
-    these tokens as numbers: lacking ones negative."""
+    """``families`` with (h, lacks, more, e): size of the hub, how many of its tokens a member lacks and how many others it has,
+    and these tokens as numbers: lacking ones negative."""
+    names = families.columns
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -255,26 +262,25 @@ def differences(families: DataFrame, sets: DataFrame) -> DataFrame:
                 lacks, more = (np.setdiff1d(x, y, assume_unique=True) >> U(1) for x, y in ((hub, own), (own, hub)))
                 cells.append((len(hub), len(lacks), len(more), np.concatenate([-1 - lacks.astype(np.int64), more.astype(np.int64)])))
             cols = list(zip(*cells)) if cells else [()] * 4
-            yield pa.RecordBatch.from_arrays([b.column("hub"), b.column("fp"), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.list_(pa.int64()))], ["hub", "fp", "h", "lacks", "more", "e"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.list_(pa.int64()))], [*names, "h", "lacks", "more", "e"])
 
-    joined = families.select("hub", "fp").join(sets.toDF("hub", "a"), "hub").join(sets.toDF("fp", "b"), "fp").select("hub", "fp", "a", "b")
-    return joined.mapInArrow(compare, "hub bigint, fp bigint, h bigint, lacks bigint, more bigint, e array<bigint>")
+    joined = families.join(sets.toDF("hub", "a"), "hub").join(sets.toDF("fp", "b"), "fp").select(*names, "a", "b")
+    return joined.mapInArrow(compare, ", ".join([*(f"{c} {t}" for c, t in families.dtypes), "h bigint, lacks bigint, more bigint, e array<bigint>"]))
 
 
 def strays(families: DataFrame, found: DataFrame, stars: DataFrame, sets: DataFrame) -> DataFrame:
-    """(u, v): sets that are not of their hub's component with those members of the family that may be near them.
+    """(u, v, x, y): sets that are not of their hub's component with those members of the family that may be near them, and
+    the roots of the two components, x > y.
 
     For members x and y of a hub of h tokens let g = 100 D + 80 A. A link needs (g_x + g_y - 20 h) / 180 common differences, more
     than none as g > 20 h for a set that is not linked to the hub. There are at most min(D_x, D_y) + min(A_x, A_y), and so
     at most D_y + A_y, from which 80 D_y + 100 A_y >= g_x - 20 h and g_y >= 0.8 (g_x - 20 h) follow.
     """
     p, all_ = PERCENT, 100 + PERCENT
-    root = stars.toDF("fp", "root")
-    named = families.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp")).join(root.toDF("hub", "hub_root"), "hub", "left")
+    named = families.join(stars, "fp", "left").withColumn("root", F.coalesce("root", "fp")).join(stars.toDF("hub", "hub_root"), "hub", "left")
     named = stored(named.withColumn("stray", F.col("root") != F.coalesce("hub_root", "hub")), "placed")
-    open_ = named.join(named.filter("stray").select("hub").distinct(), "hub", "left_semi").filter("fp <> hub")
+    open_ = named.join(named.filter("stray").select("hub").distinct(), "hub", "left_semi").filter("fp <> hub").select("hub", "fp", "n", "root", "stray")
     d = stored(differences(open_, sets), "differences").withColumn("g", 100 * F.col("lacks") + p * F.col("more")).withColumn("excess", F.col("g") - (100 - p) * F.col("h"))
-    d = d.join(open_, ["hub", "fp"])
     least = d.groupBy("hub").agg(F.min("g").alias("least"), F.min(F.when(F.col("stray"), F.col("g"))).alias("least_stray"))
     part = d.select("hub", "fp", F.explode("e").alias("e"))
     counted = part.join(part.groupBy("hub", "e").agg(F.count("*").alias("c")), ["hub", "e"])
@@ -289,27 +295,27 @@ def strays(families: DataFrame, found: DataFrame, stars: DataFrame, sets: DataFr
     able = F.least("lacks", "s_lacks") + F.least("more", "s_more") >= need
     ahead = (F.col("place") + need <= F.col("size")) & (F.col("s_place") + need <= F.col("s_size"))  # in the prefixes that this pair needs
     cross = s.join(rows, ["hub", "e"]).filter((F.col("s_root") != F.col("root")) & _near("s_n", "n") & able & ahead & (~F.col("stray") | (F.col("s_fp") > F.col("fp"))))
-    return _ordered(cross, "s_fp", "fp").distinct().join(found.select("u", "v"), ["u", "v"], "left_anti")
+    roots = F.greatest("s_root", "root").alias("x"), F.least("s_root", "root").alias("y")
+    return _ordered(cross, "s_fp", "fp", *roots).distinct().join(found.select("u", "v"), ["u", "v"], "left_anti")
 
 
-def links(docs: DataFrame, text_col: str, sets: DataFrame) -> DataFrame:
-    """Stored (u, v), u > v: links between distinct sets that connect all sets which links of the full join connect."""
+def rooted(docs: DataFrame, text_col: str, sets: DataFrame) -> DataFrame:
+    """(fp, root): distinct sets with the smallest set that links of the full join connect them with, itself left out."""
     keys = index(docs, text_col, sets)
     lists = keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     listed = stored(keys.join(lists, "key"), "listed")
     families = hubs(listed)
-    pairs = stored(short_pairs(listed).union(_ordered(families, "fp", "hub")).distinct(), "pairs")
-
-    def asked(p: DataFrame) -> DataFrame:
-        return sets.select("fp", "mark").join(_side(stored(p.select("u").union(p.select("v")).toDF("fp").distinct(), "asked")), "fp", "left_semi")
-
-    whole = fetch(docs, text_col, asked(pairs), "pair-sets")
+    pairs = stored(short_pairs(listed, families), "pairs")
+    asked = pairs.select("u").union(pairs.select("v")).toDF("fp")
+    few = pairs.limit(BROADCAST // 2 + 1).count() <= BROADCAST // 2
+    whole = fetch(docs, text_col, sets.select("fp", "mark").join(F.broadcast(asked) if few else asked.distinct(), "fp", "left_semi"), "pair-sets")
     found = stored(verified(pairs, whole), "found")
-    near = _linked(found)
+    stars = connected(_linked(found)).toDF("fp", "root")
     if families.isEmpty():
-        return stored(near, "jaccard-links")
-    more = stored(strays(families, found, connected(near), whole), "strays")
-    return stored(near.union(_linked(verified(more, whole))), "jaccard-links")  # members of families are among the sets
+        return stars
+    more = stored(strays(families, found, stars, whole), "strays")  # members of families are among the sets
+    joined = connected(_linked(verified(more, whole), "x", "y").distinct()).toDF("root", "to")  # components, not sets
+    return stars.join(joined, "root", "left").select("fp", F.coalesce("to", "root").alias("root")).union(joined)
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -318,8 +324,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sets = stored(rows.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("place").alias("place"), F.count("*").alias("rows")), "sets")
     copies = sets.filter("rows > 1").select("fp", F.col("place").alias("kept"))
     first = rows.filter("n > 0").join(_side(copies), "fp", "left").filter("kept is null or kept = place")  # one row of each set
-    stars = connected(links(docs, text_col, first.select("fp", "n", "mark", "shown")))
-    rooted = sets.select("fp", "least").join(stars.toDF("fp", "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    found = rooted(docs, text_col, first.select("fp", "n", "mark", "shown"))
+    whole = sets.select("fp", "least").join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = whole.join(whole.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     out = rows.select("doc_id", "n", "fp").join(stored(named, "named"), "fp", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

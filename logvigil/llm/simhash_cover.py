@@ -103,24 +103,26 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def star_round(e: DataFrame) -> DataFrame:
-    """One round of large stars, then small stars; minima are pre-aggregated and hubs are left to skew joins."""
-    both = e.union(e.select("v", "u"))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    """One round of large stars, then small stars; minima are pre-aggregated and hubs are left to skew joins. Links: u > v."""
+    least = e.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m"))  # a node without one is its own
+    large = e.join(least, "v", "left").select("u", F.coalesce("m", "v").alias("v"))
     low = large.groupBy("u").agg(F.min("v").alias("m"))
-    small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return small.union(low.select("u", F.col("m").alias("v"))).distinct()
+    return large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+
+
+def settled(e: DataFrame) -> bool:
+    """Whether the links are stars: each node is a centre or has one link to one, not both."""
+    ends = e.select("u", F.lit(1).alias("up")).union(e.select("v", F.lit(0)))
+    return not ends.groupBy("u").agg(F.sum("up").alias("up"), F.count("*").alias("c")).filter("up > 0 and c > 1").agg(F.count("*")).first()[0]
 
 
 def connected(e: DataFrame) -> DataFrame:
-    """(u, v): each node of the links with the smallest node it reaches, itself left out. Logarithmic in the longest chain."""
-    state = None
+    """(u, v): each node of the links with the smallest node it reaches, itself left out. Logarithmic in the longest chain.
+    Links: u > v."""
     e = stored(e, "links")
-    while True:
-        seen = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if seen == state or not seen[0]:
-            return e
-        state, e = seen, stored(star_round(e), "stars")
+    while not settled(e):
+        e = stored(star_round(e), "stars")
+    return e
 
 
 def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from logvigil.llm import jaccard_join as J
-from logvigil.llm import near_copies
+from logvigil.llm import common, near_copies, simhash_cover
 
 
 def plain_set(text):
@@ -135,3 +135,30 @@ def test_hot_family_costs_a_row_for_each_set(spark):
 def test_whole_set_has_every_shingle():
     text = " ".join(f"w{i % 97} É" for i in range(3000))
     assert len(J.whole_set(text)) == len(plain_set(text)) and len(J.whole_set(" \n")) == 0 and len(near_copies.shingle_set("a b")) == 1
+
+
+def test_few_stored_steps(spark, monkeypatch):
+    """Each stored step costs a file for each partition, however small: links that differences add join components, not sets again."""
+    names = []
+    keep = lambda df, name: names.append(name) or common.stored(df, name)
+    monkeypatch.setattr(J, "stored", keep)
+    monkeypatch.setattr(simhash_cover, "stored", keep)
+    monkeypatch.setattr(J, "LIST", 2)
+    rows = corpus(2)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, J.components(docs).collect()), key=str) == plain(rows)
+    assert "strays" in names and names.count("stars") < 6 and len(names) < 26
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    rng = random.Random(4)
+    for _ in range(3):
+        links = {(u, rng.randrange(u)) for u in (rng.randrange(1, 60) for _ in range(40))}
+        got = simhash_cover.connected(spark.createDataFrame(sorted(links), "u long, v long")).collect()
+        least = list(range(60))
+        for _ in range(60):
+            for u, v in links:
+                least[u] = least[v] = min(least[u], least[v])
+        assert sorted(map(tuple, got)) == [(u, v) for u, v in enumerate(least) if u != v]
+    monkeypatch.setattr(simhash_cover, "star_round", lambda e: pytest.fail("a round over stars"))
+    assert sorted(map(tuple, simhash_cover.connected(spark.createDataFrame(got)).collect())) == sorted(map(tuple, got))
