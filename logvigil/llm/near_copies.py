@@ -4,18 +4,19 @@ A document is the set of its shingles of five lower-cased words. Two searches na
 if the Jaccard similarity of the two sets, computed from the texts, is ``least`` or more:
 
 1. *SimHash with a covering* (``simhash_cover``): one fingerprint of 64 bits over the set, and the covering's masks for ``REACH``
-   differing bits. Fingerprints that differ in as many bits or fewer keep the same bits under some mask; each set is compared with
-   the first one of each of its buckets.
+   differing bits. Fingerprints that differ in as many bits or fewer keep the same bits under some mask. Each set is compared with
+   the first one of each of its buckets; then, in buckets that these links have not made one component, every two sets of
+   different components are (``apart``). So any two sets that share a bucket are compared or are linked already.
 2. *MinHash bands*, for what the covering cannot reach: sets of similarity 0.8 differ in some ten bits, and each further bit doubles
    the masks. Each of ``BANDS`` bands joins ``ROWS`` independent minima of the set; two sets of similarity 0.8 agree in none of the
    bands with a chance of (1 - 0.8^4)^24 = 3e-6.
 
 Links are closed by star contraction. Equal sets are one from the start.
 
-A bucket of up to ``SMALL`` sets compares all its pairs. A larger one compares each set with at most ``SLOTS`` centres,
+A bucket of the bands of up to ``SMALL`` sets compares all its pairs. A larger one compares each set with at most ``SLOTS`` centres,
 always among them the set that shares the most buckets, counted with their sizes (the text others were edited
 from), and is then split by two and by four bands at once. So a set costs a bounded number of rows, however many copies
-it has, and no bucket meets in one task. Only in buckets that are large at all three depths two similar sets may be
+it has, and no bucket meets in one task. Only in buckets of the bands that are large at all three depths two similar sets may be
 compared with neither each other nor a common centre.
 
 Null text counts as empty; texts without words have one set in common. Texts of fewer than five words are one shingle.
@@ -43,6 +44,7 @@ REACH = 4  # differing bits that the covering bears: 31 masks
 BANDS, ROWS = 24, 4
 SMALL = 8
 SLOTS = 8
+PART = 512
 DEPTHS = (1, 2, 4)  # bands at once
 U = np.uint64
 _rng = np.random.default_rng(20)
@@ -61,7 +63,7 @@ def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
 
 
 def signature(text: str | None) -> np.ndarray:
-    """A hash of the set, its SimHash fingerprint, then a hash of each band."""
+    """A hash of the set, its SimHash fingerprint, a hash of each band, then the number of shingles."""
     h = shingle_set(text)
     least = np.full(BANDS * ROWS, ~U(0))
     for lo in range(0, len(h), 1024):
@@ -70,7 +72,7 @@ def signature(text: str | None) -> np.ndarray:
     for i in range(ROWS):
         bands = mixed(bands * U(0x9E3779B97F4A7C15) + parts[:, i])
     own = xxhash.xxh64_intdigest(h.tobytes(), 42)
-    return np.concatenate([np.array([own], U).view(np.int64), [majority(sum(bit_counts(h[lo:lo + 4096]) for lo in range(0, len(h), 4096)), len(h))], bands.view(np.int64)])
+    return np.concatenate([np.array([own], U).view(np.int64), [majority(sum(bit_counts(h[lo:lo + 4096]) for lo in range(0, len(h), 4096)), len(h))], bands.view(np.int64), [len(h)]])
 
 
 @F.arrow_udf(ArrayType(LongType()))
@@ -78,21 +80,28 @@ def signatures(texts: pa.Array) -> pa.Array:
     return pa.array([signature(t.as_py()) for t in texts], pa.list_(pa.int64()))
 
 
-def _keyed(sets: DataFrame, depth: int) -> DataFrame:
-    """(fp, band, key): the bucket of each set in each band, by ``depth`` bands at once."""
+def shuffled(rows: DataFrame) -> DataFrame:
+    """``rows`` as a side that no join broadcasts: Spark sizes exploded rows like those they come from, and stored ones by their
+    compressed files."""
+    return rows.hint("merge")
+
+
+def _keyed(sets: DataFrame, depth: int, large: DataFrame | None = None) -> DataFrame:
+    """(fp, band, key): the bucket of each set in each band, by ``depth`` bands at once; only those of ``large`` (fp, band)."""
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda t: F.xxhash64(t, F.slice(F.concat("bands", "bands"), t + 1, F.lit(depth))))
-    return sets.select("fp", F.posexplode(keys).alias("band", "key"))
+    if large is None:
+        return sets.select("fp", F.posexplode(keys).alias("band", "key"))
+    wanted = large.groupBy("fp").agg(F.collect_list("band").alias("wanted"))  # at most BANDS
+    return sets.join(wanted, "fp").select("fp", "wanted", F.posexplode(keys).alias("band", "key")).filter(F.array_contains("wanted", F.col("band"))).drop("wanted")
 
 
 def candidates(sets: DataFrame) -> DataFrame:
     """(u, v), u > v: pairs of sets that may be similar. ``sets``: distinct ``fp`` with ``bands``."""
     found, popular, large = [], None, None
     for depth in DEPTHS:
-        rows = _keyed(sets, depth)
-        if large is not None:
-            rows = rows.join(large.select("fp", "band"), ["fp", "band"], "left_semi")
+        rows = _keyed(sets, depth, large)
         sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-        shared = stored(rows.join(sizes, "key"), "buckets")
+        shared = stored(shuffled(rows).join(sizes, "key"), "buckets")
         if popular is None:
             popular = stored(shared.groupBy("fp").agg(F.sum("n").alias("popular")), "popular")
         small, large = shared.filter(F.col("n") <= SMALL), shared.filter(F.col("n") > SMALL)
@@ -101,10 +110,10 @@ def candidates(sets: DataFrame) -> DataFrame:
         found.append(one.select("u", F.explode(F.slice("fps", 1, F.col("i"))).alias("v")))
         if large.isEmpty():
             break
-        ranked = large.join(popular, "fp").groupBy("key", F.pmod(F.xxhash64("fp"), F.lit(SLOTS)).alias("slot")).agg(F.max(F.struct("popular", "fp")).alias("top"))
+        ranked = shuffled(large).join(popular, "fp").groupBy("key", F.pmod(F.xxhash64("fp"), F.lit(SLOTS)).alias("slot")).agg(F.max(F.struct("popular", "fp")).alias("top"))
         centres = ranked.groupBy("key").agg(F.collect_list("top.fp").alias("centres"))
         # a set's centres over all its bands, each once: at most BANDS * SLOTS, few where the bands agree
-        mine = large.select("key", "fp").join(centres, "key").groupBy("fp").agg(F.array_distinct(F.flatten(F.collect_list("centres"))).alias("all"))
+        mine = shuffled(large.select("key", "fp")).join(centres, "key").groupBy("fp").agg(F.array_distinct(F.flatten(F.collect_list("centres"))).alias("all"))
         met = mine.select("fp", F.explode(F.array_remove("all", F.col("fp"))).alias("c"))
         found.append(met.select(F.greatest("fp", "c").alias("u"), F.least("fp", "c").alias("v")))
     out = found[0]
@@ -113,16 +122,37 @@ def candidates(sets: DataFrame) -> DataFrame:
     return out
 
 
-def covered(sets: DataFrame) -> DataFrame:
-    """(u, v), u > v: sets of one fingerprint with the first of them, and first sets of fingerprints with the first of each
-    bucket of the covering. ``sets``: distinct ``fp`` with ``print``."""
-    prints = stored(sets.groupBy("print").agg(F.min("fp").alias("v")), "prints")
-    same = sets.join(prints, "print").filter("fp <> v").select(F.col("fp").alias("u"), "v")
+def covering(sets: DataFrame) -> DataFrame:
+    """Stored (fp, key, first): the sets of each bucket of the covering that has two or more, with the smallest one. Sets of
+    one fingerprint share all their buckets. ``sets``: distinct ``fp`` with ``print``."""
     keys = F.array(*[F.xxhash64(F.lit(t), F.col("print").bitwiseAND(F.lit(signed(m)))) for t, m in enumerate(masks(REACH))])
-    keyed = prints.select(F.col("v").alias("u"), F.explode(keys).alias("key"))
-    first = keyed.groupBy("key").agg(F.min("u").alias("v"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    near = keyed.join(first, "key").filter("u <> v").select("u", "v")
-    return stored(same.unionByName(near).distinct(), "covered")
+    keyed = sets.select("fp", F.explode(keys).alias("key"))
+    first = keyed.groupBy("key").agg(F.min("fp").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return stored(shuffled(keyed).join(first, "key").select("fp", "key", "first"), "covering")
+
+
+def covered(sets: DataFrame, buckets: DataFrame | None = None) -> DataFrame:
+    """(u, v), u > v: each set with the first of each of its buckets of ``covering``; ``apart`` names the others that are needed."""
+    buckets = covering(sets) if buckets is None else buckets
+    return stored(buckets.filter("fp <> first").select(F.col("fp").alias("u"), F.col("first").alias("v")).distinct(), "covered")
+
+
+def apart(buckets: DataFrame, sets: DataFrame, stars: DataFrame, least: float = LEAST) -> DataFrame:
+    """(u, v), u > v: the sets that share a bucket but no component. Left out are pairs whose numbers of shingles alone keep them
+    below ``least``. ``sets``: distinct ``fp`` with ``size``; ``stars``: (u, v) of ``connected``.
+
+    A bucket is cut into parts of about ``PART`` sets, and any two parts meet by themselves: no task holds a large bucket.
+    """
+    roots = sets.select("fp", "size").join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rows = shuffled(buckets.select("fp", "key")).join(roots, "fp")
+    mixed_ = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).filter("low <> high")
+    parts = F.ceil(F.col("n") / PART).cast("int")
+    open_ = stored(rows.join(mixed_.select("key", parts.alias("parts")), "key").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")), "apart")
+    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    a = open_.select("key", F.col("part").alias("p"), others.alias("q"), F.col("fp").alias("u"), F.col("root").alias("ru"), F.col("size").alias("su"))
+    b = open_.select("key", others.alias("p"), F.col("part").alias("q"), F.col("fp").alias("v"), F.col("root").alias("rv"), F.col("size").alias("sv"))
+    near = shuffled(a).join(shuffled(b), ["key", "p", "q"]).filter(F.expr(f"u > v and ru <> rv and least(su, sv) / greatest(su, sv) >= {least}D"))
+    return near.select("u", "v").distinct()
 
 
 def similar(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
@@ -138,20 +168,30 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFra
             yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     a, b = texts.toDF("u", "a"), texts.toDF("v", "b")
-    return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(judge, "u bigint, v bigint")
+    return pairs.join(shuffled(a), "u").join(shuffled(b), "v").select("u", "v", "a", "b").mapInArrow(judge, "u bigint, v bigint")
+
+
+def linked(pairs: DataFrame, rows: DataFrame, sets: DataFrame, text_col: str, least: float) -> DataFrame:
+    """The similar ones of ``pairs``; of each set the text of one row is read."""
+    pairs = stored(pairs, "pairs")
+    asked = pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct()
+    # stored first: few places then need no shuffle of all texts
+    places = stored(sets.select("fp", "_place").join(asked, "fp", "left_semi").select("_place"), "places")
+    texts = stored(rows.select("_place", "fp", F.col("_row")[text_col].alias("text")).join(places, "_place", "left_semi").select("fp", "text"), "texts")
+    return similar(pairs, texts, least)
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> tuple[DataFrame, DataFrame]:
     """Stored (_row, _place, fp): the rows with a unique number and their set; and (fp, root): the smallest set of each
     set's component."""
     marked = docs.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_place"), signatures(F.col(text_col)).alias("_s"))
-    rows = stored(marked.select("_row", "_place", F.get("_s", F.lit(0)).alias("fp"), F.get("_s", F.lit(1)).alias("print"), F.slice("_s", 3, BANDS).alias("bands")), "signed")
-    sets = stored(rows.groupBy("fp").agg(F.min("_place").alias("_place"), F.first("print").alias("print"), F.first("bands").alias("bands")), "sets")
-    pairs = stored(covered(sets).unionByName(candidates(sets)).distinct(), "pairs")
-    asked = pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct()
-    places = sets.select("fp", "_place").join(asked, "fp", "left_semi").select("_place")
-    texts = stored(rows.select("_place", "fp", F.col("_row")[text_col].alias("text")).join(places, "_place", "left_semi").select("fp", "text"), "texts")
-    stars = connected(similar(pairs, texts, least))
+    rows = stored(marked.select("_row", "_place", F.get("_s", F.lit(0)).alias("fp"), F.get("_s", F.lit(1)).alias("print"), F.slice("_s", 3, BANDS).alias("bands"), F.get("_s", F.lit(2 + BANDS)).alias("size")), "signed")
+    sets = stored(rows.groupBy("fp").agg(F.min("_place").alias("_place"), F.first("print").alias("print"), F.first("bands").alias("bands"), F.first("size").alias("size")), "sets")
+    buckets = covering(sets)
+    stars = connected(linked(covered(sets, buckets).unionByName(candidates(sets)).distinct(), rows, sets, text_col, least))
+    rest = stored(apart(buckets, sets, stars, least), "rest")
+    if not rest.isEmpty():
+        stars = connected(stars.unionByName(linked(rest, rows, sets, text_col, least)))
     named = sets.select("fp").join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
     return rows.select("_row", "_place", "fp"), named
 

@@ -117,3 +117,40 @@ def test_covered_fingerprints_are_a_search_of_their_own(spark, monkeypatch):
     want = [p for p in near if jaccard(*(of[f] for f in p)) >= 0.8]
     assert want and all(root[a] == root[b] for a, b in map(tuple, want))
     assert all(max(jaccard(of[a], of[b]) for b in of if b != a and root[b] == root[a]) >= 0.8 for a in of if list(root.values()).count(root[a]) > 1)
+
+
+@pytest.mark.parametrize("part", [3, 512])
+def test_sets_of_one_bucket_are_linked_without_its_first(spark, monkeypatch, part):
+    """All sets share the only bucket; most similar pairs are not similar to its smallest set."""
+    rng = random.Random(4)
+    base = [" ".join(f"w{rng.randrange(9000)}" for _ in range(300)) for _ in range(6)]
+    texts = base + [edited(rng, b, n) for b in base for n in (1, 2, 3)]
+    monkeypatch.setattr(N, "masks", lambda reach: [0])
+    monkeypatch.setattr(N, "candidates", lambda sets: spark.createDataFrame([], "u long, v long"))
+    monkeypatch.setattr(N, "PART", part)
+    _, named = N.components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    root = {r.fp: r.root for r in named.collect()}
+    of = {int(N.signature(t)[0]): plain_set(t) for t in texts}
+    want = [(a, b) for a in of for b in of if a < b and jaccard(of[a], of[b]) >= 0.8]
+    first = min(of)
+    assert len({root[a] for a, b in want if first not in (a, b)}) > 3
+    assert all(root[a] == root[b] for a, b in want)
+    assert len(set(root.values())) >= len(base)
+
+
+def test_no_exploded_rows_are_broadcast(spark):
+    """Spark sizes a bucket's rows like the sets they come from; the keys of many sets would go to every process."""
+    sets = spark.range(500).selectExpr("xxhash64(id) as fp", "xxhash64(id, 1) as print", "transform(sequence(1, 24), i -> xxhash64(id, i)) as bands")
+    plans = []
+    write = N.stored
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().sparkPlan().toString()))
+        return write(df, name)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(N, "stored", seen)
+        N.covering(sets)
+        N.candidates(sets)
+    of = dict(reversed(plans))
+    assert all("SortMergeJoin" in of[name] and "BroadcastHashJoin" not in of[name] for name in ("covering", "buckets"))
