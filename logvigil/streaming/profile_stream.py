@@ -33,6 +33,15 @@ def _entropy(w: np.ndarray) -> np.ndarray:
     return np.where(n > 1, np.abs(np.log2(n) - logs / n), 0.0)
 
 
+def _quantile(ordered: np.ndarray, n: np.ndarray, q: float) -> np.ndarray:
+    """np.nanpercentile along each sorted row of ``n`` values (NaN behind them), all rows at once."""
+    rows, pos = np.arange(len(ordered)), np.maximum(n - 1, 0) * q
+    at = np.floor(pos).astype(int)
+    low, high, t = ordered[rows, at], ordered[rows, np.minimum(at + 1, np.maximum(n - 1, 0))], pos - at
+    step = high - low
+    return np.where(t >= 0.5, high - step * (1 - t), low + step * t)
+
+
 def _baseline(train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     std = train.std(0)
     return train.mean(0), np.where(std < 1e-6, 1.0, std)
@@ -52,30 +61,29 @@ class Known:
 
 def _advance(pdf: pd.DataFrame, k: Known) -> pd.DataFrame:
     """Score one entity's next rows in order; ``k`` becomes what is known after them."""
-    pdf = pdf.copy()
     ports, sizes = pdf["dstport"].to_numpy(float), pdf["total_bytes"].to_numpy(float)
-    pdf["seq"] = k.n + 1 + np.arange(len(pdf))
-    pdf["port_entropy"] = _entropy(_windows(k.ports, ports, C.RING_ROWS))
-    pdf["byte_variance"] = np.nanvar(_windows(k.sizes, sizes, C.RING_ROWS), axis=1)
-    x = np.nan_to_num(pdf[C.TRAFFIC_FEATURES].to_numpy(float), nan=0.0, posinf=0.0, neginf=0.0)
+    new = {name: np.full(len(pdf), np.nan) for name in _RESULT}
+    new["seq"] = seq = k.n + 1 + np.arange(len(pdf))
+    new["port_entropy"] = _entropy(_windows(k.ports, ports, C.RING_ROWS))
+    new["byte_variance"] = np.nanvar(_windows(k.sizes, sizes, C.RING_ROWS), axis=1)
+    x = np.column_stack([new[f] if f in new else pdf[f].to_numpy(float) for f in C.TRAFFIC_FEATURES])
+    x = np.nan_to_num(x, nan=0.0, posinf=0.0, neginf=0.0)
     if k.baseline is None:
         k.training = np.concatenate([k.training, x[: C.TRAINING_ROWS - len(k.training)]])
         if len(k.training) == C.TRAINING_ROWS:
             k.baseline, k.training = _baseline(k.training), k.training[:0]
-    scored = pdf["seq"].to_numpy() >= C.TRAINING_ROWS
-    err = np.full(len(pdf), np.nan)
+    scored = seq >= C.TRAINING_ROWS
+    new["err_count"] = np.zeros(len(pdf), np.int64)
+    err = new["recon_err"]
     if scored.any():
         mean, std = k.baseline
         err[scored] = (((x[scored] - mean) / std) ** 2).mean(1)
-    pdf["recon_err"] = err
-    for name in ("err_min", "err_max", "threshold"):
-        pdf[name] = np.nan
-    pdf["err_count"] = 0
-    if scored.any():
         ew = _windows(k.errors, err[scored], C.ERROR_ROWS)
-        pdf.loc[scored, "err_count"] = np.isfinite(ew).sum(1)
-        pdf.loc[scored, "err_min"], pdf.loc[scored, "err_max"] = np.nanmin(ew, 1), np.nanmax(ew, 1)
-        pdf.loc[scored, "threshold"] = np.nanpercentile(ew, C.ERROR_PERCENTILE * 100, axis=1)
+        new["err_count"][scored] = np.isfinite(ew).sum(1)
+        ordered, n = np.sort(ew, axis=1), (~np.isnan(ew)).sum(1)
+        new["err_min"][scored], new["err_max"][scored] = ordered[:, 0], ordered[np.arange(len(n)), np.maximum(n - 1, 0)]
+        new["threshold"][scored] = _quantile(ordered, n, C.ERROR_PERCENTILE)
+    pdf = pd.concat([pdf, pd.DataFrame(new, index=pdf.index)], axis=1)
     last = lambda old, new, rows: np.concatenate([old, new])[-rows:]
     k.n += len(pdf)
     k.ports, k.sizes, k.errors = last(k.ports, ports, C.RING_ROWS), last(k.sizes, sizes, C.RING_ROWS), last(k.errors, err[scored], C.ERROR_ROWS)

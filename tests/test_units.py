@@ -232,3 +232,19 @@ def test_literals_are_necessary(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
     got = [r.regex_category for r in D.signature_match(df).orderBy("i").collect()]
     assert got == want
+
+
+def test_streamed_thresholds_of_all_rows_at_once(monkeypatch):
+    import numpy as np
+
+    from logvigil.streaming import profile_stream as PS
+
+    rng = np.random.default_rng(1)
+    w = rng.choice([0.5, 2.0, 3.25, 1e9, np.inf, np.nan], (300, 40)) * rng.integers(1, 9, (300, 40))
+    w[:, 0] = rng.random(300)  # no window is empty
+    with np.errstate(invalid="ignore"):
+        want = np.nanpercentile(w, 98.0, axis=1)
+        monkeypatch.setattr(np, "nanpercentile", None)  # it takes the rows one by one
+        got = PS._quantile(np.sort(w, axis=1), (~np.isnan(w)).sum(1), 0.98)
+    finite = np.isfinite(want)
+    assert finite.any() and (got[finite] == want[finite]).all() and not np.isfinite(got[~finite]).any()
